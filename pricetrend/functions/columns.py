@@ -20,8 +20,14 @@ def full_window(value: Column, count_col: Column, n: int) -> Column:
 
 
 def rounded(c: Column, digits: int = 6) -> Column:
-    """Round for comparison output; ``+ 0.0`` folds a negative zero."""
-    return F.round(c, digits) + F.lit(0.0)
+    """Round for comparison output as ``round(x * 10^d) / 10^d``.
+
+    Scaling first makes the result depend on the binary value only (not on
+    its shortest decimal text), so any engine doing the same IEEE steps gets
+    the same double; ``+ 0.0`` folds a negative zero.
+    """
+    m = F.lit(float(10 ** digits))
+    return F.round(c * m) / m + F.lit(0.0)
 
 
 def sign_label(c: Column) -> Column:
