@@ -175,3 +175,154 @@ TREND_COLS = ["sma_10_trend", "wma_10_trend", "stck_trend", "stcd_trend", "willi
 _register_panel("trend_panel", "events_hour", ["close", "movement"] + TREND_COLS, trends=True)
 _register_panel("trend_panel_long", "lineitem_day", ["close", "movement"] + TREND_COLS, trends=True)
 _register_panel("trend_panel_daily", "events_day", ["close", "movement"] + TREND_COLS, trends=True)
+
+# ---------------------------------------------------------------- features & splits
+from pricetrend.models.gnb import gnb_predict, gnb_stats  # noqa: E402
+from pricetrend.operators.evaluate import accuracy_by  # noqa: E402
+from pricetrend.operators.features import feature_set, impute_mean, minmax_scale, standard_scale  # noqa: E402
+from pricetrend.operators.split import balanced_split, holdout_split  # noqa: E402
+from pricetrend.plans.prepare import prepare  # noqa: E402
+
+FX = "events_hour"
+
+
+def _trends(spark, sf_dir):
+    return fixture_trends(spark, sf_dir, FX)
+
+
+def _base(spark, sf_dir, rep="continuous"):
+    t = _trends(spark, sf_dir)
+    cols = feature_set(t, "continuous" if rep == "continuous" else "trend_only")
+    assert cols == O.FEATURE_SETS[rep], cols
+    return t.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
+                    *[F.col(c).cast("double").alias(c) for c in cols]), cols
+
+
+_CF = O.CONTINUOUS
+_cf_sql = ", ".join(O.r(c, _digits(c)) + f" AS {c}" for c in _CF)
+
+
+@register("numeric_features", O.with_panel(FX, f"""
+SELECT symbol, bar_no, CAST(movement AS INTEGER) AS movement, {_cf_sql} FROM trends"""))
+def numeric_features(spark, sf_dir):
+    b, cols = _base(spark, sf_dir)
+    return spark_round(b, cols)
+
+
+@register("impute_mean", O.with_prep(FX, _CF, None, 0.2, f"SELECT symbol, bar_no, movement, {_cf_sql} FROM imp"))
+def impute_mean_q(spark, sf_dir):
+    b, cols = _base(spark, sf_dir)
+    return spark_round(impute_mean(b, cols), cols)
+
+
+@register("standard_scale_all", O.with_prep(FX, _CF, "all", 0.2, f"SELECT symbol, bar_no, movement, {_cf_sql} FROM scaled"))
+def standard_scale_all(spark, sf_dir):
+    b, cols = _base(spark, sf_dir)
+    return spark_round(standard_scale(impute_mean(b, cols), cols), cols)
+
+
+@register("standard_scale_train", O.with_prep(FX, _CF, "train", 0.2, f"SELECT symbol, bar_no, movement, is_test, {_cf_sql} FROM prep"))
+def standard_scale_train(spark, sf_dir):
+    x, cols = prepare(_trends(spark, sf_dir), "svm", "continuous")
+    return spark_round(x.select("symbol", "bar_no", "movement", "is_test", *cols), cols)
+
+
+_mm_sql = ", ".join(
+    f"{O.r(f'coalesce(({c} - min({c}) OVER (PARTITION BY symbol)) / CASE WHEN max({c}) OVER (PARTITION BY symbol) - min({c}) OVER (PARTITION BY symbol) > 0 THEN max({c}) OVER (PARTITION BY symbol) - min({c}) OVER (PARTITION BY symbol) END, {O.f(0.0)}) * {O.f(2.0)} + {O.f(-1.0)}', _digits(c))} AS {c}"
+    for c in _CF)
+
+
+@register("minmax_scale", O.with_prep(FX, _CF, None, 0.2, f"SELECT symbol, bar_no, movement, {_mm_sql} FROM imp"))
+def minmax_scale_q(spark, sf_dir):
+    b, cols = _base(spark, sf_dir)
+    return spark_round(minmax_scale(impute_mean(b, cols), cols), cols)
+
+
+def _split_q(test_size):
+    def q(spark, sf_dir):
+        b, _ = _base(spark, sf_dir)
+        return holdout_split(b.select("symbol", "bar_no", "movement"), test_size).select(
+            "symbol", "bar_no", "split_rank", "is_test")
+    return q
+
+
+register("split_80_20", O.with_prep(FX, _CF, None, 0.2, "SELECT symbol, bar_no, split_rank, is_test FROM prep"))(_split_q(0.2))
+register("split_70_30", O.with_prep(FX, _CF, None, 0.3, "SELECT symbol, bar_no, split_rank, is_test FROM prep"))(_split_q(0.3))
+
+
+@register("balanced_split", O.with_panel(FX, f"""
+SELECT symbol, bar_no, movement,
+  CASE WHEN crank <= ceil(CAST(m AS DOUBLE) * {O.f(0.2)}) THEN 'tune' WHEN crank <= m THEN 'eval' ELSE 'surplus' END AS role
+FROM (SELECT *, CASE WHEN count(DISTINCT movement) OVER (PARTITION BY symbol) >= 2
+                     THEN min(csize) OVER (PARTITION BY symbol) ELSE 0 END AS m
+      FROM (SELECT symbol, bar_no, CAST(movement AS INTEGER) AS movement,
+              row_number() OVER (PARTITION BY symbol, movement ORDER BY {O.split_hash_sql()}) AS crank,
+              count(*) OVER (PARTITION BY symbol, movement) AS csize FROM ind))"""))
+def balanced_split_q(spark, sf_dir):
+    b, _ = _base(spark, sf_dir)
+    return balanced_split(b.select("symbol", "bar_no", "movement")).select(
+        "symbol", "bar_no", "movement", "role")
+
+
+@register("stratified_folds", O.with_prep(FX, _CF, None, 0.3, "SELECT symbol, bar_no, movement, fold FROM prep", folds=5))
+def stratified_folds_q(spark, sf_dir):
+    x, _ = prepare(_trends(spark, sf_dir), "rf_cv", "continuous")
+    return x.select("symbol", "bar_no", "movement", "fold")
+
+
+# ---------------------------------------------------------------- naive Bayes
+def _gnb(spark, sf_dir, rep):
+    x, cols = prepare(_trends(spark, sf_dir), "nb", rep)
+    stats = gnb_stats(x.where("is_train"), cols)
+    return x, cols, stats
+
+
+def _gnb_sql(rep, select):
+    feats = O.FEATURE_SETS[rep]
+    return O.with_prep(FX, feats, "all", 0.2, "", 0).rstrip() + ",\n" + O.gnb_ctes(feats) + "\n" + select
+
+
+_stat_cols = ["log_prior"] + [f"mean_{c}" for c in _CF] + [f"var_{c}" for c in _CF]
+
+
+@register("gnb_stats", _gnb_sql("continuous", f"SELECT symbol, movement, n, {', '.join(O.r(c) + ' AS ' + c for c in _stat_cols)} FROM gstats"))
+def gnb_stats_q(spark, sf_dir):
+    _, _, stats = _gnb(spark, sf_dir, "continuous")
+    return spark_round(stats, _stat_cols)
+
+
+@register("gnb_predict", _gnb_sql("continuous", "SELECT symbol, bar_no, movement, prediction FROM pred WHERE is_test"))
+def gnb_predict_q(spark, sf_dir):
+    x, cols, stats = _gnb(spark, sf_dir, "continuous")
+    return gnb_predict(x.where("is_test"), stats, cols).select("symbol", "bar_no", "movement", "prediction")
+
+
+def _gnb_acc(rep):
+    def q(spark, sf_dir):
+        x, cols, stats = _gnb(spark, sf_dir, rep)
+        acc = accuracy_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"])
+        return spark_round(acc, ["accuracy"])
+    return q
+
+
+_acc_sel = f"SELECT symbol, {O.r('avg(CAST(prediction = movement AS DOUBLE))')} AS accuracy, count(*) AS n FROM pred WHERE is_test GROUP BY symbol"
+register("gnb_accuracy", _gnb_sql("continuous", _acc_sel))(_gnb_acc("continuous"))
+register("gnb_trend_accuracy", _gnb_sql("trend", _acc_sel))(_gnb_acc("trend"))
+
+
+@register("gnb_overall", None)
+def gnb_overall(spark, sf_dir):
+    parts = []
+    for rep in ("continuous", "trend"):
+        x, cols, stats = _gnb(spark, sf_dir, rep)
+        acc = accuracy_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"])
+        parts.append(acc.agg(F.avg("accuracy").alias("accuracy")).select(
+            F.lit(rep).alias("representation"), "accuracy"))
+    return spark_round(parts[0].unionByName(parts[1]), ["accuracy"])
+
+
+ORACLE["gnb_overall"] = "\nUNION ALL\n".join(
+    _gnb_sql(rep, f"SELECT '{rep}' AS representation, {O.r('avg(acc)')} AS accuracy FROM "
+                  "(SELECT symbol, avg(CAST(prediction = movement AS DOUBLE)) AS acc FROM pred WHERE is_test GROUP BY symbol)")
+    .replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE", 1) + ")"
+    for rep in ("continuous", "trend"))

@@ -140,3 +140,92 @@ def trend_sql() -> str:
 
 def with_panel(fixture: str, select: str) -> str:
     return f"WITH RECURSIVE {panel_ctes(fixture)}\n{select}"
+
+
+# ------------------------------------------------------------------ feature preparation
+CONTINUOUS = ["open", "high", "low", "sma_10", "wma_10", "stck", "stcd", "williams_r", "macd",
+              "rsi", "cci", "ad_osc", "momentum"]
+TREND_ONLY = ["sma_10_trend", "wma_10_trend", "stck_trend", "stcd_trend", "williams_r_trend",
+              "macd_trend", "rsi_trend", "cci_trend", "ad_osc_trend", "momentum_trend"]
+FEATURE_SETS = {"continuous": CONTINUOUS, "trend": TREND_ONLY}
+
+
+def split_hash_sql(seed: int = 42) -> str:
+    return f"md5(symbol || '|' || CAST(bar_no AS VARCHAR) || '|' || '{seed}')"
+
+
+def prep_ctes(feats: list[str], scale: str | None, test_size: float, folds: int = 0) -> str:
+    """CTEs feat -> imp -> [scaled] -> split -> [scaled_train] -> prep (after ``trends``)."""
+    P = "OVER (PARTITION BY symbol)"
+    cols = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in feats)
+    imp = ", ".join(f"coalesce({c}, avg({c}) {P}, {f(0.0)}) AS {c}" for c in feats)
+    ctes = [f"feat AS (SELECT symbol, bar_no, CAST(movement AS INTEGER) AS movement, {cols} FROM trends)",
+            f"imp AS (SELECT symbol, bar_no, movement, {imp} FROM feat)"]
+    prev = "imp"
+    if scale == "all":
+        z = ", ".join(
+            f"coalesce(({c} - avg({c}) {P}) / CASE WHEN stddev_pop({c}) {P} > 0 "
+            f"THEN stddev_pop({c}) {P} END, {f(0.0)}) AS {c}" for c in feats)
+        ctes.append(f"scaled AS (SELECT symbol, bar_no, movement, {z} FROM imp)")
+        prev = "scaled"
+    fl = ", ".join(feats)
+    ctes.append(f"""split AS (
+  SELECT symbol, bar_no, movement, {fl}, split_hash, split_rank,
+    split_rank <= ceil(CAST(n AS DOUBLE) * {f(test_size)}) AS is_test,
+    NOT (split_rank <= ceil(CAST(n AS DOUBLE) * {f(test_size)})) AS is_train
+  FROM (SELECT *, {split_hash_sql()} AS split_hash,
+          row_number() OVER (PARTITION BY symbol ORDER BY {split_hash_sql()}) AS split_rank,
+          count(*) {P} AS n FROM {prev}))""")
+    prev = "split"
+    if scale == "train":
+        st = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in feats)
+        z = ", ".join(f"coalesce((x.{c} - st.m_{c}) / CASE WHEN st.s_{c} > 0 THEN st.s_{c} END, "
+                      f"{f(0.0)}) AS {c}" for c in feats)
+        ctes.append(f"trstats AS (SELECT symbol, {st} FROM split WHERE is_train GROUP BY symbol)")
+        ctes.append(f"""scaled_train AS (SELECT x.symbol, x.bar_no, x.movement, {z},
+  x.split_hash, x.split_rank, x.is_test, x.is_train
+  FROM split x LEFT JOIN trstats st USING (symbol))""")
+        prev = "scaled_train"
+    if folds:
+        ctes.append(f"""prep AS (SELECT p.*, coalesce(fo.fold, -1) AS fold FROM {prev} p LEFT JOIN (
+  SELECT symbol, bar_no, CAST(ntile({folds}) OVER (PARTITION BY symbol, movement ORDER BY split_hash) - 1
+    AS INTEGER) AS fold
+  FROM {prev} WHERE is_train) fo USING (symbol, bar_no))""")
+    else:
+        ctes.append(f"prep AS (SELECT * FROM {prev})")
+    return ",\n".join(ctes)
+
+
+def with_prep(fixture: str, feats: list[str], scale: str | None, test_size: float,
+              select: str, folds: int = 0) -> str:
+    return (f"WITH RECURSIVE {panel_ctes(fixture)},\n{prep_ctes(feats, scale, test_size, folds)}\n"
+            f"{select}")
+
+
+def gnb_ctes(feats: list[str], var_smoothing: float = 1e-9) -> str:
+    means = ", ".join(f"avg({c}) AS mean_{c}" for c in feats)
+    vars_ = ", ".join(f"var_pop({c}) AS var_{c}" for c in feats)
+    eps = "greatest(" + ", ".join(f"var_pop({c})" for c in feats) + f", {f(0.0)}) * {f(var_smoothing)}"
+    wide = []
+    for k in (0, 1):
+        wide.append(f"max(CASE WHEN movement = {k} THEN log_prior END) AS lp{k}")
+        for c in feats:
+            wide.append(f"max(CASE WHEN movement = {k} THEN mean_{c} END) AS m{k}_{c}")
+            wide.append(f"max(CASE WHEN movement = {k} THEN var_{c} END) AS v{k}_{c}")
+
+    def jll(k):
+        norm = " + ".join([f(0.0)] + [f"ln({f(6.283185307179586)} * v{k}_{c})" for c in feats])
+        dist = " + ".join([f(0.0)] + [f"pow({c} - m{k}_{c}, 2) / v{k}_{c}" for c in feats])
+        return f"lp{k} - {f(0.5)} * ({norm}) - {f(0.5)} * ({dist})"
+    return f"""cls AS (SELECT symbol, movement, count(*) AS n, {means}, {vars_}
+  FROM prep WHERE is_train GROUP BY symbol, movement),
+eps AS (SELECT symbol, {eps} AS eps FROM prep WHERE is_train GROUP BY symbol),
+gstats AS (SELECT c.symbol, CAST(c.movement AS INTEGER) AS movement, c.n,
+    ln(c.n / sum(c.n) OVER (PARTITION BY c.symbol)) AS log_prior,
+    {', '.join(f'c.mean_{x}' for x in feats)},
+    {', '.join(f'c.var_{x} + e.eps AS var_{x}' for x in feats)}
+  FROM cls c JOIN eps e USING (symbol)),
+wide AS (SELECT symbol, {', '.join(wide)} FROM gstats GROUP BY symbol),
+scored AS (SELECT p.*, {jll(0)} AS jll0, {jll(1)} AS jll1 FROM prep p LEFT JOIN wide USING (symbol)),
+pred AS (SELECT *, CAST(CASE WHEN jll0 IS NULL AND jll1 IS NULL THEN NULL WHEN jll0 IS NULL THEN 1
+    WHEN jll1 IS NULL THEN 0 WHEN jll1 > jll0 THEN 1 ELSE 0 END AS INTEGER) AS prediction FROM scored)"""
