@@ -35,6 +35,7 @@ from pricetrend.operators.sequence import block_rows
 INDICATORS = ["sma_10", "wma_10", "stck", "stcd", "williams_r", "macd", "rsi", "cci",
               "ad_osc", "momentum"]
 LAGGED = ["stck", "stcd", "williams_r", "macd", "rsi", "cci", "ad_osc"]
+MACD_SNAP = 1e-12
 
 
 @dataclass(frozen=True)
@@ -172,9 +173,13 @@ def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT) -> DataFr
     n = F.col("bar_no")
     rsi = F.when(edn == 0, F.lit(100.0)).otherwise(
         F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(eup, edn)))
+    # The closed form leaves ~1e-16 relative noise where the recursion is exact
+    # (a flat series has MACD 0 exactly); differences under 1e-12 of the slow
+    # EMA are that noise and are snapped to zero so ties stay ties.
+    macd = F.when(F.abs(e12 - e26) <= F.lit(MACD_SNAP) * F.abs(e26), F.lit(0.0)).otherwise(e12 - e26)
     e = j.select(
         *[x for x in c.columns if not x.startswith("_")],
-        F.when(n >= p.macd_slow, e12 - e26).alias("macd"),
+        F.when(n >= p.macd_slow, macd).alias("macd"),
         F.when(n >= p.rsi, rsi).alias("rsi"),
     )
 

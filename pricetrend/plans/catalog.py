@@ -326,3 +326,117 @@ ORACLE["gnb_overall"] = "\nUNION ALL\n".join(
                   "(SELECT symbol, avg(CAST(prediction = movement AS DOUBLE)) AS acc FROM pred WHERE is_test GROUP BY symbol)")
     .replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE", 1) + ")"
     for rep in ("continuous", "trend"))
+
+# ---------------------------------------------------------------- learned models (rows-only checks)
+from pricetrend.models import mlp as _mlp  # noqa: E402
+from pricetrend.plans import experiments as X  # noqa: E402
+from pricetrend.session import cut_lineage  # noqa: E402
+
+RESULT_COLS = ["symbol", "representation", "model", "grid_index", "metric", "value"]
+
+
+def _res(df):
+    """Results rows with the parameter map rendered as sorted k=v text."""
+    kv = F.array_join(F.array_sort(F.transform(F.map_entries("params"),
+                                               lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+    return df.select("symbol", "representation", "model", kv.alias("params"), "grid_index",
+                     "metric", rounded(F.col("value"), 6).alias("value"))
+
+
+def _panel(spark, sf_dir):
+    return cut_lineage(_trends(spark, sf_dir))
+
+
+@register("svm_poly_cv")
+def svm_poly_cv(spark, sf_dir):
+    cfg = X.GridConfig(svm=[p for p in X.QUICK_GRIDS.svm if p["kernel"] == "poly"])
+    return _res(X.svm_results(_panel(spark, sf_dir), "continuous", cfg))
+
+
+@register("svm_rbf_cv")
+def svm_rbf_cv(spark, sf_dir):
+    cfg = X.GridConfig(svm=[p for p in X.QUICK_GRIDS.svm if p["kernel"] == "rbf"])
+    return _res(X.svm_results(_panel(spark, sf_dir), "continuous", cfg))
+
+
+@register("svm_trend_cv")
+def svm_trend_cv(spark, sf_dir):
+    return _res(X.svm_results(_panel(spark, sf_dir), "trend", X.QUICK_GRIDS))
+
+
+@register("svm_overall")
+def svm_overall(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    res = X.svm_results(p, "continuous", X.QUICK_GRIDS).unionByName(
+        X.svm_results(p, "trend", X.QUICK_GRIDS))
+    per = X.svm_summary(res)
+    return spark_round(per.groupBy("representation").agg(F.avg("accuracy").alias("accuracy")),
+                       ["accuracy"])
+
+
+@register("rf_sweep_top3")
+def rf_sweep_top3(spark, sf_dir):
+    top = X.rf_top3(X.rf_results(_panel(spark, sf_dir), "continuous"))
+    return spark_round(top.select("symbol", "representation", "rank",
+                                  F.col("params")["ntrees"].cast("int").alias("ntrees"),
+                                  F.col("value").alias("accuracy")), ["accuracy"])
+
+
+@register("rf_trend_cv")
+def rf_trend_cv(spark, sf_dir):
+    res = X.rf_cv_results(_panel(spark, sf_dir), "trend")
+    first3 = X.rf_cv_selected(res, "first_k").withColumn("selection", F.lit("first_k"))
+    best3 = X.rf_cv_selected(res, "best_k").drop("rank").withColumn("selection", F.lit("best_k"))
+    return _res(first3).withColumn("selection", F.lit("first_k")).unionByName(
+        _res(best3).withColumn("selection", F.lit("best_k")))
+
+
+@register("rf_overall")
+def rf_overall(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    res = (X.rf_results(p, "continuous").unionByName(X.rf_results(p, "trend"))
+           .unionByName(X.rf_cv_results(p, "continuous")).unionByName(X.rf_cv_results(p, "trend")))
+    return spark_round(X.overall(res.cache()), ["accuracy"])
+
+
+@register("mlp_grid_top3")
+def mlp_grid_top3(spark, sf_dir):
+    top = X.mlp_top3(X.mlp_results(_panel(spark, sf_dir), "continuous"))
+    return _res(top.drop("rank"))
+
+
+@register("mlp_trend_grid")
+def mlp_trend_grid(spark, sf_dir):
+    return _res(X.mlp_results(_panel(spark, sf_dir), "trend"))
+
+
+@register("mlp_overall")
+def mlp_overall(spark, sf_dir):
+    p = _panel(spark, sf_dir)
+    res = X.mlp_results(p, "continuous", X.QUICK_GRIDS).unionByName(
+        X.mlp_results(p, "trend", X.QUICK_GRIDS))
+    return spark_round(X.overall(res.cache()), ["accuracy"])
+
+
+@register("model_candidates")
+def model_candidates(spark, sf_dir):
+    """The study's ANN grid for every series present in the data."""
+    syms = _trends(spark, sf_dir).select("symbol").distinct()
+    grid = spark.createDataFrame(
+        [(i, p["n_neurons"], p["epochs"], p["lr"], p["momentum"], p["dropout_rate"])
+         for i, p in enumerate(_mlp.mlp_grid())],
+        "grid_index int, n_neurons int, epochs int, lr double, momentum double, dropout_rate double")
+    return syms.crossJoin(F.broadcast(grid))
+
+
+@register("model_comparison")
+def model_comparison(spark, sf_dir):
+    res = X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS).cache()
+    return spark_round(X.comparison(res), ["continuous", "trend"])
+
+
+@register("model_report")
+def model_report(spark, sf_dir):
+    """Per series and model the accuracy under the study's rule, plus F1 of NB."""
+    res = X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS).cache()
+    return spark_round(X.per_series(res), ["accuracy"])

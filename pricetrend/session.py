@@ -31,6 +31,8 @@ def get_session(app: str = "pricetrend", master: str | None = None,
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = os.environ.get("PRICETREND_DRIVER_MEMORY", "8g")
         conf["spark.driver.host"] = "127.0.0.1"
         conf["spark.driver.bindAddress"] = "127.0.0.1"
     conf.update(extra or {})
@@ -48,14 +50,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     here. When it is unset (local tests) a private scratch folder is created
     and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="pricetrend-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def cut_lineage(df, spark: SparkSession | None = None):
