@@ -187,7 +187,9 @@ FX = "events_hour"
 
 
 def _trends(spark, sf_dir):
-    return fixture_trends(spark, sf_dir, FX)
+    """Trend panel written once; feature and model plans branch many times over it."""
+    from pricetrend.session import cut_lineage
+    return cut_lineage(fixture_trends(spark, sf_dir, FX), "trends")
 
 
 def _base(spark, sf_dir, rep="continuous"):
@@ -344,7 +346,7 @@ def _res(df):
 
 
 def _panel(spark, sf_dir):
-    return cut_lineage(_trends(spark, sf_dir))
+    return _trends(spark, sf_dir)
 
 
 @register("svm_poly_cv")
@@ -396,7 +398,7 @@ def rf_overall(spark, sf_dir):
     p = _panel(spark, sf_dir)
     res = (X.rf_results(p, "continuous").unionByName(X.rf_results(p, "trend"))
            .unionByName(X.rf_cv_results(p, "continuous")).unionByName(X.rf_cv_results(p, "trend")))
-    return spark_round(X.overall(res.cache()), ["accuracy"])
+    return spark_round(X.overall(cut_lineage(res, "results")), ["accuracy"])
 
 
 @register("mlp_grid_top3")
@@ -415,7 +417,7 @@ def mlp_overall(spark, sf_dir):
     p = _panel(spark, sf_dir)
     res = X.mlp_results(p, "continuous", X.QUICK_GRIDS).unionByName(
         X.mlp_results(p, "trend", X.QUICK_GRIDS))
-    return spark_round(X.overall(res.cache()), ["accuracy"])
+    return spark_round(X.overall(cut_lineage(res, "results")), ["accuracy"])
 
 
 @register("model_candidates")
@@ -431,12 +433,12 @@ def model_candidates(spark, sf_dir):
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    res = X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS).cache()
+    res = cut_lineage(X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS), "results")
     return spark_round(X.comparison(res), ["continuous", "trend"])
 
 
 @register("model_report")
 def model_report(spark, sf_dir):
     """Per series and model the accuracy under the study's rule, plus F1 of NB."""
-    res = X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS).cache()
+    res = cut_lineage(X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS), "results")
     return spark_round(X.per_series(res), ["accuracy"])

@@ -63,7 +63,7 @@ def _results(df: DataFrame, rep: str, model: str, params: dict[str, F.Column],
 def prepared(panel: DataFrame, family: str, rep: str) -> tuple[DataFrame, list[str]]:
     """Prepared features with lineage cut (shared checkpoint folder) for the many fits."""
     x, cols = prepare(panel, family, rep)
-    return cut_lineage(x), cols
+    return cut_lineage(x, f"prep-{family}-{rep}"), cols
 
 
 # ------------------------------------------------------------------ families
@@ -177,7 +177,7 @@ def comparison(res: DataFrame, selection: str = "best_k") -> DataFrame:
 def run_all(panel: DataFrame, cfg: GridConfig = REFERENCE_GRIDS,
             representations=("continuous", "trend")) -> DataFrame:
     """Every family on every representation, as one results table."""
-    panel = cut_lineage(panel)
+    panel = cut_lineage(panel, "panel")
     parts = []
     for rep in representations:
         parts += [svm_results(panel, rep, cfg), rf_results(panel, rep, cfg),

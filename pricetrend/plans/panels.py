@@ -8,16 +8,26 @@ from pricetrend.operators.indicators import DEFAULT, IndicatorParams, indicator_
 from pricetrend.operators.labels import with_movement
 from pricetrend.operators.sequence import number_bars
 from pricetrend.operators.trend import trend_panel
+from pricetrend.session import cut_lineage
 from pricetrend.sources.bars import events_bars, lineitem_bars
 
 
-def indicators_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT) -> DataFrame:
-    """Bars -> ``bar_no`` -> indicators + lags -> movement label."""
+def indicators_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT,
+                         materialize: bool = True) -> DataFrame:
+    """Bars -> ``bar_no`` -> indicators + lags -> movement label.
+
+    ``materialize`` writes the bar table once (shared checkpoint folder):
+    numbering reads it twice (chunk counts and rows), and without the cut
+    the optimiser prunes each branch differently and re-aggregates the ticks.
+    """
+    if materialize:
+        bars = cut_lineage(bars, "bars")
     return with_movement(indicator_panel(number_bars(bars, grain=grain), p))
 
 
-def trends_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT) -> DataFrame:
-    return trend_panel(indicators_from_bars(bars, grain, p))
+def trends_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT,
+                     materialize: bool = True) -> DataFrame:
+    return trend_panel(indicators_from_bars(bars, grain, p, materialize))
 
 
 def fixture_bars(spark: SparkSession, sf_dir: str, fixture: str) -> tuple[DataFrame, str]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -53,17 +54,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="pricetrend-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df, spark: SparkSession | None = None):
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
-    spark = spark or df.sparkSession
-    checkpoint_dir(spark)
-    return df.checkpoint(eager=True)
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
+
+    One job computes the input once; every later branch reads the columns it
+    needs from durable storage, so a lost executor costs a re-read, not a
+    recomputation of the upstream plan.
+    """
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

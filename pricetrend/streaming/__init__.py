@@ -1,0 +1 @@
+from pricetrend.streaming.incremental import stream_bars, stream_indicators  # noqa: F401

@@ -1,0 +1,138 @@
+"""Structured Streaming: ticks -> closed OHLC bars -> indicators, incrementally.
+
+* ``stream_bars``: event-time bars with a watermark; in append mode a bar
+  is emitted once the watermark passes its end, so late ticks within the
+  delay are folded in and later ones are dropped by the engine.
+* ``stream_indicators``: ``applyInPandasWithState`` keyed by symbol. The
+  state is bounded: the last ``HISTORY`` bars (prices and the lagged
+  indicators) plus the four EMA values and the bar count, so each
+  micro-batch costs O(new bars) per symbol however long the series is.
+  Definitions are those of ``operators.indicators`` (same NULL rules).
+"""
+
+from __future__ import annotations
+
+import io
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from pricetrend.operators.indicators import INDICATORS, LAGGED, MACD_SNAP
+
+HISTORY = 40  # > 20 bars of the longest frame (CCI) plus lags
+
+GRAIN_INTERVAL = {"minute": "1 minute", "hour": "1 hour", "6 hours": "6 hours", "day": "1 day"}
+
+
+def stream_bars(ticks: DataFrame, symbol: str, ts: str, price: str, grain: str,
+                order: list[str] | None = None, delay: str = "1 hour") -> DataFrame:
+    """E1 on a stream: closed bars per (symbol, bar window)."""
+    key = F.struct(*[F.col(c) for c in (order or [ts])])
+    # event time must be a zoned TIMESTAMP for watermarks (session zone is UTC)
+    return (ticks.where(F.col(price).isNotNull())
+            .withColumn("_et", F.col(ts).cast("timestamp"))
+            .withWatermark("_et", delay)
+            .groupBy(F.col(symbol).alias("symbol"), F.window("_et", GRAIN_INTERVAL[grain]).alias("w"))
+            .agg(F.min_by(price, key).alias("open"), F.max(price).alias("high"),
+                 F.min(price).alias("low"), F.max_by(price, key).alias("close"))
+            .select("symbol", F.col("w.start").cast("timestamp_ntz").alias("bar_ts"),
+                    "open", "high", "low", "close"))
+
+
+OUT_SCHEMA = ("symbol string, bar_ts timestamp_ntz, bar_no long, open double, high double, "
+              "low double, close double, price_change double, "
+              + ", ".join(f"{c} double" for c in INDICATORS) + ", "
+              + ", ".join(f"{c}_lag double" for c in LAGGED) + ", movement int")
+STATE_SCHEMA = "n long, e12 double, e26 double, eu double, ed double, hist string"
+
+A12, A26, ARSI = 2.0 / 13.0, 2.0 / 27.0, 1.0 / 14.0
+
+
+def _div(a: float, b: float) -> float:
+    if a is None or b is None or b == 0 or (isinstance(b, float) and math.isnan(b)):
+        return math.nan
+    return a / b
+
+
+def _advance(hist: pd.DataFrame, new: pd.DataFrame, n: int, e12: float, e26: float,
+             eu: float, ed: float):
+    """Indicators for ``new`` bars given the previous ``hist`` rows and EMA state."""
+    rows = []
+    h = hist.to_dict("records")
+    for bar in new.itertuples(index=False):
+        n += 1
+        prev = h[-1] if h else None
+        c1 = prev["close"] if prev else None
+        d = bar.close - c1 if c1 is not None else 0.0
+        up, dn = (d if d > 0 else 0.0), (-d if d < 0 else 0.0)
+        if n == 1:
+            e12, e26, eu, ed = bar.close, bar.close, up, dn
+        else:
+            e12 = A12 * bar.close + (1 - A12) * e12
+            e26 = A26 * bar.close + (1 - A26) * e26
+            eu = ARSI * up + (1 - ARSI) * eu
+            ed = ARSI * dn + (1 - ARSI) * ed
+        win = h[-19:] + [{"close": bar.close, "high": bar.high, "low": bar.low}]
+        closes = np.array([r["close"] for r in win])
+        highs = np.array([r["high"] for r in win])
+        lows = np.array([r["low"] for r in win])
+        r = {"symbol": bar.symbol, "bar_ts": bar.bar_ts, "bar_no": n, "open": bar.open,
+             "high": bar.high, "low": bar.low, "close": bar.close,
+             "price_change": (bar.close - c1) if c1 is not None else math.nan}
+        r["sma_10"] = closes[-10:].mean() if len(closes) >= 10 else math.nan
+        r["wma_10"] = (float(np.dot(np.arange(1, 11), closes[-10:])) / 55.0
+                       if len(closes) >= 10 else math.nan)
+        if len(closes) >= 14:
+            hh, ll = highs[-14:].max(), lows[-14:].min()
+            r["stck"] = _div(100.0 * (bar.close - ll), hh - ll)
+            r["williams_r"] = _div(100.0 * (bar.close - hh), hh - ll)
+        else:
+            r["stck"] = r["williams_r"] = math.nan
+        ks = [x.get("stck", math.nan) for x in h[-2:]] + [r["stck"]]
+        r["stcd"] = float(np.mean(ks)) if len(ks) == 3 and not np.isnan(ks).any() else math.nan
+        if n >= 26:
+            m = e12 - e26
+            r["macd"] = 0.0 if abs(m) <= MACD_SNAP * abs(e26) else m
+        else:
+            r["macd"] = math.nan
+        r["rsi"] = (100.0 if ed == 0 else 100.0 - 100.0 / (1.0 + eu / ed)) if n >= 14 else math.nan
+        if len(closes) >= 20:
+            tp = (highs + lows + closes) / 3.0
+            mad = np.mean(np.abs(tp - tp.mean()))
+            r["cci"] = _div(tp[-1] - tp.mean(), 0.015 * mad)
+        else:
+            r["cci"] = math.nan
+        r["ad_osc"] = _div(bar.high - c1, bar.high - bar.low) if c1 is not None else math.nan
+        c12 = h[-12]["close"] if len(h) >= 12 else None
+        r["momentum"] = _div(bar.close - c12, c12) * 100.0 if c12 is not None else math.nan
+        for x in LAGGED:
+            r[f"{x}_lag"] = prev.get(x, math.nan) if prev else math.nan
+        r["movement"] = 1 if (c1 is not None and bar.close > c1) else 0
+        rows.append(r)
+        h.append(r)
+        h = h[-HISTORY:]
+    return rows, h, n, e12, e26, eu, ed
+
+
+def _step(key, batches: Iterator[pd.DataFrame], state: GroupState):
+    new = pd.concat([b for b in batches if len(b)]).sort_values("bar_ts")
+    if state.exists:
+        n, e12, e26, eu, ed, hist_json = state.get
+        hist = pd.read_json(io.StringIO(hist_json), orient="records") if hist_json else pd.DataFrame()
+    else:
+        n, e12, e26, eu, ed, hist = 0, 0.0, 0.0, 0.0, 0.0, pd.DataFrame()
+    rows, h, n, e12, e26, eu, ed = _advance(hist, new, n, e12, e26, eu, ed)
+    keep = [{k: v for k, v in r.items() if k in ("close", "high", "low", *LAGGED)} for r in h]
+    state.update((n, e12, e26, eu, ed, pd.DataFrame(keep).to_json(orient="records")))
+    out = pd.DataFrame(rows)
+    yield out.replace({np.nan: None})
+
+
+def stream_indicators(bars: DataFrame) -> DataFrame:
+    """Closed bars (any order within a batch, later batches later in time) -> panel rows."""
+    return bars.groupBy("symbol").applyInPandasWithState(
+        _step, OUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
