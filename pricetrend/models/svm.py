@@ -21,8 +21,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.feature import (Interaction, OneHotEncoder, PolynomialExpansion,
                                 StringIndexer, VectorAssembler)
 from pyspark.sql import DataFrame, functions as F
@@ -44,18 +46,32 @@ def rbf_grid(gammas=RBF_GAMMAS, cs=RBF_C) -> list[dict]:
     return [{"kernel": "rbf", "gamma": g, "C": c} for g in gammas for c in cs]
 
 
-def rff_columns(cols: list[str], gamma: float, n_components: int = 64, seed: int = 42):
-    """Random Fourier feature expressions for an RBF kernel of width gamma."""
+def rff_matrix(n_features: int, gamma: float, n_components: int = 64, seed: int = 42):
+    """W ~ N(0, 2*gamma) and b ~ U[0, 2*pi] for an RBF kernel of width gamma."""
     rng = np.random.default_rng(seed)
-    g = rng.standard_normal((n_components, len(cols)))
+    g = rng.standard_normal((n_components, n_features))
     b = rng.uniform(0.0, 2.0 * math.pi, n_components)
-    w = g * math.sqrt(2.0 * gamma)
+    return g * math.sqrt(2.0 * gamma), b
+
+
+def rff_features(df: DataFrame, cols: list[str], gamma: float, out: str,
+                 n_components: int = 64, seed: int = 42) -> DataFrame:
+    """Random Fourier features as a vector column: sqrt(2/D) * cos(W x + b).
+
+    One matrix product per Arrow batch (a pandas UDF); the D x d projection is
+    a few kilobytes shipped with the function.
+    """
+    w, b = rff_matrix(len(cols), gamma, n_components, seed)
     scale = math.sqrt(2.0 / n_components)
-    exprs = []
-    for k in range(n_components):
-        lin = sum((F.lit(float(w[k, j])) * F.col(c) for j, c in enumerate(cols)), F.lit(float(b[k])))
-        exprs.append((F.lit(scale) * F.cos(lin)).alias(f"_rff{k}"))
-    return exprs
+
+    @F.pandas_udf("array<double>")
+    def project(x: pd.Series) -> pd.Series:
+        if len(x) == 0:
+            return pd.Series([], dtype=object)
+        z = scale * np.cos(np.vstack(x.to_numpy()) @ w.T + b)
+        return pd.Series(list(z))
+
+    return df.withColumn(out, array_to_vector(project(F.array(*[F.col(c) for c in cols]))))
 
 
 def _group_ids(groups: DataFrame) -> DataFrame:
@@ -85,14 +101,16 @@ def svm_cv(prep: DataFrame, cols: list[str], grid: list[dict], n_folds: int = 5,
             x = PolynomialExpansion(degree=p["degree"], inputCol="_x", outputCol="_px").transform(x)
             x = VectorAssembler(inputCols=["_px", "_one"], outputCol="_xb").transform(x)
         else:
-            x = base.select("*", *rff_columns(cols, p["gamma"]))
-            x = VectorAssembler(inputCols=[f"_rff{k}" for k in range(64)] + ["_one"],
-                                outputCol="_xb").transform(x)
+            x = rff_features(base, cols, p["gamma"], "_rff")
+            x = VectorAssembler(inputCols=["_rff", "_one"], outputCol="_xb").transform(x)
         x = Interaction(inputCols=["_g", "_xb"], outputCol="features").transform(x)
         x = x.withColumn("label", F.col("movement").cast("double"))
         svc = LinearSVC(regParam=1.0 / (p["C"] * n_fit), maxIter=max_iter, fitIntercept=False,
                         standardization=False)
-        model = svc.fit(x.where("role = 'fit'"))
+        # the assembled features feed a statistics pass and every iteration
+        train = x.where("role = 'fit'").select("features", "label").cache()
+        model = svc.fit(train)
+        train.unpersist()
         scored = model.transform(x.where("role = 'score'"))
         acc = (scored.groupBy("symbol", "cv_fold")
                .agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")))

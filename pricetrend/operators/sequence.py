@@ -16,12 +16,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pricetrend.sources.bars import GRAIN_SECONDS
+from pricetrend.sources.bars import GRAIN_SECONDS, wall_seconds
 
 
 def time_chunk(ts_col: str, grain: str, chunk_bars: int):
     span = GRAIN_SECONDS[grain] * chunk_bars
-    return F.floor(F.unix_seconds(F.col(ts_col).cast("timestamp")) / F.lit(span))
+    return F.floor(wall_seconds(F.col(ts_col)) / F.lit(span))
 
 
 def number_bars(bars: DataFrame, grain: str = "day", chunk_bars: int = 4096,

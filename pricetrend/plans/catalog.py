@@ -339,7 +339,8 @@ RESULT_COLS = ["symbol", "representation", "model", "grid_index", "metric", "val
 
 def _res(df):
     """Results rows with the parameter map rendered as sorted k=v text."""
-    kv = F.array_join(F.array_sort(F.transform(F.map_entries("params"),
+    entries = F.filter(F.map_entries("params"), lambda e: e["value"].isNotNull())
+    kv = F.array_join(F.array_sort(F.transform(entries,
                                                lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
     return df.select("symbol", "representation", "model", kv.alias("params"), "grid_index",
                      "metric", rounded(F.col("value"), 6).alias("value"))
@@ -422,13 +423,18 @@ def mlp_overall(spark, sf_dir):
 
 @register("model_candidates")
 def model_candidates(spark, sf_dir):
-    """The study's ANN grid for every series present in the data."""
+    """The study's ANN grid for every series present in the data.
+
+    The grid is a literal array exploded on each series row (a generator, no join).
+    """
+    points = F.array(*[
+        F.struct(F.lit(i).alias("grid_index"), F.lit(p["n_neurons"]).alias("n_neurons"),
+                 F.lit(p["epochs"]).alias("epochs"), F.lit(float(p["lr"])).alias("lr"),
+                 F.lit(float(p["momentum"])).alias("momentum"),
+                 F.lit(float(p["dropout_rate"])).alias("dropout_rate"))
+        for i, p in enumerate(_mlp.mlp_grid())])
     syms = _trends(spark, sf_dir).select("symbol").distinct()
-    grid = spark.createDataFrame(
-        [(i, p["n_neurons"], p["epochs"], p["lr"], p["momentum"], p["dropout_rate"])
-         for i, p in enumerate(_mlp.mlp_grid())],
-        "grid_index int, n_neurons int, epochs int, lr double, momentum double, dropout_rate double")
-    return syms.crossJoin(F.broadcast(grid))
+    return syms.select("symbol", F.explode(points).alias("p")).select("symbol", "p.*")
 
 
 @register("model_comparison")
