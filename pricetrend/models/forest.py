@@ -1,16 +1,21 @@
 """M4/M5: random forests and the tree-count sweep.
 
-A forest of k trees is the first k trees of a larger forest grown with the
-same seed: the trees are independent draws, and with a seeded generator that
-hands out per-tree seeds in order (the study's setting) the k-tree forest is
-exactly that prefix. So each (symbol[, fold]) grows **one** forest with the
-largest tree count, and every swept count is scored from per-tree class-1
-probabilities summed over prefixes (soft vote: class 1 iff the summed
-probability exceeds k/2; ties go to class 0).
+A forest of k trees is the first k trees of a larger forest: the trees are
+independent draws, and a seeded generator that hands out per-tree seeds in
+order (the study's setting) makes the k-tree forest exactly that prefix.
+Each (symbol[, fold]) therefore grows the largest forest once, as
+independently seeded blocks of ``block`` trees fitted side by side, and every
+swept count k is scored from the first k / block blocks. A Spark forest's
+``rawPrediction`` is the sum of its trees' class probabilities, so summing
+block raws gives each prefix's soft vote: class 1 iff the class-1 sum exceeds
+k/2 (ties go to class 0).
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
@@ -23,34 +28,44 @@ TREE_COUNTS = list(range(10, 201, 10))
 MAX_DEPTH_UNLIMITED = 30
 
 
-def prefix_accuracy(model, scored: DataFrame, counts: list[int], keys: list[str],
-                    label: str = "movement") -> DataFrame:
+def block_size(counts: list[int]) -> int:
+    return reduce(math.gcd, counts)
+
+
+def prefix_accuracy(models: list, block: int, scored: DataFrame, counts: list[int],
+                    keys: list[str], label: str = "movement") -> DataFrame:
     """(keys..., ntrees, correct, n) for every prefix size in ``counts``."""
     df = scored
-    trees = model.trees[: max(counts)]
     names = []
-    for i, tree in enumerate(trees):
-        name = f"_t{i}"
-        tree.setProbabilityCol(name).setRawPredictionCol("").setPredictionCol("")
-        df = tree.transform(df)
+    for b, m in enumerate(models):
+        name = f"_r{b}"
+        m.setRawPredictionCol(name).setProbabilityCol("").setPredictionCol("")
+        df = m.transform(df)
         names.append(name)
-    cum, prev, sums = None, 0, {}
-    for k in sorted(counts):
-        part = sum((vector_to_array(F.col(n))[1] for n in names[prev:k]), F.lit(0.0))
-        cum = part if cum is None else cum + part
-        sums[k] = cum
-        prev = k
+    # class-1 vote of every block, projected once
+    votes = df.select(*keys, F.col(label).alias("_y"),
+                      F.array(*[vector_to_array(F.col(n))[1] for n in names]).alias("_v"))
     stack = F.explode(F.array(*[
         F.struct(F.lit(k).alias("ntrees"),
-                 ((F.lit(2.0) * s > F.lit(float(k))).cast("int") == F.col(label)).cast("int")
-                 .alias("ok")) for k, s in sums.items()]))
-    return (df.select(*keys, stack.alias("_s"))
-            .groupBy(*keys, "_s.ntrees")
-            .agg(F.sum("_s.ok").alias("correct"), F.count(F.lit(1)).alias("n")))
+                 F.aggregate(F.slice("_v", 1, k // block), F.lit(0.0), lambda a, x: a + x)
+                 .alias("votes")) for k in sorted(counts)]))
+    return (votes.select(*keys, "_y", stack.alias("_s"))
+            .select(*keys, F.col("_s.ntrees").alias("ntrees"),
+                    ((F.lit(2.0) * F.col("_s.votes") > F.col("_s.ntrees").cast("double"))
+                     .cast("int") == F.col("_y")).cast("int").alias("ok"))
+            .groupBy(*keys, "ntrees")
+            .agg(F.sum("ok").alias("correct"), F.count(F.lit(1)).alias("n")))
+
 
+def _metrics(spark, parts: list, schema: str) -> DataFrame:
+    """Score every key as its own small job, side by side; the metrics table is tiny
+    (keys x tree counts) and is assembled from the returned rows."""
+    rows = run_parallel([lambda p=p: p().collect() for p in parts])
+    return spark.createDataFrame([r for part in rows for r in part], schema)
 
-def _forest(max_trees: int, max_depth: int, seed: int) -> RandomForestClassifier:
-    return RandomForestClassifier(numTrees=max_trees, maxDepth=max_depth,
+
+def _forest(n_trees: int, max_depth: int, seed: int) -> RandomForestClassifier:
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth,
                                   featureSubsetStrategy="sqrt", seed=seed,
                                   labelCol="label", featuresCol="features")
 
@@ -64,41 +79,54 @@ def _symbols(prep: DataFrame) -> list[str]:
     return sorted(_sizes(prep))
 
 
+def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism) -> dict:
+    """Fit every (key, block) forest side by side; returns key -> list of block models.
+
+    Small fits are latency-bound (a few short jobs each), so more of them run
+    concurrently than there are cores.
+    """
+    parallelism = parallelism or 16
+    block = block_size(counts)
+    n_blocks = max(counts) // block
+    keys = list(jobs)
+    fits = [lambda k=k, b=b: _forest(block, max_depth, seed + b).fit(jobs[k])
+            for k in keys for b in range(n_blocks)]
+    models = run_parallel(fits, parallelism)
+    return {k: models[i * n_blocks:(i + 1) * n_blocks] for i, k in enumerate(keys)}
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
              max_depth: int = MAX_DEPTH_UNLIMITED, seed: int = 42,
              parallelism: int | None = None) -> DataFrame:
     """M4 + G4: test accuracy per (symbol, ntrees), trained on the training rows."""
     x = assemble(prep, cols).withColumn("label", F.col("movement").cast("double"))
     sizes = _sizes(prep)
-
-    def one(sym: str):
-        s = right_size(x.where(F.col("symbol") == sym), sizes[sym])
-        model = _forest(max(counts), max_depth, seed).fit(s.where("is_train"))
-        return prefix_accuracy(model, s.where("is_test"), counts, ["symbol"])
-
-    parts = run_parallel([lambda s=s: one(s) for s in sorted(sizes)], parallelism)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    per = {s: right_size(x.where(F.col("symbol") == s), n).cache() for s, n in sizes.items()}
+    models = _grow({s: d.where("is_train") for s, d in per.items()}, counts, max_depth, seed,
+                   parallelism)
+    parts = [lambda s=s: prefix_accuracy(models[s], block_size(counts), per[s].where("is_test"),
+                                         counts, ["symbol"]) for s in sorted(per)]
+    out = _metrics(prep.sparkSession, parts, "symbol string, ntrees int, correct long, n long")
     return out.select("symbol", "ntrees", (F.col("correct") / F.col("n")).alias("accuracy"))
 
 
 def rf_cv(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS, n_folds: int = 5,
           max_depth: int = 1, seed: int = 42, parallelism: int | None = None) -> DataFrame:
-    """M5 + G1: mean 5-fold CV accuracy per (symbol, ntrees) of depth-``max_depth`` forests."""
+    """M5 + G1: mean k-fold CV accuracy per (symbol, ntrees) of depth-``max_depth`` forests."""
     x = assemble(prep.where("is_train"), cols).withColumn("label", F.col("movement").cast("double"))
     sizes = _sizes(prep)
-
-    def one(sym: str, fold: int):
-        s = right_size(x.where(F.col("symbol") == sym), sizes[sym])
-        model = _forest(max(counts), max_depth, seed).fit(s.where(F.col("fold") != fold))
-        return prefix_accuracy(model, s.where(F.col("fold") == fold).withColumn(
-            "cv_fold", F.lit(fold)), counts, ["symbol", "cv_fold"])
-
-    jobs = [lambda s=s, f=f: one(s, f) for s in sorted(sizes) for f in range(n_folds)]
-    parts = run_parallel(jobs, parallelism)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    per = {s: right_size(x.where(F.col("symbol") == s), n).cache() for s, n in sizes.items()}
+    jobs = {(s, f): per[s].where(F.col("fold") != f) for s in per for f in range(n_folds)}
+    models = _grow(jobs, counts, max_depth, seed, parallelism)
+    parts = [lambda s=s, f=f: prefix_accuracy(
+        models[(s, f)], block_size(counts),
+        per[s].where(F.col("fold") == f).withColumn("cv_fold", F.lit(f)),
+        counts, ["symbol", "cv_fold"]) for (s, f) in jobs]
+    out = _metrics(prep.sparkSession, parts,
+                   "symbol string, cv_fold int, ntrees int, correct long, n long")
     return (out.withColumn("acc", F.col("correct") / F.col("n"))
             .groupBy("symbol", "ntrees").agg(F.avg("acc").alias("cv_accuracy")))

@@ -26,19 +26,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Wall-clock epoch; all bar arithmetic is on TIMESTAMP_NTZ, so the session
 # time zone never moves a bar boundary.
-EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def wall_seconds(ts: Column) -> Column:
     """Seconds since 1970-01-01 00:00 of the wall-clock time (TZ-free)."""
-    return F.timestamp_diff("SECOND", EPOCH_NTZ, ts.cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", epoch_ntz(), ts.cast("timestamp_ntz"))
 
 
 def bar_start(ts: Column, grain: str) -> Column:
     """Start of the bar holding ``ts``, as TIMESTAMP_NTZ."""
     span = F.lit(GRAIN_SECONDS[grain])
     sec = wall_seconds(ts)
-    return F.timestamp_add("SECOND", sec - F.pmod(sec, span), EPOCH_NTZ)
+    return F.timestamp_add("SECOND", sec - F.pmod(sec, span), epoch_ntz())
 
 
 def ohlc_bars(ticks: DataFrame, symbol: str | Column, ts: str, price: str | Column,
