@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.models import forest, mlp, svm
 from pricetrend.models.gnb import gnb_predict, gnb_stats
-from pricetrend.operators.evaluate import (accuracy_by, first_k, top3_value_then_earlier,
+from pricetrend.operators.evaluate import (accuracy_by, f1_by, first_k, top3_value_then_earlier,
                                            top3_value_then_larger, top_k)
 from pricetrend.plans.prepare import prepare
 from pricetrend.session import cut_lineage
@@ -96,9 +96,10 @@ def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS)
 def nb_results(panel: DataFrame, rep: str) -> DataFrame:
     x, cols = prepare(panel, "nb", rep)
     stats = gnb_stats(x.where("is_train"), cols)
-    acc = accuracy_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"])
+    scored = gnb_predict(x.where("is_test"), stats, cols)
+    acc = accuracy_by(scored, ["symbol"]).join(f1_by(scored, ["symbol"]), "symbol")
     return _results(acc.withColumnRenamed("accuracy", "test_accuracy"), rep, "nb", {},
-                    ["test_accuracy"], F.lit(0))
+                    ["test_accuracy", "f1"], F.lit(0))
 
 
 def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
