@@ -76,3 +76,12 @@ def test_model_families_run_on_whole_tables(spark):
     for t in m:
         by.setdefault(t.symbol, set()).add(t.accuracy)
     assert all(len(v) == 1 for v in by.values())
+
+
+def test_svm_batches_series_under_a_dimension_budget(spark):
+    panel = cut_lineage(fixture_trends(spark, SF_SMALL, "events_hour"))
+    x, cols = X.prepared(panel, "svm", "trend")
+    n_sym = panel.select("symbol").distinct().count()
+    # 11 features + bias, 6 groups per series: a budget of 150 forces one series per fit
+    rows = svm.svm_cv(x, cols, svm.poly_grid([1], [1]), max_iter=10, max_dims=150).collect()
+    assert sorted(r.symbol for r in rows) == sorted({r.symbol for r in rows}) and len(rows) == n_sym
