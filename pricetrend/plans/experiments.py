@@ -37,6 +37,7 @@ class GridConfig:
 REFERENCE_GRIDS = GridConfig()
 QUICK_GRIDS = GridConfig(
     svm=svm.poly_grid([1, 2], [1, 10]) + svm.rbf_grid([0.5, 1.0], [1, 10]),
+    rf_counts=[100, 200],
     mlp=mlp.mlp_grid({"n_neurons": [10, 40], "epochs": [10, 40], "lr": [0.01],
                       "momentum": [0.1], "dropout_rate": [0.5]}),
 )
@@ -78,9 +79,11 @@ def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -
 def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
     x, cols = prepared(panel, "rf", rep)
     r = forest.rf_sweep(x, cols, cfg.rf_counts)
+    idx = {c: i for i, c in enumerate(cfg.rf_counts)}
+    gi = F.element_at(F.create_map(*[v for c, i in idx.items() for v in (F.lit(c), F.lit(i))]),
+                      F.col("ntrees"))
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "rf",
-                    {"ntrees": F.col("ntrees")}, ["test_accuracy"],
-                    F.col("ntrees") / F.lit(10) - 1)
+                    {"ntrees": F.col("ntrees")}, ["test_accuracy"], gi)
 
 
 def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
