@@ -398,9 +398,7 @@ def rf_trend_cv(spark, sf_dir):
 def rf_overall(spark, sf_dir):
     p = _panel(spark, sf_dir)
     q = X.QUICK_GRIDS
-    res = (X.rf_results(p, "continuous", q).unionByName(X.rf_results(p, "trend", q))
-           .unionByName(X.rf_cv_results(p, "continuous", q))
-           .unionByName(X.rf_cv_results(p, "trend", q)))
+    res = X.rf_results(p, "continuous", q).unionByName(X.rf_cv_results(p, "trend", q))
     return spark_round(X.overall(cut_lineage(res, "results")), ["accuracy"])
 
 
