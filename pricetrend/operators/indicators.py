@@ -74,11 +74,17 @@ def _frame(w, n: int):
     return w.rowsBetween(-(n - 1), 0)
 
 
-def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT) -> DataFrame:
+def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT,
+                    materialize: bool = True) -> DataFrame:
     """Bars with ``bar_no`` -> bars + price_change + 10 indicators + 7 lags.
 
     Output keeps every input column and adds ``price_change``, the indicator
     columns and ``<ind>_lag`` for the seven lagged indicators.
+
+    ``materialize`` writes the block rows after the bounded windows once (shared
+    checkpoint folder). The carry aggregate and the final pass both read them;
+    without the cut, each branch is pruned differently and re-runs the
+    numbering, the block shuffle and the windows.
     """
     p.validate()
     base_cols = [c for c in numbered.columns]
@@ -127,6 +133,9 @@ def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT) -> DataFr
         F.sum(ema.local_term(dn, arsi, pos, seed, halo)).over(
             w.rowsBetween(Window.unboundedPreceding, 0)).alias("_sdn"),
     )
+    if materialize:
+        from pricetrend.session import cut_lineage
+        b = cut_lineage(b, "blocks")
     tps = F.col("_tps")
     tp_mean = F.aggregate(tps, F.lit(0.0), lambda acc, x: acc + x) / F.size(tps)
     mad = F.aggregate(tps, F.lit(0.0), lambda acc, x: acc + F.abs(x - tp_mean)) / F.size(tps)
