@@ -448,3 +448,31 @@ def model_report(spark, sf_dir):
     """Per series and model the accuracy under the study's rule, plus F1 of NB."""
     res = cut_lineage(X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS), "results")
     return spark_round(X.per_series(res), ["accuracy"])
+
+
+@register("param_grid")
+def param_grid(spark, sf_dir):
+    """G3 for M1-M3: the study's 64-point SVM grid for every series in the data."""
+    from pricetrend.models import svm as _svm
+    points = F.array(*[
+        F.struct(F.lit(i).alias("grid_index"), F.lit(p["kernel"]).alias("kernel"),
+                 F.lit(p.get("degree")).cast("int").alias("degree"),
+                 F.lit(p.get("gamma")).cast("double").alias("gamma"),
+                 F.lit(float(p["C"])).alias("C"))
+        for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())])
+    syms = _trends(spark, sf_dir).select("symbol").distinct()
+    return syms.select("symbol", F.explode(points).alias("p")).select("symbol", "p.*")
+
+
+@register("gnb_f1", _gnb_sql("continuous", f"""
+SELECT symbol, {O.r("coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0.0)")} AS f1 FROM (
+  SELECT symbol,
+    sum(CAST(movement = 1 AND prediction = 1 AS DOUBLE)) AS tp,
+    sum(CAST(movement = 0 AND prediction = 1 AS DOUBLE)) AS fp,
+    sum(CAST(movement = 1 AND prediction = 0 AS DOUBLE)) AS fn
+  FROM pred WHERE is_test GROUP BY symbol)"""))
+def gnb_f1(spark, sf_dir):
+    """A10: F1 of the up class for naive Bayes on the continuous features."""
+    from pricetrend.operators.evaluate import f1_by
+    x, cols, stats = _gnb(spark, sf_dir, "continuous")
+    return spark_round(f1_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"]), ["f1"])
