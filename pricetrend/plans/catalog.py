@@ -273,8 +273,10 @@ def stratified_folds_q(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- naive Bayes
-def _gnb(spark, sf_dir, rep):
-    x, cols = prepare(_trends(spark, sf_dir), "nb", rep)
+def _gnb(spark, sf_dir, rep, trends=None):
+    from pricetrend.session import cut_lineage
+    x, cols = prepare(trends if trends is not None else _trends(spark, sf_dir), "nb", rep)
+    x = cut_lineage(x, f"prep-nb-{rep}")   # fit and predict branches read it once each
     stats = gnb_stats(x.where("is_train"), cols)
     return x, cols, stats
 
@@ -315,8 +317,9 @@ register("gnb_trend_accuracy", _gnb_sql("trend", _acc_sel))(_gnb_acc("trend"))
 @register("gnb_overall", None)
 def gnb_overall(spark, sf_dir):
     parts = []
+    trends = _trends(spark, sf_dir)
     for rep in ("continuous", "trend"):
-        x, cols, stats = _gnb(spark, sf_dir, rep)
+        x, cols, stats = _gnb(spark, sf_dir, rep, trends)
         acc = accuracy_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"])
         parts.append(acc.agg(F.avg("accuracy").alias("accuracy")).select(
             F.lit(rep).alias("representation"), "accuracy"))

@@ -97,7 +97,7 @@ def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS)
 
 
 def nb_results(panel: DataFrame, rep: str) -> DataFrame:
-    x, cols = prepare(panel, "nb", rep)
+    x, cols = prepared(panel, "nb", rep)
     stats = gnb_stats(x.where("is_train"), cols)
     scored = gnb_predict(x.where("is_test"), stats, cols)
     acc = accuracy_by(scored, ["symbol"]).join(f1_by(scored, ["symbol"]), "symbol")

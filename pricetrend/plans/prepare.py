@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.operators.features import feature_set, impute_mean, minmax_scale, standard_scale
 from pricetrend.operators.split import holdout_split, stratified_folds
+from pricetrend.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -53,5 +54,6 @@ def prepare(panel: DataFrame, family: str, representation: str,
     elif spec.scale == "minmax":
         x = minmax_scale(x, cols, fit_on="is_train")
     if spec.folds:
-        x = stratified_folds(x, spec.folds)
+        # fold ranks read the split frame twice (training rows, join back)
+        x = stratified_folds(cut_lineage(x, f"split-{family}-{representation}"), spec.folds)
     return x, cols
