@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The column names of the reference's input files.
@@ -28,8 +30,13 @@ def _snake(name: str) -> str:
 
 
 def read_ohlc_csv(spark: SparkSession, paths: list[str] | str, date_format: str | None = None,
-                  numeric_columns: list[str] | None = None) -> DataFrame:
-    """Read every file in one scan; ``symbol`` is the file name without ``.csv``.
+                  numeric_columns: list[str] | None = None, same_layout: bool = True) -> DataFrame:
+    """Read the series files; ``symbol`` is the file name without ``.csv``.
+
+    ``same_layout`` (default): every file has the same header, and all files
+    are read in one scan. Otherwise (S3) each file is read with its own
+    header and the frames are combined by name, with NULL for columns a
+    file lacks.
 
     All columns are read as strings (no inference pass). Date, high, low and
     close are parsed; ``numeric_columns`` (default: every other column) are
@@ -37,6 +44,9 @@ def read_ohlc_csv(spark: SparkSession, paths: list[str] | str, date_format: str
     Row order in the files is irrelevant: bars are ordered by the parsed date.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
+    if not same_layout:
+        frames = [read_ohlc_csv(spark, [p], date_format, numeric_columns) for p in paths]
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     raw = (spark.read.option("header", True).option("inferSchema", False)
            .option("mode", "PERMISSIVE").csv(paths))
     fname = F.col("_metadata.file_name")

@@ -42,3 +42,18 @@ def test_panel_sink_partitions_by_symbol(spark):
     assert parts == [f"symbol={s}" for s in ["click", "error", "purchase", "signup", "view"]]
     back = spark.read.parquet(path).where(F.col("symbol") == "view")
     assert back.count() == 30
+
+
+def test_csv_files_with_different_columns(spark):
+    d = tempfile.mkdtemp(prefix="pt-csv2-")
+    a = pd.DataFrame({"Date": ["2020-01-02", "2020-01-01"], "High Price": [2.0, 1.5],
+                      "Low Price": [1.0, 0.5], "Close Price": [1.5, 1.0], "Total Volume": [10, 20]})
+    b = pd.DataFrame({"Date": ["2020-01-01"], "High Price": [5.0], "Low Price": [4.0],
+                      "Close Price": [4.5], "Turnover": [99.5]})
+    a.to_csv(os.path.join(d, "AAA.csv"), index=False)
+    b.to_csv(os.path.join(d, "BBB.csv"), index=False)
+    df = read_ohlc_csv(spark, [os.path.join(d, "AAA.csv"), os.path.join(d, "BBB.csv")],
+                       same_layout=False)
+    rows = {(r.symbol, str(r.bar_ts.date())): (r.close, r.total_volume, r.turnover) for r in df.collect()}
+    assert rows == {("AAA", "2020-01-02"): (1.5, 10.0, None), ("AAA", "2020-01-01"): (1.0, 20.0, None),
+                    ("BBB", "2020-01-01"): (4.5, None, 99.5)}
