@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from pricetrend.operators.labels import horizon_label
 from pricetrend.operators.features import feature_set, impute_mean, minmax_scale, standard_scale
 from pricetrend.operators.split import holdout_split, stratified_folds
 from pricetrend.session import cut_lineage
@@ -39,10 +40,19 @@ REPRESENTATIONS = {"continuous": "continuous", "trend": "trend_only"}
 
 
 def prepare(panel: DataFrame, family: str, representation: str,
-            feature_set_name: str | None = None, seed: int = 42) -> tuple[DataFrame, list[str]]:
-    """Panel -> (symbol, bar_no, movement, is_train, is_test, [fold], features...)."""
+            feature_set_name: str | None = None, seed: int = 42,
+            horizon: int = 0) -> tuple[DataFrame, list[str]]:
+    """Panel -> (symbol, bar_no, movement, is_train, is_test, [fold], features...).
+
+    ``horizon`` 0 keeps the study's label (bar t's own move, seen by bar t's
+    features); ``horizon`` h > 0 labels bar t with the move of bar t + h, and
+    the last h bars of each series, which have no such move, are left out.
+    """
     spec = PREP[family]
     cols = feature_set(panel, feature_set_name or REPRESENTATIONS[representation])
+    if horizon:
+        panel = (horizon_label(panel, horizon, "_next")
+                 .withColumn("movement", F.col("_next")).drop("_next"))
     base = panel.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
                         *[F.col(c).cast("double").alias(c) for c in cols])
     x = impute_mean(base, cols)

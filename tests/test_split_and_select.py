@@ -59,3 +59,16 @@ def test_top3_ties_prefer_larger_ntrees(spark):
 def test_top3_ties_prefer_earlier_grid_point(spark):
     got = top3_value_then_earlier(_grid(spark), ["symbol"], "value").orderBy("rank")
     assert [r.grid_index for r in got.collect()] == [1, 2, 0]
+
+
+def test_forward_label_horizon(spark):
+    from pricetrend.plans.panels import fixture_trends
+    from pricetrend.plans.prepare import prepare
+    t = fixture_trends(spark, SF_MAIN, "events_hour")
+    x0, _ = prepare(t, "nb", "trend")
+    x1, _ = prepare(t, "nb", "trend", horizon=1)
+    a = {(r.symbol, r.bar_no): r.movement for r in x0.select("symbol", "bar_no", "movement").collect()}
+    b = {(r.symbol, r.bar_no): r.movement for r in x1.select("symbol", "bar_no", "movement").collect()}
+    n_sym = len({k[0] for k in a})
+    assert len(b) == len(a) - n_sym
+    assert all(b[(s, n)] == a[(s, n + 1)] for (s, n) in b)
