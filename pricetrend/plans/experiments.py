@@ -148,27 +148,51 @@ def mlp_top3(res: DataFrame) -> DataFrame:
     return top3_value_then_earlier(r, ["symbol", "representation"], "value")
 
 
+def params_text(c: F.Column) -> F.Column:
+    """A parameter map as sorted ``k=v`` text (NULL values left out)."""
+    entries = F.filter(F.map_entries(c), lambda e: e["value"].isNotNull())
+    return F.array_join(F.array_sort(F.transform(
+        entries, lambda e: F.concat_ws("=", e["key"], e["value"]))), ",")
+
+
+def _joined(df: DataFrame, order: str) -> F.Column:
+    """The rows' parameter texts in rank order, separated by ``;``."""
+    return F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct(F.col(order), params_text(F.col("params")).alias("p")))),
+        lambda e: e["p"]), "; ")
+
+
 def per_series(res: DataFrame, selection: str = "best_k") -> DataFrame:
-    """One accuracy per (symbol, representation, model) under each model's rule."""
-    svm_s = svm_summary(res).select("symbol", "representation", F.lit("svm").alias("model"),
-                                    "accuracy")
-    rf = rf_top3(res).groupBy("symbol", "representation").agg(F.avg("value").alias("accuracy"))
-    rf = rf.select("symbol", "representation", F.lit("rf").alias("model"), "accuracy")
-    rfc = (rf_cv_selected(res, selection).groupBy("symbol", "representation")
-           .agg(F.max("value").alias("accuracy"))
-           .select("symbol", "representation", F.lit("rf_cv").alias("model"), "accuracy"))
+    """One accuracy per (symbol, representation, model) under each model's rule,
+    with the parameters that produced it (best points, or the three kept)."""
+    keys = ["symbol", "representation"]
+    cv = res.where("model = 'svm' AND metric = 'cv_accuracy'").withColumn(
+        "kernel", F.col("params")["kernel"])
+    best = top_k(cv, keys + ["kernel"], [F.desc("value"), F.asc("grid_index")], 1)
+    svm_s = (best.groupBy(*keys)
+             .agg(F.avg("value").alias("accuracy"), _joined(best, "kernel").alias("best_params"))
+             .select(*keys, F.lit("svm").alias("model"), "accuracy", "best_params"))
+    top = rf_top3(res)
+    rf = (top.groupBy(*keys).agg(F.avg("value").alias("accuracy"),
+                                 _joined(top, "rank").alias("best_params"))
+          .select(*keys, F.lit("rf").alias("model"), "accuracy", "best_params"))
+    sel = rf_cv_selected(res, selection).withColumn("_o", F.col("grid_index"))
+    rfc = (sel.groupBy(*keys).agg(F.max("value").alias("accuracy"),
+                                  _joined(sel, "_o").alias("best_params"))
+           .select(*keys, F.lit("rf_cv").alias("model"), "accuracy", "best_params"))
     nb = (res.where("model = 'nb' AND metric = 'test_accuracy'")
-          .select("symbol", "representation", F.lit("nb").alias("model"),
-                  F.col("value").alias("accuracy")))
-    ml = (res.where("model = 'mlp' AND metric = 'test_accuracy'")
-          .groupBy("symbol", "representation").agg(F.max("value").alias("accuracy"))
-          .select("symbol", "representation", F.lit("mlp").alias("model"), "accuracy"))
+          .select(*keys, F.lit("nb").alias("model"), F.col("value").alias("accuracy"),
+                  F.lit("").alias("best_params")))
+    m1 = top_k(res.where("model = 'mlp' AND metric = 'test_accuracy'"), keys,
+               [F.desc("value"), F.asc("grid_index")], 1)
+    ml = m1.select(*keys, F.lit("mlp").alias("model"), F.col("value").alias("accuracy"),
+                   params_text(F.col("params")).alias("best_params"))
     return svm_s.unionByName(rf).unionByName(rfc).unionByName(nb).unionByName(ml)
 
 
 def overall(res: DataFrame, selection: str = "best_k") -> DataFrame:
     """Mean over series per (representation, model)."""
-    return (per_series(res, selection).groupBy("representation", "model")
+    return (per_series(res, selection).drop("best_params").groupBy("representation", "model")
             .agg(F.avg("accuracy").alias("accuracy"), F.count(F.lit(1)).alias("n_series")))
 
 

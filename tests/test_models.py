@@ -85,3 +85,9 @@ def test_svm_batches_series_under_a_dimension_budget(spark):
     # 11 features + bias, 6 groups per series: a budget of 150 forces one series per fit
     rows = svm.svm_cv(x, cols, svm.poly_grid([1], [1]), max_iter=10, max_dims=150).collect()
     assert sorted(r.symbol for r in rows) == sorted({r.symbol for r in rows}) and len(rows) == n_sym
+
+
+def test_report_names_the_chosen_parameters(spark):
+    per = {(r.symbol, r.model): r.best_params for r in X.per_series(_fixed_results(spark)).collect()}
+    assert per[("a", "rf")] == "ntrees=30; ntrees=20; ntrees=50"
+    assert per[("a", "svm")] == "kernel=poly; kernel=rbf"
