@@ -479,3 +479,24 @@ def gnb_f1(spark, sf_dir):
     from pricetrend.operators.evaluate import f1_by
     x, cols, stats = _gnb(spark, sf_dir, "continuous")
     return spark_round(f1_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"]), ["f1"])
+
+
+# ---------------------------------------------------------------- named feature sets (section 1.4)
+def _register_feature_set(name: str, set_name: str, cols: list[str]) -> None:
+    doubles = [c for c in cols if c not in TREND_COLS]
+    sel = ", ".join(O.r(c, _digits(c)) + f" AS {c}" if c in doubles else f"CAST({c} AS DOUBLE) AS {c}"
+                    for c in cols)
+
+    def q(spark, sf_dir):
+        t = _trends(spark, sf_dir)
+        got = feature_set(t, set_name)
+        assert got == cols, got
+        x = t.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
+                     *[F.col(c).cast("double").alias(c) for c in cols])
+        return spark_round(x, doubles)
+
+    register(name, O.with_panel(FX, f"SELECT symbol, bar_no, CAST(movement AS INTEGER) AS movement, {sel} FROM trends"))(q)
+
+
+_register_feature_set("continuous_lagged_features", "continuous_lagged", _CF + LAG_COLS)
+_register_feature_set("trend_superset_features", "trend_superset", _CF + LAG_COLS + TREND_COLS)
