@@ -59,6 +59,18 @@ class IndicatorParams:
         return max(self.sma - 1, self.wma - 1, self.stoch + self.stoch_smooth - 1,
                    self.williams, self.cci, self.roc, 2)
 
+    def resolved(self) -> "IndicatorParams":
+        """Smallest power-of-two block >= ``block`` meeting every EMA bound."""
+        from dataclasses import replace
+        b = self.block
+        while b <= 1 << 20:
+            try:
+                replace(self, block=b).validate()
+                return replace(self, block=b)
+            except ValueError:
+                b *= 2
+        raise ValueError("no block size satisfies every EMA span (too fast and too slow together)")
+
     def validate(self) -> None:
         for a in (ema.alpha_span(self.macd_fast), ema.alpha_span(self.macd_slow),
                   ema.alpha_wilder(self.rsi)):
@@ -86,7 +98,7 @@ def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT,
     without the cut, each branch is pruned differently and re-runs the
     numbering, the block shuffle and the windows.
     """
-    p.validate()
+    p = p.resolved()
     base_cols = [c for c in numbered.columns]
     blocks = block_rows(numbered, p.block, p.halo)
     w = Window.partitionBy("symbol", "blk").orderBy("bar_no")

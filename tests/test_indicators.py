@@ -128,3 +128,13 @@ def test_williams_is_stck_minus_100(spark):
     pdf = indicators_from_bars(events_bars(spark, SF_MAIN, "hour"), "hour").toPandas()
     m = pdf.stck.notna()
     assert np.allclose(pdf.williams_r[m], pdf.stck[m] - 100)
+
+
+def test_block_grows_for_slow_emas():
+    p = IndicatorParams(macd_slow=50).resolved()
+    assert p.block == 1024
+    p.validate()
+    assert IndicatorParams().resolved().block == 512
+    # a span-200 tail needs >= 3,680 rows, while span 12 overflows past ~3,590
+    with pytest.raises(ValueError):
+        IndicatorParams(macd_slow=200).resolved()
