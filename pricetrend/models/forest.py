@@ -75,10 +75,6 @@ def _sizes(prep: DataFrame) -> dict[str, int]:
     return {r.symbol: r.n for r in prep.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _symbols(prep: DataFrame) -> list[str]:
-    return sorted(_sizes(prep))
-
-
 def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism) -> dict:
     """Fit every (key, block) forest side by side; returns key -> list of block models.
 
@@ -95,10 +91,6 @@ def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism)
     return {k: models[i * n_blocks:(i + 1) * n_blocks] for i, k in enumerate(keys)}
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
 def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
              max_depth: int = MAX_DEPTH_UNLIMITED, seed: int = 42,
              parallelism: int | None = None) -> DataFrame:
