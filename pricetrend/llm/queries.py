@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import bpe, simhash, toxicity
+from pricetrend.llm import bpe, secret_scan, simhash, toxicity
 from pricetrend.llm.common import table
 
 
@@ -37,10 +37,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _spans_text(spans):
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.learn(docs))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"].isin(*secret_scan.KINDS))
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in secret_scan.KINDS),
+                        F.sha2(_spans_text(base), 256).alias("base_sha256"), _spans_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_simhash": op3_simhash,
+    "op8_secret_scan": op8_secret_scan,
 }
 
 ORACLE: dict[str, str] = {}
