@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import bpe, secret_scan, simhash, toxicity
-from pricetrend.llm.common import table
+from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity
+from pricetrend.llm.common import cut_lineage, table, words_in
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -37,6 +37,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = cut_lineage(docs.select("doc_id", "source", words_in(F.col("text")).alias("size")), "sizes")
+    rows = mixing.per_row(mixing.plan(sized, "doc_id"))
+    return rows.select("doc_id", "size", "source_size", "target", (F.col("row_copies") * F.col("size")).alias("taken"),
+                       "source", "rate")
+
+
 def _spans_text(spans):
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
@@ -54,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_simhash": op3_simhash,
+    "op5_mixing": op5_mixing,
     "op8_secret_scan": op8_secret_scan,
 }
 
