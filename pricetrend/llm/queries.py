@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity
+from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
+from pricetrend.session import checkpoint_dir
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -37,6 +41,15 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(
+        F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload"))
+    path = os.path.join(checkpoint_dir(spark), f"warc-{uuid.uuid4().hex}")
+    warc.write(pages, path)
+    found = warc.read(spark, path, payload=False).where("reason is null")
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = cut_lineage(docs.select("doc_id", "source", words_in(F.col("text")).alias("size")), "sizes")
@@ -62,8 +75,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
     "op3_simhash": op3_simhash,
+    "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op8_secret_scan": op8_secret_scan,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc": """
+        WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+        k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper FROM p)
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
+        FROM k""",
+}
