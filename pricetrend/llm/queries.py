@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity, warc
+from pricetrend.llm import bpe, mixing, quality, secret_scan, simhash, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import checkpoint_dir
 
@@ -58,6 +58,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "source", "rate")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = toxicity.held_out()
+    rows = quality.features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn_from=~held)
+    params = quality.QualityParams()
+    scored = quality.score(rows, quality.fit(rows, params)).withColumnRenamed("id", "doc_id")
+    keep = F.col("score") >= params.threshold
+    return scored.select("doc_id", held.alias("held_out"), "score", keep.cast("int").alias("predicted"), keep.alias("keep"),
+                         "text_score", "meta_score")
+
+
 def _spans_text(spans):
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
@@ -77,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
+    "op6_quality": op6_quality,
     "op8_secret_scan": op8_secret_scan,
 }
 
