@@ -41,8 +41,8 @@ TERM_MEMORY = 300_000
 @dataclass(frozen=True)
 class ToxicityParams:
     per_class: int = 3000
-    n_terms: int = 1024
-    min_examples: int = 5
+    n_terms: int = 128
+    min_examples: int = 10
     neighbours: int = 15
     threshold: float = 0.3
 
@@ -78,21 +78,23 @@ class Vocabulary:
         of_word, index = self.of_word, self.index
         if len(of_word) > TERM_MEMORY:
             of_word.clear()
-        for word, n in Counter(LETTERS.findall((text or "").lower())).items():
+        words = LETTERS.findall((text or "").lower())
+        for word in words:
             hits = of_word.get(word)
             if hits is None:
                 hits = of_word[word] = tuple(index[t] for t in terms_of(word) if t in index)
             for i in hits:
-                out[i] += n
+                out[i] += 1
         return out
 
 
-def weigh(counts: list[Counter], idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF vectors (1 + ln tf, times idf), zero where nothing is listed."""
-    out = np.zeros((len(counts), len(idf)))
-    for row, c in enumerate(counts):
-        for i, n in c.items():
-            out[row, i] = (1.0 + np.log(n)) * idf[i]
+def weigh(sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """Unit TF-IDF vectors (1 + ln tf, times idf), zero where nothing is listed.
+
+    ``sizes`` says how many of the flat ``terms`` and ``counts`` each row has.
+    """
+    out = np.zeros((len(sizes), len(idf)))
+    out[np.repeat(np.arange(len(sizes)), sizes), terms] = (1.0 + np.log(counts)) * idf[terms]
     norm = np.sqrt((out * out).sum(1, keepdims=True))
     return np.divide(out, norm, out=out, where=norm > 0)
 
@@ -208,128 +210,142 @@ class Calibration:
 @dataclass
 class ToxicityModel:
     params: ToxicityParams
-    terms: list[str]
     idf: np.ndarray
     index: BlockMaxIndex
     calibration: Calibration
 
 
-def fit(documents: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams(),
-        doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-        learn_from: Column | None = None) -> ToxicityModel:
-    """Choose the examples, count their terms over ``documents`` and calibrate.
+@dataclass
+class Examples:
+    """The chosen examples: ``rows`` has id, y, terms and counts; ``share`` the number of
+    usable labels of either kind."""
+
+    rows: DataFrame
+    terms: list[str]
+    share: dict[int, int]
+
+
+def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams(),
+           doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+           learn_from: Column | None = None) -> Examples:
+    """The examples and the terms that tell their labels apart.
 
     ``learn_from`` (a condition on the label table) limits which labels may be
     used.
     """
-    spark = documents.sparkSession
     known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
     if learn_from is not None:
         known = known.where(learn_from)
-    known = known.groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.max(label).alias("y"))
+    known = known.groupBy(F.col(doc_id).cast("long").alias("id")).agg(F.max(label).cast("int").alias("y"))
     known = cut_lineage(known, "toxic-labels")
     share = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    hashed = F.xxhash64("id")
     chosen = None
     for y in (0, 1):
-        own = known.where(F.col("y") == y).orderBy(hashed, "id").limit(params.per_class)
+        own = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(params.per_class)
         chosen = own if chosen is None else chosen.unionByName(own)
     # At most 2 * per_class rows of two numbers: safe to broadcast.
-    examples = (documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("body"))
-                .join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("body").alias("body")))
-
-    counted_schema = StructType([*examples.select("id", "y").schema.fields,
-                                 StructField("terms", ArrayType(spark.createDataFrame([], "t string").schema["t"].dataType)),
-                                 StructField("counts", ArrayType(LongType()))])
+    bodies = (documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("body"))
+              .join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min("body").alias("body")))
 
     def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 64):
             got = [term_counts(t) for t in part.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("y"), pa.array([list(c) for c in got], pa.list_(pa.string())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], counted_schema.names)
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], ["id", "y", "terms", "counts"])
 
-    examples = cut_lineage(examples.mapInArrow(count_terms, counted_schema), "toxic-examples")
-    sizes = {r["y"]: r["n"] for r in examples.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows = cut_lineage(bodies.mapInArrow(count_terms, "id long, y int, terms array<string>, counts array<long>"), "toxic-examples")
+    sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
-    terms: list[str] = []
-    if n0 and n1:
-        a = F.col("with1").cast("double")
-        b = F.col("with0").cast("double")
-        n = float(n0 + n1)
-        chi = n * F.pow(a * (n0 - b) - b * (n1 - a), F.lit(2.0)) / ((a + b) * (n - a - b + 1.0) * n0 * n1)
-        top = (examples.select("y", F.explode("terms").alias("term"))
-               .groupBy("term").agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
-               .where(F.col("with1") + F.col("with0") >= params.min_examples)
-               .select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(params.n_terms))
-        terms = sorted(r["term"] for r in top.collect())
-    idf = document_idf(documents, text, terms)
-
-    where = {t: i for i, t in enumerate(terms)}
-    listed = examples.select("id", "y", F.filter(
-        F.arrays_zip("terms", "counts"), lambda z: F.array_contains(F.lit(terms) if terms else F.array(F.lit("")), z["terms"])).alias("hits"))
-    rows = sorted(listed.collect(), key=lambda r: r["id"])  # bounded: 2 * per_class rows of n_terms pairs
-    vectors = weigh([Counter({where[h["terms"]]: h["counts"] for h in r["hits"] if h["terms"] in where}) for r in rows], idf)
-    index = BlockMaxIndex.build(np.array([r["id"] for r in rows], np.int64),
-                                np.array([r["y"] for r in rows], np.int64), vectors)
-    order = {i: p for p, i in enumerate(index.ids.tolist())}
-    own = np.array([order[r["id"]] for r in rows], np.int64)
-    y = np.array([r["y"] for r in rows], np.float64)
-    rate = {0: share.get(0, 0) / max(n0, 1), 1: share.get(1, 0) / max(n1, 1)}
-    weights = np.array([rate[r["y"]] for r in rows], np.float64)
-    # Each example is scored by the others; a batch keeps memory flat.
-    votes = np.concatenate([np.zeros(0), *(index.votes(*index.nearest(vectors[i:i + 512], params.neighbours, own[i:i + 512]))
-                                          for i in range(0, len(rows), 512))])
-    return ToxicityModel(params, terms, idf, index, Calibration.fit(votes, y, weights))
+    if not (n0 and n1):
+        return Examples(rows, [], share)
+    a, b, n = F.col("with1").cast("double"), F.col("with0").cast("double"), float(n0 + n1)
+    chi = n * F.pow(a * n0 - b * n1, F.lit(2.0)) / ((a + b) * (n - a - b + 1.0) * n0 * n1)
+    top = (rows.select("y", F.explode("terms").alias("term"))
+           .groupBy("term").agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
+           .where(F.col("with1") + F.col("with0") >= params.min_examples)
+           .select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(params.n_terms))
+    return Examples(rows, sorted(r["term"] for r in top.collect()), share)
+
+
+def hits(documents: DataFrame, terms: list[str], text: str = "text", prefix: str = "toxicity_") -> DataFrame:
+    """``documents`` with the listed terms of each whole text and their counts (two arrays)."""
+    names = [prefix + "terms", prefix + "counts"]
+    if clash := {c.lower() for c in documents.columns} & {x.lower() for x in names}:
+        raise ValueError(f"the input already has columns {sorted(clash)}; give another prefix")
+    schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(LongType())) for x in names)])
+    place = documents.columns.index(text)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(terms)
+        for part in slices(batches):
+            got = [vocabulary.counts(t) for t in part.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns, pa.array([list(c) for c in got], pa.list_(pa.int64())),
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], schema.names)
 
-def document_idf(documents: DataFrame, text: str, terms: list[str]) -> np.ndarray:
-    """ln((1 + N) / (1 + df)) + 1 of each term over all documents."""
-    if not terms:
-        return np.zeros(0)
-    schema = "term long, n long"
+    return documents.mapInArrow(run, schema)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, seen, rows = Vocabulary(terms), np.zeros(len(terms), np.int64), 0
-        for part in slices(batches):
-            for t in part.column(text).to_pylist():
-                rows += 1
-                if hits := list(vocabulary.counts(t)):
-                    seen[hits] += 1
-        used = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([-1, *used.tolist()], pa.int64()),
-                                          pa.array([rows, *seen[used].tolist()], pa.int64())], ["term", "n"])
-
-    counts = documents.select(text).mapInArrow(count, schema).groupBy("term").agg(F.sum("n").alias("n")).collect()
-    n = {r["term"]: r["n"] for r in counts}
-    df = np.array([n.get(i, 0) for i in range(len(terms))], np.float64)
+
+def document_idf(marked: DataFrame, n_terms: int, prefix: str = "toxicity_") -> np.ndarray:
+    """ln((1 + N) / (1 + df)) + 1 of each term, over all rows of ``hits``."""
+    seen = F.explode(F.concat(F.array(F.lit(-1).cast("long")), F.col(prefix + "terms")))
+    n = {r["term"]: r["n"] for r in marked.select(seen.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
+    df = np.array([n.get(i, 0) for i in range(n_terms)], np.float64)
     return np.log((1.0 + n.get(-1, 0)) / (1.0 + df)) + 1.0
 
 
-def score(documents: DataFrame, model: ToxicityModel, text: str = "text", prefix: str = "toxicity_") -> DataFrame:
-    """``documents`` with ``<prefix>score``, ``<prefix>vote`` and the evidence:
-    ``<prefix>examples`` and ``<prefix>cosines`` of the nearest examples."""
-    names = [prefix + x for x in ("score", "vote", "examples", "cosines")]
-    if clash := {c.lower() for c in documents.columns} & {x.lower() for x in names}:
-        raise ValueError(f"the input already has columns {sorted(clash)}; give another prefix")
-    kinds = [DoubleType(), DoubleType(), ArrayType(LongType()), ArrayType(DoubleType())]
-    schema = StructType([*documents.schema.fields, *(StructField(x, k) for x, k in zip(names, kinds))])
-    shared = documents.sparkSession.sparkContext.broadcast(model)
+def fit(examples: Examples, marked: DataFrame, params: ToxicityParams = ToxicityParams(),
+        prefix: str = "toxicity_") -> ToxicityModel:
+    """Index the examples, with the IDF over all documents (``marked``: their ``hits``),
+    and calibrate the votes, each example being scored by the others."""
+    idf = document_idf(marked, len(examples.terms), prefix)
+    where = {t: i for i, t in enumerate(examples.terms)}
+    listed = F.filter(F.arrays_zip("terms", "counts"), lambda z: z["terms"].isin(*examples.terms))
+    # Bounded: 2 * per_class rows of at most n_terms pairs.
+    rows = sorted(examples.rows.select("id", "y", listed.alias("hits")).collect(), key=lambda r: r["id"])
+    flat = [(where[h["terms"]], h["counts"]) for r in rows for h in r["hits"]]
+    vectors = weigh(np.array([len(r["hits"]) for r in rows], np.int64), np.array([t for t, _ in flat], np.int64),
+                    np.array([c for _, c in flat], np.float64), idf)
+    y = np.array([r["y"] for r in rows], np.int64)
+    index = BlockMaxIndex.build(np.array([r["id"] for r in rows], np.int64), y, vectors)
+    order = {i: p for p, i in enumerate(index.ids.tolist())}
+    own = np.array([order[r["id"]] for r in rows], np.int64)
+    size = np.bincount(y, minlength=2)
+    rate = np.array([examples.share.get(c, 0) / max(1, size[c]) for c in (0, 1)])
+    votes = np.concatenate([np.zeros(0), *(index.votes(*index.nearest(vectors[i:i + 512], params.neighbours, own[i:i + 512]))
+                                          for i in range(0, len(rows), 512))])
+    return ToxicityModel(params, idf, index, Calibration.fit(votes, y.astype(float), rate[y]))
+
+
+def score(marked: DataFrame, model: ToxicityModel, prefix: str = "toxicity_") -> DataFrame:
+    """Rows of ``hits`` with ``<prefix>score``, ``<prefix>vote`` (null without neighbours)
+    and the evidence instead of the terms: ``<prefix>examples`` and
+    ``<prefix>cosines`` of the nearest examples."""
+    used = [prefix + "terms", prefix + "counts"]
+    rest = marked.drop(*used)
+    carried = [marked.columns.index(c) for c in rest.columns]
+    at_terms, at_counts = (marked.columns.index(c) for c in used)
+    kinds = {"score": DoubleType(), "vote": DoubleType(), "examples": ArrayType(LongType()), "cosines": ArrayType(DoubleType())}
+    schema = StructType([*rest.schema.fields, *(StructField(prefix + x, k) for x, k in kinds.items())])
+    shared = marked.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        vocabulary = Vocabulary(m.terms)
-        for part in slices(batches):
-            vectors = weigh([vocabulary.counts(t) for t in part.column(text).to_pylist()], m.idf)
+        for part in slices(batches, 1024):
+            sizes = np.diff(part.column(at_terms).offsets.to_numpy())
+            vectors = weigh(sizes, part.column(at_terms).flatten().to_numpy(),
+                            part.column(at_counts).flatten().to_numpy().astype(np.float64), m.idf)
             at, sim = m.index.nearest(vectors, m.params.neighbours)
             votes = m.index.votes(at, sim) if len(m.index.ids) else np.full(len(vectors), -1.0)
-            found = [a[a >= 0] for a in at]
+            found = at >= 0
+            offsets = pa.array(np.concatenate([[0], np.cumsum(found.sum(1))]), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(m.calibration(votes)), pa.array(np.where(votes < 0, np.nan, votes), from_pandas=True),
-                 pa.array([m.index.ids[f].tolist() for f in found], pa.list_(pa.int64())),
-                 pa.array([s[:len(f)].tolist() for f, s in zip(found, sim)], pa.list_(pa.float64()))], schema.names)
+                [*(part.column(c) for c in carried), pa.array(m.calibration(votes)), pa.array(votes, mask=votes < 0),
+                 pa.ListArray.from_arrays(offsets, pa.array(m.index.ids[at[found]] if found.any() else np.zeros(0, np.int64))),
+                 pa.ListArray.from_arrays(offsets, pa.array(sim[found]))], schema.names)
 
-    return documents.mapInArrow(run, schema)
+    return marked.mapInArrow(run, schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
