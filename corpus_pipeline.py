@@ -29,9 +29,12 @@ from pricetrend.session import checkpoint_dir
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), learn_from=~toxicity.held_out())
-    scored = toxicity.score(docs, model, prefix="toxicity_of_stage_")
-    return scored.where(F.col("toxicity_of_stage_score") < model.params.threshold).select(
+    examples = toxicity.choose(docs, table(spark, sf_dir, "labels"), learn_from=~toxicity.held_out())
+    prefix = "toxicity_of_stage_"
+    marked = toxicity.hits(docs, examples.terms, prefix=prefix)
+    model = toxicity.fit(examples, marked, prefix=prefix)
+    scored = toxicity.score(marked, model, prefix=prefix)
+    return scored.where(F.col(prefix + "score") < model.params.threshold).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
 
