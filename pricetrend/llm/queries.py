@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import bpe, mixing, quality, secret_scan, simhash, toxicity, warc
+from pricetrend.llm import ann, bpe, mixing, quality, secret_scan, simhash, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import checkpoint_dir
 
@@ -71,6 +71,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "text_score", "meta_score")
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def _spans_text(spans):
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
 
@@ -84,6 +88,10 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(_spans_text(base), 256).alias("base_sha256"), _spans_text(F.col("spans")).alias("spans"))
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -91,7 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_mixing": op5_mixing,
     "op6_quality": op6_quality,
+    "op7_ann": op7_ann,
     "op8_secret_scan": op8_secret_scan,
+    "op9_topk": op9_topk,
 }
 
 ORACLE: dict[str, str] = {
@@ -102,4 +112,12 @@ ORACLE: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id < keeper THEN keeper END AS refers_to
         FROM k""",
+    "op9_topk": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+                   FROM embeddings WHERE embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+              FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
 }
