@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import ann, bpe, mixing, quality, secret_scan, simhash, topk, toxicity, warc
+from pricetrend.llm import ann, bpe, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import checkpoint_dir
 
@@ -92,6 +92,13 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    sized = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    limit = token_counts.CountParams().limit
+    return token_counts.count_tokens(sized, vocabulary()).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_ann": op7_ann,
     "op8_secret_scan": op8_secret_scan,
     "op9_topk": op9_topk,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE: dict[str, str] = {
