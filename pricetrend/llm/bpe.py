@@ -12,7 +12,8 @@ the right token. At each step the two parts that touch are known, and a merge
 of them that comes before the merge that consumed either part would have joined
 the tokens. Of equal merges the leftmost comes first.
 
-Nulls count as empty texts; empty texts give no ids.
+Nulls count as empty texts; empty texts give no ids. Input columns that have the
+name of an output column are replaced; other columns are kept.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from pricetrend.llm.common import slices
+from pricetrend.llm.common import slices, without
 
 # Fixed value: the public pattern that splits text before the merges.
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
@@ -249,17 +250,11 @@ def model(path: str) -> BytePairModel:
     return _MODELS[path]
 
 
-def _with(df: DataFrame, fields: list[StructField]) -> StructType:
-    new = {f.name.lower() for f in fields}
-    if clash := [c for c in df.columns if c.lower() in new]:
-        raise ValueError(f"the input already has columns {clash}; give other output names")
-    return StructType([*df.schema.fields, *fields])
-
-
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
            count: str = "n_tokens") -> DataFrame:
     """``df`` with the ids of ``text`` (binary, little-endian unsigned 32-bit) and their number."""
-    schema = _with(df, [StructField(count, LongType()), StructField(ids, BinaryType())])
+    kept = without(df, [count, ids])
+    schema = StructType([*kept.schema.fields, StructField(count, LongType()), StructField(ids, BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
@@ -269,12 +264,13 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
                 [*part.columns, pa.array([len(x) for x in got], pa.int64()),
                  pa.array([x.astype("<u4").tobytes() for x in got], pa.binary())], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """``df`` with the text of the binary ``ids``; null ids give an empty text."""
-    schema = _with(df, [StructField(text, StringType())])
+    kept = without(df, [text])
+    schema = StructType([*kept.schema.fields, StructField(text, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)
@@ -282,17 +278,17 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
             got = [bpe.decode(np.frombuffer(x or b"", "<u4")) for x in part.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(got, pa.string())], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
                count: str = "n_tokens", decoded: str = "decoded") -> DataFrame:
     """``encode`` followed by ``decode`` of the ids in one pass over the rows; the
     result has the other columns of ``df``, but not ``text``."""
-    rest = df.drop(text)
-    carried = rest.columns
-    schema = _with(rest, [StructField(count, LongType()), StructField(ids, BinaryType()),
-                          StructField(decoded, StringType())])
+    df = without(df, {count, ids, decoded} - {text})
+    carried = [c for c in df.columns if c.lower() != text.lower()]
+    schema = StructType([*(df.schema[c] for c in carried), StructField(count, LongType()),
+                         StructField(ids, BinaryType()), StructField(decoded, StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(path)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pricetrend.session import cut_lineage
 
-__all__ = ["cut_lineage", "table", "slices", "words_in", "fresh_name"]
+__all__ = ["cut_lineage", "table", "slices", "words_in", "without", "fresh_name"]
 
 # Fixed value: what separates words (space and the five ASCII controls 9-13).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -32,6 +32,12 @@ def words_in(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """``df`` without the columns that an output column replaces (names compare without case)."""
+    new = {x.lower() for x in names}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in new])
+
+
 def fresh_name(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` doesn't have (Spark compares names without case)."""
     taken = {c.lower() for c in df.columns}

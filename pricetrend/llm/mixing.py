@@ -66,7 +66,7 @@ def source_targets(sized: DataFrame, params: MixParams = MixParams()) -> DataFra
 
 
 def _rate(most: int):
-    tilt = F.col("lam") * F.col("size") / F.col("mean")
+    tilt = F.try_divide(F.col("lam") * F.col("size"), F.col("mean"))
     return F.when(F.col("full"), F.when(F.col("size") > 0, F.lit(float(most))).otherwise(F.lit(1.0))).when(
         F.col("mean") > 0, F.least(F.lit(float(most)), F.exp(F.least(tilt, F.lit(math.log(most) + 1.0))))).otherwise(F.lit(1.0))
 
@@ -80,12 +80,12 @@ def solve(histogram: DataFrame, sources: DataFrame, params: MixParams = MixParam
     most = float(params.most)
     state = sources.withColumn("mean", F.try_divide(F.col("source_size").cast("double"), F.col("rows"))).withColumn(
         "full", F.col("target") >= F.col("source_size") * F.lit(most)).withColumn(
-        "lam", F.when(F.col("full") | (F.col("source_size") <= 0), 0.0).otherwise(F.log(F.col("target") / F.col("source_size")))).withColumn(
+        "lam", F.when(F.col("full") | (F.col("source_size") <= 0), 0.0).otherwise(F.log(F.try_divide(F.col("target"), F.col("source_size"))))).withColumn(
         "lo", F.lit(None).cast("double")).withColumn("hi", F.lit(None).cast("double"))
     state = cut_lineage(state, "mix-state")
     for _ in range(params.max_steps):
         words = F.col("n") * F.col("size") * _rate(params.most)
-        slope = F.when(_rate(params.most) < most, words * F.col("size") / F.col("mean")).otherwise(F.lit(0.0))
+        slope = F.when(_rate(params.most) < most, F.try_divide(words * F.col("size"), F.col("mean"))).otherwise(F.lit(0.0))
         got = (histogram.join(state.select("sid", "lam", "mean", "full"), "sid").groupBy("sid")
                .agg(F.sum(words.cast(EXACT)).cast("double").alias("g"), F.sum(slope.cast(EXACT)).cast("double").alias("h")))
         miss = F.col("g") - F.col("target")
@@ -150,11 +150,11 @@ def mix(df: DataFrame, params: MixParams = MixParams(), text: str = "text", sour
     marked = df.withColumn(mark, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])).withColumn(size, words_in(F.col(text)))
     sized = cut_lineage(marked.select(F.col(mark).alias("key"), F.col(source).alias("source"), F.col(size).alias("size")), "mix-sized")
     planned = cut_lineage(plan(sized, "key", params).select("key", "rows", "copies").where("copies > 0"), "mix-plan")
-    one = marked.drop(size).join(planned.where("rows = 1").select("key", "copies"), F.col(mark) == F.col("key"))
-    out = one
-    several = planned.where("rows > 1")
+    key, copies, again = (fresh_name(df, x) for x in ("key", "copies", "again"))
+    taken = planned.select(F.col("key").alias(key), F.col("copies").alias(copies), "rows")
+    bodies, here = marked.drop(size), F.col(mark) == F.col(key)
+    out = bodies.join(taken.where("rows = 1").drop("rows"), here)
+    several = taken.where("rows > 1").drop("rows")
     if not several.isEmpty():
-        equal = marked.drop(size).join(several.select("key", "copies"), F.col(mark) == F.col("key"))
-        out = one.unionByName(equal.dropDuplicates([mark]))
-    again = fresh_name(df, "again")
-    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*[F.col(f"`{c}`") for c in df.columns])
+        out = out.unionByName(bodies.join(several, here).dropDuplicates([mark]))
+    return out.withColumn(again, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*[F.col(f"`{c}`") for c in df.columns])

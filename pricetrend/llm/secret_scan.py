@@ -13,7 +13,8 @@ among the distinct matches of all documents, each task sending no more than
 that. Base spans never depend on the automata.
 
 Null texts count as empty; empty texts have no spans. Offsets count code
-points, ends are exclusive. Repeated rows are scanned row by row.
+points, ends are exclusive. Repeated rows are scanned row by row. An input column
+named as the output one is replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
-from pricetrend.llm.common import cut_lineage, slices
+from pricetrend.llm.common import cut_lineage, slices, without
 
 # The base patterns, the least length of what they match, and their order.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -75,14 +76,19 @@ _CLASSES = {ord(c): k for chars, k in (("0123456789", "0"), ("abcdef", "a"), ("g
 
 @dataclass
 class Automaton:
-    """A probabilistic automaton: log-probabilities of the moves and of ending."""
+    """A probabilistic automaton: log-probabilities of the moves and of ending, and
+    the lengths between which its examples lie (merged states forget lengths)."""
 
     moves: list[dict[str, tuple[int, float]]] = field(default_factory=list)
     ends: list[float] = field(default_factory=list)
     least: float = 0.0
+    shortest: int = 0
+    longest: int = 0
 
     def score(self, token: str) -> float:
         """Mean log-likelihood per symbol, the end included; -inf if it can't be generated."""
+        if not self.shortest <= len(token) <= self.longest:
+            return -math.inf
         state, total = 0, 0.0
         for s in symbols(token):
             step = self.moves[state].get(s)
@@ -160,7 +166,7 @@ def infer(tokens: list[str], params: SecretParams = SecretParams()) -> Automaton
             red.append(node)
         blue = sorted({(r, s) for r in red for s in kids[r] if kids[r][s] not in red})
     index = {r: i for i, r in enumerate(red)}
-    out = Automaton()
+    out = Automaton(shortest=min(map(len, tokens)), longest=max(map(len, tokens)))
     for r in red:
         out.moves.append({s: (index[k], math.log(flow[r][s] / passed[r])) for s, k in sorted(kids[r].items())})
         out.ends.append(math.log(ended[r] / passed[r]) if ended[r] else -math.inf)
@@ -219,11 +225,9 @@ def find(text: str, automata: dict[str, Automaton]) -> list[tuple[str, int, int,
 
 def scan(df: DataFrame, automata: dict[str, Automaton], text: str = "text", spans: str = "spans") -> DataFrame:
     """The other columns of ``df`` with all spans of ``text`` (array of kind, start, end, score)."""
-    rest = df.drop(text)
-    carried = rest.columns
-    if spans.lower() in {c.lower() for c in carried}:
-        raise ValueError(f"the input already has a column {spans}; give another name")
-    schema = StructType([*rest.schema.fields, StructField(spans, ArrayType(SPAN))])
+    df = without(df, {spans} - {text})
+    carried = [c for c in df.columns if c.lower() != text.lower()]
+    schema = StructType([*(df.schema[c] for c in carried), StructField(spans, ArrayType(SPAN))])
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from pricetrend.llm.common import cut_lineage, fresh_name, slices
+from pricetrend.llm.common import cut_lineage, fresh_name, slices, without
 from pricetrend.llm.graph import components
 
 BITS = 64
@@ -83,9 +83,9 @@ def fingerprint(text: str | None, k: int) -> int:
 
 def fingerprints(df: DataFrame, k: int, text: str = "text", name: str = "fingerprint") -> DataFrame:
     """The other columns of ``df`` with the fingerprint of ``text`` (long) instead of it."""
-    rest = df.drop(text)
-    carried = rest.columns
-    schema = StructType([*rest.schema.fields, StructField(name, LongType())])
+    df = without(df, {name} - {text})
+    carried = [c for c in df.columns if c.lower() != text.lower()]
+    schema = StructType([*(df.schema[c] for c in carried), StructField(name, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -212,20 +212,21 @@ def keep_one(df: DataFrame, params: SimHashParams = SimHashParams(), doc_id: str
     keepers = (found.where(F.col(doc_id).eqNullSafe(F.col("component_id")))
                .groupBy(doc_id).agg(F.count(F.lit(1)).alias("rows"), F.min("fingerprint").alias("fingerprint")))
     keepers = cut_lineage(keepers.withColumnRenamed(doc_id, "kept_id"), "keepers")
-    single = keepers.where((F.col("rows") == 1) & F.col("kept_id").isNotNull()).select("kept_id")
-    once = df.join(single, F.col(doc_id) == F.col("kept_id"), "left_semi")
+    its, its_fp = fresh_name(df, "its_id"), fresh_name(df, "its_fp")
+    single = keepers.where((F.col("rows") == 1) & F.col("kept_id").isNotNull()).select(F.col("kept_id").alias(its))
+    once = df.join(single, F.col(doc_id) == F.col(its), "left_semi")
     several = keepers.where((F.col("rows") > 1) | F.col("kept_id").isNull())
     if several.isEmpty():
         return once
     # Rows that share an id: one of each component, found by the fingerprint again.
     mark = fresh_name(df, "fp")
     copy = fresh_name(df, "body")
-    twice = (df.join(several.select("kept_id"), F.col(doc_id).eqNullSafe(F.col("kept_id")), "left_semi")
+    twice = (df.join(several.select(F.col("kept_id").alias(its)), F.col(doc_id).eqNullSafe(F.col(its)), "left_semi")
              .withColumn(copy, F.col(text)))
     twice = fingerprints(twice, params.shingle, copy, mark)
     group = found.select(F.col(doc_id).alias("its_id"), F.col("fingerprint").alias("its_fp"), "component_id").distinct()
     return once.unionByName(
-        twice.join(_one_fingerprint(group), F.col(doc_id).eqNullSafe(F.col("its_id")) & (F.col(mark) == F.col("its_fp")), "left_semi")
+        twice.join(_one_fingerprint(group).toDF(its, its_fp), F.col(doc_id).eqNullSafe(F.col(its)) & (F.col(mark) == F.col(its_fp)), "left_semi")
         .dropDuplicates([doc_id, mark]).drop(mark))
 
 

@@ -13,7 +13,8 @@ is widened, again and again, until it aligns or is encoded whole.
 
 Null texts count as empty, with 0 bytes and tokens. Repeated rows are counted
 row by row. Special tokens are not added; their strings inside texts are
-treated as the library does by default.
+treated as the library does by default. An input column named as the output one
+is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from pricetrend.llm.common import cut_lineage, fresh_name, slices
+from pricetrend.llm.common import cut_lineage, fresh_name, slices, without
 
 LETTER, DIGIT, BLANK = regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), regex.compile(r"\s")
 
@@ -81,8 +82,8 @@ def stable(text: str, starts: list[int], low: int, high: int) -> dict[int, int]:
 
 def _one_pass(df: DataFrame, path: str, text: str, most: int, count: str) -> DataFrame:
     """The other columns of ``df`` with the tokens of ``text``, or null where it is longer than ``most``."""
-    rest = df.drop(text)
-    carried, schema = rest.columns, StructType([*rest.schema.fields, StructField(count, LongType())])
+    carried = [c for c in df.columns if c.lower() != text.lower()]
+    schema = StructType([*(df.schema[c] for c in carried), StructField(count, LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
@@ -152,6 +153,7 @@ def _spliced(pieces: DataFrame, path: str, chunk: int, join: int, overlap: int)
 def count_tokens(df: DataFrame, path: str, text: str = "text", count: str = "n_tokens",
                  params: CountParams = CountParams()) -> DataFrame:
     """The other columns of ``df`` with the number of tokens of ``text``."""
+    df = without(df, {count} - {text})
     most = params.chunk + params.overlap
     short = F.coalesce(F.length(text), F.lit(0)) <= most
     done = _one_pass(df.where(short), path, text, most, count)
@@ -171,5 +173,6 @@ def count_tokens(df: DataFrame, path: str, text: str = "text", count: str = "n_t
             break
         left = cut_lineage(left.join(failed, "row", "left_semi"), "long-pieces")
         join, overlap = join * 2, min(overlap * 4, params.chunk * join)
-    counts = found.select(F.col("row").alias("its_row"), F.col("n").alias(count))
-    return done.unionByName(long.drop(text).join(counts, F.col(key) == F.col("its_row")).drop(key, "its_row"))
+    its = fresh_name(long, "its_row")
+    counts = found.select(F.col("row").alias(its), F.col("n").alias(count))
+    return done.unionByName(long.drop(text).join(counts, F.col(key) == F.col(its)).drop(key, its))

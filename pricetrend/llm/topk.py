@@ -21,6 +21,7 @@ its ends.
 
 from __future__ import annotations
 
+import heapq
 import math
 from dataclasses import dataclass
 
@@ -32,6 +33,9 @@ from pricetrend.llm.common import cut_lineage
 from pricetrend.llm.vectors import best_pairs, matrix, part_of, ranked, usable
 
 
+LEAST, MOST = -(1 << 63), (1 << 63) - 1  # of a long
+
+
 @dataclass(frozen=True)
 class TopkParams:
     k: int = 10
@@ -45,7 +49,7 @@ class TopkParams:
 def integers(x: np.ndarray, scale: int) -> np.ndarray:
     """floor(scale * x): doubles while all products are exact in them, else Python integers."""
     v = np.floor(x * float(scale))
-    if v.size and (not np.isfinite(v).all() or float(np.abs(v).max()) ** 2 * x.shape[1] >= 2.0 ** 52):
+    if v.size and (not np.isfinite(v).all() or float(np.abs(v).max()) >= math.sqrt(2.0 ** 52 / x.shape[1])):
         whole = lambda t: math.floor(t * scale) if abs(t) < 2.0 ** 52 else int(t) * scale
         return np.array([[whole(t) for t in row] for row in x.tolist()], dtype=object)
     return v
@@ -66,15 +70,16 @@ def scan(queries: np.ndarray, qids: np.ndarray, vectors: np.ndarray, ids: np.nda
          params: TopkParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best pairs of each query: query positions, positions of vectors, scores."""
     k = params.k
-    order = np.argsort(-(vectors.astype(np.float64) ** 2).sum(1), kind="stable")
-    big = queries.dtype == object or vectors.dtype == object
+    if queries.dtype == object or vectors.dtype == object:
+        return scan_huge(queries, qids, vectors, ids, k)
+    order = np.argsort(-(vectors ** 2).sum(1), kind="stable")
     levels = [(statistics(queries, n), statistics(vectors, n)) for n in params.segments]
-    size = np.sqrt((queries.astype(np.float64) ** 2).sum(1))
+    size = np.sqrt((queries ** 2).sum(1))
     bound = np.full(len(queries), -np.inf)
-    q, v, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, object if big else np.float64)
+    q, v, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     for at in range(0, len(order), params.at_once):
         here = order[at:at + params.at_once]
-        slack = 1e-9 * (size * math.sqrt(float((vectors[here].astype(np.float64) ** 2).sum(1).max(initial=0.0))) + 1.0)
+        slack = 1e-9 * (size * math.sqrt(float((vectors[here] ** 2).sum(1).max(initial=0.0))) + 1.0)
         i = j = None
         for of_q, of_v in levels:
             if i is None or len(i) > 0.2 * len(queries) * len(here):
@@ -89,22 +94,30 @@ def scan(queries: np.ndarray, qids: np.ndarray, vectors: np.ndarray, ids: np.nda
                 top = np.einsum("ij,ij->i", of_q[i], of_v[here[j]])
                 stay = top >= (bound - slack)[i]
                 i, j = i[stay], j[stay]
-        if big:
-            score = np.array([sum(a * b for a, b in zip(queries[x].tolist(), vectors[here[y]].tolist())) for x, y in zip(i, j)], dtype=object)
-        elif len(i) > 0.2 * len(queries) * len(here):
+        if len(i) > 0.2 * len(queries) * len(here):
             score = (queries @ vectors[here].T)[i, j]
         else:
             score = np.einsum("ij,ij->i", queries[i], vectors[here[j]])
-        reach = score.astype(np.float64) >= bound[i] - (slack[i] if big else 0.0)
+        reach = score >= bound[i]
         q, v, s = np.concatenate([q, i[reach]]), np.concatenate([v, here[j[reach]]]), np.concatenate([s, score[reach]])
         keep = best_pairs(q, s, ids[v], k)
         q, v, s = q[keep], v[keep], s[keep]
         worst = np.full(len(queries), np.inf)
-        np.minimum.at(worst, q, s.astype(np.float64))
+        np.minimum.at(worst, q, s)
         bound = np.where(np.bincount(q, minlength=len(queries)) >= k, worst, -np.inf)
     return q, v, s
 
 
+def scan_huge(queries: np.ndarray, qids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for components beyond the exact range of doubles: all products in Python integers."""
+    out: list[tuple[int, int, int]] = []
+    for i, row in enumerate(queries.tolist()):
+        found = ((min(max(sum(int(a) * int(b) for a, b in zip(row, x)), LEAST), MOST), j) for j, x in enumerate(vectors.tolist()) if ids[j] != qids[i])
+        out += [(i, j, s) for s, j in heapq.nsmallest(k, found, key=lambda t: (-t[0], ids[t[1]]))]
+    q, v, s = (list(c) for c in zip(*out)) if out else ([], [], [])
+    return np.array(q, np.int64), np.array(v, np.int64), np.array(s, object)
+
+
 def search(df: DataFrame, is_query, params: TopkParams = TopkParams(), vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score (long) of the k highest integer products of
     every row for which the condition ``is_query`` on ``id`` holds."""
@@ -129,7 +142,7 @@ def search(df: DataFrame, is_query, params: TopkParams = TopkParams(), vec_id: s
                 i, j, s = scan(integers(matrix(part.column("q"), width), params.scale), qid, x, ids, params)
                 out[0].append(qid[i])
                 out[1].append(ids[j])
-                out[2] += [min(max(int(t), -(1 << 63)), (1 << 63) - 1) for t in s.tolist()]
+                out[2] += [int(t) for t in s.tolist()]
         return pa.table({"query_id": np.concatenate([np.zeros(0, np.int64), *out[0]]), "vec_id": np.concatenate([np.zeros(0, np.int64), *out[1]]),
                          "score": pa.array(out[2], pa.int64())})
 

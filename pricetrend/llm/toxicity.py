@@ -15,6 +15,7 @@ words, so that unseen inflections of a stem count. Null texts count as empty.
 A text without any listed term has no neighbours; its score is the calibrated
 rate of such examples. Repeated rows are scored row by row; repeated labels of
 one id count once, toxic if any is; labels other than 0 and 1 are ignored.
+Input columns with the name of an output column are replaced, others kept.
 Without examples of both labels every score is the share of toxic ones (0 if
 there are none).
 """
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from pricetrend.llm.common import cut_lineage, slices
+from pricetrend.llm.common import cut_lineage, slices, without
 
 LETTERS = re.compile(r"[^\W\d_]+")
 BLOCK = 64
@@ -271,8 +272,7 @@ def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Tox
 def hits(documents: DataFrame, terms: list[str], text: str = "text", prefix: str = "toxicity_") -> DataFrame:
     """``documents`` with the listed terms of each whole text and their counts (two arrays)."""
     names = [prefix + "terms", prefix + "counts"]
-    if clash := {c.lower() for c in documents.columns} & {x.lower() for x in names}:
-        raise ValueError(f"the input already has columns {sorted(clash)}; give another prefix")
+    documents = without(documents, names)
     schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(LongType())) for x in names)])
     place = documents.columns.index(text)
 
@@ -323,6 +323,7 @@ def score(marked: DataFrame, model: ToxicityModel, prefix: str = "toxicity_") ->
     and the evidence instead of the terms: ``<prefix>examples`` and
     ``<prefix>cosines`` of the nearest examples."""
     used = [prefix + "terms", prefix + "counts"]
+    marked = without(marked, [prefix + x for x in ("score", "vote", "examples", "cosines")])
     rest = marked.drop(*used)
     carried = [marked.columns.index(c) for c in rest.columns]
     at_terms, at_counts = (marked.columns.index(c) for c in used)

@@ -33,7 +33,7 @@ def matrix(column: pa.ChunkedArray | pa.Array, width: int) -> np.ndarray:
 
 def best_pairs(query: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k best pairs of each query: largest score, ties to the smaller id."""
-    order = np.lexsort((ids, -score if score.dtype != object else [-s for s in score], query))
+    order = np.lexsort((ids, -score, query))
     q = query[order]
     first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]])) if len(q) else np.zeros(0, np.int64)
     rank = np.arange(len(q)) - np.repeat(first, np.diff(np.concatenate([first, [len(q)]])))

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 GZIP, VERSION = b"\x1f\x8b\x08", b"WARC/1."
+VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 # Fixed values of the WARC 1.1 and HTTP formats.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END, BLANK = b"\r\n", b"\r\n\r\n"
@@ -122,7 +123,7 @@ class Unsound(Exception):
 
 def parse(data: bytes, at: int) -> tuple[dict, int]:
     """The record at ``at`` of plain bytes and where it ends; raises Unsound."""
-    if not data.startswith(VERSION, at):
+    if not VERSION_LINE.match(data, at):
         raise Unsound("no version line")
     stop = data.find(BLANK, at)
     if stop < 0:
