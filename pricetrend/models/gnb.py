@@ -52,7 +52,7 @@ def _wide(stats: DataFrame, features: list[str], label: str) -> DataFrame:
 def _jll(k: int, features: list[str]) -> Column:
     two_pi = F.lit(2.0 * math.pi)
     norm = sum((F.log(two_pi * F.col(f"v{k}_{f}")) for f in features), F.lit(0.0))
-    dist = sum((F.pow(F.col(f) - F.col(f"m{k}_{f}"), 2) / F.col(f"v{k}_{f}") for f in features),
+    dist = sum((F.try_divide(F.pow(F.col(f) - F.col(f"m{k}_{f}"), 2), F.col(f"v{k}_{f}")) for f in features),
                F.lit(0.0))
     return F.col(f"lp{k}") - F.lit(0.5) * norm - F.lit(0.5) * dist
 
@@ -63,7 +63,11 @@ def gnb_predict(df: DataFrame, stats: DataFrame, features: list[str],
     wide = _wide(stats, features, label)
     j = df.join(wide, "symbol", "left")
     j = j.withColumn("jll0", _jll(0, features)).withColumn("jll1", _jll(1, features))
-    pred = (F.when(F.col("jll0").isNull() & F.col("jll1").isNull(), F.lit(None))
+    # Without a likelihood for either class (every feature of the series is constant) the
+    # prior decides; a series without training rows has none and its prediction is NULL.
+    prior = F.when(F.col("lp0").isNull() & F.col("lp1").isNull(), F.lit(None)).when(
+        F.coalesce("lp1", F.lit(-math.inf)) > F.coalesce("lp0", F.lit(-math.inf)), F.lit(1)).otherwise(F.lit(0))
+    pred = (F.when(F.col("jll0").isNull() & F.col("jll1").isNull(), prior)
             .when(F.col("jll0").isNull(), F.lit(1))
             .when(F.col("jll1").isNull(), F.lit(0))
             .when(F.col("jll1") > F.col("jll0"), F.lit(1)).otherwise(F.lit(0))).cast("int")

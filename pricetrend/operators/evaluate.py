@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def correct(label: str = "movement", prediction: str = "prediction") -> Column:
-    return (F.col(prediction) == F.col(label)).cast("double")
+    """1.0 or 0.0; a missing prediction is wrong."""
+    return F.coalesce((F.col(prediction) == F.col(label)).cast("double"), F.lit(0.0))
 
 
 def accuracy_by(df: DataFrame, keys: list[str], label: str = "movement",

@@ -9,6 +9,9 @@ are numbered inside (group, bucket), which holds about n/65,536 rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 HASH_BUCKET_DIGITS = 4
@@ -30,13 +33,14 @@ def hash_rank(df: DataFrame, group_cols: list[str], hash_col: str,
     counts = b.groupBy(*group_cols, "_hb").agg(F.count(F.lit(1)).alias("_bn"))
     wg = Window.partitionBy(*group_cols).orderBy("_hb")
     offsets = counts.select(
-        *group_cols, "_hb",
+        *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col("_hb").alias("_ob"),
         F.coalesce(F.sum("_bn").over(wg.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         F.sum("_bn").over(Window.partitionBy(*group_cols)).alias(size_col))
     wl = Window.partitionBy(*group_cols, "_hb").orderBy(hash_col)
     return (b.withColumn("_lr", F.row_number().over(wl))
-            .join(offsets, [*group_cols, "_hb"], "inner")
+            .join(offsets, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_g{i}")) for i, c in enumerate(group_cols)],
+                                  F.col("_hb") == F.col("_ob")))  # NULL groups are kept
             .withColumn(rank_col, (F.col("_off") + F.col("_lr")).cast("long"))
             .withColumn(size_col, F.col(size_col).cast("long"))
-            .drop("_hb", "_lr", "_off"))
+            .drop("_hb", "_lr", "_off", "_ob", *[f"_g{i}" for i in range(len(group_cols))]))

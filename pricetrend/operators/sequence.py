@@ -25,20 +25,27 @@ def time_chunk(ts_col: str, grain: str, chunk_bars: int):
 
 
 def number_bars(bars: DataFrame, grain: str = "day", chunk_bars: int = 4096,
-                symbol_col: str = "symbol", order_col: str = "bar_ts") -> DataFrame:
-    """Add ``bar_no`` (1-based, per symbol, by ``order_col``)."""
-    chunked = bars.withColumn("_chunk", time_chunk(order_col, grain, chunk_bars))
+                symbol_col: str = "symbol", order_col: str = "bar_ts",
+                tie_break: list[str] | None = None) -> DataFrame:
+    """Add ``bar_no`` (1-based, per symbol, by ``order_col``, then ``tie_break``).
+
+    A NULL time has no position: the query fails instead of losing the row. A NULL
+    symbol is a series of its own. Without ``tie_break`` times must be unique in a
+    series (bars are; ``read_ohlc_csv`` rejects duplicates).
+    """
+    place = F.when(F.col(order_col).isNull(), F.raise_error(F.lit(f"NULL {order_col}: the row has no position")).cast("long"))
+    chunked = bars.withColumn("_chunk", place.otherwise(time_chunk(order_col, grain, chunk_bars)))
     counts = chunked.groupBy(symbol_col, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     w_chunks = (Window.partitionBy(symbol_col).orderBy("_chunk")
                 .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(symbol_col, "_chunk",
+    offsets = counts.select(F.col(symbol_col).alias("_symbol"), F.col("_chunk").alias("_at"),
                             F.coalesce(F.sum("_n").over(w_chunks), F.lit(0)).alias("_offset"))
-    w_local = Window.partitionBy(symbol_col, "_chunk").orderBy(order_col)
+    w_local = Window.partitionBy(symbol_col, "_chunk").orderBy(order_col, *(tie_break or []))
     return (chunked
             .withColumn("_local", F.row_number().over(w_local))
-            .join(offsets, [symbol_col, "_chunk"], "inner")
+            .join(offsets, F.col(symbol_col).eqNullSafe(F.col("_symbol")) & (F.col("_chunk") == F.col("_at")))
             .withColumn("bar_no", (F.col("_offset") + F.col("_local")).cast("long"))
-            .drop("_chunk", "_local", "_offset"))
+            .drop("_chunk", "_local", "_offset", "_symbol", "_at"))
 
 
 def block_rows(numbered: DataFrame, block: int, halo: int) -> DataFrame:

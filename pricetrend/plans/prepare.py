@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.operators.labels import horizon_label
-from pricetrend.operators.features import feature_set, impute_mean, minmax_scale, standard_scale
+from pricetrend.operators.features import feature_set, impute_mean, standard_scale
 from pricetrend.operators.split import holdout_split, stratified_folds
 from pricetrend.session import cut_lineage
 
@@ -23,7 +23,7 @@ from pricetrend.session import cut_lineage
 @dataclass(frozen=True)
 class PrepSpec:
     test_size: float
-    scale: str | None        # None | "all" | "train" | "minmax"
+    scale: str | None        # None | "all" | "train"
     folds: int = 0
 
 
@@ -61,8 +61,6 @@ def prepare(panel: DataFrame, family: str, representation: str,
     x = holdout_split(x, spec.test_size, seed)
     if spec.scale == "train":
         x = standard_scale(x, cols, fit_on="is_train")
-    elif spec.scale == "minmax":
-        x = minmax_scale(x, cols, fit_on="is_train")
     if spec.folds:
         # fold ranks read the split frame twice (training rows, join back)
         x = stratified_folds(cut_lineage(x, f"split-{family}-{representation}"), spec.folds)

@@ -1,12 +1,14 @@
-"""Session construction and shared-storage helpers."""
+"""Session construction and the tables written to the shared checkpoint folder."""
 
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "pricetrend", master: str | None = None,
@@ -62,19 +64,49 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df, name: str = "table"):
+# Tables written and not yet released, oldest first.
+_WRITTEN: list[str] = []
+
+
+def cut_lineage(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
     One job computes the input once; every later branch reads the columns it
     needs from durable storage, so a lost executor costs a re-read, not a
-    recomputation of the upstream plan.
+    recomputation of the upstream plan. ``partition_by`` lays the table out by
+    a column, so that a filter on it reads only its own files. The table stays
+    until ``release_tables`` (or the end of a ``scratch_tables`` block), because
+    results are lazy and may read it at any later time.
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    _WRITTEN.append(path)
+    if partition_by:
+        # Column types and order as they were: partition values are read back as text.
+        back = spark.read.schema(df.schema).parquet(path)
+        return back.select(*df.columns)
     return spark.read.parquet(path)
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-path of the shared checkpoint folder for written tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+def release_tables(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that ``cut_lineage`` wrote (after the first ``since``); call it
+    when the results that read them have been consumed. Returns their number."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    paths, _WRITTEN[since:] = _WRITTEN[since:], []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+    return len(paths)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside the block are deleted at its end; consume results within it."""
+    since = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        release_tables(spark, since)

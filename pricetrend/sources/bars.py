@@ -48,7 +48,7 @@ def ohlc_bars(ticks: DataFrame, symbol: str | Column, ts: str, price: str | Colu
 
     ``order`` is the unique tick ordering inside a bar (defaults to ``ts``);
     open = price of the first tick, close = price of the last. Ticks with a
-    NULL price are not part of any bar. The aggregate is partial (map-side
+    NULL or NaN price are not part of any bar. The aggregate is partial (map-side
     combine), so a hot symbol is reduced before the shuffle.
     """
     sym = F.col(symbol) if isinstance(symbol, str) else symbol
@@ -57,7 +57,7 @@ def ohlc_bars(ticks: DataFrame, symbol: str | Column, ts: str, price: str | Colu
     return (ticks
             .select(sym.alias("symbol"), bar_start(F.col(ts), grain).alias("bar_ts"),
                     px.cast("double").alias("price"), key.alias("_ord"))
-            .where(F.col("price").isNotNull() & F.col("symbol").isNotNull())
+            .where(F.col("price").isNotNull() & ~F.isnan("price") & F.col("symbol").isNotNull())
             .groupBy("symbol", "bar_ts")
             .agg(F.min_by("price", "_ord").alias("open"),
                  F.max("price").alias("high"),

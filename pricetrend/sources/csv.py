@@ -1,7 +1,21 @@
-"""Daily OHLC CSV files, one file per series, read in one scan."""
+"""Daily OHLC CSV files, one file per series.
+
+Every file is read by its own header: files are grouped by header line, one scan
+for each distinct one, and the frames are combined by name (S3). Every file has
+one date layout, the one by which all its rows parse. Nothing is lost or
+guessed silently; these raise a ``ValueError`` that names the file:
+
+* a file without the needed columns;
+* a missing date, or dates that no layout parses in full;
+* dates that two layouts parse differently (say which with ``date_format``);
+* two rows of a series on one date (allow them with ``duplicates="keep"``, and
+  give ``number_bars`` a tie-break).
+"""
 
 from __future__ import annotations
 
+from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,13 +27,12 @@ LOW_COLUMN = "Low Price"
 CLOSE_COLUMN = "Close Price"
 OPEN_COLUMN = "Open Price"
 
-# Date layouts tried in order when no explicit format is given.
-DATE_FORMATS = ["yyyy-MM-dd", "dd-MMM-yyyy", "dd-MM-yyyy", "MM/dd/yyyy", "dd/MM/yyyy"]
+# Date layouts that are tried when no explicit format is given.
+DATE_FORMATS = ["yyyy-MM-dd", "d-MMM-yyyy", "d-MMMM-yyyy", "d-M-yyyy", "M/d/yyyy", "d/M/yyyy"]
 
 
-def _parse_date(c: Column, fmt: str | None) -> Column:
-    fmts = [fmt] if fmt else DATE_FORMATS
-    return F.coalesce(*(F.try_to_timestamp(c, F.lit(f)) for f in fmts)).cast("timestamp_ntz")
+def _parsed(c: Column, fmt: str) -> Column:
+    return F.try_to_timestamp(F.trim(c), F.lit(fmt)).cast("timestamp_ntz")
 
 
 def _snake(name: str) -> str:
@@ -29,43 +42,84 @@ def _snake(name: str) -> str:
     return out.strip("_")
 
 
+def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``paths`` by their header; only first lines are read."""
+    files = sorted(spark.read.text(paths).inputFiles())
+    header = lambda p: tuple(spark.read.option("header", True).csv(p).columns)
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        headers = list(pool.map(header, files))
+    out: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for f, h in zip(files, headers):
+        if missing := [c for c in (DATE_COLUMN, HIGH_COLUMN, LOW_COLUMN, CLOSE_COLUMN) if c not in h]:
+            raise ValueError(f"{f}: no column {', '.join(missing)}")
+        out[h].append(f)
+    return out
+
+
+def _layouts(raw: DataFrame, formats: list[str]) -> DataFrame:
+    """file and layout of each file of ``raw`` (file, Date); raises as the module says."""
+    date = F.col(f"`{DATE_COLUMN}`")
+    read = [_parsed(date, f) for f in formats]
+    differ = [F.sum((read[i] != read[j]).cast("int")).alias(f"d{i}_{j}") for i in range(len(formats)) for j in range(i)]
+    rows = (raw.groupBy("file").agg(F.count(F.lit(1)).alias("n"), F.count(date).alias("dated"),
+                                    *[F.count(r).alias(f"f{i}") for i, r in enumerate(read)], *differ).collect())
+    chosen = []
+    for r in rows:
+        if r["dated"] < r["n"]:
+            raise ValueError(f"{r['file']}: {r['n'] - r['dated']} rows without a date")
+        fit = [i for i in range(len(formats)) if r[f"f{i}"] == r["n"]]
+        if not fit:
+            best = max(range(len(formats)), key=lambda i: r[f"f{i}"])
+            raise ValueError(f"{r['file']}: no date layout fits all {r['n']} rows; {formats[best]} fits {r[f'f{best}']}")
+        if clash := [j for j in fit[1:] if r[f"d{j}_{fit[0]}"]]:
+            raise ValueError(f"{r['file']}: dates read as {formats[fit[0]]} or {formats[clash[0]]}; give date_format")
+        chosen.append((r["file"], fit[0]))
+    return raw.sparkSession.createDataFrame(chosen, "file string, layout int")
+
+
+def _read_group(spark: SparkSession, header: tuple[str, ...], files: list[str], formats: list[str],
+                numeric_columns: list[str] | None) -> DataFrame:
+    # The header is enforced: a file that differs would raise instead of shifting columns.
+    raw = (spark.read.option("header", True).option("enforceSchema", False)
+           .schema(", ".join(f"`{c}` STRING" for c in header)).csv(files)
+           .select("*", F.col("_metadata.file_path").alias("file")))
+    layouts = _layouts(raw.select("file", f"`{DATE_COLUMN}`"), formats)
+    raw = raw.join(layouts, "file")  # a row per file
+    date = F.col(f"`{DATE_COLUMN}`")
+    when = F.coalesce(*[F.when(F.col("layout") == i, _parsed(date, f)) for i, f in enumerate(formats)])
+    name = F.element_at(F.split(F.try_url_decode("file"), "/"), -1)
+    number = lambda c: F.col(f"`{c}`").try_cast("double")
+    cols = [F.regexp_replace(name, r"(?i)\.csv$", "").alias("symbol"), when.alias("bar_ts")]
+    if OPEN_COLUMN in header:
+        cols.append(number(OPEN_COLUMN).alias("open"))
+    cols += [number(HIGH_COLUMN).alias("high"), number(LOW_COLUMN).alias("low"), number(CLOSE_COLUMN).alias("close")]
+    known = {DATE_COLUMN, OPEN_COLUMN, HIGH_COLUMN, LOW_COLUMN, CLOSE_COLUMN}
+    extras = [c for c in (numeric_columns if numeric_columns is not None else header) if c in header and c not in known]
+    cols += [number(c).alias(_snake(c)) for c in extras]
+    out = raw.select(*cols)
+    # NaN is not a value in this engine: NULL marks every missing number.
+    return out.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c) if t == "double" else F.col(c)
+                        for c, t in out.dtypes])
+
+
 def read_ohlc_csv(spark: SparkSession, paths: list[str] | str, date_format: str | None = None,
-                  numeric_columns: list[str] | None = None, same_layout: bool = True) -> DataFrame:
+                  numeric_columns: list[str] | None = None, duplicates: str = "raise") -> DataFrame:
     """Read the series files; ``symbol`` is the file name without ``.csv``.
 
-    ``same_layout`` (default): every file has the same header, and all files
-    are read in one scan. Otherwise (S3) each file is read with its own
-    header and the frames are combined by name, with NULL for columns a
-    file lacks.
-
-    All columns are read as strings (no inference pass). Date, high, low and
-    close are parsed; ``numeric_columns`` (default: every other column) are
-    cast with ``try_cast`` so text becomes NULL, and renamed to snake case.
-    Row order in the files is irrelevant: bars are ordered by the parsed date.
+    All columns are read as strings (no inference pass). High, low, close and,
+    where present, open are parsed; ``numeric_columns`` (default: every other
+    column) are cast with ``try_cast`` so text becomes NULL, and renamed to
+    snake case; a file without a column has NULL there. Row order in the files
+    is irrelevant: bars are ordered by the parsed date.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if not same_layout:
-        frames = [read_ohlc_csv(spark, [p], date_format, numeric_columns) for p in paths]
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").csv(paths))
-    fname = F.col("_metadata.file_name")
-    symbol = F.regexp_replace(F.try_url_decode(fname), r"(?i)\.csv$", "")
-    known = {DATE_COLUMN, HIGH_COLUMN, LOW_COLUMN, CLOSE_COLUMN}
-    extras = numeric_columns if numeric_columns is not None else [
-        c for c in raw.columns if c not in known]
-    cols = [symbol.alias("symbol"),
-            _parse_date(F.col(f"`{DATE_COLUMN}`"), date_format).alias("bar_ts")]
-    if OPEN_COLUMN in raw.columns:
-        cols.append(F.col(f"`{OPEN_COLUMN}`").try_cast("double").alias("open"))
-    cols += [F.col(f"`{HIGH_COLUMN}`").try_cast("double").alias("high"),
-             F.col(f"`{LOW_COLUMN}`").try_cast("double").alias("low"),
-             F.col(f"`{CLOSE_COLUMN}`").try_cast("double").alias("close")]
-    for c in extras:
-        if c == OPEN_COLUMN:
-            continue
-        cols.append(F.col(f"`{c}`").try_cast("double").alias(_snake(c)))
-    # NaN is not a value in this engine: NULL marks every missing number.
-    out = raw.select(*cols)
-    return out.select(*[F.nanvl(F.col(c), F.lit(None).cast("double")).alias(c)
-                        if t == "double" else F.col(c) for c, t in out.dtypes])
+    formats = [date_format] if date_format else DATE_FORMATS
+    frames = [_read_group(spark, h, files, formats, numeric_columns) for h, files in _by_header(spark, paths).items()]
+    if not frames:
+        raise ValueError("no files found")
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if duplicates == "raise":
+        twice = out.groupBy("symbol", "bar_ts").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if first := twice.orderBy("symbol", "bar_ts").first():
+            raise ValueError(f"{first['symbol']}: {first['n']} rows on {first['bar_ts']:%Y-%m-%d}; {twice.count()} such dates in all")
+    return out

@@ -2,13 +2,16 @@ import os
 import tempfile
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from pricetrend.operators.indicators import INDICATORS
 from pricetrend.plans.panels import indicators_from_bars
 from pricetrend.sources import read_ohlc_csv, write_panel
-from pricetrend.sources.bars import events_bars
+from pricetrend.operators.sequence import number_bars
+from pricetrend.session import checkpoint_dir, cut_lineage, scratch_tables
+from pricetrend.sources.bars import events_bars, ohlc_bars
 
 
 def test_csv_files_round_trip(spark):
@@ -52,8 +55,81 @@ def test_csv_files_with_different_columns(spark):
                       "Close Price": [4.5], "Turnover": [99.5]})
     a.to_csv(os.path.join(d, "AAA.csv"), index=False)
     b.to_csv(os.path.join(d, "BBB.csv"), index=False)
-    df = read_ohlc_csv(spark, [os.path.join(d, "AAA.csv"), os.path.join(d, "BBB.csv")],
-                       same_layout=False)
+    df = read_ohlc_csv(spark, [os.path.join(d, "AAA.csv"), os.path.join(d, "BBB.csv")])
     rows = {(r.symbol, str(r.bar_ts.date())): (r.close, r.total_volume, r.turnover) for r in df.collect()}
     assert rows == {("AAA", "2020-01-02"): (1.5, 10.0, None), ("AAA", "2020-01-01"): (1.0, 20.0, None),
                     ("BBB", "2020-01-01"): (4.5, None, 99.5)}
+
+
+def _write(name, text):
+    path = os.path.join(tempfile.mkdtemp(prefix="pt-csv3-"), name)
+    with open(path, "w") as f:
+        f.write(text)
+    return path
+
+
+HEAD = "Date,High Price,Low Price,Close Price\n"
+
+
+def _dates(df):
+    return sorted(str(r.bar_ts.date()) for r in df.collect())
+
+
+def test_one_date_layout_per_file(spark):
+    days = ["14/02/2020", "13/02/2020", "12/02/2020", "11/02/2020"]
+    path = _write("X.csv", HEAD + "".join(f"{d},3,1,2\n" for d in days))
+    assert _dates(read_ohlc_csv(spark, path)) == ["2020-02-11", "2020-02-12", "2020-02-13", "2020-02-14"]
+    other = _write("Y.csv", HEAD + "02/14/2020,3,1,2\n02/11/2020,3,1,2\n")
+    assert len(read_ohlc_csv(spark, [path, other]).collect()) == 6
+    named = _write("Z.csv", HEAD + "5-January-2020,3,1,2\n")
+    assert _dates(read_ohlc_csv(spark, named)) == ["2020-01-05"]
+
+
+@pytest.mark.parametrize("rows, said", [
+    ("12/02/2020,3,1,2\n11/02/2020,3,1,2\n", "give date_format"),
+    ("week 3,3,1,2\n2020-01-01,3,1,2\n", "no date layout fits"),
+    ("2020-01-01,3,1,2\n,3,1,2\n", "1 rows without a date"),
+    ("2020-01-01,3,1,2\n2020-01-01,4,1,2\n2020-01-02,4,1,2\n", "2 rows on 2020-01-01; 1 such dates"),
+])
+def test_dates_that_cannot_be_used_raise(spark, rows, said):
+    with pytest.raises(ValueError, match=said):
+        read_ohlc_csv(spark, _write("X.csv", HEAD + rows))
+
+
+def test_ambiguous_dates_with_a_format_and_kept_duplicates(spark):
+    path = _write("X.csv", HEAD + "12/02/2020,3,1,2\n12/02/2020,5,1,2\n")
+    got = read_ohlc_csv(spark, path, date_format="dd/MM/yyyy", duplicates="keep")
+    assert _dates(got) == ["2020-02-12", "2020-02-12"]
+    numbered = number_bars(got, tie_break=["high"]).collect()
+    assert sorted((r.bar_no, r.high) for r in numbered) == [(1, 3.0), (2, 5.0)]
+
+
+def test_headers_in_another_order(spark):
+    a = _write("A.csv", HEAD + "2020-01-01,9,1,5\n")
+    b = _write("B.csv", "Date,Close Price,High Price,Low Price\n2020-01-01,5,9,1\n")
+    assert {(r.high, r.low, r.close) for r in read_ohlc_csv(spark, [a, b]).collect()} == {(9.0, 1.0, 5.0)}
+    with pytest.raises(ValueError, match="no column Low Price"):
+        read_ohlc_csv(spark, _write("C.csv", "Date,Close Price,High Price\n2020-01-01,5,9\n"))
+
+
+def test_rows_are_never_lost_in_numbering(spark):
+    rows = [("a", "2020-01-01"), ("a", "2020-01-02"), (None, "2020-01-01")]
+    df = spark.createDataFrame(rows, "symbol string, d string").selectExpr("symbol", "CAST(d AS timestamp_ntz) AS bar_ts")
+    assert sorted((r.symbol or "", r.bar_no) for r in number_bars(df).collect()) == [("", 1), ("a", 1), ("a", 2)]
+    with pytest.raises(Exception, match="NULL bar_ts"):
+        number_bars(df.union(spark.sql("SELECT 'a', CAST(NULL AS timestamp_ntz)"))).collect()
+
+
+def test_nan_ticks_are_no_prices(spark):
+    df = spark.createDataFrame([("a", 1, float("nan")), ("a", 2, 5.0)], "s string, i int, p double")
+    df = df.withColumn("ts", F.lit("2020-01-01 00:00:00").cast("timestamp"))
+    r = ohlc_bars(df, "s", "ts", "p", "day", order=[F.col("i")]).first()
+    assert (r.open, r.high, r.low, r.close) == (5.0, 5.0, 5.0, 5.0)
+
+
+def test_written_tables_can_be_released(spark):
+    with scratch_tables(spark):
+        df = cut_lineage(spark.range(9).withColumn("k", F.col("id") % 3), "x", partition_by="k")
+        assert df.schema.names == ["id", "k"] and df.where("k = 1").count() == 3
+        assert [f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("x-")]
+    assert not [f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("x-")]
