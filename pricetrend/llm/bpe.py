@@ -18,6 +18,7 @@ name of an output column are replaced; other columns are kept.
 
 from __future__ import annotations
 
+import heapq
 import json
 from collections.abc import Iterable, Iterator
 
@@ -33,8 +34,10 @@ from pricetrend.llm.common import slices, without
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
            r"|\s+(?!\S)|\s+")
 NEVER = np.int64(1) << 40
-# Distinct words a worker remembers before it starts anew; bounds its memory only.
-WORD_MEMORY = 400_000
+NO_MERGE = (1 << 40, -1)
+# Distinct words and token pairs a task remembers before it starts anew; bounds its memory only.
+WORD_MEMORY = 300_000
+PAIR_MEMORY = 300_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -89,18 +92,17 @@ class BytePairModel:
                 good.discard(i)
         self.token_id = {self.bytes_of[i]: i for i in good}
         self.longest = max(map(len, self.token_id))
-        self.known_pairs: dict[int, bool] = {}
         self.split = regex.compile(PATTERN)
         self.cut_special = (regex.compile("(" + "|".join(map(regex.escape, sorted(
             self.special, key=len, reverse=True))) + ")") if self.special else None)
         self.forget()
 
     def forget(self) -> None:
+        """Drop the remembered words and pairs."""
         self.row_of: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.start: list[int] = []
-        self.size: list[int] = []
+        self.flat = np.zeros(1 << 16, np.uint32)    # the ids of all remembered words
+        self.ends = np.zeros(1 << 14, np.int64)     # where each word's ids end
+        self.known_pairs: dict[int, bool] = {}
         for token, i in self.special.items():
             self._keep("\0special:" + token, [i])
 
@@ -147,9 +149,24 @@ class BytePairModel:
         return out
 
     def merge_exactly(self, word: bytes) -> list[int]:
-        """All merges in order of (rank, position), on a linked list."""
-        import heapq
+        """All merges in order of (rank, position)."""
         ids = [self.byte_id[b] for b in word]
+        if len(ids) > 32:
+            return self._merge_long(ids)
+        found = self.merge_of.get
+        while True:
+            least, place, i = NO_MERGE, -1, 0
+            for p in zip(ids, ids[1:]):
+                m = found(p)
+                if m is not None and m < least:
+                    least, place = m, i
+                i += 1
+            if place < 0:
+                return ids
+            ids[place:place + 2] = [least[1]]
+
+    def _merge_long(self, ids: list[int]) -> list[int]:
+        """The same on a linked list with a heap."""
         n = len(ids)
         prev, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(*self.merge_of[p], i, p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in self.merge_of]
@@ -171,14 +188,16 @@ class BytePairModel:
         return [t for t, dead in zip(ids, gone) if not dead]
 
     def _keep(self, word: str, ids: list[int]) -> None:
-        end = self.used + len(ids)
+        row = len(self.row_of)
+        start = int(self.ends[row - 1]) if row else 0
+        end = start + len(ids)
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
-        self.flat[self.used:end] = ids
-        self.row_of[word] = len(self.start)
-        self.start.append(self.used)
-        self.size.append(len(ids))
-        self.used = end
+        if row == len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.flat[start:end] = ids
+        self.ends[row] = end
+        self.row_of[word] = row
 
     def learn(self, words: Iterable[str]) -> None:
         """Encode new words: propose, test every adjacent pair, merge the failures."""
@@ -193,7 +212,7 @@ class BytePairModel:
         known = self.known_pairs
         listed = keys.tolist()
         if new := [k for k in listed if k not in known]:
-            if len(known) > 4 * WORD_MEMORY:
+            if len(known) > PAIR_MEMORY:
                 known.clear()
                 new = listed
             pairs = np.array(new, np.int64)
@@ -224,13 +243,14 @@ class BytePairModel:
         row_of = self.row_of
         if new := {w for words in split for w in words if w not in row_of}:
             self.learn(sorted(new))
-        start, size = np.array(self.start, np.int64), np.array(self.size, np.int64)
+        ends = self.ends
         out = []
         for words in split:
-            rows = np.fromiter((row_of[w] for w in words), np.int64, len(words))
-            n = size[rows]
-            ends = np.cumsum(n)
-            at = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(start[rows] - ends + n, n)
+            rows = np.fromiter(map(row_of.__getitem__, words), np.int64, len(words))
+            start = np.where(rows > 0, ends[rows - 1], 0)
+            n = ends[rows] - start
+            upto = np.cumsum(n)
+            at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(start - upto + n, n)
             out.append(self.flat[at])
         return out
 
@@ -263,6 +283,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array([len(x) for x in got], pa.int64()),
                  pa.array([x.astype("<u4").tobytes() for x in got], pa.binary())], schema.names)
+        bpe.forget()
 
     return kept.mapInArrow(run, schema)
 
@@ -299,5 +320,6 @@ def round_trip(df: DataFrame, path: str, text: str = "text", ids: str = "ids",
                  pa.array([len(x) for x in got], pa.int64()),
                  pa.array([x.astype("<u4").tobytes() for x in got], pa.binary()),
                  pa.array([bpe.decode(x) for x in got], pa.string())], schema.names)
+        bpe.forget()
 
     return df.mapInArrow(run, schema)

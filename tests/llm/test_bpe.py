@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 
+from llm_fixtures import library, vocab  # noqa: F401
 from pricetrend.llm import bpe
 
 ODD = ["", " ", "\n\n  x", "aaaaaaaaaaaaaaaaaaaaaa", "a" * 5000, "x<|endoftext|>y<|endoftext|>", "<|endof", "don't we'll I've",

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from llm_fixtures import library, vocab  # noqa: F401
 from pricetrend.llm import token_counts as t
 
 PARAMS = t.CountParams(chunk=100, overlap=20)
