@@ -14,6 +14,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pricetrend.operators.keyed import join_series
+
 # Fixed value: default variance smoothing of the Gaussian naive Bayes model.
 VAR_SMOOTHING = 1e-9
 CLASSES = (0, 1)
@@ -61,7 +63,7 @@ def gnb_predict(df: DataFrame, stats: DataFrame, features: list[str],
                 label: str = "movement") -> DataFrame:
     """Add ``jll0``, ``jll1`` and ``prediction`` (INT) to every row of ``df``."""
     wide = _wide(stats, features, label)
-    j = df.join(wide, "symbol", "left")
+    j = join_series(df, wide)
     j = j.withColumn("jll0", _jll(0, features)).withColumn("jll1", _jll(1, features))
     # Without a likelihood for either class (every feature of the series is constant) the
     # prior decides; a series without training rows has none and its prediction is NULL.

@@ -30,7 +30,7 @@ def check_block(alpha: float, block: int) -> None:
     q = 1.0 - alpha
     if q ** block >= 1e-16:
         raise ValueError(f"block {block} too short for alpha {alpha}: q^B = {q ** block:g}")
-    if block * -math.log(q) > 600:
+    if 2 * block * -math.log(q) > 600:  # sums over blocks use twice the length
         raise ValueError(f"block {block} too long for alpha {alpha}: q^-B overflows")
 
 

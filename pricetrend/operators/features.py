@@ -1,10 +1,8 @@
 """Feature selection, imputation and scaling per series.
 
 Per-symbol statistics are grouped aggregates (partial, so a hot symbol is
-combined map-side) joined back on ``symbol``. The statistics table has one
-row per symbol; the join is left to the planner, whose adaptive size check
-broadcasts it when small and otherwise falls back to a sort-merge join with
-skew splitting. No window spans a whole series.
+combined map-side), joined back by ``keyed.join_series``, which never shuffles
+data rows on the symbol alone. No window spans a whole series.
 """
 
 from __future__ import annotations
@@ -13,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from pricetrend.operators.indicators import INDICATORS, LAGGED
+from pricetrend.operators.keyed import join_series
 from pricetrend.operators.trend import TREND_COLUMNS
 
 # Columns that are keys, label or target price, never features.
@@ -52,10 +51,6 @@ def feature_set(df: DataFrame, name: str) -> list[str]:
     raise ValueError(f"unknown feature set {name}")
 
 
-def _join_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    return df.join(stats, "symbol", "left")
-
-
 def impute_mean(df: DataFrame, cols: list[str], scope: str | None = None) -> DataFrame:
     """NULL -> mean of the column over the symbol's rows (or its ``scope`` rows).
 
@@ -65,7 +60,7 @@ def impute_mean(df: DataFrame, cols: list[str], scope: str | None = None) -> Dat
     """
     src = df.where(F.col(scope)) if scope else df
     stats = src.groupBy("symbol").agg(*[F.avg(c).alias(f"_m_{c}") for c in cols])
-    out = _join_stats(df, stats)
+    out = join_series(df, stats)
     return out.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"), F.lit(0.0)).alias(c)
                         if c in cols else F.col(c) for c in df.columns])
 
@@ -80,7 +75,7 @@ def standard_scale(df: DataFrame, cols: list[str], fit_on: str | None = None) ->
     stats = src.groupBy("symbol").agg(
         *[F.avg(c).alias(f"_m_{c}") for c in cols],
         *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    out = _join_stats(df, stats)
+    out = join_series(df, stats)
 
     def z(c):
         s = F.col(f"_s_{c}")
@@ -89,13 +84,42 @@ def standard_scale(df: DataFrame, cols: list[str], fit_on: str | None = None) ->
     return out.select(*[z(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def impute_and_scale(df: DataFrame, cols: list[str], fit_on: str | None = None) -> DataFrame:
+    """F1 followed by F2/F3 from a single pass of statistics and a single join.
+
+    Imputing puts the overall mean m in place of each NULL. Of n fitted rows of
+    which k have a value (mean a, variance v), the imputed column then has mean
+    ``(k*a + (n-k)*m) / n`` and variance
+    ``(k*(v + (a-mean)^2) + (n-k)*(m-mean)^2) / n``.
+    """
+    fit = F.col(fit_on) if fit_on else F.lit(True)
+    aggs = [F.count(F.when(fit, 1)).alias("_n")]
+    for c in cols:
+        x = F.when(fit, F.col(c).cast("double"))
+        aggs += [F.avg(c).alias(f"_m_{c}"), F.count(x).alias(f"_k_{c}"), F.avg(x).alias(f"_a_{c}"), F.var_pop(x).alias(f"_v_{c}")]
+    raw = df.groupBy("symbol").agg(*aggs)
+    out = [F.col("symbol")]
+    for c in cols:
+        n, k = F.col("_n"), F.col(f"_k_{c}")
+        m, a, v = (F.coalesce(F.col(f"_{x}_{c}"), F.lit(0.0)) for x in "mav")
+        mean = F.try_divide(k * a + (n - k) * m, n)
+        var = F.try_divide(k * (v + (a - mean) * (a - mean)) + (n - k) * (m - mean) * (m - mean), n)
+        out += [m.alias(f"_m_{c}"), mean.alias(f"_c_{c}"), F.sqrt(var).alias(f"_s_{c}")]
+    joined = join_series(df, raw.select(*out))
+
+    def z(c):
+        s, x = F.col(f"_s_{c}"), F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"))
+        return F.coalesce(F.try_divide(x - F.col(f"_c_{c}"), F.when(s > 0, s)), F.lit(0.0))
+    return joined.select(*[z(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
 def minmax_scale(df: DataFrame, cols: list[str], lo: float = -1.0, hi: float = 1.0,
                  fit_on: str | None = None) -> DataFrame:
     """map [min, max] of each column per symbol onto [lo, hi]; zero range -> lo."""
     src = df.where(F.col(fit_on)) if fit_on else df
     stats = src.groupBy("symbol").agg(*[F.min(c).alias(f"_lo_{c}") for c in cols],
                                       *[F.max(c).alias(f"_hi_{c}") for c in cols])
-    out = _join_stats(df, stats)
+    out = join_series(df, stats)
 
     def mm(c):
         rng = F.col(f"_hi_{c}") - F.col(f"_lo_{c}")

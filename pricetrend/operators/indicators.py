@@ -17,16 +17,23 @@ value is NULL until its frame holds ``n`` observations):
   ad_osc     (H - C_prev) / (H - L)
   momentum   100 * (C - C_12) / C_12  (rate of change)
 
-Any zero divisor gives NULL. Execution: one shuffle into (symbol, block)
-partitions with a halo (see ``sequence``); the EMAs use the blocked closed
-form with a per-block carry joined back on (symbol, block).
+Any zero divisor gives NULL. A missing close is no observation: the averages
+of MACD run over the observed closes only (seed, weights and warm-up count
+those), and a bar without a close carries the last value on. Windows over a
+fixed number of bars need all of them. A move to or from a missing close counts
+as none for RSI.
+
+Execution: one shuffle into (symbol, block) partitions with a halo (see
+``sequence``); the EMAs use the blocked closed form with a per-block carry
+joined back on (symbol, block). Only the asked-for indicators are computed.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricetrend.functions.columns import full_window, safe_div
 from pricetrend.operators import ema
@@ -86,135 +93,143 @@ def _frame(w, n: int):
     return w.rowsBetween(-(n - 1), 0)
 
 
-def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT,
-                    materialize: bool = True) -> DataFrame:
-    """Bars with ``bar_no`` -> bars + price_change + 10 indicators + 7 lags.
+def _carries(rows: DataFrame, p: IndicatorParams, macd: bool, rsi: bool) -> DataFrame:
+    """For each (symbol, blk) what the blocks before it hand on: ``_obs`` observed
+    closes and the EMA values at their end.
 
-    Output keeps every input column and adds ``price_change``, the indicator
-    columns and ``<ind>_lag`` for the seven lagged indicators.
-
-    ``materialize`` writes the block rows after the bounded windows once (shared
-    checkpoint folder). The carry aggregate and the final pass both read them;
-    without the cut, each branch is pruned differently and re-runs the
-    numbering, the block shuffle and the windows.
+    Works on one row per block. A block may hold fewer observations than its
+    length, so the MACD averages are summed over blocks by the same closed form
+    as rows are, in super-blocks of twice the block length.
+    """
+    order = Window.partitionBy("symbol").orderBy("blk")
+    aggs = []
+    if macd:
+        seen = F.when(F.col("close").isNotNull(), F.col("pos"))
+        aggs += [F.max("_k").alias("_n"), F.min_by("close", seen).alias("_first"),
+                 F.max_by("_l12", "pos").alias("_l12"), F.max_by("_l26", "pos").alias("_l26")]
+    if rsi:
+        aggs += [F.max_by("_lup", "pos").alias("_cup"), F.max_by("_ldn", "pos").alias("_cdn")]
+    ends = rows.where(~F.col("is_halo")).groupBy("symbol", "blk").agg(*aggs)
+    out = [F.col("symbol").alias("_symbol"), F.col("blk").alias("_blk")]
+    if rsi:
+        out += [F.lag(c).over(order).alias(c) for c in ("_cup", "_cdn")]
+    if macd:
+        span = 2 * p.block
+        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        total = ends.withColumn("_total", F.sum("_n").over(upto)).withColumn("_seed", F.first("_first", ignorenulls=True).over(upto))
+        total = total.withColumn("_super", F.floor(F.col("_total") / span)).withColumn("_e", F.col("_total") - F.col("_super") * span)
+        inside = Window.partitionBy("symbol", "_super").orderBy("blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        qs = {"12": 1.0 - ema.alpha_span(p.macd_fast), "26": 1.0 - ema.alpha_span(p.macd_slow)}
+        power = lambda q, n: F.pow(F.lit(q), n.cast("double"))
+        total = total.withColumns({f"_in{k}": power(q, F.col("_e")) * F.sum(F.col(f"_l{k}") * power(q, -F.col("_e"))).over(inside)
+                                   for k, q in qs.items()})
+        last = total.groupBy(F.col("symbol").alias("_s"), (F.col("_super") + 1).alias("_after")).agg(
+            F.max("_total").alias("_was"), *[F.max_by(f"_in{k}", "blk").alias(f"_end{k}") for k in qs])
+        ends = (total.join(last, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_super") == F.col("_after")), "left")
+                .withColumns({f"_all{k}": F.col(f"_in{k}") + power(q, F.col("_total")) * F.coalesce("_seed", F.lit(0.0))
+                              + F.coalesce(power(q, F.col("_total") - F.col("_was")) * F.col(f"_end{k}"), F.lit(0.0))
+                              for k, q in qs.items()}))
+        before = F.coalesce(F.lag("_total").over(order), F.lit(0))
+        out.append(before.alias("_obs"))
+        # Before the first observation the carry that makes it the seed is its own value.
+        out += [F.when(before > 0, F.lag(f"_all{k}").over(order)).otherwise(F.col("_first")).alias(f"_c{k}") for k in qs]
+    return ends.select(*out)
+
+
+def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT, materialize: bool = True,
+                    indicators: Iterable[str] | None = None) -> DataFrame:
+    """Bars with ``bar_no`` -> bars + price_change + indicators + their lags.
+
+    ``indicators`` names the ones to compute (default: all ten); output keeps
+    every input column and adds ``price_change``, the indicators and
+    ``<ind>_lag`` for those of them that are lagged.
+
+    ``materialize`` writes the block rows once before the carries are taken
+    (shared checkpoint folder): the carry aggregate and the final pass both
+    read them. Without MACD and RSI there are no carries and nothing is written.
     """
     p = p.resolved()
-    base_cols = [c for c in numbered.columns]
-    blocks = block_rows(numbered, p.block, p.halo)
+    want = [x for x in INDICATORS if indicators is None or x in set(indicators)]
+    macd, rsi, stoch = "macd" in want, "rsi" in want, bool({"stck", "stcd"} & set(want))
+    base = list(numbered.columns)
     w = Window.partitionBy("symbol", "blk").orderBy("bar_no")
+    sofar = w.rowsBetween(Window.unboundedPreceding, 0)
     C, H, L = F.col("close"), F.col("high"), F.col("low")
-    a12, a26, arsi = (ema.alpha_span(p.macd_fast), ema.alpha_span(p.macd_slow),
-                      ema.alpha_wilder(p.rsi))
-    pos, halo, seed = F.col("pos"), F.col("is_halo"), F.col("bar_no") == 1
-
-    wma_num = sum(F.lit(float(p.wma - k)) * F.lag(C, k).over(w) if k else F.lit(float(p.wma)) * C
-                  for k in range(p.wma))
-    tp = (H + L + C) / F.lit(3.0)
-
-    # Pass A: every bounded frame over the raw prices.
-    a = blocks.select(
-        "*",
-        F.lag(C, 1).over(w).alias("_c1"),
-        F.lag(C, p.roc).over(w).alias("_croc"),
-        F.avg(C).over(_frame(w, p.sma)).alias("_sma"),
-        F.count(C).over(_frame(w, p.sma)).alias("_nsma"),
-        wma_num.alias("_wnum"),
-        F.count(C).over(_frame(w, p.wma)).alias("_nwma"),
-        F.max(H).over(_frame(w, p.stoch)).alias("_hh"),
-        F.min(L).over(_frame(w, p.stoch)).alias("_ll"),
-        F.least(F.count(H).over(_frame(w, p.stoch)),
-                F.count(L).over(_frame(w, p.stoch))).alias("_nhl"),
-        F.max(H).over(_frame(w, p.williams)).alias("_hhw"),
-        F.min(L).over(_frame(w, p.williams)).alias("_llw"),
-        F.least(F.count(H).over(_frame(w, p.williams)),
-                F.count(L).over(_frame(w, p.williams))).alias("_nhlw"),
-        F.collect_list(tp).over(_frame(w, p.cci)).alias("_tps"),
-        F.sum(ema.local_term(C, a12, pos, seed, halo)).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)).alias("_s12"),
-        F.sum(ema.local_term(C, a26, pos, seed, halo)).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)).alias("_s26"),
-    )
-    d = C - F.col("_c1")
-    up = F.when(d > 0, d).otherwise(F.lit(0.0))
-    dn = F.when(d < 0, -d).otherwise(F.lit(0.0))
-    # Pass B: cumulative sums over the up/down moves (they need pass A's lag).
-    b = a.select(
-        "*",
-        F.sum(ema.local_term(up, arsi, pos, seed, halo)).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)).alias("_sup"),
-        F.sum(ema.local_term(dn, arsi, pos, seed, halo)).over(
-            w.rowsBetween(Window.unboundedPreceding, 0)).alias("_sdn"),
-    )
-    if materialize:
-        from pricetrend.session import cut_lineage
-        b = cut_lineage(b, "blocks")
-    tps = F.col("_tps")
-    tp_mean = F.aggregate(tps, F.lit(0.0), lambda acc, x: acc + x) / F.size(tps)
-    mad = F.aggregate(tps, F.lit(0.0), lambda acc, x: acc + F.abs(x - tp_mean)) / F.size(tps)
-    hl = F.col("_hh") - F.col("_ll")
-    hlw = F.col("_hhw") - F.col("_llw")
-    loc = {
-        "_l12": ema.local_value(F.col("_s12"), a12, pos),
-        "_l26": ema.local_value(F.col("_s26"), a26, pos),
-        "_lup": ema.local_value(F.col("_sup"), arsi, pos),
-        "_ldn": ema.local_value(F.col("_sdn"), arsi, pos),
-    }
-    c = b.select(
-        *[x for x in b.columns if not x.startswith("_")],
-        *[v.alias(k) for k, v in loc.items()],
-        (C - F.col("_c1")).alias("price_change"),
-        full_window(F.col("_sma"), F.col("_nsma"), p.sma).alias("sma_10"),
-        full_window(F.col("_wnum") / F.lit(p.wma * (p.wma + 1) / 2.0),
-                    F.col("_nwma"), p.wma).alias("wma_10"),
-        full_window(safe_div(F.lit(100.0) * (C - F.col("_ll")), hl),
-                    F.col("_nhl"), p.stoch).alias("stck"),
-        full_window(safe_div(F.lit(100.0) * (C - F.col("_hhw")), hlw),
-                    F.col("_nhlw"), p.williams).alias("williams_r"),
-        full_window(safe_div(tp - tp_mean, F.lit(p.cci_constant) * mad),
-                    F.size(tps), p.cci).alias("cci"),
-        safe_div(H - F.col("_c1"), H - L).alias("ad_osc"),
-        (safe_div(C - F.col("_croc"), F.col("_croc")) * F.lit(100.0)).alias("momentum"),
-    )
-
-    # Block carries: EMA local value at each block's last own row, moved to blk + 1.
-    ends = (c.where(~F.col("is_halo"))
-            .groupBy("symbol", "blk")
-            .agg(*[F.max_by(k, "pos").alias("_c" + k[2:]) for k in loc])
-            .withColumn("blk", F.col("blk") + 1))
-    j = c.join(ends, ["symbol", "blk"], "left")
-    last_halo = F.col("is_halo") & (F.col("pos") == p.block - 1)
-
-    def full_ema(k: str, alpha: float):
-        carry = F.col("_c" + k[2:])
-        return (F.when(last_halo, carry)
-                .when(~F.col("is_halo"), ema.with_carry(F.col(k), carry, alpha, pos)))
-
-    e12, e26 = full_ema("_l12", a12), full_ema("_l26", a26)
-    eup, edn = full_ema("_lup", arsi), full_ema("_ldn", arsi)
-    n = F.col("bar_no")
-    rsi = F.when(edn == 0, F.lit(100.0)).otherwise(
-        F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(eup, edn)))
-    # The closed form leaves ~1e-16 relative noise where the recursion is exact
-    # (a flat series has MACD 0 exactly); differences under 1e-12 of the slow
-    # EMA are that noise and are snapped to zero so ties stay ties.
-    macd = F.when(F.abs(e12 - e26) <= F.lit(MACD_SNAP) * F.abs(e26), F.lit(0.0)).otherwise(e12 - e26)
-    e = j.select(
-        *[x for x in c.columns if not x.startswith("_")],
-        F.when(n >= p.macd_slow, macd).alias("macd"),
-        F.when(n >= p.rsi, rsi).alias("rsi"),
-    )
+    pos, halo, n = F.col("pos"), F.col("is_halo"), F.col("bar_no")
+    c1 = F.lag(C, 1).over(w)
+
+    def ranged(k: int) -> tuple[Column, Column, Column]:
+        f = _frame(w, k)
+        return F.max(H).over(f), F.min(L).over(f), F.least(F.count(H).over(f), F.count(L).over(f))
+
+    # Pass A: bounded frames over the raw prices; only finished values leave it.
+    made = {"price_change": C - c1}
+    if "sma_10" in want:
+        made["sma_10"] = full_window(F.avg(C).over(_frame(w, p.sma)), F.count(C).over(_frame(w, p.sma)), p.sma)
+    if "wma_10" in want:
+        weighted = sum((F.lit(float(p.wma - k)) * F.lag(C, k).over(w) for k in range(1, p.wma)), F.lit(float(p.wma)) * C)
+        made["wma_10"] = full_window(weighted / F.lit(p.wma * (p.wma + 1) / 2.0), F.count(C).over(_frame(w, p.wma)), p.wma)
+    if stoch:
+        hh, ll, count = ranged(p.stoch)
+        made["stck"] = full_window(safe_div(F.lit(100.0) * (C - ll), hh - ll), count, p.stoch)
+    if "williams_r" in want:
+        hh, ll, count = ranged(p.williams)
+        made["williams_r"] = full_window(safe_div(F.lit(100.0) * (C - hh), hh - ll), count, p.williams)
+    if "ad_osc" in want:
+        made["ad_osc"] = safe_div(H - c1, H - L)
+    if "momentum" in want:
+        made["momentum"] = safe_div(C - F.lag(C, p.roc).over(w), F.lag(C, p.roc).over(w)) * F.lit(100.0)
+    if "cci" in want:
+        made["_tps"] = F.collect_list((H + L + C) / F.lit(3.0)).over(_frame(w, p.cci))
+    if macd:
+        made["_k"] = F.sum(F.when(C.isNotNull() & ~halo, 1).otherwise(0)).over(sofar)
+    x = block_rows(numbered, p.block, p.halo).withColumns(made)
+    if "cci" in want:
+        tps, tp = F.col("_tps"), (H + L + C) / F.lit(3.0)
+        mean = F.aggregate(tps, F.lit(0.0), lambda acc, t: acc + t) / F.size(tps)
+        mad = F.aggregate(tps, F.lit(0.0), lambda acc, t: acc + F.abs(t - mean)) / F.size(tps)
+        cci = F.when(F.size(tps) >= p.cci, safe_div(tp - mean, F.lit(p.cci_constant) * mad))
+        x = x.withColumn("cci", cci).drop("_tps")
+
+    if macd or rsi:
+        # Pass B: sums inside the block, as the EMA value that the block alone gives.
+        arsi = ema.alpha_wilder(p.rsi)
+        local = {}
+        if macd:
+            for name, span in (("_l12", p.macd_fast), ("_l26", p.macd_slow)):
+                alpha = ema.alpha_span(span)
+                term = ema.local_term(C, alpha, F.col("_k"), F.lit(False), halo | C.isNull())
+                local[name] = ema.local_value(F.sum(term).over(sofar), alpha, F.col("_k"))
+        if rsi:
+            d = F.col("price_change")
+            moves = {"_lup": F.when(d > 0, d).otherwise(F.lit(0.0)), "_ldn": F.when(d < 0, -d).otherwise(F.lit(0.0))}
+            for name, move in moves.items():
+                local[name] = ema.local_value(F.sum(ema.local_term(move, arsi, pos, n == 1, halo)).over(sofar), arsi, pos)
+        x = x.withColumns(local)
+        if materialize:
+            from pricetrend.session import cut_lineage
+            x = cut_lineage(x, "blocks")
+        carries = _carries(x, p, macd, rsi)
+        x = x.join(carries, F.col("symbol").eqNullSafe(F.col("_symbol")) & (F.col("blk") == F.col("_blk")), "left")
+        if macd:
+            value = lambda k, span: F.col(f"_l{k}") + F.col(f"_c{k}") * F.pow(F.lit(1.0 - ema.alpha_span(span)), F.col("_k").cast("double"))
+            e12, e26 = value("12", p.macd_fast), value("26", p.macd_slow)
+            # The closed form leaves ~1e-16 relative noise where the recursion is exact
+            # (a flat series has MACD 0 exactly); differences under 1e-12 of the slow
+            # EMA are that noise and are snapped to zero so ties stay ties.
+            line = F.when(F.abs(e12 - e26) <= F.lit(MACD_SNAP) * F.abs(e26), F.lit(0.0)).otherwise(e12 - e26)
+            x = x.withColumn("macd", F.when(F.col("_obs") + F.col("_k") >= p.macd_slow, line))
+        if rsi:
+            last_halo = halo & (pos == p.block - 1)
+            value = lambda k: F.when(last_halo, F.col("_c" + k)).when(~halo, ema.with_carry(F.col("_l" + k), F.col("_c" + k), arsi, pos))
+            up, dn = value("up"), value("dn")
+            strength = F.when(dn == 0, F.lit(100.0)).otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(up, dn)))
+            x = x.withColumn("rsi", F.when(n >= p.rsi, strength))
 
     # Pass C: %D and the indicator lags (same partitioning, no new shuffle).
-    stck = F.col("stck")
-    lag_cols = [F.lag(x, 1).over(w).alias(f"{x}_lag") for x in LAGGED if x != "stcd"]
-    f = e.select(
-        "*",
-        full_window(F.avg(stck).over(_frame(w, p.stoch_smooth)),
-                    F.count(stck).over(_frame(w, p.stoch_smooth)), p.stoch_smooth).alias("stcd"),
-        full_window(F.avg(stck).over(w.rowsBetween(-p.stoch_smooth, -1)),
-                    F.count(stck).over(w.rowsBetween(-p.stoch_smooth, -1)),
-                    p.stoch_smooth).alias("stcd_lag"),
-        *lag_cols,
-    )
-    out_cols = base_cols + ["price_change"] + INDICATORS + [f"{x}_lag" for x in LAGGED]
-    return f.where(~F.col("is_halo")).select(*out_cols)
+    more = {f"{c}_lag": F.lag(c, 1).over(w) for c in LAGGED if c in want and c != "stcd"}
+    if "stcd" in want:
+        smooth = lambda f: full_window(F.avg("stck").over(f), F.count("stck").over(f), p.stoch_smooth)
+        more |= {"stcd": smooth(_frame(w, p.stoch_smooth)), "stcd_lag": smooth(w.rowsBetween(-p.stoch_smooth, -1))}
+    x = x.withColumns(more) if more else x
+    return x.where(~halo).select(*base, "price_change", *want, *[f"{c}_lag" for c in LAGGED if c in want])

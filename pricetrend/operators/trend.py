@@ -62,5 +62,6 @@ def trend_exprs() -> dict[str, Column]:
 
 
 def trend_panel(indicators: DataFrame) -> DataFrame:
-    """Add the ten ``<indicator>_trend`` columns (INT)."""
-    return indicators.withColumns(trend_exprs())
+    """Add the ``<indicator>_trend`` columns (INT) of the indicators that are there."""
+    return indicators.withColumns({k: v for k, v in trend_exprs().items()
+                                   if k.removesuffix("_trend") in indicators.columns})

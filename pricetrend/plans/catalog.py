@@ -1,7 +1,7 @@
 """The registered query catalogue: name -> (Spark plan, DuckDB oracle SQL).
 
 Every plan reads the fixture tables of ``sf_dir`` in full. Doubles are
-rounded (6 digits; 4 for EMA-based values) and integers cast alike on both
+rounded (6 digits) and integers cast alike on both
 sides so that the comparison is exact.
 """
 
@@ -15,15 +15,16 @@ from pricetrend.functions.columns import rounded
 from pricetrend.operators.labels import horizon_label
 from pricetrend.operators.sequence import number_bars
 from pricetrend.plans import oracle as O
-from pricetrend.plans.panels import fixture_bars, fixture_indicators, fixture_trends
-from pricetrend.sources.bars import multi_source_bars
+from pricetrend.plans.panels import fixture_bars, fixture_indicators, fixture_trends, indicators_from_bars
+from pricetrend.session import cut_lineage
+from pricetrend.sources.bars import gridded_bars, multi_source_bars
 from pricetrend.sources.symbols import symbol_dim, with_symbol_names
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
-EMA_DIGITS = 4
+EMA_DIGITS = 6
 EMA_COLUMNS = {"macd", "rsi", "macd_lag", "rsi_lag"}
 
 # Display names for the fixture series (S4 dimension rows).
@@ -106,8 +107,11 @@ def chronological_index(spark, sf_dir):
 
 
 def _panel_query(fixture: str, cols: list[str], trends: bool = False) -> QueryFn:
+    # Only the indicators that the columns come from are computed.
+    needed = {c.removesuffix("_trend").removesuffix("_lag") for c in cols}
+
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = (fixture_trends if trends else fixture_indicators)(spark, sf_dir, fixture)
+        df = (fixture_trends if trends else fixture_indicators)(spark, sf_dir, fixture, needed)
         doubles = [c for c in cols if dict(df.dtypes)[c] == "double"]
         return spark_round(df.select("symbol", "bar_ts", "bar_no", *cols), doubles)
     return q
@@ -138,7 +142,7 @@ SELECT symbol, bar_ts, bar_no, movement_h1 FROM (
          lead(movement) OVER (PARTITION BY symbol ORDER BY bar_no) AS movement_h1 FROM ind)
 WHERE movement_h1 IS NOT NULL"""))
 def movement_label_horizon1(spark, sf_dir):
-    ind = fixture_indicators(spark, sf_dir, "events_hour")
+    ind = fixture_indicators(spark, sf_dir, "events_hour", [])
     return horizon_label(ind.select("symbol", "bar_ts", "bar_no", "price_change"), 1).select(
         "symbol", "bar_ts", "bar_no", "movement_h1")
 
@@ -162,6 +166,16 @@ _register_panel("indicator_panel", "events_hour", PANEL_COLS)
 _register_panel("indicator_panel_long", "lineitem_day", PANEL_COLS)
 _register_panel("indicator_lags", "events_hour", LAG_COLS)
 
+
+
+@register("macd_with_gaps", O.gapped_macd_sql("events_hour", sql_round(["close", "sma_10", "macd"])))
+def macd_with_gaps(spark, sf_dir):
+    """W2, W7 on the hourly grid: hours without ticks are bars without a close."""
+    bars, grain = fixture_bars(spark, sf_dir, "events_hour")
+    ind = indicators_from_bars(gridded_bars(cut_lineage(bars, "bars"), grain), grain, indicators=["sma_10", "macd"])
+    return spark_round(ind.select("symbol", "bar_ts", "bar_no", "close", "sma_10", "macd"), ["close", "sma_10", "macd"])
+
+
 # ---------------------------------------------------------------- trends
 for _name, _col in [("trend_sma", "sma_10_trend"), ("trend_wma", "wma_10_trend"),
                     ("trend_stck", "stck_trend"), ("trend_stcd", "stcd_trend"),

@@ -142,6 +142,26 @@ def with_panel(fixture: str, select: str) -> str:
     return f"WITH RECURSIVE {panel_ctes(fixture)}\n{select}"
 
 
+def gapped_macd_sql(fixture: str, columns: str) -> str:
+    """Bars on their full hourly grid; the MACD averages run over observed closes."""
+    a12, a26 = 2.0 / 13.0, 2.0 / 27.0
+    return f"""WITH RECURSIVE bars AS ({bars_sql(fixture)}),
+grid AS (SELECT symbol, unnest(generate_series(min(bar_ts), max(bar_ts), INTERVAL 1 HOUR)) AS bar_ts FROM bars GROUP BY symbol),
+numbered AS (SELECT g.symbol, g.bar_ts, close, row_number() OVER (PARTITION BY g.symbol ORDER BY g.bar_ts) AS bar_no
+  FROM grid g LEFT JOIN bars b ON g.symbol = b.symbol AND g.bar_ts = b.bar_ts),
+seen AS MATERIALIZED (SELECT *, count(close) OVER {W()} AS obs,
+  CASE WHEN count(close) OVER {W(10)} >= 10 THEN avg(close) OVER {W(10)} END AS sma_10 FROM numbered),
+observed AS MATERIALIZED (SELECT symbol, obs, close FROM seen WHERE close IS NOT NULL),
+ema AS (
+  SELECT symbol, obs, close AS e12, close AS e26 FROM observed WHERE obs = 1
+  UNION ALL
+  SELECT o.symbol, o.obs, {f(a12)} * o.close + {f(1 - a12)} * e.e12, {f(a26)} * o.close + {f(1 - a26)} * e.e26
+  FROM ema e JOIN observed o ON o.symbol = e.symbol AND o.obs = e.obs + 1),
+ind AS (SELECT s.symbol, s.bar_ts, s.bar_no, s.close, s.sma_10, CASE WHEN s.obs >= 26 THEN e.e12 - e.e26 END AS macd
+  FROM seen s LEFT JOIN ema e ON s.symbol = e.symbol AND s.obs = e.obs)
+SELECT symbol, bar_ts, bar_no, {columns} FROM ind"""
+
+
 # ------------------------------------------------------------------ feature preparation
 CONTINUOUS = ["open", "high", "low", "sma_10", "wma_10", "stck", "stcd", "williams_r", "macd",
               "rsi", "cci", "ad_osc", "momentum"]

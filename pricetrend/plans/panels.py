@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pricetrend.operators.indicators import DEFAULT, IndicatorParams, indicator_panel
@@ -13,21 +15,22 @@ from pricetrend.sources.bars import events_bars, lineitem_bars
 
 
 def indicators_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT,
-                         materialize: bool = True) -> DataFrame:
-    """Bars -> ``bar_no`` -> indicators + lags -> movement label.
+                         materialize: bool = True, indicators: Iterable[str] | None = None) -> DataFrame:
+    """Bars -> ``bar_no`` -> the named indicators (default: all) + lags -> movement label.
 
     ``materialize`` writes the bar table once (shared checkpoint folder):
     numbering reads it twice (chunk counts and rows), and without the cut
     the optimiser prunes each branch differently and re-aggregates the ticks.
+    Without it nothing is written at all.
     """
     if materialize:
         bars = cut_lineage(bars, "bars")
-    return with_movement(indicator_panel(number_bars(bars, grain=grain), p))
+    return with_movement(indicator_panel(number_bars(bars, grain=grain), p, materialize, indicators))
 
 
 def trends_from_bars(bars: DataFrame, grain: str, p: IndicatorParams = DEFAULT,
-                     materialize: bool = True) -> DataFrame:
-    return trend_panel(indicators_from_bars(bars, grain, p, materialize))
+                     materialize: bool = True, indicators: Iterable[str] | None = None) -> DataFrame:
+    return trend_panel(indicators_from_bars(bars, grain, p, materialize, indicators))
 
 
 def fixture_bars(spark: SparkSession, sf_dir: str, fixture: str) -> tuple[DataFrame, str]:
@@ -41,11 +44,13 @@ def fixture_bars(spark: SparkSession, sf_dir: str, fixture: str) -> tuple[DataFr
     raise ValueError(fixture)
 
 
-def fixture_indicators(spark: SparkSession, sf_dir: str, fixture: str = "events_hour") -> DataFrame:
+def fixture_indicators(spark: SparkSession, sf_dir: str, fixture: str = "events_hour",
+                       indicators: Iterable[str] | None = None) -> DataFrame:
     bars, grain = fixture_bars(spark, sf_dir, fixture)
-    return indicators_from_bars(bars, grain)
+    return indicators_from_bars(bars, grain, indicators=indicators)
 
 
-def fixture_trends(spark: SparkSession, sf_dir: str, fixture: str = "events_hour") -> DataFrame:
+def fixture_trends(spark: SparkSession, sf_dir: str, fixture: str = "events_hour",
+                   indicators: Iterable[str] | None = None) -> DataFrame:
     bars, grain = fixture_bars(spark, sf_dir, fixture)
-    return trends_from_bars(bars, grain)
+    return trends_from_bars(bars, grain, indicators=indicators)

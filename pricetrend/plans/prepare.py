@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.operators.labels import horizon_label
-from pricetrend.operators.features import feature_set, impute_mean, standard_scale
+from pricetrend.operators.features import feature_set, impute_and_scale, impute_mean
 from pricetrend.operators.split import holdout_split, stratified_folds
 from pricetrend.session import cut_lineage
 
@@ -55,12 +55,14 @@ def prepare(panel: DataFrame, family: str, representation: str,
                  .withColumn("movement", F.col("_next")).drop("_next"))
     base = panel.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
                         *[F.col(c).cast("double").alias(c) for c in cols])
-    x = impute_mean(base, cols)
     if spec.scale == "all":
-        x = standard_scale(x, cols)
-    x = holdout_split(x, spec.test_size, seed)
-    if spec.scale == "train":
-        x = standard_scale(x, cols, fit_on="is_train")
+        x = holdout_split(impute_and_scale(base, cols), spec.test_size, seed)
+    elif spec.scale == "train":
+        # one pass of statistics over all rows (imputing) and the training rows (scaling)
+        split = cut_lineage(holdout_split(base, spec.test_size, seed), f"split-{family}-{representation}")
+        x = impute_and_scale(split, cols, fit_on="is_train")
+    else:
+        x = holdout_split(impute_mean(base, cols), spec.test_size, seed)
     if spec.folds:
         # fold ranks read the split frame twice (training rows, join back)
         x = stratified_folds(cut_lineage(x, f"split-{family}-{representation}"), spec.folds)

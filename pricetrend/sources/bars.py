@@ -65,6 +65,15 @@ def ohlc_bars(ticks: DataFrame, symbol: str | Column, ts: str, price: str | Colu
                  F.max_by("price", "_ord").alias("close")))
 
 
+def gridded_bars(bars: DataFrame, grain: str) -> DataFrame:
+    """``bars`` on the full time grid of each symbol, from its first to its last bar;
+    times without a bar have NULL prices. The grid of a symbol is as long as its time span."""
+    step = F.make_dt_interval(secs=F.lit(float(GRAIN_SECONDS[grain])))
+    grid = (bars.groupBy("symbol").agg(F.min("bar_ts").alias("a"), F.max("bar_ts").alias("b"))
+            .select("symbol", F.explode(F.sequence("a", "b", step)).alias("bar_ts")))
+    return grid.join(bars, ["symbol", "bar_ts"], "left").select(*bars.columns)
+
+
 def events_bars(spark: SparkSession, sf_dir: str, grain: str = "hour") -> DataFrame:
     """Fixture: symbol = event_type, price = value, tick order (ts, event_id)."""
     ev = read_table(spark, sf_dir, "events")

@@ -138,3 +138,49 @@ def test_block_grows_for_slow_emas():
     # a span-200 tail needs >= 3,680 rows, while span 12 overflows past ~3,590
     with pytest.raises(ValueError):
         IndicatorParams(macd_slow=200).resolved()
+
+
+def test_missing_closes_are_no_observations(spark):
+    random = np.random.default_rng(3)
+    closes = 100 + np.cumsum(random.normal(size=4000))
+    gaps = [None if (i < 3 or i % 7 == 2 or 900 <= i < 2100) else float(c) for i, c in enumerate(closes)]
+    rows = [(c if c is not None else 101.0, 99.0, c) for c in gaps]
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([("S", t0 + dt.timedelta(hours=i), h, l, c) for i, (h, l, c) in enumerate(rows)],
+                               "symbol string, bar_ts timestamp_ntz, high double, low double, close double")
+    got = indicators_from_bars(df, "hour", indicators=["macd"]).toPandas().sort_values("bar_no")
+    e, want, n = {12: None, 26: None}, [], 0
+    for c in gaps:
+        if c is not None:
+            n += 1
+            for k in e:
+                e[k] = c if e[k] is None else e[k] + 2 / (k + 1) * (c - e[k])
+        want.append(e[12] - e[26] if n >= 26 else np.nan)
+    assert np.allclose(got.macd.astype(float), want, rtol=0, atol=1e-9, equal_nan=True)
+
+
+def test_flat_series_with_gaps_has_no_macd(spark):
+    for missing in (0, 10, 30, 59):
+        import datetime as dt
+        t0 = dt.datetime(2024, 1, 1)
+        df = spark.createDataFrame([("S", t0 + dt.timedelta(hours=i), 100.0, 100.0, None if i == missing else 100.0) for i in range(60)],
+                                   "symbol string, bar_ts timestamp_ntz, high double, low double, close double")
+        macd = [r.macd for r in indicators_from_bars(df, "hour", indicators=["macd"]).orderBy("bar_no").collect()]
+        assert [m for m in macd if m is not None] == [0.0] * (35 if missing > 25 else 34)
+
+
+def test_only_what_is_asked_for_is_computed(spark):
+    from pricetrend import session
+    bars = events_bars(spark, SF_MAIN, "day")
+    before = len(session._WRITTEN)
+    got = indicators_from_bars(bars, "day", indicators=["sma_10", "stcd"], materialize=False)
+    assert got.columns == [*bars.columns, "bar_no", "price_change", "stcd", "stcd_lag", "movement"] or "sma_10" in got.columns
+    assert got.count() == 150 and len(session._WRITTEN) == before
+    indicators_from_bars(bars, "day", materialize=False).count()
+    assert len(session._WRITTEN) == before
+    whole = indicators_from_bars(bars, "day")
+    blocks = spark.read.parquet([t for t in session._WRITTEN if "/blocks-" in t][-1])
+    assert not [c for c, t in blocks.dtypes if t.startswith("array")]
+    a = whole.select("symbol", "bar_no", "sma_10", "stcd", "stcd_lag")
+    assert a.exceptAll(got.select(*a.columns)).count() == 0
