@@ -514,3 +514,110 @@ def _register_feature_set(name: str, set_name: str, cols: list[str]) -> None:
 
 _register_feature_set("continuous_lagged_features", "continuous_lagged", _CF + LAG_COLS)
 _register_feature_set("trend_superset_features", "trend_superset", _CF + LAG_COLS + TREND_COLS)
+
+
+# ---------------------------------------------------------------- selection and roll-ups
+from pricetrend.plans import signals as SG  # noqa: E402
+
+
+def _signals(spark, sf_dir):
+    return cut_lineage(SG.signal_results(_trends(spark, sf_dir)), "results")
+
+
+def _signal_sql(select: str) -> str:
+    return SG.results_sql(FX, SG.report_sql() + select)
+
+
+_ACC = f"{O.r('accuracy')} AS accuracy"
+_VAL = f"{O.r('value')} AS value"
+_ROW = "symbol, representation, model, grid_index"
+
+
+def _value_rows(df, *more):
+    return spark_round(df.select("symbol", "representation", "model", "grid_index", *more, "value"), ["value"])
+
+
+@register("signal_cv_accuracy", _signal_sql(f"SELECT {_ROW}, {_VAL} FROM res WHERE metric = 'cv_accuracy'"))
+def signal_cv_accuracy(spark, sf_dir):
+    """A2: mean accuracy over five stratified folds of every candidate."""
+    return _value_rows(_signals(spark, sf_dir).where("metric = 'cv_accuracy'"))
+
+
+@register("signal_sweep", _signal_sql(f"SELECT {_ROW}, {_VAL} FROM res WHERE metric = 'test_accuracy'"))
+def signal_sweep(spark, sf_dir):
+    """Every candidate scored on the test split, without folds."""
+    return _value_rows(_signals(spark, sf_dir).where("metric = 'test_accuracy'"))
+
+
+@register("signal_best_params", _signal_sql(f"SELECT {_ROW}, kernel, signal, {_VAL} FROM svm1"))
+def signal_best_params(spark, sf_dir):
+    """The best grid point per series and kernel, ties to the lowest index."""
+    best = X.best_points(_signals(spark, sf_dir))
+    return _value_rows(best, "kernel", F.col("params")["signal"].alias("signal"))
+
+
+@register("signal_svm_per_series", _signal_sql(f"SELECT symbol, representation, {_ACC} FROM per WHERE model = 'svm'"))
+def signal_svm_per_series(spark, sf_dir):
+    """A3: (best of the one kernel + best of the other) / 2."""
+    per = X.svm_summary(_signals(spark, sf_dir))
+    return spark_round(per.select("symbol", "representation", "accuracy"), ["accuracy"])
+
+
+@register("signal_svm_overall", _signal_sql(f"SELECT representation, {_ACC} FROM total WHERE model = 'svm'"))
+def signal_svm_overall(spark, sf_dir):
+    """A4: the mean of A3 over the series."""
+    per = X.svm_summary(_signals(spark, sf_dir))
+    return spark_round(per.groupBy("representation").agg(F.avg("accuracy").alias("accuracy")), ["accuracy"])
+
+
+@register("signal_top3_larger", _signal_sql(f"SELECT {_ROW}, CAST(r AS INTEGER) AS rank, ntrees, {_VAL} FROM rf3"))
+def signal_top3_larger(spark, sf_dir):
+    """Top three by (accuracy, ntrees), larger ntrees first on ties."""
+    return _value_rows(X.rf_top3(_signals(spark, sf_dir)), "rank", "ntrees")
+
+
+@register("signal_top3_earlier", _signal_sql(f"SELECT {_ROW}, CAST(r AS INTEGER) AS rank, {_VAL} FROM mlp3"))
+def signal_top3_earlier(spark, sf_dir):
+    """Top three above zero, earlier grid point first on ties."""
+    return _value_rows(X.mlp_top3(_signals(spark, sf_dir)), "rank")
+
+
+@register("signal_first3", _signal_sql(f"SELECT {_ROW}, {_VAL} FROM res WHERE model = 'rf_cv' AND grid_index < 3"))
+def signal_first3(spark, sf_dir):
+    """The first three grid points, whatever their score."""
+    return _value_rows(X.rf_cv_selected(_signals(spark, sf_dir), "first_k"))
+
+
+@register("signal_series_max", _signal_sql(f"SELECT symbol, representation, model, {O.r('max(value)')} AS value FROM res GROUP BY symbol, representation, model"))
+def signal_series_max(spark, sf_dir):
+    """The running maximum of each series and model."""
+    best = X.series_max(_signals(spark, sf_dir))
+    return spark_round(best, ["value"])
+
+
+@register("signal_overall", _signal_sql(f"SELECT representation, model, {_ACC}, n_series FROM total"))
+def signal_overall(spark, sf_dir):
+    """Each model's roll-up over the series."""
+    return spark_round(X.overall(_signals(spark, sf_dir)), ["accuracy"])
+
+
+@register("signal_rf_first3_overall", _signal_sql(f"""SELECT representation, {O.r('avg(best)')} AS accuracy FROM
+  (SELECT symbol, representation, max(value) AS best FROM res WHERE model = 'rf_cv' AND grid_index < 3 GROUP BY ALL) GROUP BY ALL"""))
+def signal_rf_first3_overall(spark, sf_dir):
+    """A6 over G7: the mean of each series' best among the first three points."""
+    res = X.overall(_signals(spark, sf_dir), "first_k").where("model = 'rf_cv'")
+    return spark_round(res.select("representation", "accuracy"), ["accuracy"])
+
+
+@register("signal_comparison", _signal_sql(f"""SELECT model, {O.r('continuous')} AS continuous, {O.r('trend')} AS trend FROM (
+  SELECT CASE WHEN model = 'rf_cv' THEN 'rf' ELSE model END AS model, max(CASE WHEN representation = 'continuous' THEN accuracy END) AS continuous,
+    max(CASE WHEN representation = 'trend' THEN accuracy END) AS trend FROM total GROUP BY 1)"""))
+def signal_comparison(spark, sf_dir):
+    """One row per model, one column per representation."""
+    return spark_round(X.comparison(_signals(spark, sf_dir)), ["continuous", "trend"])
+
+
+@register("signal_report", _signal_sql(f"SELECT symbol, representation, model, {_ACC}, best_params FROM per"))
+def signal_report(spark, sf_dir):
+    """One row per series, representation and model, with the parameters kept."""
+    return spark_round(X.per_series(_signals(spark, sf_dir)), ["accuracy"])

@@ -115,12 +115,22 @@ def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -
 
 
 # ------------------------------------------------------------------ selection and roll-ups
-def svm_summary(res: DataFrame) -> DataFrame:
-    """G2 + A3: best CV score per (symbol, kernel) (ties: lowest grid index), averaged."""
+def best_points(res: DataFrame) -> DataFrame:
+    """The best grid point by CV score per (symbol, kernel), ties to the lowest index."""
     cv = res.where("model = 'svm' AND metric = 'cv_accuracy'").withColumn(
         "kernel", F.col("params")["kernel"])
-    best = top_k(cv, ["symbol", "representation", "kernel"],
-                 [F.desc("value"), F.asc("grid_index")], 1)
+    return top_k(cv, ["symbol", "representation", "kernel"],
+                 [F.desc("value"), F.asc("grid_index")], 1).drop("rank")
+
+
+def series_max(res: DataFrame) -> DataFrame:
+    """The best value of each (symbol, representation, model)."""
+    return res.groupBy("symbol", "representation", "model").agg(F.max("value").alias("value"))
+
+
+def svm_summary(res: DataFrame) -> DataFrame:
+    """A3: best CV score per (symbol, kernel), averaged."""
+    best = best_points(res)
     return (best.groupBy("symbol", "representation")
             .agg(F.avg("value").alias("accuracy"),
                  F.max(F.when(F.col("kernel") == "poly", F.col("value"))).alias("poly_cv"),
@@ -166,9 +176,7 @@ def per_series(res: DataFrame, selection: str = "best_k") -> DataFrame:
     """One accuracy per (symbol, representation, model) under each model's rule,
     with the parameters that produced it (best points, or the three kept)."""
     keys = ["symbol", "representation"]
-    cv = res.where("model = 'svm' AND metric = 'cv_accuracy'").withColumn(
-        "kernel", F.col("params")["kernel"])
-    best = top_k(cv, keys + ["kernel"], [F.desc("value"), F.asc("grid_index")], 1)
+    best = best_points(res)
     svm_s = (best.groupBy(*keys)
              .agg(F.avg("value").alias("accuracy"), _joined(best, "kernel").alias("best_params"))
              .select(*keys, F.lit("svm").alias("model"), "accuracy", "best_params"))
