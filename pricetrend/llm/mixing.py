@@ -153,7 +153,8 @@ def mix(df: DataFrame, params: MixParams = MixParams(), text: str = "text", sour
     key, copies, again = (fresh_name(df, x) for x in ("key", "copies", "again"))
     taken = planned.select(F.col("key").alias(key), F.col("copies").alias(copies), "rows")
     bodies, here = marked.drop(size), F.col(mark) == F.col(key)
-    out = bodies.join(taken.where("rows = 1").drop("rows"), here)
+    # Merged at every size: the plan grows with the documents, so it is never broadcast.
+    out = bodies.join(taken.where("rows = 1").drop("rows").hint("merge"), here)
     several = taken.where("rows > 1").drop("rows")
     if not several.isEmpty():
         out = out.unionByName(bodies.join(several, here).dropDuplicates([mark]))

@@ -48,7 +48,7 @@ class SimHashParams:
     distance: int = 4
     per_prefix: int = 2048      # distinct fingerprints to a prefix, on average
     least_prefix: int = 8
-    variants_at_once: int = 4_000_000
+    variants_at_once: int = 1_500_000
 
     def __post_init__(self):
         if self.distance < 0 or self.distance % 2:
@@ -214,7 +214,8 @@ def keep_one(df: DataFrame, params: SimHashParams = SimHashParams(), doc_id: str
     keepers = cut_lineage(keepers.withColumnRenamed(doc_id, "kept_id"), "keepers")
     its, its_fp = fresh_name(df, "its_id"), fresh_name(df, "its_fp")
     single = keepers.where((F.col("rows") == 1) & F.col("kept_id").isNotNull()).select(F.col("kept_id").alias(its))
-    once = df.join(single, F.col(doc_id) == F.col(its), "left_semi")
+    # Merged at every size: the keepers grow with the documents, so they are never broadcast.
+    once = df.join(single.hint("merge"), F.col(doc_id) == F.col(its), "left_semi")
     several = keepers.where((F.col("rows") > 1) | F.col("kept_id").isNull())
     if several.isEmpty():
         return once
