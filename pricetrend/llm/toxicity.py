@@ -10,8 +10,9 @@ hash of their id) and ``n_terms`` terms, chosen by chi-square on the examples,
 so the index has a proven size and can be sent to every task. Document counts
 for the IDF are taken over all documents.
 
-Terms are the lower-cased words and the first four and five letters of longer
-words, so that unseen inflections of a stem count. Null texts count as empty.
+Terms are the lower-cased words and the first five and seven letters of longer
+words, so that unseen inflections of a stem count, and repetitions of these (see
+``term_counts``). Null texts count as empty.
 A text without any listed term has no neighbours; its score is the calibrated
 rate of such examples. Repeated rows are scored row by row; repeated labels of
 one id count once, toxic if any is; labels other than 0 and 1 are ignored.
@@ -35,6 +36,8 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from pricetrend.llm.common import cut_lineage, slices, without
 
 LETTERS = re.compile(r"[^\W\d_]+")
+STEMS = (5, 7)          # letters of a word's stems
+LEVELS = (2, 3, 5, 9)   # occurrences that make a term of their own
 BLOCK = 64
 TERM_MEMORY = 300_000
 
@@ -43,27 +46,29 @@ TERM_MEMORY = 300_000
 class ToxicityParams:
     per_class: int = 3000
     n_terms: int = 128
-    min_examples: int = 10
+    min_examples: int = 5
+    min_share: float = 0.02     # of the rarer label's examples that a term must occur in
     neighbours: int = 15
     threshold: float = 0.3
 
 
 def terms_of(word: str) -> list[str]:
     """The terms of a lower-cased word; ``^`` marks a stem."""
-    out = [word]
-    if len(word) > 4:
-        out.append("^" + word[:4])
-    if len(word) > 5:
-        out.append("^" + word[:5])
-    return out
+    return [word, *("^" + word[:k] for k in STEMS if len(word) > k)]
 
 
 def term_counts(text: str | None) -> Counter:
-    """How often each term occurs in the whole text."""
+    """How often each term occurs in the whole text; a term that occurs 2, 3, 5 or 9
+    times also counts once as ``term*2`` and so on."""
     out: Counter = Counter()
     for word, n in Counter(LETTERS.findall((text or "").lower())).items():
         for t in terms_of(word):
             out[t] += n
+    for t, n in list(out.items()):
+        for level in LEVELS:
+            if n < level:
+                break
+            out[f"{t}*{level}"] = 1
     return out
 
 
@@ -71,22 +76,28 @@ class Vocabulary:
     """Counts the listed terms of texts, remembering what each word stands for."""
 
     def __init__(self, terms: list[str]):
-        self.index = {t: i for i, t in enumerate(terms)}
+        self.slots: dict[str, int] = {}
+        self.listed: list[list[tuple[int, int]]] = []   # of each slot: (level, place in the list)
+        for i, t in enumerate(terms):
+            plain, _, level = t.partition("*")
+            if plain not in self.slots:
+                self.slots[plain] = len(self.listed)
+                self.listed.append([])
+            self.listed[self.slots[plain]].append((int(level or 1), i))
         self.of_word: dict[str, tuple[int, ...]] = {}
 
-    def counts(self, text: str | None) -> Counter:
-        out: Counter = Counter()
-        of_word, index = self.of_word, self.index
+    def counts(self, text: str | None) -> dict[int, int]:
+        seen: Counter = Counter()
+        of_word, slots = self.of_word, self.slots
         if len(of_word) > TERM_MEMORY:
             of_word.clear()
-        words = LETTERS.findall((text or "").lower())
-        for word in words:
+        for word in LETTERS.findall((text or "").lower()):
             hits = of_word.get(word)
             if hits is None:
-                hits = of_word[word] = tuple(index[t] for t in terms_of(word) if t in index)
+                hits = of_word[word] = tuple(slots[t] for t in terms_of(word) if t in slots)
             for i in hits:
-                out[i] += 1
-        return out
+                seen[i] += 1
+        return {i: n if level == 1 else 1 for slot, n in seen.items() for level, i in self.listed[slot] if n >= level}
 
 
 def weigh(sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -179,9 +190,10 @@ class BlockMaxIndex:
 
 @dataclass
 class Calibration:
-    """Monotone map from votes to probabilities (pool adjacent violators)."""
+    """Monotone map from votes to probabilities: pooled adjacent violators, a line
+    between one pool's last vote and the next one's first."""
 
-    edges: np.ndarray
+    votes: np.ndarray
     values: np.ndarray
     without: float
 
@@ -191,21 +203,20 @@ class Calibration:
         lone = votes < 0
         without = float(((weights * labels)[lone].sum() + prior) / (weights[lone].sum() + 1.0))
         order = np.argsort(votes[~lone], kind="stable")
-        pools: list[list[float]] = []
+        pools: list[list[float]] = []  # first vote, last vote, toxic weight, weight
         for v, y, w in zip(votes[~lone][order], labels[~lone][order], weights[~lone][order]):
-            pools.append([v, w * y, w])
-            while len(pools) > 1 and (pools[-2][0] == pools[-1][0] or
-                                      pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]):
+            pools.append([v, v, w * y, w])
+            while len(pools) > 1 and (pools[-2][1] == pools[-1][0] or
+                                      pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]):
                 last = pools.pop()
-                pools[-1] = [last[0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
-        return Calibration(np.array([p[0] for p in pools]),
-                           np.array([(p[1] + prior) / (p[2] + 1.0) for p in pools]), without)
+                pools[-1] = [pools[-1][0], last[1], pools[-1][2] + last[2], pools[-1][3] + last[3]]
+        values = np.maximum.accumulate([(p[2] + prior) / (p[3] + 1.0) for p in pools]) if pools else np.zeros(0)
+        return Calibration(np.array([v for p in pools for v in p[:2]]), np.repeat(values, 2), without)
 
     def __call__(self, votes: np.ndarray) -> np.ndarray:
-        if not len(self.edges):
+        if not len(self.votes):
             return np.full(len(votes), self.without)
-        spot = np.minimum(np.searchsorted(self.edges, votes - 1e-12), len(self.edges) - 1)
-        return np.where(votes < 0, self.without, self.values[spot])
+        return np.where(votes < 0, self.without, np.interp(votes, self.votes, self.values))
 
 
 @dataclass
@@ -264,7 +275,7 @@ def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Tox
     chi = n * F.pow(a * n0 - b * n1, F.lit(2.0)) / ((a + b) * (n - a - b + 1.0) * n0 * n1)
     top = (rows.select("y", F.explode("terms").alias("term"))
            .groupBy("term").agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
-           .where(F.col("with1") + F.col("with0") >= params.min_examples)
+           .where(F.col("with1") + F.col("with0") >= max(params.min_examples, params.min_share * min(n0, n1)))
            .select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(params.n_terms))
     return Examples(rows, sorted(r["term"] for r in top.collect()), share)
 
@@ -318,37 +329,58 @@ def fit(examples: Examples, marked: DataFrame, params: ToxicityParams = Toxicity
     return ToxicityModel(params, idf, index, Calibration.fit(votes, y.astype(float), rate[y]))
 
 
+_OUTPUT = {"score": DoubleType(), "vote": DoubleType(), "examples": ArrayType(LongType()), "cosines": ArrayType(DoubleType())}
+
+
+def _judged(m: ToxicityModel, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
+    """The output columns of rows with the given listed terms."""
+    at, sim = m.index.nearest(weigh(sizes, terms, counts, m.idf), m.params.neighbours)
+    votes = m.index.votes(at, sim) if len(m.index.ids) else np.full(len(sizes), -1.0)
+    found = at >= 0
+    offsets = pa.array(np.concatenate([[0], np.cumsum(found.sum(1))]), pa.int32())
+    return [pa.array(m.calibration(votes)), pa.array(votes, mask=votes < 0),
+            pa.ListArray.from_arrays(offsets, pa.array(m.index.ids[at[found]] if found.any() else np.zeros(0, np.int64))),
+            pa.ListArray.from_arrays(offsets, pa.array(sim[found]))]
+
+
 def score(marked: DataFrame, model: ToxicityModel, prefix: str = "toxicity_") -> DataFrame:
     """Rows of ``hits`` with ``<prefix>score``, ``<prefix>vote`` (null without neighbours)
     and the evidence instead of the terms: ``<prefix>examples`` and
     ``<prefix>cosines`` of the nearest examples."""
     used = [prefix + "terms", prefix + "counts"]
-    marked = without(marked, [prefix + x for x in ("score", "vote", "examples", "cosines")])
+    marked = without(marked, [prefix + x for x in _OUTPUT])
     rest = marked.drop(*used)
     carried = [marked.columns.index(c) for c in rest.columns]
     at_terms, at_counts = (marked.columns.index(c) for c in used)
-    kinds = {"score": DoubleType(), "vote": DoubleType(), "examples": ArrayType(LongType()), "cosines": ArrayType(DoubleType())}
-    schema = StructType([*rest.schema.fields, *(StructField(prefix + x, k) for x, k in kinds.items())])
+    schema = StructType([*rest.schema.fields, *(StructField(prefix + x, k) for x, k in _OUTPUT.items())])
     shared = marked.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
         for part in slices(batches, 1024):
-            sizes = np.diff(part.column(at_terms).offsets.to_numpy())
-            vectors = weigh(sizes, part.column(at_terms).flatten().to_numpy(),
-                            part.column(at_counts).flatten().to_numpy().astype(np.float64), m.idf)
-            at, sim = m.index.nearest(vectors, m.params.neighbours)
-            votes = m.index.votes(at, sim) if len(m.index.ids) else np.full(len(vectors), -1.0)
-            found = at >= 0
-            offsets = pa.array(np.concatenate([[0], np.cumsum(found.sum(1))]), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [*(part.column(c) for c in carried), pa.array(m.calibration(votes)), pa.array(votes, mask=votes < 0),
-                 pa.ListArray.from_arrays(offsets, pa.array(m.index.ids[at[found]] if found.any() else np.zeros(0, np.int64))),
-                 pa.ListArray.from_arrays(offsets, pa.array(sim[found]))], schema.names)
+            made = _judged(shared.value, np.diff(part.column(at_terms).offsets.to_numpy()), part.column(at_terms).flatten().to_numpy(),
+                           part.column(at_counts).flatten().to_numpy().astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *made], schema.names)
 
     return marked.mapInArrow(run, schema)
 
 
+def score_texts(documents: DataFrame, terms: list[str], model: ToxicityModel, text: str = "text", prefix: str = "toxicity_") -> DataFrame:
+    """``hits`` and ``score`` in one pass: ``documents`` with the columns that ``score`` adds."""
+    documents = without(documents, [prefix + x for x in _OUTPUT])
+    schema = StructType([*documents.schema.fields, *(StructField(prefix + x, k) for x, k in _OUTPUT.items())])
+    place, shared = documents.columns.index(text), documents.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(terms)
+        for part in slices(batches):
+            got = [vocabulary.counts(t) for t in part.column(place).to_pylist()]
+            made = _judged(shared.value, np.array([len(c) for c in got], np.int64), np.array([t for c in got for t in c], np.int64),
+                           np.array([n for c in got for n in c.values()], np.float64))
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], schema.names)
+
+    return documents.mapInArrow(run, schema)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     """Whether an id's label is kept for testing: crc32 of the id as text, mod 4, is 2."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))

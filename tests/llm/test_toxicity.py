@@ -54,7 +54,10 @@ def run(docs, labels, **more):
     examples = toxicity.choose(docs, labels, params, learn_from=~toxicity.held_out())
     marked = toxicity.hits(docs, examples.terms)
     model = toxicity.fit(examples, marked, params)
-    return toxicity.score(marked, model).collect(), model
+    got = toxicity.score(marked, model).collect()
+    once = toxicity.score_texts(docs, examples.terms, model)
+    assert sorted(map(str, once.select(*toxicity.score(marked, model).columns).collect())) == sorted(map(str, got))
+    return got, model
 
 
 def test_held_out_accuracy_and_odd_rows(spark):
