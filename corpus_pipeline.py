@@ -31,9 +31,8 @@ from pricetrend.session import checkpoint_dir
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     examples = toxicity.choose(docs, table(spark, sf_dir, "labels"), learn_from=~toxicity.held_out())
     prefix = "toxicity_of_stage_"
-    marked = toxicity.hits(docs, examples.terms, prefix=prefix)
-    model = toxicity.fit(examples, marked, prefix=prefix)
-    scored = toxicity.score(marked, model, prefix=prefix)
+    model = toxicity.fit(examples, toxicity.hits(docs.select("text"), examples.terms, prefix=prefix), prefix=prefix)
+    scored = toxicity.score_texts(docs, examples.terms, model, prefix=prefix)
     return scored.where(F.col(prefix + "score") < model.params.threshold).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
