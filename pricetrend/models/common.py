@@ -1,4 +1,4 @@
-"""Shared model plumbing: feature vectors, CV group expansion, thread pool."""
+"""Shared model plumbing: feature vectors, the list of series, thread pool."""
 
 from __future__ import annotations
 
@@ -13,39 +13,9 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame
     return VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep").transform(df)
 
 
-def cv_groups(prep: DataFrame, n_folds: int, with_full: bool = True) -> DataFrame:
-    """Expand training rows into the (symbol, fold) problems of k-fold CV.
-
-    A training row in fold f is copied into every group g != f (it trains
-    them) and tagged as the held-out row of group f. ``with_full`` adds group
-    -1: all training rows train it and the test rows score it. Columns:
-    ``cv_fold`` (the group's fold, -1 = full), ``role`` in {fit, score}.
-    """
-    folds = F.array(*[F.lit(i) for i in range(n_folds)])
-    train = prep.where("is_train")
-    fit = (train.withColumn("cv_fold", F.explode(F.filter(folds, lambda g: g != F.col("fold"))))
-           .withColumn("role", F.lit("fit")))
-    held = train.withColumn("cv_fold", F.col("fold")).withColumn("role", F.lit("score"))
-    parts = [fit, held]
-    if with_full:
-        parts.append(train.withColumn("cv_fold", F.lit(-1)).withColumn("role", F.lit("fit")))
-        parts.append(prep.where("is_test").withColumn("cv_fold", F.lit(-1))
-                     .withColumn("role", F.lit("score")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def right_size(df: DataFrame, rows: int, rows_per_partition: int = 200_000) -> DataFrame:
-    """Repartition an iterative learner's input to ceil(rows / rows_per_partition).
-
-    Every optimiser iteration is one job over all partitions; small inputs on
-    many partitions pay that per-task overhead on each iteration, large ones
-    keep enough partitions to spread the work.
-    """
-    n = max(1, -(-rows // rows_per_partition))
-    return df.repartition(n) if n > 1 else df.coalesce(1)
+def series_of(prep: DataFrame) -> list[str]:
+    """The series, one row each: the study fits its forests and networks per series."""
+    return sorted(r["symbol"] for r in prep.select("symbol").distinct().collect() if r["symbol"] is not None)
 
 
 def run_parallel(fns, parallelism: int | None = None):

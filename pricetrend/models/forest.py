@@ -20,12 +20,14 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from pricetrend.models.common import assemble, right_size, run_parallel
+from pricetrend.models.common import assemble, run_parallel, series_of
 
 # The study's tree counts, 10 to 200 in steps of 10.
 TREE_COUNTS = list(range(10, 201, 10))
 # Deepest tree Spark grows; stands in for unlimited depth.
 MAX_DEPTH_UNLIMITED = 30
+# Split points considered per feature; Spark bins continuous features.
+MAX_BINS = 64
 
 
 def block_size(counts: list[int]) -> int:
@@ -66,15 +68,10 @@ def _metrics(spark, parts: list, schema: str) -> DataFrame:
 
 def _forest(n_trees: int, max_depth: int, seed: int) -> RandomForestClassifier:
     return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth,
-                                  featureSubsetStrategy="sqrt", seed=seed,
+                                  maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed,
                                   labelCol="label", featuresCol="features")
 
 
-def _sizes(prep: DataFrame) -> dict[str, int]:
-    """Row count per series (one row per symbol), to launch and size one fit per series."""
-    return {r.symbol: r.n for r in prep.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).collect()}
-
-
 def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism) -> dict:
     """Fit every (key, block) forest side by side; returns key -> list of block models.
 
@@ -94,31 +91,42 @@ def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism)
 def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
              max_depth: int = MAX_DEPTH_UNLIMITED, seed: int = 42,
              parallelism: int | None = None) -> DataFrame:
-    """M4 + G4: test accuracy per (symbol, ntrees), trained on the training rows."""
+    """M4 + G4: test accuracy per (symbol, ntrees), trained on the training rows.
+
+    ``max_depth`` and ``max_bins`` are reported: Spark's trees are at most 30 deep and
+    choose among that many binned split points.
+    """
     x = assemble(prep, cols).withColumn("label", F.col("movement").cast("double"))
-    sizes = _sizes(prep)
-    per = {s: right_size(x.where(F.col("symbol") == s), n).cache() for s, n in sizes.items()}
-    models = _grow({s: d.where("is_train") for s, d in per.items()}, counts, max_depth, seed,
-                   parallelism)
-    parts = [lambda s=s: prefix_accuracy(models[s], block_size(counts), per[s].where("is_test"),
-                                         counts, ["symbol"]) for s in sorted(per)]
-    out = _metrics(prep.sparkSession, parts, "symbol string, ntrees int, correct long, n long")
-    return out.select("symbol", "ntrees", (F.col("correct") / F.col("n")).alias("accuracy"))
+    per = {s: x.where(F.col("symbol") == s).persist() for s in series_of(prep)}
+    try:
+        models = _grow({s: d.where("is_train") for s, d in per.items()}, counts, max_depth, seed, parallelism)
+        parts = [lambda s=s: prefix_accuracy(models[s], block_size(counts), per[s].where("is_test"),
+                                             counts, ["symbol"]) for s in sorted(per)]
+        out = _metrics(prep.sparkSession, parts, "symbol string, ntrees int, correct long, n long")
+    finally:
+        for d in per.values():
+            d.unpersist()
+    return out.select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"),
+                      (F.col("correct") / F.col("n")).alias("accuracy"))
 
 
 def rf_cv(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS, n_folds: int = 5,
           max_depth: int = 1, seed: int = 42, parallelism: int | None = None) -> DataFrame:
     """M5 + G1: mean k-fold CV accuracy per (symbol, ntrees) of depth-``max_depth`` forests."""
     x = assemble(prep.where("is_train"), cols).withColumn("label", F.col("movement").cast("double"))
-    sizes = _sizes(prep)
-    per = {s: right_size(x.where(F.col("symbol") == s), n).cache() for s, n in sizes.items()}
-    jobs = {(s, f): per[s].where(F.col("fold") != f) for s in per for f in range(n_folds)}
-    models = _grow(jobs, counts, max_depth, seed, parallelism)
-    parts = [lambda s=s, f=f: prefix_accuracy(
-        models[(s, f)], block_size(counts),
-        per[s].where(F.col("fold") == f).withColumn("cv_fold", F.lit(f)),
-        counts, ["symbol", "cv_fold"]) for (s, f) in jobs]
-    out = _metrics(prep.sparkSession, parts,
-                   "symbol string, cv_fold int, ntrees int, correct long, n long")
+    per = {s: x.where(F.col("symbol") == s).persist() for s in series_of(prep)}
+    try:
+        jobs = {(s, f): per[s].where(F.col("fold") != f) for s in per for f in range(n_folds)}
+        models = _grow(jobs, counts, max_depth, seed, parallelism)
+        parts = [lambda s=s, f=f: prefix_accuracy(
+            models[(s, f)], block_size(counts),
+            per[s].where(F.col("fold") == f).withColumn("cv_fold", F.lit(f)),
+            counts, ["symbol", "cv_fold"]) for (s, f) in jobs]
+        out = _metrics(prep.sparkSession, parts,
+                       "symbol string, cv_fold int, ntrees int, correct long, n long")
+    finally:
+        for d in per.values():
+            d.unpersist()
     return (out.withColumn("acc", F.col("correct") / F.col("n"))
-            .groupBy("symbol", "ntrees").agg(F.avg("acc").alias("cv_accuracy")))
+            .groupBy("symbol", "ntrees").agg(F.avg("acc").alias("cv_accuracy"))
+            .select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"), "cv_accuracy"))

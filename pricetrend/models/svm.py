@@ -1,42 +1,45 @@
-"""M1-M3: support-vector classifiers with polynomial and RBF feature maps.
-
-Kernel SVC has no distributed Spark counterpart; the kernels are replaced by
-explicit feature maps feeding ``LinearSVC``:
-
-* poly, degree d: ``PolynomialExpansion(d)`` (all monomials up to d);
-* rbf, gamma: random Fourier features z = sqrt(2/D) cos(Wx + b),
-  W ~ N(0, 2*gamma), b ~ U[0, 2*pi], fixed seed (Rahimi & Recht, 2007).
-
-All (symbol, CV fold) problems of a batch of series are solved by *one* fit
-per grid point (batches keep groups x features under a fixed budget): the
-group id is one-hot encoded and ``Interaction`` places each row's features
-(plus a constant 1 acting as the group's intercept) in its group's block, so
-the blocks do not interact. With uniform row weights and regParam =
-1 / (C * rows), each block's objective is
-    (1/n_g) * sum hinge + 1/(2 * C * n_g) * ||w_g||^2,
-the per-sample form of C * sum hinge + ||w||^2 / 2 for that group.
+"""M1-M3: support-vector classifiers with polynomial and RBF kernels.
+
+Kernel solvers need all pairs of rows; here the kernels are explicit feature
+maps, so training is sums over rows:
+
+* poly, degree d: the monomials of total degree d, each weighted by
+  ``sqrt(multinomial) * gamma^(d/2)`` with gamma = 1 / features. Products of
+  two mapped rows equal the homogeneous kernel ``(gamma * x.z)^d`` exactly;
+* rbf, gamma: ``n_components`` random Fourier features (Rahimi & Recht, 2007) with
+  a fixed seed, an approximation whose width is a parameter and is reported.
+
+Every (series, fold, C) is a problem of its own:
+``mean(hinge) + |w|^2 / (2 * C * rows)`` with a free intercept, the hinge
+smoothed over ``smooth`` around its corner. A pass over the data gives the
+values and gradients of all problems: a row is mapped once for each kernel
+setting and serves all folds and all C. The L-BFGS state, step and stop of a
+problem depend on its own values only, so its answer is the same whichever
+other series are in the batch. A problem stops when its gradient or its gain
+falls below the tolerance; ``converged`` says whether that was before
+``max_passes``.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import combinations_with_replacement
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.classification import LinearSVC
-from pyspark.ml.functions import array_to_vector
-from pyspark.ml.feature import (Interaction, OneHotEncoder, PolynomialExpansion,
-                                StringIndexer, VectorAssembler)
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from pricetrend.models.common import cv_groups, right_size, run_parallel
-
 # The study's SVM grids.
 POLY_DEGREES = [1, 2, 3, 4]
 POLY_C = [0.5, 1, 5, 10, 100]
 RBF_GAMMAS = [0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 10.0]
 RBF_C = [0.5, 1, 5, 10]
 
+CHUNK = 8192        # doubles of a gradient that travel as one row
+
 
 def poly_grid(degrees=POLY_DEGREES, cs=POLY_C) -> list[dict]:
     return [{"kernel": "poly", "degree": d, "C": c} for d in degrees for c in cs]
@@ -46,102 +49,247 @@ def rbf_grid(gammas=RBF_GAMMAS, cs=RBF_C) -> list[dict]:
     return [{"kernel": "rbf", "gamma": g, "C": c} for g in gammas for c in cs]
 
 
-def rff_matrix(n_features: int, gamma: float, n_components: int = 64, seed: int = 42):
-    """W ~ N(0, 2*gamma) and b ~ U[0, 2*pi] for an RBF kernel of width gamma."""
-    rng = np.random.default_rng(seed)
-    g = rng.standard_normal((n_components, n_features))
-    b = rng.uniform(0.0, 2.0 * math.pi, n_components)
-    return g * math.sqrt(2.0 * gamma), b
+@dataclass(frozen=True)
+class SvmParams:
+    n_components: int = 128
+    seed: int = 42
+    smooth: float = 0.1
+    tolerance: float = 1e-3     # of the largest gradient component
+    gain: float = 1e-6          # relative gain of an accepted step
+    max_passes: int = 120
+    memory: int = 10
+    state_bytes: int = 1 << 29  # series are solved in batches whose states fit in this
 
 
-def rff_features(df: DataFrame, cols: list[str], gamma: float, out: str,
-                 n_components: int = 64, seed: int = 42) -> DataFrame:
-    """Random Fourier features as a vector column: sqrt(2/D) * cos(W x + b).
+class FeatureMap:
+    """The mapped rows of one kernel setting, with a last column of ones."""
 
-    One matrix product per Arrow batch (a pandas UDF); the D x d projection is
-    a few kilobytes shipped with the function.
-    """
-    w, b = rff_matrix(len(cols), gamma, n_components, seed)
-    scale = math.sqrt(2.0 / n_components)
+    def __init__(self, n_features: int, setting: tuple, params: SvmParams):
+        kind, value = setting
+        self.kind = kind
+        if kind == "poly":
+            chosen = list(combinations_with_replacement(range(n_features), value))
+            self.columns = np.array(chosen, np.int64).reshape(len(chosen), value)
+            ways = [math.factorial(value) / math.prod(math.factorial(n) for n in Counter(c).values()) for c in chosen]
+            self.weights = np.sqrt(ways) * n_features ** (-value / 2)
+            self.width = len(chosen) + 1
+        else:
+            rng = np.random.default_rng(params.seed)
+            self.w = rng.standard_normal((n_features, params.n_components)) * math.sqrt(2.0 * value)
+            self.b = rng.uniform(0.0, 2.0 * math.pi, params.n_components)
+            self.width = params.n_components + 1
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        if self.kind == "poly":
+            out = np.ones((len(x), len(self.columns)))
+            for k in range(self.columns.shape[1]):
+                out *= x[:, self.columns[:, k]]
+            out *= self.weights
+        else:
+            out = math.sqrt(2.0 / len(self.b)) * np.cos(x @ self.w + self.b)
+        return np.concatenate([out, np.ones((len(x), 1))], axis=1)
+
+
+class Problems:
+    """L-BFGS for several independent problems at once (rows: problems)."""
+
+    def __init__(self, n: int, width: int, params: SvmParams):
+        self.p = params
+        self.w, self.g = np.zeros((n, width)), np.zeros((n, width))
+        self.f, self.step = np.full(n, np.inf), np.ones(n)
+        self.move = np.zeros((n, width))
+        self.s = np.zeros((params.memory, n, width))
+        self.y = np.zeros((params.memory, n, width))
+        self.rho = np.zeros((params.memory, n))
+        self.active, self.converged = np.ones(n, bool), np.zeros(n, bool)
+        self.passes = np.zeros(n, np.int64)
+
+    def point(self) -> np.ndarray:
+        """Where the next pass is to evaluate."""
+        return self.w + self.step[:, None] * self.move
 
-    @F.pandas_udf("array<double>")
-    def project(x: pd.Series) -> pd.Series:
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        z = scale * np.cos(np.vstack(x.to_numpy()) @ w.T + b)
-        return pd.Series(list(z))
+    def _direction(self, rows: np.ndarray) -> np.ndarray:
+        q = self.g[rows].copy()
+        alphas = []
+        for s, y, rho in zip(self.s[::-1], self.y[::-1], self.rho[::-1]):
+            a = rho[rows] * (s[rows] * q).sum(1)
+            q -= a[:, None] * y[rows]
+            alphas.append(a)
+        yy = (self.y[:, rows] ** 2).sum(2)
+        last = np.argmax((self.rho[:, rows] > 0) * np.arange(1, len(self.rho) + 1)[:, None], axis=0)
+        at = np.arange(q.shape[0])
+        known = self.rho[last, rows] > 0
+        scale = np.where(known, 1.0 / np.maximum(1e-300, self.rho[last, rows] * yy[last, at]),
+                         1.0 / np.maximum(1.0, np.sqrt((q * q).sum(1))))
+        q *= scale[:, None]
+        for s, y, rho, a in zip(self.s, self.y, self.rho, alphas[::-1]):
+            b = rho[rows] * (y[rows] * q).sum(1)
+            q += (a - b)[:, None] * s[rows]
+        return -q
 
-    return df.withColumn(out, array_to_vector(project(F.array(*[F.col(c) for c in cols]))))
+    def learn(self, f: np.ndarray, g: np.ndarray) -> None:
+        """Take the values and gradients at ``point()`` and choose the next points."""
+        p, live = self.p, self.active
+        self.passes[live] += 1
+        slope = (self.move * self.g).sum(1)
+        first = ~np.isfinite(self.f)
+        good = live & (first | (f <= self.f + 1e-4 * self.step * slope + 1e-15))
+        here = self.point()
+        s, y = here - self.w, g - self.g
+        sy = (s * y).sum(1)
+        keep = good & ~first & (sy > 1e-12)
+        self.s, self.y, self.rho = (np.roll(a, -1, axis=0) for a in (self.s, self.y, self.rho))
+        self.s[-1], self.y[-1] = np.where(keep[:, None], s, 0.0), np.where(keep[:, None], y, 0.0)
+        self.rho[-1] = np.where(keep, 1.0 / np.where(keep, sy, 1.0), 0.0)
+        small = np.abs(g).max(1) <= p.tolerance
+        little = ~first & (self.f - f <= p.gain * np.maximum(1e-12, np.abs(self.f)))
+        done = good & (small | little)
+        self.w[good], self.f[good], self.g[good] = here[good], f[good], g[good]
+        self.converged |= done
+        worse = live & ~good
+        self.step[worse] *= 0.5
+        stuck = worse & (self.step < 1e-6)
+        self.active &= ~(done | stuck)
+        rows = np.flatnonzero(good & self.active)
+        if len(rows):
+            move = self._direction(rows)
+            uphill = (move * self.g[rows]).sum(1) >= 0
+            move[uphill] = -self.g[rows][uphill]
+            self.move[rows], self.step[rows] = move, 1.0
+        self.move[~self.active] = 0.0
 
 
-def _feature_dim(n: int, p: dict, n_components: int) -> int:
-    if p["kernel"] == "poly":
-        return math.comb(n + p["degree"], p["degree"])   # monomials incl. the bias slot
-    return n_components + 1
+def _settings(grid: list[dict]) -> dict[tuple, list[tuple[int, float]]]:
+    """(kernel, degree or gamma) -> the grid points (index, C) that share its map."""
+    out: dict[tuple, list[tuple[int, float]]] = {}
+    for i, p in enumerate(grid):
+        key = ("poly", p["degree"]) if p["kernel"] == "poly" else ("rbf", p["gamma"])
+        out.setdefault(key, []).append((i, float(p["C"])))
+    return out
+
+
+def _pass(prep: DataFrame, cols: list[str], maps: dict[tuple, FeatureMap], points: dict[tuple, np.ndarray], n_folds: int,
+          smooth: float, score: bool) -> dict[tuple, np.ndarray]:
+    """Sums over the rows for every (symbol, setting) of ``points`` (problems x width,
+    problem = C * groups + group): the hinge and its gradient, or the right answers.
+
+    Group g < n_folds trains on the training rows of the other folds and is
+    scored on its own; the last group trains on all and is scored on the test rows.
+    """
+    spark = prep.sparkSession
+    shared = spark.sparkContext.broadcast((maps, points))
+    groups = n_folds + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        maps, points = shared.value
+        sums: dict[tuple, np.ndarray] = {}
+        wanted = {s for s, _ in points}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            names = np.array(table.column("symbol").to_pylist(), dtype=object)
+            for symbol in {s for s in names.tolist() if s in wanted}:
+                mine = np.flatnonzero(names == symbol)
+                for at in range(0, len(mine), 1024):
+                    part = table.take(pa.array(mine[at:at + 1024]))
+                    x = np.stack([part.column(c).to_numpy() for c in cols], axis=1).astype(np.float64)
+                    y = np.where(part.column("movement").to_numpy() == 1, 1.0, -1.0)
+                    fold, train = part.column("fold").to_numpy(), np.array(part.column("is_train").to_pylist(), bool)
+                    other = np.stack([train & (fold != g) for g in range(n_folds)] + [train], axis=1)
+                    own = np.stack([train & (fold == g) for g in range(n_folds)] + [~train], axis=1)
+                    use = (own if score else other).astype(np.float64)
+                    for (s, setting), w in points.items():
+                        if s != symbol:
+                            continue
+                        phi = maps[setting](x)
+                        margin = (phi @ w.T) * y[:, None]
+                        mask = np.tile(use, (1, len(w) // groups))
+                        if score:
+                            # no margin is class 0, as in a hard threshold at zero
+                            right = np.where(y[:, None] > 0, margin > 0, margin >= 0)
+                            got = np.concatenate([(right * mask).sum(0), mask.sum(0)])
+                        else:
+                            z = 1.0 - margin
+                            slope = np.clip(z / smooth, 0.0, 1.0) * mask
+                            loss = np.where(z <= 0, 0.0, np.where(z < smooth, z * z / (2 * smooth), z - smooth / 2)) * mask
+                            grad = -(slope * y[:, None]).T @ phi
+                            got = np.concatenate([loss.sum(0), grad.ravel()])
+                        key = (s, setting)
+                        sums[key] = sums[key] + got if key in sums else got
+        ids = {k: i for i, k in enumerate(points)}
+        for key, v in sums.items():
+            n = -(-len(v) // CHUNK)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[key]] * n, pa.int32()), pa.array(range(n), pa.int32()),
+                 pa.array([v[i * CHUNK:(i + 1) * CHUNK].tobytes() for i in range(n)], pa.binary())], ["key", "chunk", "sums"])
+
+    def total(group: pa.Table) -> pa.Table:
+        v = sum(np.frombuffer(b) for b in group.column("sums").to_pylist())
+        return pa.table({"key": group.column("key")[:1], "chunk": group.column("chunk")[:1], "sums": pa.array([v.tobytes()], pa.binary())})
+
+    schema = "key int, chunk int, sums binary"
+    rows = prep.mapInArrow(run, schema).groupBy("key", "chunk").applyInArrow(total, schema).collect()
+    shared.unpersist()
+    keys = list(points)
+    out: dict[tuple, list] = {}
+    for r in sorted(rows, key=lambda r: (r["key"], r["chunk"])):
+        out.setdefault(keys[r["key"]], []).append(np.frombuffer(r["sums"]))
+    return {k: np.concatenate(v) for k, v in out.items()}
 
 
 def svm_cv(prep: DataFrame, cols: list[str], grid: list[dict], n_folds: int = 5,
-           max_iter: int = 50, parallelism: int = 4, max_dims: int = 2_000_000,
-           n_components: int = 64) -> DataFrame:
+           params: SvmParams = SvmParams()) -> DataFrame:
     """G1/A2: per (symbol, grid point): mean CV accuracy and test accuracy.
 
-    Series are stacked ``per_fit`` at a time, so that groups x feature
-    dimension stays under ``max_dims`` (bounded optimiser state whatever the
-    number of series). Returns symbol, grid_index, kernel, degree, gamma, C,
-    cv_accuracy, test_accuracy (the full-train model on the test rows).
+    ``prep`` is read once a pass; write it first. Returns symbol, grid_index,
+    kernel, degree, gamma, C, n_components (null for poly: exact), cv_accuracy,
+    test_accuracy (the full-train model on the test rows), converged and
+    passes (the most of the point's problems).
     """
     spark = prep.sparkSession
-    n_groups_per_symbol = n_folds + 1
-    sym_idx = StringIndexer(inputCol="symbol", outputCol="_si", stringOrderType="alphabetAsc").fit(prep)
-    n_symbols = len(sym_idx.labels)
-    groups = sym_idx.transform(cv_groups(prep, n_folds))
-    n_all = groups.count()
-    groups = right_size(groups, n_all).cache()
-
-    def fit_batch(i: int, p: dict, per_fit: int, batch: int):
-        x = groups.where(F.floor(F.col("_si") / per_fit) == batch)
-        # group id inside the batch: (symbol slot, fold slot); -1 (full train) -> slot 0
-        x = x.withColumn("gid", ((F.col("_si") - batch * per_fit) * n_groups_per_symbol
-                                 + F.col("cv_fold") + 1).cast("double"))
-        x = x.withColumn("_one", F.lit(1.0))
-        if p["kernel"] == "poly":
-            x = VectorAssembler(inputCols=cols, outputCol="_x").transform(x)
-            x = PolynomialExpansion(degree=p["degree"], inputCol="_x", outputCol="_px").transform(x)
-            x = VectorAssembler(inputCols=["_px", "_one"], outputCol="_xb").transform(x)
-        else:
-            x = rff_features(x, cols, p["gamma"], "_rff", n_components)
-            x = VectorAssembler(inputCols=["_rff", "_one"], outputCol="_xb").transform(x)
-        enc = OneHotEncoder(inputCol="gid", outputCol="_g", dropLast=False)
-        x = enc.fit(x).transform(x)
-        x = Interaction(inputCols=["_g", "_xb"], outputCol="features").transform(x)
-        x = x.withColumn("label", F.col("movement").cast("double"))
-        # regParam = 1 / (C * rows): with uniform weights each block gets 1 / (C * n_g)
-        train = x.where("role = 'fit'").select("features", "label").cache()
-        n_fit = train.count()
-        svc = LinearSVC(regParam=1.0 / (p["C"] * n_fit), maxIter=max_iter, fitIntercept=False,
-                        standardization=False)
-        model = svc.fit(train)
-        train.unpersist()
-        scored = model.transform(x.where("role = 'score'"))
-        acc = (scored.groupBy("symbol", "cv_fold")
-               .agg(F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("acc")))
-        out = acc.groupBy("symbol").agg(
-            F.avg(F.when(F.col("cv_fold") >= 0, F.col("acc"))).alias("cv_accuracy"),
-            F.max(F.when(F.col("cv_fold") < 0, F.col("acc"))).alias("test_accuracy"))
-        return out.select("symbol", F.lit(i).alias("grid_index"), F.lit(p["kernel"]).alias("kernel"),
-                          F.lit(p.get("degree")).cast("int").alias("degree"),
-                          F.lit(p.get("gamma")).cast("double").alias("gamma"),
-                          F.lit(float(p["C"])).alias("C"), "cv_accuracy", "test_accuracy")
-
-    jobs = []
-    for i, p in enumerate(grid):
-        dim = _feature_dim(len(cols), p, n_components)
-        per_fit = max(1, max_dims // (dim * n_groups_per_symbol))
-        for batch in range(-(-n_symbols // per_fit)):
-            jobs.append(lambda i=i, p=p, k=per_fit, b=batch: fit_batch(i, p, k, b))
-    # Fits are actions and run side by side; scoring stays lazy (one job on use).
-    parts = run_parallel(jobs, parallelism)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    prep = prep.select("symbol", "movement", "fold", "is_train", *cols)
+    settings = _settings(grid)
+    maps = {s: FeatureMap(len(cols), s, params) for s in settings}
+    groups = n_folds + 1
+    counts = prep.groupBy("symbol").agg(
+        *[F.count(F.when(F.col("is_train") & (F.col("fold") != g), 1)).alias(f"n{g}") for g in range(n_folds)],
+        F.count(F.when(F.col("is_train"), 1)).alias(f"n{n_folds}")).collect()  # a row per series
+    size = {r["symbol"]: np.array([max(1, r[f"n{g}"]) for g in range(groups)], float) for r in counts if r["symbol"] is not None}
+    each = sum(8 * (2 * params.memory + 4) * maps[s].width * len(p) * groups for s, p in settings.items())
+    at_once = max(1, params.state_bytes // each)
+    rows = []
+    symbols = sorted(size)
+    for start in range(0, len(symbols), at_once):
+        part = symbols[start:start + at_once]
+        solve = {(s, k): Problems(len(p) * groups, maps[k].width, params) for s in part for k, p in settings.items()}
+        cost = {key: np.repeat([c for _, c in settings[key[1]]], groups) * np.tile(size[key[0]], len(settings[key[1]])) for key in solve}
+        for _ in range(params.max_passes):
+            open_ = {k: q for k, q in solve.items() if q.active.any()}
+            if not open_:
+                break
+            points = {k: q.point() for k, q in open_.items()}
+            got = _pass(prep, cols, maps, points, n_folds, params.smooth, False)
+            for key, q in open_.items():
+                w, n = points[key], len(q.f)
+                rows_of = np.tile(size[key[0]], n // groups)
+                v = got.get(key, np.zeros(n * (1 + maps[key[1]].width)))
+                ridge = w.copy()
+                ridge[:, -1] = 0.0  # the intercept is free
+                f = v[:n] / rows_of + 0.5 * (ridge ** 2).sum(1) / cost[key]
+                g = v[n:].reshape(n, -1) / rows_of[:, None] + ridge / cost[key][:, None]
+                q.learn(f, g)
+        scored = _pass(prep, cols, maps, {k: q.w for k, q in solve.items()}, n_folds, params.smooth, True)
+        for (symbol, setting), q in solve.items():
+            n = len(q.f)
+            v = scored[symbol, setting]
+            right, seen = v[:n].reshape(-1, groups), v[n:].reshape(-1, groups)
+            acc = np.divide(right, seen, out=np.full_like(right, np.nan), where=seen > 0)
+            for j, (i, c) in enumerate(settings[setting]):
+                folds = acc[j, :n_folds][~np.isnan(acc[j, :n_folds])]
+                rows.append((symbol, i, setting[0], setting[1] if setting[0] == "poly" else None,
+                             float(setting[1]) if setting[0] == "rbf" else None, c,
+                             params.n_components if setting[0] == "rbf" else None,
+                             float(folds.mean()) if len(folds) else None,
+                             None if np.isnan(acc[j, n_folds]) else float(acc[j, n_folds]),
+                             bool(q.converged.reshape(-1, groups)[j].all()), int(q.passes.reshape(-1, groups)[j].max())))
+    return spark.createDataFrame(rows, "symbol string, grid_index int, kernel string, degree int, gamma double, C double, "
+                                       "n_components int, cv_accuracy double, test_accuracy double, converged boolean, passes int")

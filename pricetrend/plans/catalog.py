@@ -347,9 +347,12 @@ ORACLE["gnb_overall"] = "\nUNION ALL\n".join(
     for rep in ("continuous", "trend"))
 
 # ---------------------------------------------------------------- learned models (rows-only checks)
+from functools import reduce  # noqa: E402
+
 from pricetrend.models import mlp as _mlp  # noqa: E402
+from pricetrend.models import svm as _svm  # noqa: E402
 from pricetrend.plans import experiments as X  # noqa: E402
-from pricetrend.session import cut_lineage  # noqa: E402
+from pricetrend.session import is_written, last_written  # noqa: E402
 
 RESULT_COLS = ["symbol", "representation", "model", "grid_index", "metric", "value"]
 
@@ -367,118 +370,145 @@ def _panel(spark, sf_dir):
     return _trends(spark, sf_dir)
 
 
+def _family(spark, sf_dir, family: str, rep: str, *more) -> DataFrame:
+    """The results table of one family on one representation, with the full grid.
+
+    Fitting is by far the dearest step and several queries report on the same fits,
+    so a session keeps the written table of each until the tables are released.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, family, rep, *more)
+    if not is_written(_RESULTS.get(key, "")):
+        if family == "svm" and more:
+            res = X.svm_results(_panel(spark, sf_dir), rep, X.GridConfig(svm=_svm.rbf_grid()), feature_set=more[0])
+        else:
+            res = X.family_results(_panel(spark, sf_dir), family, rep)
+        cut_lineage(res, f"results-{family}-{rep}")
+        _RESULTS[key] = last_written()
+    return spark.read.parquet(_RESULTS[key])
+
+
+_RESULTS: dict[tuple, str] = {}
+
+
+def _families(spark, sf_dir, wanted=None) -> DataFrame:
+    parts = [_family(spark, sf_dir, f, rep) for rep in ("continuous", "trend") for f in X.families(rep) if wanted is None or f in wanted]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @register("svm_poly_cv")
 def svm_poly_cv(spark, sf_dir):
-    cfg = X.GridConfig(svm=[p for p in X.QUICK_GRIDS.svm if p["kernel"] == "poly"])
-    return _res(X.svm_results(_panel(spark, sf_dir), "continuous", cfg))
+    """M1: all 20 points of the polynomial grid."""
+    return _res(_family(spark, sf_dir, "svm", "continuous").where("params['kernel'] = 'poly'"))
 
 
 @register("svm_rbf_cv")
 def svm_rbf_cv(spark, sf_dir):
-    cfg = X.GridConfig(svm=[p for p in X.QUICK_GRIDS.svm if p["kernel"] == "rbf"])
-    return _res(X.svm_results(_panel(spark, sf_dir), "continuous", cfg))
+    """M2: all 44 points of the RBF grid."""
+    return _res(_family(spark, sf_dir, "svm", "continuous").where("params['kernel'] = 'rbf'"))
 
 
 @register("svm_trend_cv")
 def svm_trend_cv(spark, sf_dir):
-    return _res(X.svm_results(_panel(spark, sf_dir), "trend", X.QUICK_GRIDS))
+    """M3 on the trend signals: all 64 points."""
+    return _res(_family(spark, sf_dir, "svm", "trend"))
+
+
+@register("svm_trend_superset_rbf_cv")
+def svm_trend_superset_rbf_cv(spark, sf_dir):
+    """M3 as coded in the study (prices, indicators, lags and signals): the 44 RBF points."""
+    return _res(_family(spark, sf_dir, "svm", "trend", "trend_superset"))
 
 
 @register("svm_overall")
 def svm_overall(spark, sf_dir):
-    p = _panel(spark, sf_dir)
-    res = X.svm_results(p, "continuous", X.QUICK_GRIDS).unionByName(
-        X.svm_results(p, "trend", X.QUICK_GRIDS))
-    per = X.svm_summary(res)
+    per = X.svm_summary(_families(spark, sf_dir, {"svm"}))
     return spark_round(per.groupBy("representation").agg(F.avg("accuracy").alias("accuracy")),
                        ["accuracy"])
 
 
 @register("rf_sweep_top3")
 def rf_sweep_top3(spark, sf_dir):
-    top = X.rf_top3(X.rf_results(_panel(spark, sf_dir), "continuous"))
-    return spark_round(top.select("symbol", "representation", "rank",
-                                  F.col("params")["ntrees"].cast("int").alias("ntrees"),
+    top = X.rf_top3(_family(spark, sf_dir, "rf", "continuous"))
+    return spark_round(top.select("symbol", "representation", "rank", "ntrees",
                                   F.col("value").alias("accuracy")), ["accuracy"])
 
 
 @register("rf_trend_cv")
 def rf_trend_cv(spark, sf_dir):
-    res = X.rf_cv_results(_panel(spark, sf_dir), "trend")
-    first3 = X.rf_cv_selected(res, "first_k").withColumn("selection", F.lit("first_k"))
-    best3 = X.rf_cv_selected(res, "best_k").drop("rank").withColumn("selection", F.lit("best_k"))
-    return _res(first3).withColumn("selection", F.lit("first_k")).unionByName(
-        _res(best3).withColumn("selection", F.lit("best_k")))
+    res = _family(spark, sf_dir, "rf_cv", "trend")
+    return _res(X.rf_cv_selected(res, "first_k")).withColumn("selection", F.lit("first_k")).unionByName(
+        _res(X.rf_cv_selected(res, "best_k").drop("rank")).withColumn("selection", F.lit("best_k")))
 
 
 @register("rf_overall")
 def rf_overall(spark, sf_dir):
-    p = _panel(spark, sf_dir)
-    q = X.QUICK_GRIDS
-    res = X.rf_results(p, "continuous", q).unionByName(X.rf_cv_results(p, "trend", q))
-    return spark_round(X.overall(cut_lineage(res, "results")), ["accuracy"])
+    return spark_round(X.overall(_families(spark, sf_dir, {"rf", "rf_cv"})), ["accuracy"])
 
 
 @register("mlp_grid_top3")
 def mlp_grid_top3(spark, sf_dir):
-    top = X.mlp_top3(X.mlp_results(_panel(spark, sf_dir), "continuous"))
-    return _res(top.drop("rank"))
+    return _res(X.mlp_top3(_family(spark, sf_dir, "mlp", "continuous")).drop("rank"))
 
 
 @register("mlp_trend_grid")
 def mlp_trend_grid(spark, sf_dir):
-    return _res(X.mlp_results(_panel(spark, sf_dir), "trend"))
+    return _res(_family(spark, sf_dir, "mlp", "trend"))
 
 
 @register("mlp_overall")
 def mlp_overall(spark, sf_dir):
-    p = _panel(spark, sf_dir)
-    res = X.mlp_results(p, "continuous", X.QUICK_GRIDS).unionByName(
-        X.mlp_results(p, "trend", X.QUICK_GRIDS))
-    return spark_round(X.overall(cut_lineage(res, "results")), ["accuracy"])
-
-
-@register("model_candidates")
-def model_candidates(spark, sf_dir):
-    """The study's ANN grid for every series present in the data.
-
-    The grid is a literal array exploded on each series row (a generator, no join).
-    """
-    points = F.array(*[
-        F.struct(F.lit(i).alias("grid_index"), F.lit(p["n_neurons"]).alias("n_neurons"),
-                 F.lit(p["epochs"]).alias("epochs"), F.lit(float(p["lr"])).alias("lr"),
-                 F.lit(float(p["momentum"])).alias("momentum"),
-                 F.lit(float(p["dropout_rate"])).alias("dropout_rate"))
-        for i, p in enumerate(_mlp.mlp_grid())])
-    syms = _trends(spark, sf_dir).select("symbol").distinct()
-    return syms.select("symbol", F.explode(points).alias("p")).select("symbol", "p.*")
+    return spark_round(X.overall(_families(spark, sf_dir, {"mlp"})), ["accuracy"])
 
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
-    res = cut_lineage(X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS), "results")
-    return spark_round(X.comparison(res), ["continuous", "trend"])
+    return spark_round(X.comparison(_families(spark, sf_dir)), ["continuous", "trend"])
 
 
 @register("model_report")
 def model_report(spark, sf_dir):
-    """Per series and model the accuracy under the study's rule, plus F1 of NB."""
-    res = cut_lineage(X.run_all(_trends(spark, sf_dir), X.QUICK_GRIDS), "results")
-    return spark_round(X.per_series(res), ["accuracy"])
+    """Per series and model the accuracy under the study's rule, with the kept parameters."""
+    return spark_round(X.per_series(_families(spark, sf_dir)), ["accuracy"])
+
+
+def _grid_points() -> list[tuple]:
+    """(model, grid_index, kernel, degree, gamma, C, n_neurons, epochs, lr) of all grids."""
+    out = [("svm", i, p["kernel"], p.get("degree"), p.get("gamma"), float(p["C"]), None, None, None)
+           for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())]
+    return out + [("mlp", i, None, None, None, None, p["n_neurons"], p["epochs"], float(p["lr"])) for i, p in enumerate(_mlp.mlp_grid())]
+
+
+GRID_COLUMNS = {"model": "string", "grid_index": "int", "kernel": "string", "degree": "int", "gamma": "double", "C": "double",
+                "n_neurons": "int", "epochs": "int", "lr": "double"}
+
+
+def _sql_axis(values, name: str) -> str:
+    return f"(SELECT unnest([{', '.join(map(str, values))}]) AS {name}, unnest(range({len(values)})) AS i_{name})"
 
 
-@register("param_grid")
+@register("param_grid", f"""
+WITH poly AS (SELECT 'svm' AS model, i_degree * {len(_svm.POLY_C)} + i_c AS grid_index, 'poly' AS kernel, degree, NULL AS gamma, c
+  FROM {_sql_axis(_svm.POLY_DEGREES, 'degree')} CROSS JOIN {_sql_axis(_svm.POLY_C, 'c')}),
+rbf AS (SELECT 'svm' AS model, {len(_svm.POLY_DEGREES) * len(_svm.POLY_C)} + i_gamma * {len(_svm.RBF_C)} + i_c AS grid_index, 'rbf' AS kernel, NULL AS degree, gamma, c
+  FROM {_sql_axis(_svm.RBF_GAMMAS, 'gamma')} CROSS JOIN {_sql_axis(_svm.RBF_C, 'c')}),
+mlp AS (SELECT 'mlp' AS model, i_n * {len(_mlp.MLP_GRID['epochs'])} + i_e AS grid_index, n, e
+  FROM {_sql_axis(_mlp.MLP_GRID['n_neurons'], 'n')} CROSS JOIN {_sql_axis(_mlp.MLP_GRID['epochs'], 'e')}),
+points AS (SELECT model, grid_index, kernel, degree, gamma, c, NULL AS n, NULL AS e FROM poly UNION ALL
+  SELECT model, grid_index, kernel, degree, gamma, c, NULL, NULL FROM rbf UNION ALL
+  SELECT model, grid_index, NULL, NULL, NULL, NULL, n, e FROM mlp),
+series AS (SELECT event_type AS symbol, CAST(count(*) AS BIGINT) AS bars FROM
+  (SELECT DISTINCT event_type, date_trunc('hour', ts) FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL) GROUP BY ALL)
+SELECT symbol, bars, model, CAST(grid_index AS INTEGER) AS grid_index, kernel, CAST(degree AS INTEGER) AS degree, CAST(gamma AS DOUBLE) AS gamma,
+  CAST(c AS DOUBLE) AS "C", CAST(n AS INTEGER) AS n_neurons, CAST(e AS INTEGER) AS epochs,
+  CASE WHEN model = 'mlp' THEN {O.f(_mlp.MLP_GRID['lr'][0])} END AS lr
+FROM series CROSS JOIN points""")
 def param_grid(spark, sf_dir):
-    """G3 for M1-M3: the study's 64-point SVM grid for every series in the data."""
-    from pricetrend.models import svm as _svm
-    points = F.array(*[
-        F.struct(F.lit(i).alias("grid_index"), F.lit(p["kernel"]).alias("kernel"),
-                 F.lit(p.get("degree")).cast("int").alias("degree"),
-                 F.lit(p.get("gamma")).cast("double").alias("gamma"),
-                 F.lit(float(p["C"])).alias("C"))
-        for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())])
-    syms = _trends(spark, sf_dir).select("symbol").distinct()
-    return syms.select("symbol", F.explode(points).alias("p")).select("symbol", "p.*")
+    """Every grid point for every series of the table, with the bars its fits would see."""
+    fields = list(GRID_COLUMNS)
+    points = F.array(*[F.struct(*[F.lit(v).cast(GRID_COLUMNS[c]).alias(c) for c, v in zip(fields, p)]) for p in _grid_points()])
+    bars, _ = fixture_bars(spark, sf_dir, FX)
+    series = bars.groupBy("symbol").agg(F.count(F.lit(1)).alias("bars"))
+    return series.select("symbol", "bars", F.explode(points).alias("p")).select("symbol", "bars", "p.*")
 
 
 @register("gnb_f1", _gnb_sql("continuous", f"""

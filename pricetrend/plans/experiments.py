@@ -14,11 +14,13 @@ Roll-ups follow the study's arithmetic:
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.models import forest, mlp, svm
 from pricetrend.models.gnb import gnb_predict, gnb_stats
+from pricetrend.models.svm import SvmParams
 from pricetrend.operators.evaluate import (accuracy_by, f1_by, first_k, top3_value_then_earlier,
                                            top3_value_then_larger, top_k)
 from pricetrend.plans.prepare import prepare
@@ -30,17 +32,11 @@ class GridConfig:
     svm: list[dict] = field(default_factory=lambda: svm.poly_grid() + svm.rbf_grid())
     rf_counts: list[int] = field(default_factory=lambda: list(forest.TREE_COUNTS))
     mlp: list[dict] = field(default_factory=mlp.mlp_grid)
-    rf_trend_selection: str = "best_k"      # or "first_k" (the study's code path)
-    svm_max_iter: int = 50
+    svm_params: SvmParams = SvmParams()
 
 
+# 64 SVM points, 20 tree counts, 16 networks.
 REFERENCE_GRIDS = GridConfig()
-QUICK_GRIDS = GridConfig(
-    svm=svm.poly_grid([1, 2], [1, 10]) + svm.rbf_grid([0.5, 1.0], [1, 10]),
-    rf_counts=[100, 200],
-    mlp=mlp.mlp_grid({"n_neurons": [10, 40], "epochs": [10, 40], "lr": [0.01],
-                      "momentum": [0.1], "dropout_rate": [0.5]}),
-)
 
 
 def _map(pairs: dict[str, F.Column]) -> F.Column:
@@ -61,39 +57,41 @@ def _results(df: DataFrame, rep: str, model: str, params: dict[str, F.Column],
                     "_m.metric", "_m.value"))
 
 
-def prepared(panel: DataFrame, family: str, rep: str) -> tuple[DataFrame, list[str]]:
-    """Prepared features with lineage cut (shared checkpoint folder) for the many fits."""
-    x, cols = prepare(panel, family, rep)
-    return cut_lineage(x, f"prep-{family}-{rep}"), cols
+def prepared(panel: DataFrame, family: str, rep: str, feature_set: str | None = None) -> tuple[DataFrame, list[str]]:
+    """Prepared features, written once and laid out by symbol, so that the fits of a
+    series read its own files only."""
+    x, cols = prepare(panel, family, rep, feature_set)
+    return cut_lineage(x, f"prep-{family}-{rep}", partition_by="symbol"), cols
 
 
 # ------------------------------------------------------------------ families
-def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
-    x, cols = prepared(panel, "svm", rep)
-    r = svm.svm_cv(x, cols, cfg.svm, max_iter=cfg.svm_max_iter)
+def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, feature_set: str | None = None) -> DataFrame:
+    """M1-M3; the trend side takes ``trend_only`` by default, ``feature_set="trend_superset"``
+    as the study's code does."""
+    x, cols = prepared(panel, "svm", rep, feature_set)
+    r = svm.svm_cv(x, cols, cfg.svm, params=cfg.svm_params)
     return _results(r, rep, "svm",
-                    {"kernel": F.col("kernel"), "degree": F.col("degree"), "gamma": F.col("gamma"),
-                     "C": F.col("C")}, ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
+                    {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "converged")},
+                    ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
+
+
+def _count_index(cfg: GridConfig) -> F.Column:
+    pairs = [v for i, c in enumerate(cfg.rf_counts) for v in (F.lit(c), F.lit(i))]
+    return F.element_at(F.create_map(*pairs), F.col("ntrees"))
 
 
 def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
     x, cols = prepared(panel, "rf", rep)
     r = forest.rf_sweep(x, cols, cfg.rf_counts)
-    idx = {c: i for i, c in enumerate(cfg.rf_counts)}
-    gi = F.element_at(F.create_map(*[v for c, i in idx.items() for v in (F.lit(c), F.lit(i))]),
-                      F.col("ntrees"))
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "rf",
-                    {"ntrees": F.col("ntrees")}, ["test_accuracy"], gi)
+                    {c: F.col(c) for c in ("ntrees", "max_depth", "max_bins")}, ["test_accuracy"], _count_index(cfg))
 
 
 def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
     x, cols = prepared(panel, "rf_cv", rep)
     r = forest.rf_cv(x, cols, cfg.rf_counts)
-    idx = {c: i for i, c in enumerate(cfg.rf_counts)}
-    gi = F.element_at(F.create_map(*[v for c, i in idx.items() for v in (F.lit(c), F.lit(i))]),
-                      F.col("ntrees"))
-    return _results(r, rep, "rf_cv", {"ntrees": F.col("ntrees"), "max_depth": F.lit(1)},
-                    ["cv_accuracy"], gi)
+    return _results(r, rep, "rf_cv", {c: F.col(c) for c in ("ntrees", "max_depth", "max_bins")},
+                    ["cv_accuracy"], _count_index(cfg))
 
 
 def nb_results(panel: DataFrame, rep: str) -> DataFrame:
@@ -109,8 +107,7 @@ def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -
     x, cols = prepared(panel, "mlp", rep)
     r = mlp.mlp_scores(x, cols, cfg.mlp)
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "mlp",
-                    {"n_neurons": F.col("n_neurons"), "epochs": F.col("epochs"), "lr": F.col("lr"),
-                     "momentum": F.col("momentum"), "dropout_rate": F.col("dropout_rate")},
+                    {c: F.col(c) for c in ("n_neurons", "epochs", "lr", "tol")},
                     ["test_accuracy"], F.col("grid_index"))
 
 
@@ -220,14 +217,16 @@ def run_all(panel: DataFrame, cfg: GridConfig = REFERENCE_GRIDS,
             representations=("continuous", "trend")) -> DataFrame:
     """Every family on every representation, as one results table."""
     panel = cut_lineage(panel, "panel")
-    parts = []
-    for rep in representations:
-        # the study sweeps forests on the test split for continuous data and
-        # cross-validates depth-1 forests for trend data
-        forest_part = rf_results(panel, rep, cfg) if rep == "continuous" else rf_cv_results(panel, rep, cfg)
-        parts += [svm_results(panel, rep, cfg), forest_part, nb_results(panel, rep),
-                  mlp_results(panel, rep, cfg)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, [family_results(panel, f, rep, cfg) for rep in representations for f in families(rep)])
+
+
+def families(rep: str) -> list[str]:
+    """The study sweeps forests on the test split for continuous data and
+    cross-validates depth-1 forests for trend data."""
+    return ["svm", "rf" if rep == "continuous" else "rf_cv", "nb", "mlp"]
+
+
+def family_results(panel: DataFrame, family: str, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+    if family == "nb":
+        return nb_results(panel, rep)
+    return {"svm": svm_results, "rf": rf_results, "rf_cv": rf_cv_results, "mlp": mlp_results}[family](panel, rep, cfg)

@@ -90,6 +90,16 @@ def cut_lineage(df: DataFrame, name: str = "table", partition_by: str | None = N
     return spark.read.parquet(path)
 
 
+def last_written() -> str:
+    """The path of the table written last."""
+    return _WRITTEN[-1]
+
+
+def is_written(path: str) -> bool:
+    """Whether a table of this path was written and not yet released."""
+    return path in _WRITTEN
+
+
 def release_tables(spark: SparkSession, since: int = 0) -> int:
     """Delete the tables that ``cut_lineage`` wrote (after the first ``since``); call it
     when the results that read them have been consumed. Returns their number."""

@@ -1,3 +1,7 @@
+import math
+
+import numpy as np
+import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.sql import functions as F
 
@@ -5,12 +9,25 @@ from conftest import SF_MAIN, SF_SMALL
 from pricetrend.models import forest, mlp, svm
 from pricetrend.models.common import assemble
 from pricetrend.models.gnb import gnb_predict, gnb_stats
+from pricetrend.operators.evaluate import accuracy_by
 from pricetrend.plans import experiments as X
 from pricetrend.plans.panels import fixture_trends
 from pricetrend.plans.prepare import prepare
 from pricetrend.session import cut_lineage
 
 
+@pytest.fixture(scope="module")
+def panel(spark):
+    return cut_lineage(fixture_trends(spark, SF_SMALL, "events_hour"), "panel")
+
+
+def majority(prep):
+    """Test accuracy of always saying the more frequent class of the training rows."""
+    rows = prep.groupBy("symbol").agg(F.avg(F.when(F.col("is_train"), F.col("movement"))).alias("p"),
+                                      F.avg(F.when(F.col("is_test"), F.col("movement"))).alias("q")).collect()
+    return {r.symbol: r.q if r.p > 0.5 else 1 - r.q for r in rows}
+
+
 def test_sql_gnb_equals_spark_naive_bayes(spark):
     x, cols = prepare(fixture_trends(spark, SF_MAIN, "events_hour"), "nb", "continuous")
     x = cut_lineage(x)
@@ -26,6 +43,17 @@ def test_sql_gnb_equals_spark_naive_bayes(spark):
     assert disagree == 0
 
 
+def test_gnb_of_constant_features_takes_the_larger_prior(spark):
+    rows = [("flat", i, 1.0, int(i % 3 > 0)) for i in range(30)] + [("ok", i, float(i % 2), i % 2) for i in range(30)]
+    df = spark.createDataFrame(rows, "symbol string, bar_no long, x double, movement int")
+    got = gnb_predict(df, gnb_stats(df, ["x"]), ["x"])
+    assert {r.prediction for r in got.where("symbol = 'flat'").collect()} == {1}
+    acc = {r.symbol: (r.accuracy, r.n) for r in accuracy_by(got, ["symbol"]).collect()}
+    assert acc == {"flat": (20 / 30, 30), "ok": (1.0, 30)}
+    lost = got.withColumn("prediction", F.lit(None).cast("int"))
+    assert {r.accuracy for r in accuracy_by(lost, ["symbol"]).collect()} == {0.0}
+
+
 def _fixed_results(spark):
     rows = []
     def add(sym, rep, model, params, gi, metric, value):
@@ -57,37 +85,107 @@ def test_rollups_follow_the_study_arithmetic(spark):
     assert [r.params["ntrees"] for r in top] == ["30", "20", "50"]
 
 
-def test_model_families_run_on_whole_tables(spark):
-    panel = cut_lineage(fixture_trends(spark, SF_SMALL, "events_hour"))
-    n_sym = panel.select("symbol").distinct().count()
-    x, cols = X.prepared(panel, "svm", "continuous")
-    s = svm.svm_cv(x, cols, svm.poly_grid([1], [1]) + svm.rbf_grid([0.5], [1]), max_iter=10).collect()
-    assert len(s) == 2 * n_sym and all(0 <= r.cv_accuracy <= 1 for r in s)
-    x, cols = X.prepared(panel, "rf", "continuous")
-    r = forest.rf_sweep(x, cols, [10, 20], max_depth=5).collect()
-    assert len(r) == 2 * n_sym and all(0 <= t.accuracy <= 1 for t in r)
-    x, cols = X.prepared(panel, "mlp", "trend")
-    grid = mlp.mlp_grid({"n_neurons": [10], "epochs": [10], "lr": [0.01], "momentum": [0.1, 0.2],
-                         "dropout_rate": [0.5]})
-    m = mlp.mlp_scores(x, cols, grid).collect()
-    assert len(m) == 2 * n_sym
-    # points that differ only in momentum share one fit
-    by = {}
-    for t in m:
-        by.setdefault(t.symbol, set()).add(t.accuracy)
-    assert all(len(v) == 1 for v in by.values())
-
-
-def test_svm_batches_series_under_a_dimension_budget(spark):
-    panel = cut_lineage(fixture_trends(spark, SF_SMALL, "events_hour"))
-    x, cols = X.prepared(panel, "svm", "trend")
-    n_sym = panel.select("symbol").distinct().count()
-    # 11 features + bias, 6 groups per series: a budget of 150 forces one series per fit
-    rows = svm.svm_cv(x, cols, svm.poly_grid([1], [1]), max_iter=10, max_dims=150).collect()
-    assert sorted(r.symbol for r in rows) == sorted({r.symbol for r in rows}) and len(rows) == n_sym
-
-
 def test_report_names_the_chosen_parameters(spark):
     per = {(r.symbol, r.model): r.best_params for r in X.per_series(_fixed_results(spark)).collect()}
     assert per[("a", "rf")] == "ntrees=30; ntrees=20; ntrees=50"
     assert per[("a", "svm")] == "kernel=poly; kernel=rbf"
+
+
+def test_the_full_grids_are_the_default():
+    g = X.REFERENCE_GRIDS
+    assert (len(g.svm), g.rf_counts, len(g.mlp)) == (64, list(range(10, 201, 10)), 16)
+
+
+# ------------------------------------------------------------------ SVM
+def test_poly_map_equals_the_homogeneous_kernel():
+    x = np.random.default_rng(0).normal(size=(20, 5))
+    for d in svm.POLY_DEGREES:
+        phi = svm.FeatureMap(5, ("poly", d), svm.SvmParams())(x)[:, :-1]
+        assert np.allclose(phi @ phi.T, (x @ x.T / 5) ** d)
+
+
+def test_fourier_map_approximates_the_rbf_kernel():
+    x = np.random.default_rng(0).normal(size=(30, 4))
+    phi = svm.FeatureMap(4, ("rbf", 0.5), svm.SvmParams(n_components=20000))(x)[:, :-1]
+    want = np.exp(-0.5 * ((x[:, None] - x[None]) ** 2).sum(2))
+    assert np.abs(phi @ phi.T - want).max() < 0.05
+
+
+def _one_svm(prep, cols, grid, **kw):
+    return {(r.symbol, r.grid_index): (r.cv_accuracy, r.test_accuracy, r.converged, r.passes)
+            for r in svm.svm_cv(prep, cols, grid, params=svm.SvmParams(**kw)).collect()}
+
+
+def test_svm_of_a_series_does_not_depend_on_the_others(spark, panel):
+    x, cols = X.prepared(panel, "svm", "continuous")
+    grid = svm.poly_grid([1, 2], [1, 10]) + svm.rbf_grid([0.5], [1])
+    together = _one_svm(x, cols, grid)
+    alone = _one_svm(x.where("symbol = 'view'"), cols, grid)
+    in_turn = _one_svm(x, cols, grid, state_bytes=1)
+    assert alone == {k: v for k, v in together.items() if k[0] == "view"}
+    assert in_turn == together
+
+
+def test_svm_converges_and_beats_the_majority(spark, panel):
+    x, cols = X.prepared(panel, "svm", "trend")
+    got = _one_svm(x, cols, svm.poly_grid([1], [1]))
+    base = majority(x)
+    assert all(v[2] for v in got.values()) and np.mean([v[1] for v in got.values()]) > np.mean(list(base.values())) + 0.1
+    assert _one_svm(x, cols, svm.poly_grid([1], [1]), max_passes=2).popitem()[1][2] is False
+
+
+def test_svm_solution_is_the_minimum(spark):
+    """One linear problem against a long plain descent on the same objective."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3))
+    y = (x @ [1.0, -2.0, 0.5] + 0.3 * rng.normal(size=300) + 0.2 > 0).astype(int)
+    p = svm.SvmParams(tolerance=1e-7, gain=0.0, max_passes=400)
+    q = svm.Problems(1, 4, p)
+    phi, sign, c = np.c_[x, np.ones(300)], np.where(y == 1, 1.0, -1.0), 2.0
+
+    def value(w):
+        z = 1 - sign * (phi @ w)
+        loss = np.where(z <= 0, 0, np.where(z < p.smooth, z * z / (2 * p.smooth), z - p.smooth / 2))
+        ridge = np.r_[w[:3], 0.0]
+        return loss.mean() + ridge @ ridge / (2 * c * 300), -(np.clip(z / p.smooth, 0, 1) * sign) @ phi / 300 + ridge / (c * 300)
+
+    while q.active.any() and q.passes.max() < p.max_passes:
+        f, g = value(q.point()[0])
+        q.learn(np.array([f]), g[None])
+    assert q.converged.all() and np.abs(value(q.w[0])[1]).max() <= 1e-7
+
+
+# ------------------------------------------------------------------ forests and networks
+def test_forests_beat_the_majority_and_repeat(spark, panel):
+    x, cols = X.prepared(panel, "rf", "continuous")
+    run = lambda: {(r.symbol, r.ntrees): r.accuracy for r in forest.rf_sweep(x, cols, [10, 20], max_depth=5).collect()}
+    first = run()
+    base = majority(x)
+    assert first == run() and len(first) == 2 * len(base)
+    assert np.mean([v for (_, n), v in first.items() if n == 20]) > np.mean(list(base.values())) + 0.05
+
+
+def test_stumps_of_the_trend_signals_beat_the_majority(spark, panel):
+    x, cols = X.prepared(panel, "rf_cv", "trend")
+    got = forest.rf_cv(x, cols, [10], n_folds=5).collect()
+    rows = x.where("is_train").groupBy("symbol").agg(F.avg("movement").alias("p")).collect()
+    base = {r.symbol: max(r.p, 1 - r.p) for r in rows}
+    assert np.mean([r.cv_accuracy for r in got]) > np.mean(list(base.values())) + 0.05
+    assert {(r.max_depth, r.max_bins) for r in got} == {(1, forest.MAX_BINS)}
+
+
+def test_the_learning_rate_matters_and_top_three_are_three_networks(spark, panel):
+    x, cols = X.prepared(panel, "mlp", "trend")
+    scores = {}
+    for lr in (0.01, 5.0):
+        grid = mlp.mlp_grid({"n_neurons": [10, 20], "epochs": [10, 40], "lr": [lr]})
+        got = mlp.mlp_scores(x, cols, grid).collect()
+        scores[lr] = {(r.symbol, r.grid_index): r.accuracy for r in got}
+        assert {r.tol for r in got} == {mlp.TOLERANCE}
+    assert scores[0.01] != scores[5.0]
+    again = mlp.mlp_scores(x, cols, mlp.mlp_grid({"n_neurons": [10, 20], "epochs": [10, 40], "lr": [5.0]})).collect()
+    assert {(r.symbol, r.grid_index): r.accuracy for r in again} == scores[5.0]
+    res = X.mlp_results(panel, "trend", X.GridConfig(mlp=mlp.mlp_grid({"n_neurons": [10, 20], "epochs": [10, 40], "lr": [5.0]})))
+    for symbol in {k[0] for k in scores[5.0]}:
+        top = X.mlp_top3(res).where(F.col("symbol") == symbol).collect()
+        assert len({(r.params["n_neurons"], r.params["epochs"]) for r in top}) == len(top) == 3
