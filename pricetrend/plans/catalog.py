@@ -478,8 +478,8 @@ def _grid_points() -> list[tuple]:
     return out + [("mlp", i, None, None, None, None, p["n_neurons"], p["epochs"], float(p["lr"])) for i, p in enumerate(_mlp.mlp_grid())]
 
 
-GRID_COLUMNS = {"model": "string", "grid_index": "int", "kernel": "string", "degree": "int", "gamma": "double", "C": "double",
-                "n_neurons": "int", "epochs": "int", "lr": "double"}
+GRID_COLUMNS = {"model": "string", "grid_index": "int", "kernel": "string", "degree": "double", "gamma": "double", "C": "double",
+                "n_neurons": "double", "epochs": "double", "lr": "double"}
 
 
 def _sql_axis(values, name: str) -> str:
@@ -498,8 +498,8 @@ points AS (SELECT model, grid_index, kernel, degree, gamma, c, NULL AS n, NULL A
   SELECT model, grid_index, NULL, NULL, NULL, NULL, n, e FROM mlp),
 series AS (SELECT event_type AS symbol, CAST(count(*) AS BIGINT) AS bars FROM
   (SELECT DISTINCT event_type, date_trunc('hour', ts) FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL) GROUP BY ALL)
-SELECT symbol, bars, model, CAST(grid_index AS INTEGER) AS grid_index, kernel, CAST(degree AS INTEGER) AS degree, CAST(gamma AS DOUBLE) AS gamma,
-  CAST(c AS DOUBLE) AS "C", CAST(n AS INTEGER) AS n_neurons, CAST(e AS INTEGER) AS epochs,
+SELECT symbol, bars, model, CAST(grid_index AS INTEGER) AS grid_index, kernel, CAST(degree AS DOUBLE) AS degree, CAST(gamma AS DOUBLE) AS gamma,
+  CAST(c AS DOUBLE) AS "C", CAST(n AS DOUBLE) AS n_neurons, CAST(e AS DOUBLE) AS epochs,
   CASE WHEN model = 'mlp' THEN {O.f(_mlp.MLP_GRID['lr'][0])} END AS lr
 FROM series CROSS JOIN points""")
 def param_grid(spark, sf_dir):
