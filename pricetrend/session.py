@@ -68,6 +68,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder, deleted by ``release_tables`` like a table."""
+    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _WRITTEN.append(path)
+    return path
+
+
 def cut_lineage(df: DataFrame, name: str = "table", partition_by: str | None = None) -> DataFrame:
     """Write ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
@@ -79,10 +86,9 @@ def cut_lineage(df: DataFrame, name: str = "table", partition_by: str | None = N
     results are lazy and may read it at any later time.
     """
     spark = df.sparkSession
-    path = os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = scratch_path(spark, name)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    _WRITTEN.append(path)
     if partition_by:
         # Column types and order as they were: partition values are read back as text.
         back = spark.read.schema(df.schema).parquet(path)
