@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricetrend.llm import ann, bpe, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
-from pricetrend.session import checkpoint_dir
+from pricetrend.session import scratch_path
 
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
@@ -47,7 +44,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload"))
-    path = os.path.join(checkpoint_dir(spark), f"warc-{uuid.uuid4().hex}")
+    path = scratch_path(spark, "warc")
     warc.write(pages, path)
     found = warc.read(spark, path, payload=False).where("reason is null")
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
