@@ -17,15 +17,12 @@ keeps one, stage 4 makes some itself, each encoded alone in stage 5.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity
 from pricetrend.llm.common import table
 from pricetrend.llm.queries import vocabulary
-from pricetrend.session import checkpoint_dir
+from pricetrend.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +69,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read back."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = os.path.join(checkpoint_dir(spark), f"corpus-{name}-{uuid.uuid4().hex}")
+        path = scratch_path(spark, f"corpus-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
