@@ -34,7 +34,6 @@ from pricetrend.llm.common import slices, without
 PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
            r"|\s+(?!\S)|\s+")
 NEVER = np.int64(1) << 40
-NO_MERGE = (1 << 40, -1)
 # Distinct words and token pairs a task remembers before it starts anew; bounds its memory only.
 WORD_MEMORY = 300_000
 PAIR_MEMORY = 300_000
@@ -79,6 +78,9 @@ class BytePairModel:
         ranks = np.array([r for r, _ in self.merge_of.values()], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], ranks[order]
+        self.rank_made = np.zeros(1 + max([-1, *ranks.tolist()]), np.int64)
+        for r, made in self.merge_of.values():
+            self.rank_made[r] = made
         self.byte_id = [0] * 256
         for i, b in enumerate(self.bytes_of):
             if len(b) == 1 and self.rank[i] < 0:
@@ -91,7 +93,11 @@ class BytePairModel:
             if i in good and not (int(self.left[i]) in good and int(self.right[i]) in good):
                 good.discard(i)
         self.token_id = {self.bytes_of[i]: i for i in good}
-        self.longest = max(map(len, self.token_id))
+        # The longest token with each start of four bytes; other starts have at most three.
+        self.reach: dict[bytes, int] = {}
+        for b in self.token_id:
+            if len(b) > 3:
+                self.reach[b[:4]] = max(len(b), self.reach.get(b[:4], 0))
         self.split = regex.compile(PATTERN)
         self.cut_special = (regex.compile("(" + "|".join(map(regex.escape, sorted(
             self.special, key=len, reverse=True))) + ")") if self.special else None)
@@ -139,9 +145,12 @@ class BytePairModel:
     # -- speculation and exact merging -----------------------------------------
 
     def propose(self, word: bytes) -> list[int]:
-        out, at, n, ids, longest = [], 0, len(word), self.token_id, self.longest
+        """The word cut from the left into the longest tokens."""
+        out, at, n, ids, reach = [], 0, len(word), self.token_id, self.reach
         while at < n:
-            end = min(n, at + longest)
+            end = at + reach.get(word[at:at + 4], 3)
+            if end > n:
+                end = n
             while (i := ids.get(word[at:end])) is None:
                 end -= 1
             out.append(i)
@@ -149,24 +158,57 @@ class BytePairModel:
         return out
 
     def merge_exactly(self, word: bytes) -> list[int]:
-        """All merges in order of (rank, position)."""
-        ids = [self.byte_id[b] for b in word]
-        if len(ids) > 32:
-            return self._merge_long(ids)
-        found = self.merge_of.get
-        while True:
-            least, place, i = NO_MERGE, -1, 0
-            for p in zip(ids, ids[1:]):
-                m = found(p)
-                if m is not None and m < least:
-                    least, place = m, i
-                i += 1
-            if place < 0:
-                return ids
-            ids[place:place + 2] = [least[1]]
+        """All merges of one word in order of (rank, position)."""
+        return self.merge_all([word])[0]
+
+    def merge_all(self, words: list[bytes]) -> list[list[int]]:
+        """The same for many words side by side: each round makes the first merge of
+        the least rank in every word, and looks up only the pairs that it changed."""
+        out: list[list[int]] = [[] for _ in words]
+        live = np.array([i for i, w in enumerate(words) if len(w) <= 64], np.int64)
+        for i, w in enumerate(words):
+            if len(w) > 64:
+                out[i] = self._merge_long([self.byte_id[b] for b in w])
+        sizes = np.array([len(words[i]) for i in live], np.int64)
+        live, sizes = live[sizes > 0], sizes[sizes > 0]
+        tokens = np.array(self.byte_id, np.int64)[np.frombuffer(b"".join(words[i] for i in live.tolist()), np.uint8)]
+        ranks = np.full(len(tokens), NEVER, np.int64)  # of each token with the next one of its word
+        ranks[:-1] = self.merge_rank(tokens[:-1], tokens[1:]) if len(tokens) else ranks[:-1]
+        ends = np.cumsum(sizes)
+        ranks[ends - 1] = NEVER
+        while len(live):
+            starts = ends - sizes
+            least = np.minimum.reduceat(ranks, starts)
+            done = least >= NEVER
+            if done.any():
+                for i, a, b in zip(live[done].tolist(), starts[done].tolist(), ends[done].tolist()):
+                    out[i] = tokens[a:b].tolist()
+                stay = np.repeat(~done, sizes)
+                tokens, ranks = tokens[stay], ranks[stay]
+                live, sizes, least = live[~done], sizes[~done], least[~done]
+                ends = np.cumsum(sizes)
+                if not len(live):
+                    break
+            owner = np.repeat(np.arange(len(live)), sizes)
+            hits = np.flatnonzero(ranks == least[owner])
+            first = hits[np.concatenate([[True], owner[hits[1:]] != owner[hits[:-1]]])]
+            tokens[first] = self.rank_made[least]
+            ranks[first] = ranks[first + 1]     # what is left of the swallowed token's end of word
+            last = first + 1 == ends - 1
+            keep = np.ones(len(tokens), bool)
+            keep[first + 1] = False
+            tokens, ranks = tokens[keep], ranks[keep]
+            at = first - np.arange(len(first))  # one token fewer in each word before
+            sizes = sizes - 1
+            ends = np.cumsum(sizes)
+            right = at[~last]
+            ranks[right] = self.merge_rank(tokens[right], tokens[right + 1])
+            left = at[at > ends - sizes] - 1
+            ranks[left] = self.merge_rank(tokens[left], tokens[left + 1])
+        return out
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        """The same on a linked list with a heap."""
+        """The merges of one long word on a linked list with a heap."""
         n = len(ids)
         prev, after = list(range(-1, n - 1)), list(range(1, n + 1))
         heap = [(*self.merge_of[p], i, p) for i in range(n - 1) if (p := (ids[i], ids[i + 1])) in self.merge_of]
@@ -219,8 +261,11 @@ class BytePairModel:
             known.update(zip(new, self.apart(pairs >> 32, pairs & 0xFFFFFFFF).tolist()))
         fine = np.fromiter((known[k] for k in listed), bool, len(listed))
         failing = set(owner[inner[~fine[where]]].tolist())
-        for i, word in enumerate(words):
-            self._keep(word, self.merge_exactly(raw[i]) if i in failing else cuts[i])
+        again = sorted(failing)
+        for i, ids in zip(again, self.merge_all([raw[i] for i in again])):
+            cuts[i] = ids
+        for word, ids in zip(words, cuts):
+            self._keep(word, ids)
 
     # -- texts -------------------------------------------------------------------
 
