@@ -74,3 +74,9 @@ def gnb_predict(df: DataFrame, stats: DataFrame, features: list[str],
             .when(F.col("jll1").isNull(), F.lit(0))
             .when(F.col("jll1") > F.col("jll0"), F.lit(1)).otherwise(F.lit(0))).cast("int")
     return j.select(*df.columns, "jll0", "jll1", pred.alias("prediction"))
+
+
+def with_probability(predicted: DataFrame) -> DataFrame:
+    """Add ``p1``, the probability of class 1, from the joint log-likelihoods."""
+    gap = F.least(F.greatest(F.col("jll0") - F.col("jll1"), F.lit(-700.0)), F.lit(700.0))
+    return predicted.withColumn("p1", F.lit(1.0) / (F.lit(1.0) + F.exp(gap)))

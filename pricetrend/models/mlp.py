@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.models.common import assemble, run_parallel, series_of
+from pricetrend.operators.evaluate import by_threshold
 
 # The axes of the study's ANN grid that a fit here depends on.
 MLP_GRID = {
@@ -48,7 +49,7 @@ def mlp_scores(prep: DataFrame, cols: list[str], grid: list[dict], seed: int = 4
         est = MultilayerPerceptronClassifier(layers=[len(cols), p["n_neurons"], 2], maxIter=p["epochs"], solver="gd",
                                              stepSize=p["lr"], tol=tol, seed=seed, blockSize=128)
         model = est.fit(s.where("is_train"))
-        pred = (vector_to_array(F.col("probability"))[1] > 0.5).cast("int")
+        pred = by_threshold(vector_to_array(F.col("probability"))[1])
         acc = model.transform(s.where("is_test")).agg(F.avg((pred == F.col("movement")).cast("double"))).first()[0]
         return (symbol, i, p["n_neurons"], p["epochs"], float(p["lr"]), tol, acc)
 

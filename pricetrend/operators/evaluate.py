@@ -1,4 +1,4 @@
-"""A1-A10 metrics and roll-ups, and the top-k selection rules G5-G8."""
+"""A1-A10 metrics, the probability threshold M11, and the top-k selection rules G5-G8."""
 
 from __future__ import annotations
 
@@ -10,6 +10,12 @@ def correct(label: str = "movement", prediction: str = "prediction") -> Column:
     return F.coalesce((F.col(prediction) == F.col(label)).cast("double"), F.lit(0.0))
 
 
+def by_threshold(probability: str | Column, threshold: float = 0.5) -> Column:
+    """Class 1 iff the probability is above the threshold (a missing one is class 0)."""
+    p = F.col(probability) if isinstance(probability, str) else probability
+    return F.when(p > threshold, F.lit(1)).otherwise(F.lit(0))
+
+
 def accuracy_by(df: DataFrame, keys: list[str], label: str = "movement",
                 prediction: str = "prediction") -> DataFrame:
     """A1: accuracy (and row count) per group."""

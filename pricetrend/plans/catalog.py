@@ -16,7 +16,8 @@ from pricetrend.operators.labels import horizon_label
 from pricetrend.operators.sequence import number_bars
 from pricetrend.plans import oracle as O
 from pricetrend.plans.panels import fixture_bars, fixture_indicators, fixture_trends, indicators_from_bars
-from pricetrend.session import cut_lineage
+from pricetrend.session import cut_lineage, scratch_path
+from pricetrend.sources import read_ohlc_csv, write_ohlc_csv, write_panel
 from pricetrend.sources.bars import gridded_bars, multi_source_bars
 from pricetrend.sources.symbols import symbol_dim, with_symbol_names
 
@@ -84,6 +85,15 @@ def multi_source(spark, sf_dir):
     return spark_round(multi_source_bars(spark, sf_dir), BAR_VALUES)
 
 
+@register("csv_daily_bars", f"SELECT symbol, bar_ts, {sql_round(BAR_VALUES)} FROM ({O.bars_sql('events_day')})")
+def csv_daily_bars(spark, sf_dir):
+    """The daily bars written as one CSV file per series and read back by the CSV source."""
+    bars, _ = fixture_bars(spark, sf_dir, "events_day")
+    path = scratch_path(spark, "csv")
+    write_ohlc_csv(bars, path)
+    return spark_round(read_ohlc_csv(spark, path).select("symbol", "bar_ts", *BAR_VALUES), BAR_VALUES)
+
+
 _names_values = ", ".join(f"('{k}', '{v}')" for k, v in sorted(FIXTURE_SYMBOL_NAMES.items()))
 
 
@@ -190,9 +200,26 @@ _register_panel("trend_panel", "events_hour", ["close", "movement"] + TREND_COLS
 _register_panel("trend_panel_long", "lineitem_day", ["close", "movement"] + TREND_COLS, trends=True)
 _register_panel("trend_panel_daily", "events_day", ["close", "movement"] + TREND_COLS, trends=True)
 
+
+def _register_sink(name: str, cols: list[str], trends: bool = False) -> None:
+    doubles = [c for c in cols if c in INDICATOR_DOUBLES]
+
+    def q(spark, sf_dir):
+        panel = (fixture_trends if trends else fixture_indicators)(spark, sf_dir, "events_day")
+        path = scratch_path(spark, name)
+        write_panel(panel, path)
+        return spark_round(spark.read.parquet(path).select("symbol", "bar_ts", "bar_no", *cols), doubles)
+
+    q.__doc__ = "S5, S6: the panel written by the sink, one folder per series, and read back."
+    register(name, _panel_sql("events_day", cols, doubles))(q)
+
+
+_register_sink("indicator_sink", PANEL_COLS + LAG_COLS)
+_register_sink("trend_sink", ["close", "movement"] + TREND_COLS, trends=True)
+
 # ---------------------------------------------------------------- features & splits
-from pricetrend.models.gnb import gnb_predict, gnb_stats  # noqa: E402
-from pricetrend.operators.evaluate import accuracy_by  # noqa: E402
+from pricetrend.models.gnb import gnb_predict, gnb_stats, with_probability  # noqa: E402
+from pricetrend.operators.evaluate import accuracy_by, by_threshold  # noqa: E402
 from pricetrend.operators.features import feature_set, impute_mean, minmax_scale, standard_scale  # noqa: E402
 from pricetrend.operators.split import balanced_split, holdout_split  # noqa: E402
 from pricetrend.plans.prepare import prepare  # noqa: E402
@@ -315,6 +342,15 @@ def gnb_predict_q(spark, sf_dir):
     return gnb_predict(x.where("is_test"), stats, cols).select("symbol", "bar_no", "movement", "prediction")
 
 
+@register("gnb_threshold", _gnb_sql("continuous", f"""SELECT symbol, bar_no, movement, {O.r('p1')} AS p1, CAST(p1 > 0.5 AS INTEGER) AS prediction
+FROM (SELECT *, 1 / (1 + exp(least(greatest(jll0 - jll1, {O.f(-700.0)}), {O.f(700.0)}))) AS p1 FROM pred WHERE is_test)"""))
+def gnb_threshold_q(spark, sf_dir):
+    """The probability of an up move, and the class by the threshold 0.5."""
+    x, cols, stats = _gnb(spark, sf_dir, "continuous")
+    scored = with_probability(gnb_predict(x.where("is_test"), stats, cols))
+    return spark_round(scored.select("symbol", "bar_no", "movement", "p1", by_threshold("p1").alias("prediction")), ["p1"])
+
+
 def _gnb_acc(rep):
     def q(spark, sf_dir):
         x, cols, stats = _gnb(spark, sf_dir, rep)

@@ -87,7 +87,9 @@ def _read_group(spark: SparkSession, header: tuple[str, ...], files: list[str],
     raw = raw.join(layouts, "file")  # a row per file
     date = F.col(f"`{DATE_COLUMN}`")
     when = F.coalesce(*[F.when(F.col("layout") == i, _parsed(date, f)) for i, f in enumerate(formats)])
-    name = F.element_at(F.split(F.try_url_decode("file"), "/"), -1)
+    path = F.try_url_decode("file")
+    folder = F.regexp_extract(path, r"/symbol=([^/]+)/[^/]+$", 1)
+    name = F.when(folder != "", folder).otherwise(F.element_at(F.split(path, "/"), -1))
     number = lambda c: F.col(f"`{c}`").try_cast("double")
     cols = [F.regexp_replace(name, r"(?i)\.csv$", "").alias("symbol"), when.alias("bar_ts")]
     if OPEN_COLUMN in header:
@@ -104,7 +106,8 @@ def _read_group(spark: SparkSession, header: tuple[str, ...], files: list[str],
 
 def read_ohlc_csv(spark: SparkSession, paths: list[str] | str, date_format: str | None = None,
                   numeric_columns: list[str] | None = None, duplicates: str = "raise") -> DataFrame:
-    """Read the series files; ``symbol`` is the file name without ``.csv``.
+    """Read the series files; ``symbol`` is the file name without ``.csv``, or the name
+    in a folder ``symbol=NAME`` that holds the file (as ``write_ohlc_csv`` lays them out).
 
     All columns are read as strings (no inference pass). High, low, close and,
     where present, open are parsed; ``numeric_columns`` (default: every other
@@ -123,3 +126,11 @@ def read_ohlc_csv(spark: SparkSession, paths: list[str] | str, date_format: str
         if first := twice.orderBy("symbol", "bar_ts").first():
             raise ValueError(f"{first['symbol']}: {first['n']} rows on {first['bar_ts']:%Y-%m-%d}; {twice.count()} such dates in all")
     return out
+
+
+def write_ohlc_csv(bars: DataFrame, path: str, date_format: str = "dd/MM/yyyy") -> None:
+    """Write bars in the layout of the input files, one folder and file per series."""
+    named = bars.select("symbol", F.date_format("bar_ts", date_format).alias(DATE_COLUMN),
+                        F.col("open").alias(OPEN_COLUMN), F.col("high").alias(HIGH_COLUMN),
+                        F.col("low").alias(LOW_COLUMN), F.col("close").alias(CLOSE_COLUMN))
+    named.repartition("symbol").write.partitionBy("symbol").option("header", True).csv(path)

@@ -13,7 +13,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 SAMPLE = ["ohlc_bars_6h", "ohlc_bars_lineitem_daily", "chronological_index",
           "movement_label_horizon1", "macd", "rsi_14", "indicator_panel", "trend_panel",
-          "split_70_30", "stratified_folds", "balanced_split", "gnb_accuracy"]
+          "split_70_30", "stratified_folds", "balanced_split", "gnb_accuracy", "csv_daily_bars",
+          "macd_with_gaps", "cci_20", "impute_mean", "standard_scale_train", "minmax_scale",
+          "trend_sink", "gnb_threshold", "param_grid", "signal_overall", "signal_report",
+          "signal_top3_earlier"]
 
 
 @pytest.fixture(scope="module")
