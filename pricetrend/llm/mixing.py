@@ -11,7 +11,8 @@ Rates become whole copies by systematic rounding: the rows of a source are
 dealt into buckets by hash, ordered by size in each, and a row gets one more
 copy where the running sum of the fractions passes a whole number. As
 neighbours in that order have almost the same size, a bucket misses its share
-by no more than its largest document.
+by no more than its largest document; single copies of smaller documents then
+make up what is missing, to within about the smallest that fits.
 
 Null or empty texts have size 0 and rate 1. Null sources are a source of
 their own, the last in order. Repeated rows share their copies. A source
@@ -125,12 +126,24 @@ def plan(sized: DataFrame, key: str, params: MixParams = MixParams()) -> DataFra
     sofar = F.sum(F.col("n") * F.pmod("parts", F.lit(UNIT))).over(w) + F.pmod(F.xxhash64("sid", "bucket"), F.lit(UNIT))
     own = F.col("n") * F.pmod("parts", F.lit(UNIT))
     whole = lambda x: F.floor(x / F.lit(UNIT)).cast("long")
-    return (groups.join(solved, "sid")
-            .withColumn("bucket", F.pmod(F.xxhash64(key), buckets))
-            .withColumn("parts", parts)
-            .withColumn("sofar", sofar)
-            .select(key, "source", "size", "source_size", "target", _rate(params.most).alias("rate"), F.col("n").alias("rows"),
-                    (F.col("n") * whole(F.col("parts")) + whole(F.col("sofar")) - whole(F.col("sofar") - own)).alias("copies")))
+    rounded = (groups.join(solved, "sid")
+               .withColumn("bucket", F.pmod(F.xxhash64(key), buckets))
+               .withColumn("parts", parts)
+               .withColumn("sofar", sofar)
+               .withColumn("copies", F.col("n") * whole(F.col("parts")) + whole(F.col("sofar")) - whole(F.col("sofar") - own)))
+    # What a bucket still misses (or has too much) is made up by single copies of documents
+    # that fit: first in hash order, then the rest by the smallest.
+    everything = Window.partitionBy("sid", "bucket")
+    for order in ([F.xxhash64(F.lit("settle"), key), F.col(key)], [F.col("size"), F.col(key)]):
+        miss = whole(F.sum(F.col("n") * F.col("parts") * F.col("size") - F.col("copies") * F.col("size") * F.lit(UNIT)).over(everything))
+        rounded = rounded.withColumn("miss", miss)
+        fits = (F.col("size") > 0) & (F.col("size") <= F.abs("miss")) & F.when(
+            F.col("miss") > 0, F.col("copies") < F.col("n") * params.most).otherwise(F.col("copies") > 0)
+        upto = everything.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        used = F.sum(F.when(fits, F.col("size")).otherwise(F.lit(0))).over(upto)
+        rounded = rounded.withColumn("used", used).withColumn(
+            "copies", F.col("copies") + F.when(fits & (F.col("used") <= F.abs("miss")), F.signum("miss").cast("long")).otherwise(F.lit(0)))
+    return rounded.select(key, "source", "size", "source_size", "target", _rate(params.most).alias("rate"), F.col("n").alias("rows"), "copies")
 
 
 def per_row(planned: DataFrame, name: str = "row_copies", at_once: int = 10_000) -> DataFrame:
