@@ -90,7 +90,7 @@ def _one_pass(df: DataFrame, path: str, text: str, most: int, count: str) -> Dat
         for part in slices(batches):
             texts = [x or "" for x in part.column(text).to_pylist()]
             got = iter(t.encode_batch_fast([x for x in texts if len(x) <= most], add_special_tokens=False))
-            n = [len(next(got).ids) if len(x) <= most else None for x in texts]
+            n = [len(next(got)) if len(x) <= most else None for x in texts]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), pa.array(n, pa.int64())], schema.names)
 
     return df.mapInArrow(run, schema)
