@@ -133,3 +133,14 @@ def test_written_tables_can_be_released(spark):
         assert df.schema.names == ["id", "k"] and df.where("k = 1").count() == 3
         assert [f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("x-")]
     assert not [f for f in os.listdir(checkpoint_dir(spark).removeprefix("file:")) if f.startswith("x-")]
+
+
+def test_the_shared_folder_is_empty_after_release(spark):
+    from pricetrend.plans import catalog
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    with scratch_tables(spark):
+        for name in ("sma_10", "gnb_overall", "stratified_folds", "csv_daily_bars"):
+            assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
+        assert set(os.listdir(folder)) - before
+    assert set(os.listdir(folder)) == before
