@@ -82,7 +82,9 @@ def fit(vectors: DataFrame, params: AnnParams = AnnParams()) -> AnnIndex | None:
     scale = float(about["top"])
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale))
     longest = float(vectors.agg(F.max(square)).first()[0])
-    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(params.sample).select("v").collect()
+    # At most ``sample`` vectors, and fewer of very long ones: two million numbers in all.
+    most = max(256, min(params.sample, 2_000_000 // about["d"]))
+    rows = vectors.orderBy(F.xxhash64("id"), "id").limit(most).select("v").collect()
     x = np.array([r["v"] for r in rows], np.float64)
     rng = np.random.default_rng(params.seed)
     rotation = np.linalg.qr(rng.normal(size=(about["d"] + 1,) * 2))[0]

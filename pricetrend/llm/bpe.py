@@ -37,6 +37,7 @@ NEVER = np.int64(1) << 40
 # Distinct words and token pairs a task remembers before it starts anew; bounds its memory only.
 WORD_MEMORY = 300_000
 PAIR_MEMORY = 300_000
+SECTION = 1 << 20       # characters of a text that are split into words at once
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -280,8 +281,28 @@ class BytePairModel:
                 out.extend(self.split.findall(part))
         return out
 
+    def sections(self, text: str) -> Iterator[str]:
+        """A very long text cut before blanks that follow other signs: words always end
+        there and special tokens hold no blanks, so sections are encoded alone."""
+        start, n = 0, len(text)
+        while n - start > SECTION:
+            cut = start + SECTION
+            while (cut := text.find(" ", cut)) >= 0 and text[cut - 1].isspace():
+                cut += 1
+            if cut < 0:
+                break
+            yield text[start:cut]
+            start = cut
+        yield text[start:]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, unsigned 32-bit."""
+        if any(len(t) > SECTION for t in texts):
+            return [np.concatenate([self.encode([s])[0] for s in parts]) if len(parts := list(self.sections(t))) > 1
+                    else self._encode([t])[0] for t in texts]
+        return self._encode(texts)
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.row_of) > WORD_MEMORY:
             self.forget()
         split = [self.pieces(t) for t in texts]

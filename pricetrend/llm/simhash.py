@@ -39,6 +39,7 @@ from pricetrend.llm.common import cut_lineage, fresh_name, slices, without
 from pricetrend.llm.graph import components
 
 BITS = 64
+SECTION = 1 << 22  # bytes of a text that are split into words at once
 SEED = 42  # fixed value: the seed of the shingle hash
 
 
@@ -55,11 +56,33 @@ class SimHashParams:
             raise ValueError("the distance must be even: each side takes half of it")
 
 
-def shingle_hashes(text: str | None, k: int) -> np.ndarray:
-    """XXH64 of every k-word shingle of the whole text, A-Z in lower case."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
+def shingle_hashes(text: str | None, k: int) -> Iterator[np.ndarray]:
+    """XXH64 of every k-word shingle of the whole text, A-Z in lower case.
+
+    Very long texts come in several arrays, cut between words; the last words of
+    one section begin the next.
+    """
+    data = (text or "").encode("utf-8", "surrogatepass").lower()
+    start, carry, any_yet = 0, [], False
+    while len(data) - start > SECTION:
+        cut = data.rfind(b" ", start, start + SECTION)
+        if cut <= start:
+            cut = data.find(b" ", start + SECTION)
+            if cut < 0:
+                break
+        words = carry + data[start:cut].split()
+        if len(words) >= k:
+            yield _hashed(words, k)
+            carry, any_yet = words[len(words) - k + 1:], True
+        else:
+            carry = words
+        start = cut
+    words = carry + data[start:].split()
+    if len(words) >= k or words and not any_yet:
+        yield _hashed(words, k)
+
+
+def _hashed(words: list[bytes], k: int) -> np.ndarray:
     joined = b" ".join(words)
     if len(words) <= k:
         return np.array([xxhash.xxh64_intdigest(joined, SEED)], np.uint64)
@@ -72,12 +95,13 @@ def shingle_hashes(text: str | None, k: int) -> np.ndarray:
 
 def fingerprint(text: str | None, k: int) -> int:
     """The SimHash as a signed 64-bit number: a bit is set if over half the hashes have it."""
-    hashes = shingle_hashes(text, k)
-    ones = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        part = np.ascontiguousarray(hashes[at:at + (1 << 16)].astype(">u8"))
-        ones += np.unpackbits(part.view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(hashes))
+    ones, n = np.zeros(BITS, np.int64), 0
+    for hashes in shingle_hashes(text, k):
+        n += len(hashes)
+        for at in range(0, len(hashes), 1 << 16):
+            part = np.ascontiguousarray(hashes[at:at + (1 << 16)].astype(">u8"))
+            ones += np.unpackbits(part.view(np.uint8)).reshape(-1, BITS).sum(0, dtype=np.int64)
+    bits = np.packbits(2 * ones > n)
     return int(bits.view(">u8")[0].astype(np.uint64).view(np.int64))
 
 

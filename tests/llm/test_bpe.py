@@ -42,6 +42,15 @@ def test_forgetting_words_changes_nothing(vocab, monkeypatch):
     assert [model.encode([t])[0].tolist() for t in texts] == want
 
 
+def test_sections_change_nothing(vocab, library, monkeypatch):
+    monkeypatch.setattr(bpe, "SECTION", 20)
+    model = bpe.BytePairModel(vocab)
+    texts = ODD + ["ab  cd   \t ef<|endoftext|> gh " * 9, "x" * 90, "it's <|endoftext|> ' re" * 8, " lead " * 12, "a\x1c b\x85 c\u3000 d" * 6]
+    for t, got in zip(texts, model.encode(texts)):
+        assert got.tolist() == library.encode(t, add_special_tokens=False).ids
+        assert "".join(model.sections(t)) == t
+
+
 def test_operators_on_odd_rows(spark, vocab, library):
     rows = [(i, t, "x") for i, t in enumerate(ODD)] + [(None, None, None), (1, " ", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids string")  # ids clashes and is replaced

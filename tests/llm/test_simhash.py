@@ -41,6 +41,17 @@ def test_fingerprint_matches_the_definition():
         assert simhash.fingerprint(t, 4) & (2 ** 64 - 1) == plain_fingerprint(t)
 
 
+def test_sections_change_nothing(monkeypatch):
+    random.seed(7)
+    monkeypatch.setattr(simhash, "SECTION", 9)
+    for n in [*range(12), 40, 200]:
+        for sep in (" ", "\n", "   "):
+            t = sep.join(random.choice(["a", "bb", "CCCCCCCCCCCCCCC", "d"]) for _ in range(n))
+            assert simhash.fingerprint(t, 4) & (2 ** 64 - 1) == plain_fingerprint(t), t
+    for t in ("a bb" + " " * 40 + "c", " " * 30 + "a b c", "a b c d" + " " * 50, "a" * 40 + " b"):
+        assert simhash.fingerprint(t, 4) & (2 ** 64 - 1) == plain_fingerprint(t), t
+
+
 def test_collisions_find_every_pair_within_the_radius():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 2 ** 64, 30, dtype=np.uint64)
