@@ -6,14 +6,16 @@ are mapped to a probability learnt from the examples themselves (each one
 scored by the others).
 
 Bounds: at most ``per_class`` examples of each label (those with the smallest
-hash of their id) and ``n_terms`` terms, chosen by chi-square on the examples,
-so the index has a proven size and can be sent to every task. Document counts
-for the IDF are taken over all documents.
-
-Terms are the lower-cased words and the first five and seven letters of longer
-words, so that unseen inflections of a stem count, and repetitions of these (see
-``term_counts``). Null texts count as empty.
-A text without any listed term has no neighbours; its score is the calibrated
+hash of their id). Every term that at least ``min_examples`` of them contain is
+kept, so the sample alone bounds the index, whose postings are sparse and which
+can be sent to every task. Document counts for the IDF are taken over all
+documents.
+
+Terms are the lower-cased words, longer ones by their first seven letters, so
+that unseen inflections of a stem count. A term's IDF is multiplied by the z-value
+of its association with the label among the examples (the root of chi-square) where
+that is above 1; no term weighs less than its TF-IDF. Null texts count as empty.
+A text without any kept term has no neighbours; its score is the calibrated
 rate of such examples. Repeated rows are scored row by row; repeated labels of
 one id count once, toxic if any is; labels other than 0 and 1 are ignored.
 Input columns with the name of an output column are replaced, others kept.
@@ -25,95 +27,97 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
 from pricetrend.llm.common import cut_lineage, slices, without
 
-LETTERS = re.compile(r"[^\W\d_]+")
-STEMS = (5, 7)          # letters of a word's stems
-LEVELS = (2, 3, 5, 9)   # occurrences that make a term of their own
+TERMS = re.compile(r"([^\W\d_]{1,7})[^\W\d_]*+")   # the first seven letters of each word
 BLOCK = 64
-TERM_MEMORY = 300_000
+FIRST = 8               # blocks of a query that are visited before any is left out
+COMMON = 1024           # most frequent terms whose postings are dense
+QUERIES = 256           # scored together, with at most AT_ONCE sparse postings (or alone)
+AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
 class ToxicityParams:
     per_class: int = 3000
-    n_terms: int = 128
     min_examples: int = 5
-    min_share: float = 0.02     # of the rarer label's examples that a term must occur in
     neighbours: int = 15
     threshold: float = 0.3
 
 
-def terms_of(word: str) -> list[str]:
-    """The terms of a lower-cased word; ``^`` marks a stem."""
-    return [word, *("^" + word[:k] for k in STEMS if len(word) > k)]
-
-
 def term_counts(text: str | None) -> Counter:
-    """How often each term occurs in the whole text; a term that occurs 2, 3, 5 or 9
-    times also counts once as ``term*2`` and so on."""
-    out: Counter = Counter()
-    for word, n in Counter(LETTERS.findall((text or "").lower())).items():
-        for t in terms_of(word):
-            out[t] += n
-    for t, n in list(out.items()):
-        for level in LEVELS:
-            if n < level:
-                break
-            out[f"{t}*{level}"] = 1
-    return out
+    """How often each term occurs in the whole text."""
+    return Counter(TERMS.findall((text or "").lower()))
 
 
 class Vocabulary:
-    """Counts the listed terms of texts, remembering what each word stands for."""
+    """Counts the kept terms of texts."""
 
     def __init__(self, terms: list[str]):
-        self.slots: dict[str, int] = {}
-        self.listed: list[list[tuple[int, int]]] = []   # of each slot: (level, place in the list)
-        for i, t in enumerate(terms):
-            plain, _, level = t.partition("*")
-            if plain not in self.slots:
-                self.slots[plain] = len(self.listed)
-                self.listed.append([])
-            self.listed[self.slots[plain]].append((int(level or 1), i))
-        self.of_word: dict[str, tuple[int, ...]] = {}
+        self.place = {t: i for i, t in enumerate(terms)}
+
+    def of(self, counts: Iterable[tuple[str, int]]) -> dict[int, int]:
+        """Places of the kept terms, ascending, and their counts."""
+        place = self.place
+        return dict(sorted([(place[t], n) for t, n in counts if t in place]))
 
     def counts(self, text: str | None) -> dict[int, int]:
-        seen: Counter = Counter()
-        of_word, slots = self.of_word, self.slots
-        if len(of_word) > TERM_MEMORY:
-            of_word.clear()
-        for word in LETTERS.findall((text or "").lower()):
-            hits = of_word.get(word)
-            if hits is None:
-                hits = of_word[word] = tuple(slots[t] for t in terms_of(word) if t in slots)
-            for i in hits:
-                seen[i] += 1
-        return {i: n if level == 1 else 1 for slot, n in seen.items() for level, i in self.listed[slot] if n >= level}
-
-
-def weigh(sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Unit TF-IDF vectors (1 + ln tf, times idf), zero where nothing is listed.
+        return self.of(term_counts(text).items())
+
+
+@dataclass
+class Vectors:
+    """Sparse rows: ``sizes`` says how many of the flat ``terms`` and ``weights`` each has."""
+
+    sizes: np.ndarray
+    terms: np.ndarray
+    weights: np.ndarray
+    n_terms: int
+
+    @staticmethod
+    def of(rows: "Vectors | np.ndarray") -> "Vectors":
+        if isinstance(rows, Vectors):
+            return rows
+        at, terms = np.nonzero(rows)
+        return Vectors(np.bincount(at, minlength=len(rows)), terms, rows[at, terms], rows.shape[1])
+
+    def part(self, first: int, last: int) -> "Vectors":
+        a, b = self.sizes[:first].sum(), self.sizes[:last].sum()
+        return Vectors(self.sizes[first:last], self.terms[a:b], self.weights[a:b], self.n_terms)
+
+
+def weigh(sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, idf: np.ndarray) -> Vectors:
+    """Unit TF-IDF vectors (1 + ln tf, times idf), empty where no term is kept.
 
     ``sizes`` says how many of the flat ``terms`` and ``counts`` each row has.
     """
-    out = np.zeros((len(sizes), len(idf)))
-    out[np.repeat(np.arange(len(sizes)), sizes), terms] = (1.0 + np.log(counts)) * idf[terms]
-    norm = np.sqrt((out * out).sum(1, keepdims=True))
-    return np.divide(out, norm, out=out, where=norm > 0)
+    weights = (1.0 + np.log(counts)) * idf[terms]
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    norm = np.sqrt(np.bincount(rows, weights * weights, minlength=len(sizes)))
+    return Vectors(sizes, terms, weights / norm[rows], len(idf))
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The positions starts[i], starts[i] + 1, ... (sizes[i] of them), one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
 @dataclass
 class BlockMaxIndex:
-    """Postings in blocks of 64 examples, each with the largest weight per term.
+    """Postings (example, weight) by term, those of a term in blocks of 64 examples,
+    each with its largest weight. They are sparse; tasks lay those of the most
+    frequent terms out densely (at most ``COMMON`` numbers an example).
 
     Examples are ordered by their heaviest term, so blocks hold similar ones
     and their bounds are sharp.
@@ -121,62 +125,124 @@ class BlockMaxIndex:
 
     ids: np.ndarray
     labels: np.ndarray
-    block_terms: list[np.ndarray] = field(default_factory=list)
-    block_weights: list[np.ndarray] = field(default_factory=list)
-    block_max: np.ndarray | None = None
+    of_term: np.ndarray     # where each term's runs start (a run: postings of one term in one block)
+    block: np.ndarray       # of each run: its block, largest weight and first posting
+    top: np.ndarray
+    first: np.ndarray
+    example: np.ndarray     # of each posting
+    weight: np.ndarray
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "common"}
+
+    @cached_property
+    def common(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each term's row among the dense ones (-1: sparse), their weights by block and
+        example, and their largest weights by block."""
+        n, reach = len(self.ids), self.first[self.of_term]
+        held = reach[1:] - reach[:-1]
+        terms = np.argsort(-held, kind="stable")[:COMMON]
+        row = np.full(len(held), -1, np.int64)
+        row[terms] = np.arange(len(terms))
+        blocks = (n - 1) // BLOCK + 1
+        dense, tops = np.zeros((blocks, len(terms), BLOCK)), np.zeros((len(terms), blocks))
+        p = _spread(reach[terms], held[terms])
+        example = self.example[p]
+        dense[example // BLOCK, np.repeat(np.arange(len(terms)), held[terms]), example % BLOCK] = self.weight[p]
+        size = self.of_term[terms + 1] - self.of_term[terms]
+        r = _spread(self.of_term[terms], size)
+        tops[np.repeat(np.arange(len(terms)), size), self.block[r]] = self.top[r]
+        return row, dense, tops
 
     @staticmethod
-    def build(ids: np.ndarray, labels: np.ndarray, vectors: np.ndarray) -> "BlockMaxIndex":
-        order = np.lexsort((ids, vectors.max(1, initial=0), vectors.argmax(1) if vectors.shape[1] else ids))
-        ids, labels, vectors = ids[order], labels[order], vectors[order]
-        index = BlockMaxIndex(ids, labels)
-        tops = []
-        for at in range(0, len(ids), BLOCK):
-            rows = vectors[at:at + BLOCK]
-            used = np.flatnonzero(rows.any(0))
-            index.block_terms.append(used)
-            index.block_weights.append(np.ascontiguousarray(rows[:, used].T))
-            tops.append(rows.max(0))
-        index.block_max = np.array(tops).T if tops else np.zeros((vectors.shape[1], 0))
-        return index
-
-    def nearest(self, queries: np.ndarray, k: int, leave_out: np.ndarray | None = None
+    def build(ids: np.ndarray, labels: np.ndarray, vectors: Vectors | np.ndarray) -> "BlockMaxIndex":
+        v, n = Vectors.of(vectors), len(ids)
+        rows = np.repeat(np.arange(n), v.sizes)
+        heavy, most = np.full(n, -1, np.int64), np.zeros(n)
+        by_weight = np.lexsort((-v.terms, v.weights))
+        heavy[rows[by_weight]], most[rows[by_weight]] = v.terms[by_weight], v.weights[by_weight]
+        order = np.lexsort((ids, most, heavy))
+        position = np.empty(n, np.int64)
+        position[order] = np.arange(n)
+        by_term = np.lexsort((position[rows], v.terms))
+        terms, example, weight = v.terms[by_term], position[rows][by_term], v.weights[by_term]
+        run = terms * (n // BLOCK + 1) + example // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.zeros(0, np.int64)
+        top = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
+        return BlockMaxIndex(ids[order], labels[order], np.searchsorted(terms[first], np.arange(v.n_terms + 1)),
+                             (example[first] // BLOCK).astype(np.int32), top, np.append(first, len(run)),
+                             example.astype(np.int32), weight)
+
+    def nearest(self, queries: Vectors | np.ndarray, k: int, leave_out: np.ndarray | None = None
                 ) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest positive cosine (ties: smaller id) of each
         query, as positions (-1: none) and cosines.
 
-        Every query visits its blocks from the largest bound down and stops when
-        a bound is below its k-th cosine, so no nearer example is missed.
+        Every query visits the blocks of its largest bounds first, then all whose
+        bound isn't below its k-th cosine, so no nearer example is missed.
         """
-        n = len(queries)
+        v = Vectors.of(queries)
+        n = len(v.sizes)
         at, sim = np.full((n, k), -1, np.int64), np.zeros((n, k))
         if not n or not len(self.ids):
             return at, sim
-        bound = queries @ self.block_max
-        visit = np.argsort(-bound, axis=1, kind="stable")
-        live = np.arange(n)
-        slack = 1e-12
-        for step in range(bound.shape[1]):
-            here = visit[live, step]
-            best = bound[live, here]
-            go = (best > slack) & (best >= sim[live, k - 1] - slack)
-            live, here = live[go], here[go]
-            if not len(live):
-                break
-            for b in np.unique(here):
-                q = live[here == b]
-                base = b * BLOCK
-                got = queries[np.ix_(q, self.block_terms[b])] @ self.block_weights[b]
-                where = np.broadcast_to(np.arange(base, base + got.shape[1]), got.shape)
-                if leave_out is not None:
-                    got = np.where(where == leave_out[q][:, None], 0.0, got)
-                both = np.round(np.concatenate([sim[q], got], axis=1), 12)
-                pos = np.concatenate([at[q], np.where(got > slack, where, -1)], axis=1)
-                both = np.where(pos < 0, 0.0, both)
-                tie = np.where(pos < 0, np.iinfo(np.int64).max, self.ids[pos])
-                keep = np.lexsort((tie, -both), axis=1)[:, :k]
-                sim[q] = np.take_along_axis(both, keep, 1)
-                at[q] = np.take_along_axis(pos, keep, 1)
+        reach = self.first[self.of_term]    # where each term's postings start
+        ends = np.concatenate([[0], np.cumsum(v.sizes)])
+        dear = np.concatenate([[0], np.cumsum(np.where(self.common[0][v.terms] < 0, reach[v.terms + 1] - reach[v.terms], 0))])[ends]
+        a = 0
+        while a < n:
+            b = max(a + 1, min(a + QUERIES, n, int(np.searchsorted(dear, dear[a] + AT_ONCE, "right")) - 1))
+            at[a:b], sim[a:b] = self._nearest(v.part(a, b), k, None if leave_out is None else leave_out[a:b])
+            a = b
+        return at, sim
+
+    def _nearest(self, v: Vectors, k: int, leave_out: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        m, n, slack = len(v.sizes), len(self.ids), 1e-12
+        blocks = (n - 1) // BLOCK + 1
+        place, dense, tops = self.common
+        at_row, place = np.repeat(np.arange(m), v.sizes), place[v.terms]
+        often = place >= 0
+        thick = np.zeros((m, len(tops)))
+        thick[at_row[often], place[often]] = v.weights[often]
+        rare = v.terms[~often]
+        size = self.of_term[rare + 1] - self.of_term[rare]
+        runs = _spread(self.of_term[rare], size)
+        row, weight = np.repeat(at_row[~often], size), np.repeat(v.weights[~often], size)
+        cell = row * blocks + self.block[runs]
+        bound = thick @ tops + np.bincount(cell, weight * self.top[runs], minlength=m * blocks).reshape(m, blocks)
+
+        def visit(these: np.ndarray) -> np.ndarray:
+            use = these.ravel()[cell]
+            r = runs[use]
+            size = self.first[r + 1] - self.first[r]
+            p = _spread(self.first[r], size)
+            got = np.bincount(np.repeat(row[use] * n, size) + self.example[p], np.repeat(weight[use], size) * self.weight[p], minlength=m * n)
+            got = got.astype(np.float64, copy=False).reshape(m, n)
+            for b in np.flatnonzero(these.any(0)):
+                q, here = np.flatnonzero(these[:, b]), slice(b * BLOCK, min(n, (b + 1) * BLOCK))
+                got[q, here] += (thick[q] @ dense[b])[:, :here.stop - here.start]
+            got = np.round(got, 12, out=got)
+            if leave_out is not None:
+                got[np.arange(m), leave_out] = 0.0
+            return got
+
+        def kth(sims: np.ndarray) -> np.ndarray:
+            return np.partition(sims, n - k, axis=1)[:, n - k] if k <= n else np.zeros(m)
+
+        now = bound > slack
+        if blocks > FIRST:
+            now &= bound >= np.partition(bound, blocks - FIRST, axis=1)[:, blocks - FIRST, None]
+        sims = visit(now)
+        later = ~now & (bound > slack) & (bound >= kth(sims)[:, None] - slack)
+        if later.any():
+            sims += visit(later)    # no example is in both
+        q, e = np.nonzero((sims > slack) & (sims >= kth(sims)[:, None]))
+        order = np.lexsort((self.ids[e], -sims[q, e], q))
+        q, e = q[order], e[order]
+        rank = np.arange(len(q)) - np.searchsorted(q, q)
+        q, e, rank = q[rank < k], e[rank < k], rank[rank < k]
+        at, sim = np.full((m, k), -1, np.int64), np.zeros((m, k))
+        at[q, rank], sim[q, rank] = e, sims[q, e]
         return at, sim
 
     def votes(self, at: np.ndarray, sim: np.ndarray) -> np.ndarray:
@@ -230,17 +296,18 @@ class ToxicityModel:
 @dataclass
 class Examples:
     """The chosen examples: ``rows`` has id, y, terms and counts; ``share`` the number of
-    usable labels of either kind."""
+    usable labels of either kind, ``relevance`` what multiplies each term's IDF."""
 
     rows: DataFrame
     terms: list[str]
     share: dict[int, int]
+    relevance: np.ndarray
 
 
 def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams(),
            doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
            learn_from: Column | None = None) -> Examples:
-    """The examples and the terms that tell their labels apart.
+    """The examples, their terms and how well each tells the labels apart.
 
     ``learn_from`` (a condition on the label table) limits which labels may be
     used.
@@ -270,21 +337,23 @@ def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Tox
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not (n0 and n1):
-        return Examples(rows, [], share)
+        return Examples(rows, [], share, np.zeros(0))
     a, b, n = F.col("with1").cast("double"), F.col("with0").cast("double"), float(n0 + n1)
     chi = n * F.pow(a * n0 - b * n1, F.lit(2.0)) / ((a + b) * (n - a - b + 1.0) * n0 * n1)
-    top = (rows.select("y", F.explode("terms").alias("term"))
-           .groupBy("term").agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
-           .where(F.col("with1") + F.col("with0") >= max(params.min_examples, params.min_share * min(n0, n1)))
-           .select("term", chi.alias("chi")).orderBy(F.desc("chi"), "term").limit(params.n_terms))
-    return Examples(rows, sorted(r["term"] for r in top.collect()), share)
+    # Bounded: each term is in min_examples of at most 2 * per_class rows.
+    kept = (rows.select("y", F.explode("terms").alias("term"))
+            .groupBy("term").agg(F.sum("y").alias("with1"), F.sum(1 - F.col("y")).alias("with0"))
+            .where(F.col("with1") + F.col("with0") >= params.min_examples)
+            .select("term", F.greatest(F.lit(1.0), F.sqrt(chi)).alias("relevance")).collect())
+    kept.sort(key=lambda r: r["term"])
+    return Examples(rows, [r["term"] for r in kept], share, np.array([r["relevance"] for r in kept]))
 
 
 def hits(documents: DataFrame, terms: list[str], text: str = "text", prefix: str = "toxicity_") -> DataFrame:
-    """``documents`` with the listed terms of each whole text and their counts (two arrays)."""
+    """``documents`` with the kept terms of each whole text and their counts (two arrays)."""
     names = [prefix + "terms", prefix + "counts"]
     documents = without(documents, names)
-    schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(LongType())) for x in names)])
+    schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(IntegerType())) for x in names)])
     place = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,15 +361,15 @@ def hits(documents: DataFrame, terms: list[str], text: str = "text", prefix: str
         for part in slices(batches):
             got = [vocabulary.counts(t) for t in part.column(place).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array([list(c) for c in got], pa.list_(pa.int64())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], schema.names)
+                [*part.columns, pa.array([list(c) for c in got], pa.list_(pa.int32())),
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], schema.names)
 
     return documents.mapInArrow(run, schema)
 
 
 def document_idf(marked: DataFrame, n_terms: int, prefix: str = "toxicity_") -> np.ndarray:
     """ln((1 + N) / (1 + df)) + 1 of each term, over all rows of ``hits``."""
-    seen = F.explode(F.concat(F.array(F.lit(-1).cast("long")), F.col(prefix + "terms")))
+    seen = F.explode(F.concat(F.array(F.lit(-1)), F.col(prefix + "terms")))
     n = {r["term"]: r["n"] for r in marked.select(seen.alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect()}
     df = np.array([n.get(i, 0) for i in range(n_terms)], np.float64)
     return np.log((1.0 + n.get(-1, 0)) / (1.0 + df)) + 1.0
@@ -310,22 +379,29 @@ def fit(examples: Examples, marked: DataFrame, params: ToxicityParams = Toxicity
         prefix: str = "toxicity_") -> ToxicityModel:
     """Index the examples, with the IDF over all documents (``marked``: their ``hits``),
     and calibrate the votes, each example being scored by the others."""
-    idf = document_idf(marked, len(examples.terms), prefix)
-    where = {t: i for i, t in enumerate(examples.terms)}
-    listed = F.filter(F.arrays_zip("terms", "counts"), lambda z: z["terms"].isin(*examples.terms))
-    # Bounded: 2 * per_class rows of at most n_terms pairs.
-    rows = sorted(examples.rows.select("id", "y", listed.alias("hits")).collect(), key=lambda r: r["id"])
-    flat = [(where[h["terms"]], h["counts"]) for r in rows for h in r["hits"]]
-    vectors = weigh(np.array([len(r["hits"]) for r in rows], np.int64), np.array([t for t, _ in flat], np.int64),
-                    np.array([c for _, c in flat], np.float64), idf)
-    y = np.array([r["y"] for r in rows], np.int64)
-    index = BlockMaxIndex.build(np.array([r["id"] for r in rows], np.int64), y, vectors)
+    idf = document_idf(marked, len(examples.terms), prefix) * examples.relevance
+    terms = examples.terms
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(terms)
+        for part in slices(batches, 64):
+            got = [vocabulary.of(zip(t, c)) for t, c in zip(part.column("terms").to_pylist(), part.column("counts").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("id"), part.column("y"), pa.array([list(c) for c in got], pa.list_(pa.int32())),
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], ["id", "y", "terms", "counts"])
+
+    # Bounded: 2 * per_class rows.
+    rows = examples.rows.mapInArrow(keep, "id long, y int, terms array<int>, counts array<int>").toArrow().sort_by("id").combine_chunks()
+    ids, y = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "y"))
+    flat = [pc.list_flatten(rows.column(c)).to_numpy() for c in ("terms", "counts")]
+    vectors = weigh(pc.list_value_length(rows.column("terms")).to_numpy().astype(np.int64), flat[0].astype(np.int64),
+                    flat[1].astype(np.float64), idf)
+    index = BlockMaxIndex.build(ids, y, vectors)
     order = {i: p for p, i in enumerate(index.ids.tolist())}
-    own = np.array([order[r["id"]] for r in rows], np.int64)
+    own = np.array([order[i] for i in ids.tolist()], np.int64)
     size = np.bincount(y, minlength=2)
     rate = np.array([examples.share.get(c, 0) / max(1, size[c]) for c in (0, 1)])
-    votes = np.concatenate([np.zeros(0), *(index.votes(*index.nearest(vectors[i:i + 512], params.neighbours, own[i:i + 512]))
-                                          for i in range(0, len(rows), 512))])
+    votes = index.votes(*index.nearest(vectors, params.neighbours, own)) if len(y) else np.zeros(0)
     return ToxicityModel(params, idf, index, Calibration.fit(votes, y.astype(float), rate[y]))
 
 
@@ -333,7 +409,7 @@ _OUTPUT = {"score": DoubleType(), "vote": DoubleType(), "examples": ArrayType(Lo
 
 
 def _judged(m: ToxicityModel, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-    """The output columns of rows with the given listed terms."""
+    """The output columns of rows with the given kept terms."""
     at, sim = m.index.nearest(weigh(sizes, terms, counts, m.idf), m.params.neighbours)
     votes = m.index.votes(at, sim) if len(m.index.ids) else np.full(len(sizes), -1.0)
     found = at >= 0
@@ -357,7 +433,7 @@ def score(marked: DataFrame, model: ToxicityModel, prefix: str = "toxicity_") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1024):
-            made = _judged(shared.value, np.diff(part.column(at_terms).offsets.to_numpy()), part.column(at_terms).flatten().to_numpy(),
+            made = _judged(shared.value, np.diff(part.column(at_terms).offsets.to_numpy()), part.column(at_terms).flatten().to_numpy().astype(np.int64),
                            part.column(at_counts).flatten().to_numpy().astype(np.float64))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *made], schema.names)
 

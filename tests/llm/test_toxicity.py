@@ -80,3 +80,27 @@ def test_without_labels_or_documents(spark):
     got, _ = run(docs, labels.where("toxic = 0"))
     assert {r["toxicity_score"] for r in got} == {0.0}
     assert run(docs.limit(0), labels)[0] == []
+
+
+def test_wide_toxic_vocabulary(spark):
+    """No toxic word is common: 100 of them without a common stem, two to a toxic text."""
+    random.seed(5)
+    name = lambda i, last: "".join(chr(97 + i // 10 ** k % 10) for k in (0, 1, 2)) + last
+    plain, bad = [name(i, "plainword") for i in range(300)], [name(i, "zzvileword") for i in range(100)]
+    rows, labels = [], []
+    for i in range(2500):
+        y = int(i % 5 == 0)
+        words = random.choices(plain, k=40) + random.sample(bad, 2) * 2 * y
+        rows.append((i, " ".join(words)))
+        labels.append((i, y))
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    params = toxicity.ToxicityParams()
+    examples = toxicity.choose(docs, known, params, learn_from=~toxicity.held_out())
+    model = toxicity.fit(examples, toxicity.hits(docs, examples.terms), params)
+    got = {r["doc_id"]: r["toxicity_score"] >= 0.3 for r in toxicity.score_texts(docs, examples.terms, model).collect()}
+    held = [i for i in got if zlib.crc32(str(i).encode()) % 4 == 2]
+    toxic = [i for i in held if i % 5 == 0]
+    assert len(toxic) > 80 and sum(got[i] for i in toxic) >= 0.95 * len(toxic)
+    assert sum(got[i] for i in held if i % 5) <= 0.05 * len(held)
+    # Every plain and every toxic word that enough examples contain has a slot.
+    assert len(examples.terms) >= 380
