@@ -4,9 +4,12 @@ Three fixed patterns find the base credentials. The strings they match are the
 labelled examples: for each kind, a prefix tree of their character classes is
 generalised by merging states that are statistically compatible (Hoeffding
 bounds on their outgoing frequencies, applied to all successors), which gives
-a probabilistic automaton. All other long tokens of a text are candidates;
-one becomes an added span if an automaton can generate it and its likelihood
-per symbol is at least that of nearly all labelled examples.
+a probabilistic automaton. All other long tokens of a text are candidates, whole
+and in parts: from the start or after any run of ``=``, up to the end or the next
+run of ``=``, with and without the trailing ``.``, ``=``, ``-`` and ``/``. A part
+becomes an added span if an automaton can generate it and its likelihood per symbol
+is at least that of nearly all labelled examples. Of accepted parts that overlap
+the longest wins, then the first.
 
 At most ``per_kind`` examples of a kind are learnt from: those of smallest hash
 among the distinct matches of all documents, each task sending no more than
@@ -40,6 +43,7 @@ KINDS = ["assign", "access", "hex"]
 KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
+TRAILING = "=.-/"
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
 SPAN = StructType([StructField("kind", StringType()), StructField("start", LongType()),
                    StructField("end", LongType()), StructField("score", DoubleType())])
@@ -87,16 +91,19 @@ class Automaton:
 
     def score(self, token: str) -> float:
         """Mean log-likelihood per symbol, the end included; -inf if it can't be generated."""
-        if not self.shortest <= len(token) <= self.longest:
-            return -math.inf
-        state, total = 0, 0.0
-        for s in symbols(token):
-            step = self.moves[state].get(s)
+        return dict(self.scores(symbols(token), 0, {len(token)})).get(len(token), -math.inf)
+
+    def scores(self, classes: str, start: int, ends: set[int]) -> Iterator[tuple[int, float]]:
+        """Each of ``ends`` up to which it can generate the symbols from ``start`` on, and the score."""
+        state, total, first = 0, 0.0, start + self.shortest
+        for at in range(start, min(len(classes), start + self.longest)):
+            step = self.moves[state].get(classes[at])
             if step is None:
-                return -math.inf
+                return
             state, p = step
             total += p
-        return (total + self.ends[state]) / (len(token) + 1)
+            if at + 1 >= first and at + 1 in ends:
+                yield at + 1, (total + self.ends[state]) / (at + 2 - start)
 
 
 def infer(tokens: list[str], params: SecretParams = SecretParams()) -> Automaton | None:
@@ -203,6 +210,38 @@ def learn(df: DataFrame, params: SecretParams = SecretParams(), text: str = "tex
     return out
 
 
+def parts(token: str) -> tuple[list[int], set[int]]:
+    """Where parts of a candidate may start, and where they may end."""
+    starts, ends = [0], {len(token)}
+    if "=" in token or token[-1] in TRAILING:
+        starts += [p + 1 for p, c in enumerate(token[:-1]) if c == "="]
+        for p in range(len(token) - 1, 0, -1):
+            if token[p - 1] == "=" or (token[p] in TRAILING and p + 1 in ends):
+                ends.add(p)
+    return starts, ends
+
+
+def added(token: str, automata: dict[str, Automaton], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, float]]:
+    """The accepted parts of a candidate (start, end, kind, score) that overlap neither
+    ``taken`` nor a longer one, or an earlier one of the same length."""
+    starts, ends = parts(token)
+    classes, best = symbols(token), {}
+    for start in starts:
+        for k, a in automata.items():
+            for end, score in a.scores(classes, start, ends):
+                if score >= a.least:
+                    best[start, end] = max(best.get((start, end), (-math.inf, "")), (score - a.least, k))
+    out, used = [], bytearray(len(token))
+    for s, e in taken if best else []:
+        s, e = max(0, s), min(len(token), e)
+        used[s:e] = b"\1" * max(0, e - s)
+    for start, end in sorted(best, key=lambda x: (x[0] - x[1], x[0])):
+        if 1 not in used[start:end]:
+            used[start:end] = b"\1" * (end - start)
+            out.append((start, end, best[start, end][1], best[start, end][0]))
+    return out
+
+
 def find(text: str, automata: dict[str, Automaton]) -> list[tuple[str, int, int, float | None]]:
     """All spans of a text: the base ones (score null) and the added ones, ordered
     by start, then base kinds as listed, then added kinds."""
@@ -213,12 +252,11 @@ def find(text: str, automata: dict[str, Automaton]) -> list[tuple[str, int, int,
         for m in CANDIDATE.finditer(text):
             while i < len(taken) and taken[i][1] <= m.start():
                 i += 1
-            if any(s < m.end() and e > m.start() for s, e in taken[i:i + 8] if s < m.end()):
-                continue
-            token = m[0]
-            score, kind = max((a.score(token) - a.least, k) for k, a in automata.items())
-            if score >= 0:
-                out.append((m.start(), len(KINDS) + KINDS.index(kind), "grammar_" + kind, m.end(), score))
+            j = i
+            while j < len(taken) and taken[j][0] < m.end():
+                j += 1
+            out += [(m.start() + s, len(KINDS) + KINDS.index(k), "grammar_" + k, m.start() + e, score)
+                    for s, e, k, score in added(m[0], automata, [(s - m.start(), e - m.start()) for s, e in taken[i:j]])]
     out.sort(key=lambda x: x[:2])
     return [(kind, s, e, score) for s, _, kind, e, score in out]
 

@@ -68,3 +68,19 @@ def test_scan_and_redact(spark):
 def test_overlapping_spans_are_masked_once():
     text = "token=deadbeefdeadbeef00 end"
     assert s.masked(text, s.find(text, {}), "#") == "# end"
+
+
+def test_parts_of_a_run_are_candidates(spark):
+    """A credential after another name and '=', or before the end of a sentence."""
+    known = credentials(300)
+    automata = {"assign": s.infer(known[:200])}
+    plain = [k for k in known[200:] if automata["assign"].score(k) >= automata["assign"].least]
+    assert len(plain) > 90
+    for k in plain:
+        for before, after in (("", ""), ("pwd=", ""), ("", "."), ("auth=", "."), ("a=b=", "/-."), ("x==", "=&y"), ("", "=rest")):
+            text = f"so {before}{k}{after} it is"
+            assert [(x[0], text[x[1]:x[2]]) for x in s.find(text, automata)] == [("grammar_assign", k)], text
+        two = f"pwd={k}=deadbeefdeadbeef={plain[0]}."
+        assert [two[x[1]:x[2]] for x in s.find(two, automata)] == [k, "deadbeefdeadbeef", plain[0]]
+    df = spark.createDataFrame([(1, f"pwd={plain[0]} and {plain[1]}.")], "doc_id long, text string")
+    assert s.redact(df, automata).collect()[0]["text"] == "pwd=[SECRET] and [SECRET]."
