@@ -10,7 +10,10 @@ commit protocol.
 Reading: every member's checksum, every record's version line, headers, length
 and digests are checked. Where a check fails, the reader looks for the next
 gzip member or version line at which a whole valid record starts, goes on from
-there, and logs the bytes between as a quarantined gap with the first reason.
+there, and logs the bytes between as a quarantined gap with the first reason. Of a
+member that fails, what does inflate is searched for version lines in the same way:
+its valid records are kept (from the member's start to the next sound one) and its
+inner gaps are logged with their places in the inflated bytes.
 
 Null payloads count as empty; null ids and addresses are left out of the
 record. A null id never refers to or is referred to as the largest; rows that
@@ -198,6 +201,46 @@ def _sound(data: bytes, at: int) -> tuple[list[dict], int]:
     return out, end
 
 
+def _inflated(data: bytes, at: int) -> bytes:
+    """All that inflates of the gzip member at ``at``, however it ends."""
+    z, out, step = zlib.decompressobj(31), [], 1 << 16
+    while at < len(data) and not z.eof:
+        before = z.copy()
+        try:
+            out.append(z.decompress(data[at:at + step]))
+        except zlib.error:
+            if step == 1:
+                break
+            z, step = before, 1     # up to the very byte that fails
+            continue
+        at += step
+    return b"".join(out)
+
+
+def _recovered(data: bytes, at: int, reason: str) -> list[dict]:
+    """The valid records and the inner gaps of a member that failed; none without a record."""
+    if not data.startswith(GZIP, at):
+        return []
+    plain, out, pos, found = _inflated(data, at), [], 0, False
+    while pos < len(plain):
+        try:
+            record, pos = parse(plain, pos)
+            out.append(record)
+            found = True
+            continue
+        except Unsound as e:
+            bad, inner = pos, str(e)
+        while (pos := plain.find(VERSION, pos + 1)) >= 0:
+            try:
+                parse(plain, pos)
+                break
+            except Unsound:
+                pass
+        pos = pos if pos >= 0 else len(plain)
+        out.append({"reason": f"{reason}; inflated bytes {bad} to {pos}: {inner}"})
+    return out if found else []
+
+
 def _next(data: bytes, at: int) -> int:
     """Where the next member or version line may start, from ``at`` on; the length if nowhere."""
     found = [p for p in (data.find(GZIP, at), data.find(VERSION, at)) if p >= 0]
@@ -217,14 +260,18 @@ def salvage(data: bytes) -> Iterator[dict]:
             continue
         except Unsound as e:
             reason = str(e)
-        bad, spot = at, at + 1
+        bad, spot, rows = at, at + 1, _recovered(data, at, reason)
         while (spot := _next(data, spot)) < n:
             try:
                 _sound(data, spot)
                 break
-            except Unsound:
+            except Unsound as e:
+                if _recovered(data, spot, str(e)):
+                    break
                 spot += 1
-        yield {"start": bad, "end": spot, "reason": reason}
+        if not any("reason" in r for r in rows):
+            rows.append({"reason": reason})
+        yield from (r | {"start": bad, "end": spot} for r in rows)
         at = spot
 
 

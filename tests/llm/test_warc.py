@@ -63,6 +63,24 @@ def test_a_changed_payload_fails_its_digest():
     assert [r["reason"] for r in warc.salvage(warc.member(record, 6))] == ["block digest differs"]
 
 
+def test_a_member_of_many_records():
+    records = sample(False)
+    good, joint = warc.member(one(50, b"last"), 6), warc.member(b"".join(records), 6)
+    cut = joint[:len(joint) * 3 // 4]
+    rows = list(warc.salvage(cut))
+    assert ids(rows) == [0, 1, 2, 3] and len(gaps(rows)) == 1
+    assert rows[-1]["reason"].startswith("gzip member ends early; inflated bytes ")
+    rows = list(warc.salvage(b"junk" + cut + good))
+    assert ids(rows) == [0, 1, 2, 3, 50] and gaps(rows) == [(0, 4), (4, 4 + len(cut))]
+    late = joint[:-6] + bytes([joint[-6] ^ 1]) + joint[-5:]     # the checksum
+    rows = list(warc.salvage(late + good))
+    assert ids(rows) == [0, 1, 2, 3, 4, 5, 50] and gaps(rows) == [(0, len(late))]
+    wrong = bytearray(b"".join(records))
+    wrong[len(records[0]) + len(records[1]) - 100] ^= 1
+    rows = list(warc.salvage(warc.member(bytes(wrong), 6) + good))
+    assert ids(rows) == [0, 2, 3, 4, 5, 50] and len(gaps(rows)) == 1
+
+
 def rows_of(spark):
     big, other = "x" * 1500, "é" * 700
     return [(1, "http://a", big), (2, None, big), (5, "http://c\n\td", big), (3, "http://d", other), (4, "http://e", other), (6, "f", "small"),
