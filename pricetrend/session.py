@@ -118,6 +118,14 @@ def release_tables(spark: SparkSession, since: int = 0) -> int:
     return len(paths)
 
 
+def release_table(spark: SparkSession, path: str) -> None:
+    """Delete one written table whose readers are done (a step of a loop, say)."""
+    if path in _WRITTEN:
+        _WRITTEN.remove(path)
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Tables written inside the block are deleted at its end; consume results within it."""
