@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import ann, bpe, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
+from pricetrend.llm import ann, bpe, codes, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import scratch_path
 
@@ -96,6 +96,13 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(sized, vocabulary()).select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = codes.compress(table(spark, sf_dir, "embeddings"))
+    return codes.with_label_error(coded.rows).select(
+        F.col("id").alias("vec_id"), codes.code_text(F.col("code")).alias("code"), "error", "label_error",
+        F.lit(coded.digest()).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -107,9 +114,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
+    "op11_vector_codes": op11_vector_codes,
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Product codes by the full search: every round compares all parts with all entries."""
+    steps = ["""WITH v AS (SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+          list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+          FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS (SELECT rid, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x FROM v, range(4) AS t(part)),
+        c0 AS (SELECT part, rid - 1 AS entry, x AS c FROM p WHERE rid <= 256)"""]
+    for k in range(rounds + 1):
+        steps.append(f"""a{k} AS (SELECT rid, part, any_value(x) AS x,
+          min(CAST(list_dot_product(x, x) + list_dot_product(c, c) - 2 * list_dot_product(x, c) AS BIGINT) * 256 + entry) AS m
+          FROM p JOIN c{k} USING (part) GROUP BY rid, part)""")
+        if k < rounds:
+            steps.append(f"""s{k} AS (SELECT part, m % 256 AS entry, pos, CAST(sum(x[pos]) AS BIGINT) AS s, count(*) AS n
+              FROM a{k}, range(1, (SELECT max(len(x)) + 1 FROM p)) AS t(pos) GROUP BY ALL),
+            f{k} AS (SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY pos) AS c FROM s{k} GROUP BY part, entry),
+            c{k + 1} AS (SELECT part, entry, coalesce(f.c, o.c) AS c FROM c{k} o LEFT JOIN f{k} f USING (part, entry))""")
+    return ",\n".join(steps) + f"""
+        , e AS (SELECT rid, string_agg(printf('%02x', m % 256), '' ORDER BY part) AS code, CAST(sum(m // 256) AS BIGINT) AS error FROM a{rounds} GROUP BY rid),
+        b AS (SELECT sha256(string_agg(CAST(CAST(c[pos] AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS d
+              FROM c{rounds}, range(1, (SELECT max(len(x)) + 1 FROM p)) AS t(pos))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, (SELECT d FROM b) AS codebooks_sha256
+        FROM v JOIN e USING (rid)"""
+
+
 ORACLE: dict[str, str] = {
+    "op11_vector_codes": _codes_sql(),
     "op4_warc": """
         WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
         k AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS keeper FROM p)
