@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import ann, bpe, codes, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
+from pricetrend.llm import ann, bpe, codes, language, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import scratch_path
 
@@ -103,6 +103,13 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(coded.digest()).alias("codebooks_sha256"))
 
 
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs, ~language.held_out())
+    return language.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -115,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_topk": op9_topk,
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
+    "op12_language": op12_language,
 }
 
 def _codes_sql(rounds: int = 4) -> str:
