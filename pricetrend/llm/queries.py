@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.llm import ann, bpe, codes, language, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
+from pricetrend.llm import ann, bpe, codes, conversations, language, mixing, quality, secret_scan, simhash, token_counts, topk, toxicity, warc
 from pricetrend.llm.common import cut_lineage, table, words_in
 from pricetrend.session import scratch_path
 
@@ -110,6 +110,11 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.repaired(rows).withColumnRenamed("conv", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_bpe_round_trip": op2_bpe_round_trip,
@@ -123,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_counts": op10_token_counts,
     "op11_vector_codes": op11_vector_codes,
     "op12_language": op12_language,
+    "op13_conversations": op13_conversations,
 }
 
 def _codes_sql(rounds: int = 4) -> str:
