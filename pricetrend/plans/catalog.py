@@ -508,14 +508,13 @@ def model_report(spark, sf_dir):
 
 
 def _grid_points() -> list[tuple]:
-    """(model, grid_index, kernel, degree, gamma, C, n_neurons, epochs, lr) of all grids."""
-    out = [("svm", i, p["kernel"], p.get("degree"), p.get("gamma"), float(p["C"]), None, None, None)
-           for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())]
-    return out + [("mlp", i, None, None, None, None, p["n_neurons"], p["epochs"], float(p["lr"])) for i, p in enumerate(_mlp.mlp_grid())]
+    """The values of GRID_COLUMNS at each point of all grids."""
+    points = [("svm", i, p) for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())] + [("mlp", i, p) for i, p in enumerate(_mlp.mlp_grid())]
+    return [(model, i, p.get("kernel"), *(None if p.get(c) is None else float(p[c]) for c in list(GRID_COLUMNS)[3:])) for model, i, p in points]
 
 
 GRID_COLUMNS = {"model": "string", "grid_index": "int", "kernel": "string", "degree": "double", "gamma": "double", "C": "double",
-                "n_neurons": "double", "epochs": "double", "lr": "double"}
+                "n_neurons": "double", "epochs": "double", "lr": "double", "momentum": "double", "dropout_rate": "double"}
 
 
 def _sql_axis(values, name: str) -> str:
@@ -527,16 +526,18 @@ WITH poly AS (SELECT 'svm' AS model, i_degree * {len(_svm.POLY_C)} + i_c AS grid
   FROM {_sql_axis(_svm.POLY_DEGREES, 'degree')} CROSS JOIN {_sql_axis(_svm.POLY_C, 'c')}),
 rbf AS (SELECT 'svm' AS model, {len(_svm.POLY_DEGREES) * len(_svm.POLY_C)} + i_gamma * {len(_svm.RBF_C)} + i_c AS grid_index, 'rbf' AS kernel, NULL AS degree, gamma, c
   FROM {_sql_axis(_svm.RBF_GAMMAS, 'gamma')} CROSS JOIN {_sql_axis(_svm.RBF_C, 'c')}),
-mlp AS (SELECT 'mlp' AS model, i_n * {len(_mlp.MLP_GRID['epochs'])} + i_e AS grid_index, n, e
-  FROM {_sql_axis(_mlp.MLP_GRID['n_neurons'], 'n')} CROSS JOIN {_sql_axis(_mlp.MLP_GRID['epochs'], 'e')}),
-points AS (SELECT model, grid_index, kernel, degree, gamma, c, NULL AS n, NULL AS e FROM poly UNION ALL
-  SELECT model, grid_index, kernel, degree, gamma, c, NULL, NULL FROM rbf UNION ALL
-  SELECT model, grid_index, NULL, NULL, NULL, NULL, n, e FROM mlp),
+mlp AS (SELECT 'mlp' AS model, (i_n * {len(_mlp.MLP_GRID['epochs'])} + i_e) * {len(_mlp.MLP_GRID['momentum'])} + i_m AS grid_index, n, e, m
+  FROM {_sql_axis(_mlp.MLP_GRID['n_neurons'], 'n')} CROSS JOIN {_sql_axis(_mlp.MLP_GRID['epochs'], 'e')}
+  CROSS JOIN {_sql_axis(_mlp.MLP_GRID['momentum'], 'm')}),
+points AS (SELECT model, grid_index, kernel, degree, gamma, c, NULL AS n, NULL AS e, NULL AS m FROM poly UNION ALL
+  SELECT model, grid_index, kernel, degree, gamma, c, NULL, NULL, NULL FROM rbf UNION ALL
+  SELECT model, grid_index, NULL, NULL, NULL, NULL, n, e, m FROM mlp),
 series AS (SELECT event_type AS symbol, CAST(count(*) AS BIGINT) AS bars FROM
   (SELECT DISTINCT event_type, date_trunc('hour', ts) FROM events WHERE value IS NOT NULL AND event_type IS NOT NULL) GROUP BY ALL)
 SELECT symbol, bars, model, CAST(grid_index AS INTEGER) AS grid_index, kernel, CAST(degree AS DOUBLE) AS degree, CAST(gamma AS DOUBLE) AS gamma,
   CAST(c AS DOUBLE) AS "C", CAST(n AS DOUBLE) AS n_neurons, CAST(e AS DOUBLE) AS epochs,
-  CASE WHEN model = 'mlp' THEN {O.f(_mlp.MLP_GRID['lr'][0])} END AS lr
+  CASE WHEN model = 'mlp' THEN {O.f(_mlp.MLP_GRID['lr'][0])} END AS lr, CAST(m AS DOUBLE) AS momentum,
+  CASE WHEN model = 'mlp' THEN {O.f(_mlp.MLP_GRID['dropout_rate'][0])} END AS dropout_rate
 FROM series CROSS JOIN points""")
 def param_grid(spark, sf_dir):
     """Every grid point for every series of the table, with the bars its fits would see."""

@@ -35,7 +35,7 @@ class GridConfig:
     svm_params: SvmParams = SvmParams()
 
 
-# 64 SVM points, 20 tree counts, 16 networks.
+# 64 SVM points, 20 tree counts, 48 networks.
 REFERENCE_GRIDS = GridConfig()
 
 
@@ -107,7 +107,7 @@ def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -
     x, cols = prepared(panel, "mlp", rep)
     r = mlp.mlp_scores(x, cols, cfg.mlp)
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "mlp",
-                    {c: F.col(c) for c in ("n_neurons", "epochs", "lr", "tol")},
+                    {c: F.col(c) for c in ("n_neurons", "epochs", "lr", "momentum", "dropout_rate", "epochs_used", "best_epoch")},
                     ["test_accuracy"], F.col("grid_index"))
 
 
