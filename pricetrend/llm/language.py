@@ -48,7 +48,7 @@ class LanguageParams:
     shrink: float = 50.0
     per_lang: int = 1500        # sampled texts of a language, about
     shards: int = 6
-    epochs: int = 6
+    epochs: int = 4
     batch: int = 32
     alpha: float = 0.2
     beta: float = 1.0
@@ -169,21 +169,28 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
 @dataclass(frozen=True)
 class LanguageModel:
     langs: list[str]
-    table: np.ndarray       # idf times weight of each feature and language
+    features: np.ndarray    # those with a weight, ascending
+    weights: np.ndarray     # their idf times weight for each language
     heat: float
     params: LanguageParams
 
     @property
     def nonzero(self) -> float:
-        return float((self.table != 0).any(axis=1).mean()) if self.table.size else 0.0
+        return len(self.features) / self.params.buckets
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def table(self) -> np.ndarray:
+        """The weights of all features, a row each; a task makes it once."""
+        out = np.zeros((self.params.buckets, len(self.langs)))
+        out[self.features] = self.weights
+        return out
+
+    def predict(self, text: str | None, table: np.ndarray) -> tuple[str, float]:
         points = signs(text)
         if not len(points) or not self.langs:
             return "und", 0.0
         total, n = np.zeros(len(self.langs)), 0
         for f in sections(points, self.params):
-            total += np.bincount(f, minlength=self.params.buckets) @ self.table if len(f) > self.params.buckets else self.table[f].sum(axis=0)
+            total += np.bincount(f, minlength=self.params.buckets) @ table if len(f) > self.params.buckets else table[f].sum(axis=0)
             n += len(f)
         p = softmax((self.params.scale / (n + self.params.shrink) * total / self.heat)[None, :])[0]
         best = int(p.argmax())
@@ -231,7 +238,7 @@ def fit(docs: DataFrame, learn_from: Column, params: LanguageParams = LanguagePa
     per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per language
     langs = sorted(per)
     if not langs:
-        return LanguageModel([], np.zeros((0, 0)), 1.0, p)
+        return LanguageModel([], np.zeros(0, np.int32), np.zeros((0, 0)), 1.0, p)
     n_texts, df = frequencies(rows, p)
     idf = np.log((1.0 + n_texts) / (1.0 + df)) + 1.0
 
@@ -239,7 +246,7 @@ def fit(docs: DataFrame, learn_from: Column, params: LanguageParams = LanguagePa
     share = F.element_at(F.create_map(*[v for x in langs for v in (F.lit(x), F.lit(min(1.0, p.per_lang / per[x])))]), F.col("lang"))
     dealt = rows.withColumn("h", F.xxhash64(F.lit("language"), "id")).withColumn("u", F.shiftrightunsigned("h", 11) / F.lit(float(1 << 53)))
     sample = dealt.where(F.col("u") < share).select("h", "lang", "t")
-    shared = spark.sparkContext.broadcast(idf)
+    shared = spark.sparkContext.broadcast(idf.astype(np.float32))
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
@@ -252,6 +259,7 @@ def fit(docs: DataFrame, learn_from: Column, params: LanguageParams = LanguagePa
                                               pa.array([x.astype("<f4").tobytes() for x in xs], pa.binary())], ["h", "y", "f", "x"])
 
     texts = cut_lineage(sample.mapInArrow(featurise, "h long, y int, f binary, x binary"), "language-sample")
+    shared.destroy()
     kept = F.pmod(F.shiftrightunsigned("h", 3), F.lit(5)) == 0
     learnt = (texts.where(~kept).withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(p.shards)).cast("int"))
               .repartition(p.shards, "shard").sortWithinPartitions("shard", "h", "f"))
@@ -265,20 +273,29 @@ def fit(docs: DataFrame, learn_from: Column, params: LanguageParams = LanguagePa
         scores.append(np.frombuffer(r["x"], "<f4").astype(float) @ w[np.frombuffer(r["f"], "<i4")])
         y.append(r["y"])
     heat = temperature(np.array(scores).reshape(-1, len(langs)), np.array(y, np.int64))
-    return LanguageModel(langs, (idf[:, None] * w).astype(np.float64), heat, p)
+    some = np.flatnonzero((w != 0).any(axis=1)).astype(np.int32)
+    return LanguageModel(langs, some, idf[some, None] * w[some], heat, p)
 
 
 def _epoch(learnt: DataFrame, z: np.ndarray, n: np.ndarray, p: LanguageParams) -> tuple[np.ndarray, np.ndarray]:
     """All shards once, each from the common state; the average of where they end."""
     spark, k = learnt.sparkSession, z.shape[1]
-    state = spark.sparkContext.broadcast((z, n))
+    some = np.flatnonzero(n.any(axis=1)).astype(np.int32)
+    state = spark.sparkContext.broadcast((some, z[some], n[some]))
+    shape = z.shape
+
+    def common() -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros(shape), np.zeros(shape)
+        for whole, part in zip(out, state.value[1:]):
+            whole[state.value[0]] = part
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done() -> Iterator[pa.RecordBatch]:
             if waiting:
                 leader.learn([t[:2] for t in waiting], np.array([t[2] for t in waiting]))
             # What the shard has changed, times its rows.
-            dz, dn = (leader.z - state.value[0]) * seen, (leader.n - state.value[1]) * seen
+            dz, dn = ((a - b) * seen for a, b in zip((leader.z, leader.n), common()))
             rows = np.flatnonzero((dz != 0).any(axis=1) | (dn != 0).any(axis=1))
             both = np.concatenate([dz[rows], dn[rows]], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([[float(seen)] * (2 * k)], pa.list_(pa.float64()))], ["f", "d"])
@@ -292,7 +309,7 @@ def _epoch(learnt: DataFrame, z: np.ndarray, n: np.ndarray, p: LanguageParams) -
                 if s != shard:
                     if leader is not None:
                         yield from done()
-                    shard, leader, waiting, seen = s, Leader(state.value[0].copy(), state.value[1].copy(), p), [], 0
+                    shard, leader, waiting, seen = s, Leader(*common(), p), [], 0
                 waiting.append((np.frombuffer(f, "<i4").astype(np.int64), np.frombuffer(x, "<f4").astype(float), y))
                 seen += 1
                 if len(waiting) == p.batch:
@@ -303,6 +320,7 @@ def _epoch(learnt: DataFrame, z: np.ndarray, n: np.ndarray, p: LanguageParams) -
 
     moved = learnt.mapInArrow(run, "f long, d array<double>").groupBy("f").agg(
         F.array(*[F.sum(F.element_at("d", i + 1)) for i in range(2 * k)]).alias("d")).toPandas()  # a row per feature
+    state.destroy()
     if not len(moved):
         return z, n
     f, d = moved["f"].to_numpy(), np.stack(moved["d"].to_numpy())
@@ -322,8 +340,10 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFr
     out = without(rows, [key])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        table = model.table()
         for part in slices(batches):
-            got = [shared.value.predict(_text(b.as_py())) for b in part.column(key)]
+            got = [model.predict(_text(b.as_py()), table) for b in part.column(key)]
             left = [c for i, c in enumerate(part.columns) if part.schema.names[i] != key]
             names = [c for c in part.schema.names if c != key]
             yield pa.RecordBatch.from_arrays([*left, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())],
