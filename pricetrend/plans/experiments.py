@@ -71,7 +71,7 @@ def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, f
     x, cols = prepared(panel, "svm", rep, feature_set)
     r = svm.svm_cv(x, cols, cfg.svm, params=cfg.svm_params)
     return _results(r, rep, "svm",
-                    {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "converged")},
+                    {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "kernel_error", "converged")},
                     ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
 
 

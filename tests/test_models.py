@@ -111,6 +111,30 @@ def test_fourier_map_approximates_the_rbf_kernel():
     assert np.abs(phi @ phi.T - want).max() < 0.05
 
 
+def test_a_tensor_sketch_approximates_the_polynomial_kernel():
+    x = np.random.default_rng(0).normal(size=(40, 30))
+    exact = (x @ x.T / 30) ** 4
+    errors = {}
+    for width in (256, 2048, 16384):
+        m = svm.FeatureMap(30, ("poly", 4), svm.SvmParams(sketch_width=width))
+        phi = m(x)[:, :-1]
+        errors[width] = np.linalg.norm(phi @ phi.T - exact) / np.linalg.norm(exact)
+        assert m.components == width == phi.shape[1] and np.allclose(m.misses(x), [((phi @ phi.T - exact) ** 2).sum(), (exact ** 2).sum()])
+    assert errors[2048] < 0.25 and errors[16384] < errors[2048] < errors[256]
+    assert svm.FeatureMap(30, ("poly", 3), svm.SvmParams()).components is None     # 4,960 monomials: exact
+
+
+def test_the_superset_has_all_its_points(spark, panel):
+    x, cols = X.prepared(panel, "svm", "trend", "trend_superset")
+    grid = [p for p in svm.poly_grid() + svm.rbf_grid() if p["C"] == 1]
+    got = svm.svm_cv(x, cols, grid, params=svm.SvmParams(max_passes=40)).collect()
+    assert len(cols) == 30 and len(got) == 5 * 15
+    assert all((r.kernel_error is None) == (r.n_components is None) == (r.kernel == "poly" and r.degree < 4) for r in got)
+    base = np.mean(list(majority(x).values()))
+    assert np.mean([r.test_accuracy for r in got if r.degree == 4]) > base + 0.05
+    assert all(0 < r.kernel_error < 0.3 for r in got if r.degree == 4)
+
+
 def _one_svm(prep, cols, grid, **kw):
     return {(r.symbol, r.grid_index): (r.cv_accuracy, r.test_accuracy, r.converged, r.passes)
             for r in svm.svm_cv(prep, cols, grid, params=svm.SvmParams(**kw)).collect()}
@@ -121,9 +145,39 @@ def test_svm_of_a_series_does_not_depend_on_the_others(spark, panel):
     grid = svm.poly_grid([1, 2], [1, 10]) + svm.rbf_grid([0.5], [1])
     together = _one_svm(x, cols, grid)
     alone = _one_svm(x.where("symbol = 'view'"), cols, grid)
-    in_turn = _one_svm(x, cols, grid, state_bytes=1)
     assert alone == {k: v for k, v in together.items() if k[0] == "view"}
-    assert in_turn == together
+
+
+def test_svm_of_wide_series_gives_the_same(spark, panel):
+    """Series of several shards, one of them left whole: state table and partial sums against one task."""
+    x, cols = X.prepared(panel, "svm", "trend")
+    grid = svm.poly_grid([1, 2], [1]) + svm.rbf_grid([0.5], [1])
+    whole = _one_svm(x, cols, grid, max_passes=25)
+    wide = _one_svm(x, cols, grid, max_passes=25, per_shard=60, mapped_bytes=0)
+    assert set(whole) == set(wide)
+    for k in whole:
+        assert wide[k][2:] == whole[k][2:] and wide[k][:2] == pytest.approx(whole[k][:2], abs=0.02)
+
+
+def test_closed_series_are_not_read_again(spark, panel):
+    from pricetrend.models.shards import BUCKETS, by_bucket, deal, of_open
+    x, cols = X.prepared(panel, "svm", "trend")
+    table = by_bucket(deal(x.select("symbol", "bar_no", "movement"), 60))
+    live = table.where("symbol = 'view'").select("symbol").limit(1)
+    seen = of_open(table, live)
+    assert {r.symbol for r in seen.select("symbol").distinct().collect()} == {"view"}
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0] and BUCKETS == 256
+
+
+def test_svm_state_survives_packing():
+    q = svm.Problems(3, 4, svm.SvmParams(memory=2))
+    rng = np.random.default_rng(0)
+    for _ in range(4):
+        q.learn(rng.random(3), rng.normal(size=(3, 4)))
+    back = svm.Problems.unpack(3, 4, svm.SvmParams(memory=2), q.pack())
+    for name in svm.Problems.FIELDS:
+        assert np.array_equal(getattr(back, name), getattr(q, name)) and getattr(back, name).dtype == getattr(q, name).dtype
 
 
 def test_svm_converges_and_beats_the_majority(spark, panel):
