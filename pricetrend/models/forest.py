@@ -1,4 +1,4 @@
-"""M4/M5: random forests and the tree-count sweep.
+"""M4: random forests and the tree-count sweep (G4). Stumps on trend signals: ``stumps``.
 
 A forest of k trees is the first k trees of a larger forest: the trees are
 independent draws, and a seeded generator that hands out per-tree seeds in
@@ -108,25 +108,3 @@ def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
             d.unpersist()
     return out.select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"),
                       (F.col("correct") / F.col("n")).alias("accuracy"))
-
-
-def rf_cv(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS, n_folds: int = 5,
-          max_depth: int = 1, seed: int = 42, parallelism: int | None = None) -> DataFrame:
-    """M5 + G1: mean k-fold CV accuracy per (symbol, ntrees) of depth-``max_depth`` forests."""
-    x = assemble(prep.where("is_train"), cols).withColumn("label", F.col("movement").cast("double"))
-    per = {s: x.where(F.col("symbol") == s).persist() for s in series_of(prep)}
-    try:
-        jobs = {(s, f): per[s].where(F.col("fold") != f) for s in per for f in range(n_folds)}
-        models = _grow(jobs, counts, max_depth, seed, parallelism)
-        parts = [lambda s=s, f=f: prefix_accuracy(
-            models[(s, f)], block_size(counts),
-            per[s].where(F.col("fold") == f).withColumn("cv_fold", F.lit(f)),
-            counts, ["symbol", "cv_fold"]) for (s, f) in jobs]
-        out = _metrics(prep.sparkSession, parts,
-                       "symbol string, cv_fold int, ntrees int, correct long, n long")
-    finally:
-        for d in per.values():
-            d.unpersist()
-    return (out.withColumn("acc", F.col("correct") / F.col("n"))
-            .groupBy("symbol", "ntrees").agg(F.avg("acc").alias("cv_accuracy"))
-            .select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"), "cv_accuracy"))

@@ -385,7 +385,9 @@ ORACLE["gnb_overall"] = "\nUNION ALL\n".join(
 # ---------------------------------------------------------------- learned models (rows-only checks)
 from functools import reduce  # noqa: E402
 
+from pricetrend.models import forest as _forest  # noqa: E402
 from pricetrend.models import mlp as _mlp  # noqa: E402
+from pricetrend.models import stumps as _stumps  # noqa: E402
 from pricetrend.models import svm as _svm  # noqa: E402
 from pricetrend.plans import experiments as X  # noqa: E402
 from pricetrend.session import is_written, last_written  # noqa: E402
@@ -476,7 +478,25 @@ def rf_sweep_top3(spark, sf_dir):
                                   F.col("value").alias("accuracy")), ["accuracy"])
 
 
-@register("rf_trend_cv")
+def _stumps_sql(select: str) -> str:
+    """DuckDB: the stumps of every tree count, as ``stump_cv`` and ``ranked``, then ``select``."""
+    step = _forest.TREE_COUNTS[0]
+    return (O.with_prep(FX, O.TREND_ONLY, None, 0.3, "", folds=5).rstrip() + ",\n" + _stumps.stump_ctes(O.TREND_ONLY, _forest.TREE_COUNTS)
+            + f""",
+ranked AS (SELECT *, ntrees // {step} - 1 AS i, row_number() OVER (PARTITION BY symbol ORDER BY cv_accuracy DESC, ntrees) AS r FROM stump_cv)
+""" + select)
+
+
+@register("rf_trend_stumps", _stumps_sql(f"SELECT symbol, CAST(ntrees AS INTEGER) AS ntrees, {O.r('cv_accuracy')} AS cv_accuracy FROM stump_cv"))
+def rf_trend_stumps(spark, sf_dir):
+    """M5, G1: mean accuracy over five folds of every tree count."""
+    res = _family(spark, sf_dir, "rf_cv", "trend")
+    return spark_round(res.select("symbol", F.col("params")["ntrees"].cast("int").alias("ntrees"), F.col("value").alias("cv_accuracy")), ["cv_accuracy"])
+
+
+@register("rf_trend_cv", _stumps_sql(f"""SELECT symbol, 'trend' AS representation, 'rf_cv' AS model, 'max_depth=1,ntrees=' || ntrees AS params,
+  CAST(i AS INTEGER) AS grid_index, 'cv_accuracy' AS metric, {O.r('cv_accuracy')} AS value, selection FROM (
+  SELECT *, 'first_k' AS selection FROM ranked WHERE i < 3 UNION ALL SELECT *, 'best_k' FROM ranked WHERE r <= 3)"""))
 def rf_trend_cv(spark, sf_dir):
     res = _family(spark, sf_dir, "rf_cv", "trend")
     return _res(X.rf_cv_selected(res, "first_k")).withColumn("selection", F.lit("first_k")).unionByName(

@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from pricetrend.models import forest, mlp, svm
+from pricetrend.models import forest, mlp, stumps, svm
 from pricetrend.models.gnb import gnb_predict, gnb_stats
 from pricetrend.models.svm import SvmParams
 from pricetrend.operators.evaluate import (accuracy_by, f1_by, first_k, top3_value_then_earlier,
@@ -89,9 +89,8 @@ def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) ->
 
 def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
     x, cols = prepared(panel, "rf_cv", rep)
-    r = forest.rf_cv(x, cols, cfg.rf_counts)
-    return _results(r, rep, "rf_cv", {c: F.col(c) for c in ("ntrees", "max_depth", "max_bins")},
-                    ["cv_accuracy"], _count_index(cfg))
+    r = stumps.stumps_cv(x, cols, cfg.rf_counts)
+    return _results(r, rep, "rf_cv", {c: F.col(c) for c in ("ntrees", "max_depth")}, ["cv_accuracy"], _count_index(cfg))
 
 
 def nb_results(panel: DataFrame, rep: str) -> DataFrame:

@@ -217,12 +217,3 @@ def test_forests_beat_the_majority_and_repeat(spark, panel):
     base = majority(x)
     assert first == run() and len(first) == 2 * len(base)
     assert np.mean([v for (_, n), v in first.items() if n == 20]) > np.mean(list(base.values())) + 0.05
-
-
-def test_stumps_of_the_trend_signals_beat_the_majority(spark, panel):
-    x, cols = X.prepared(panel, "rf_cv", "trend")
-    got = forest.rf_cv(x, cols, [10], n_folds=5).collect()
-    rows = x.where("is_train").groupBy("symbol").agg(F.avg("movement").alias("p")).collect()
-    base = {r.symbol: max(r.p, 1 - r.p) for r in rows}
-    assert np.mean([r.cv_accuracy for r in got]) > np.mean(list(base.values())) + 0.05
-    assert {(r.max_depth, r.max_bins) for r in got} == {(1, forest.MAX_BINS)}
