@@ -18,7 +18,7 @@ from functools import reduce
 
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricetrend.models.common import assemble, run_parallel, series_of
 
@@ -90,11 +90,12 @@ def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism)
 
 def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
              max_depth: int = MAX_DEPTH_UNLIMITED, seed: int = 42,
-             parallelism: int | None = None) -> DataFrame:
+             parallelism: int | None = None, keep: str | None = None) -> DataFrame:
     """M4 + G4: test accuracy per (symbol, ntrees), trained on the training rows.
 
     ``max_depth`` and ``max_bins`` are reported: Spark's trees are at most 30 deep and
-    choose among that many binned split points.
+    choose among that many binned split points. With ``keep``, a folder on shared storage, the
+    fitted blocks are saved there (see ``saved_trees``).
     """
     x = assemble(prep, cols).withColumn("label", F.col("movement").cast("double"))
     per = {s: x.where(F.col("symbol") == s).persist() for s in series_of(prep)}
@@ -106,5 +107,29 @@ def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
     finally:
         for d in per.values():
             d.unpersist()
+    if keep:
+        names = sorted(models)
+        run_parallel([lambda m=m, i=i, b=b: m.write().save(f"{keep}/series={i}/block={b}") for i, s in enumerate(names) for b, m in enumerate(models[s])], 16)
+        prep.sparkSession.createDataFrame(list(enumerate(names)), "series int, symbol string").write.parquet(f"{keep}/names")
     return out.select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"),
                       (F.col("correct") / F.col("n")).alias("accuracy"))
+
+
+def saved_trees(spark: SparkSession, keep: str) -> DataFrame:
+    """(symbol, tree, nodes) of the forests that ``rf_sweep`` saved: a node is feature, threshold, left
+    and right child, and its share of class 1; a leaf has no feature. Trees are numbered over the blocks."""
+    fields = ("treeID int, nodeData struct<id: int, impurityStats: array<double>, leftChild: int, rightChild: int, "
+              "split: struct<featureIndex: int, leftCategoriesOrThreshold: array<double>>>")
+    raw = spark.read.schema(fields).parquet(f"{keep}/series=*/block=*/data")
+    place = lambda name: F.regexp_extract(F.input_file_name(), f"/{name}=([0-9]+)/", 1).cast("int")
+    stats = F.col("nodeData.impurityStats")
+    leaf = F.col("nodeData.leftChild") < 0
+    node = F.struct(F.col("nodeData.id").alias("id"), F.when(leaf, -1).otherwise(F.col("nodeData.split.featureIndex")).alias("feature"),
+                    F.coalesce(F.try_element_at("nodeData.split.leftCategoriesOrThreshold", F.lit(1)), F.lit(0.0)).alias("threshold"),
+                    F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
+                    (stats[1] / (stats[0] + stats[1])).alias("p"))
+    rows = raw.select(place("series").alias("series"), place("block").alias("block"), "treeID", node.alias("node"))
+    trees = rows.groupBy("series", "block", "treeID").agg(F.array_sort(F.collect_list("node")).alias("nodes"))     # one tree
+    per_block = trees.groupBy("series").agg(F.max("treeID").alias("_last"))
+    return (trees.join(per_block, "series").join(spark.read.parquet(f"{keep}/names"), "series")
+            .select("symbol", (F.col("block") * (F.col("_last") + 1) + F.col("treeID")).alias("tree"), "nodes"))

@@ -39,7 +39,7 @@ def gnb_stats(train: DataFrame, features: list[str], label: str = "movement",
                     *[(F.col(f"var_{f}") + F.col("_eps")).alias(f"var_{f}") for f in features]))
 
 
-def _wide(stats: DataFrame, features: list[str], label: str) -> DataFrame:
+def gnb_wide(stats: DataFrame, features: list[str], label: str = "movement") -> DataFrame:
     """One row per symbol with the class statistics side by side."""
     aggs = []
     for k in CLASSES:
@@ -62,7 +62,7 @@ def _jll(k: int, features: list[str]) -> Column:
 def gnb_predict(df: DataFrame, stats: DataFrame, features: list[str],
                 label: str = "movement") -> DataFrame:
     """Add ``jll0``, ``jll1`` and ``prediction`` (INT) to every row of ``df``."""
-    wide = _wide(stats, features, label)
+    wide = gnb_wide(stats, features, label)
     j = join_series(df, wide)
     j = j.withColumn("jll0", _jll(0, features)).withColumn("jll1", _jll(1, features))
     # Without a likelihood for either class (every feature of the series is constant) the

@@ -92,6 +92,17 @@ def impute_and_scale(df: DataFrame, cols: list[str], fit_on: str | None = None)
     ``(k*a + (n-k)*m) / n`` and variance
     ``(k*(v + (a-mean)^2) + (n-k)*(m-mean)^2) / n``.
     """
+    joined = join_series(df, scaling(df, cols, fit_on))
+
+    def z(c):
+        s, x = F.col(f"_s_{c}"), F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"))
+        return F.coalesce(F.try_divide(x - F.col(f"_c_{c}"), F.when(s > 0, s)), F.lit(0.0))
+    return joined.select(*[z(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def scaling(df: DataFrame, cols: list[str], fit_on: str | None = None) -> DataFrame:
+    """Per symbol, for each column c: what fills a NULL (_m_c) and the centre (_c_c) and
+    deviation (_s_c) of the filled column over the fitted rows (see ``impute_and_scale``)."""
     fit = F.col(fit_on) if fit_on else F.lit(True)
     aggs = [F.count(F.when(fit, 1)).alias("_n")]
     for c in cols:
@@ -105,12 +116,7 @@ def impute_and_scale(df: DataFrame, cols: list[str], fit_on: str | None = None)
         mean = F.try_divide(k * a + (n - k) * m, n)
         var = F.try_divide(k * (v + (a - mean) * (a - mean)) + (n - k) * (m - mean) * (m - mean), n)
         out += [m.alias(f"_m_{c}"), mean.alias(f"_c_{c}"), F.sqrt(var).alias(f"_s_{c}")]
-    joined = join_series(df, raw.select(*out))
-
-    def z(c):
-        s, x = F.col(f"_s_{c}"), F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"))
-        return F.coalesce(F.try_divide(x - F.col(f"_c_{c}"), F.when(s > 0, s)), F.lit(0.0))
-    return joined.select(*[z(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+    return raw.select(*out)
 
 
 def minmax_scale(df: DataFrame, cols: list[str], lo: float = -1.0, hi: float = 1.0,

@@ -408,24 +408,52 @@ def _panel(spark, sf_dir):
     return _trends(spark, sf_dir)
 
 
-def _family(spark, sf_dir, family: str, rep: str, *more) -> DataFrame:
-    """The results table of one family on one representation, with the full grid.
+def _fit(spark, sf_dir, family: str, rep: str, *more, keep: bool = False) -> None:
+    """Fit the full grid of one family on one representation, unless this session has it.
 
     Fitting is by far the dearest step and several queries report on the same fits,
-    so a session keeps the written table of each until the tables are released.
+    so a session keeps the written results of each until the tables are released, and
+    what is needed to build its store rows. Forests are saved only where models are asked for.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, family, rep, *more)
-    if not is_written(_RESULTS.get(key, "")):
-        if family == "svm" and more:
-            res = X.svm_results(_panel(spark, sf_dir), rep, feature_set=more[0])
-        else:
-            res = X.family_results(_panel(spark, sf_dir), family, rep)
-        cut_lineage(res, f"results-{family}-{rep}")
-        _RESULTS[key] = last_written()
-    return spark.read.parquet(_RESULTS[key])
+    key = _fit_key(spark, sf_dir, family, rep, *more)
+    if is_written(_RESULTS.get(key, "")) and (not keep or key in _STORES):
+        return
+    _STORES.pop(key, None)
+    if family == "rf" and not keep:
+        res = X.rf_results(_panel(spark, sf_dir), rep)
+    else:
+        panel = cut_lineage(_panel(spark, sf_dir), "panel")
+        got = X.svm_fitted(panel, rep, feature_set=more[0]) if more else X.fitted(panel, family, rep)
+        res, _STORES[key] = got.results, got.store
+    cut_lineage(res, f"results-{family}-{rep}")
+    _RESULTS[key] = last_written()
+
+
+def _fit_key(spark, sf_dir, *what) -> tuple:
+    """Session, folder and the size and time of its files: a changed table is fitted anew."""
+    files = spark.read.parquet(f"{sf_dir}/events.parquet").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    version = files.agg(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
+    return (spark.sparkContext.applicationId, sf_dir, str(version), *what)
+
+
+def _family(spark, sf_dir, family: str, rep: str, *more) -> DataFrame:
+    """The results table of one family on one representation, with the full grid."""
+    _fit(spark, sf_dir, family, rep, *more)
+    return spark.read.parquet(_RESULTS[_fit_key(spark, sf_dir, family, rep, *more)])
+
+
+def _store(spark, sf_dir) -> DataFrame:
+    """The kept models of all families and representations."""
+    parts = []
+    for rep in ("continuous", "trend"):
+        for family in X.families(rep):
+            _fit(spark, sf_dir, family, rep, keep=True)
+            parts.append(_STORES[_fit_key(spark, sf_dir, family, rep)])
+    return cut_lineage(reduce(DataFrame.unionByName, parts), "model-store")
 
 
 _RESULTS: dict[tuple, str] = {}
+_STORES: dict[tuple, DataFrame] = {}
 
 
 def _families(spark, sf_dir, wanted=None) -> DataFrame:
@@ -534,6 +562,22 @@ def model_report(spark, sf_dir):
     return spark_round(X.per_series(_families(spark, sf_dir)), ["accuracy"])
 
 
+@register("model_store")
+def model_store(spark, sf_dir):
+    """Every kept model with its grid point, the score it was chosen by and the size of its weights."""
+    rows = _store(spark, sf_dir)
+    return spark_round(rows.select("symbol", "representation", "model", "member", "grid_index", X.params_text(F.col("params")).alias("params"), "score",
+                                   F.size("features").alias("n_features"), F.size("weights").alias("n_weights")), ["score"])
+
+
+@register("model_predict")
+def model_predict(spark, sf_dir):
+    """A row per test bar and kept model, scored from the store alone."""
+    rows, panel = _store(spark, sf_dir), cut_lineage(_panel(spark, sf_dir), "panel")
+    parts = [X.test_predictions(panel, rows, f, rep) for rep in ("continuous", "trend") for f in X.families(rep)]
+    return spark_round(reduce(DataFrame.unionByName, parts), ["score"])
+
+
 def _grid_points() -> list[tuple]:
     """The values of GRID_COLUMNS at each point of all grids."""
     points = [("svm", i, p) for i, p in enumerate(_svm.poly_grid() + _svm.rbf_grid())] + [("mlp", i, p) for i, p in enumerate(_mlp.mlp_grid())]

@@ -18,13 +18,15 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from pricetrend.models import forest, mlp, stumps, svm
-from pricetrend.models.gnb import gnb_predict, gnb_stats
+from pricetrend.models import forest, mlp, store, stumps, svm
+from pricetrend.models.gnb import gnb_predict, gnb_stats, gnb_wide
+from pricetrend.models.shards import deal
 from pricetrend.models.svm import SvmParams
 from pricetrend.operators.evaluate import (accuracy_by, f1_by, first_k, top3_value_then_earlier,
                                            top3_value_then_larger, top_k)
-from pricetrend.plans.prepare import prepare
-from pricetrend.session import cut_lineage
+from pricetrend.operators.split import holdout_split
+from pricetrend.plans.prepare import PREP, prepare, raw_features, scaling_of
+from pricetrend.session import cut_lineage, scratch_path
 
 
 @dataclass(frozen=True)
@@ -65,14 +67,30 @@ def prepared(panel: DataFrame, family: str, rep: str, feature_set: str | None =
 
 
 # ------------------------------------------------------------------ families
-def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, feature_set: str | None = None) -> DataFrame:
+@dataclass(frozen=True)
+class Fitted:
+    """What a family's grid came to, and the kept models (see ``models.store``; G2)."""
+    results: DataFrame
+    store: DataFrame
+
+
+def _text_map(pairs: dict[str, F.Column]) -> F.Column:
+    """A parameter map without the NULL ones."""
+    return F.map_filter(_map(pairs), lambda _, v: v.isNotNull())
+
+
+def svm_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, feature_set: str | None = None) -> Fitted:
     """M1-M3; the trend side takes ``trend_only`` by default, ``feature_set="trend_superset"``
-    as the study's code does."""
+    as the study's code does. Kept: the best point of each kernel by CV score."""
     x, cols = prepared(panel, "svm", rep, feature_set)
-    r = svm.svm_cv(x, cols, cfg.svm, params=cfg.svm_params)
-    return _results(r, rep, "svm",
-                    {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "kernel_error", "converged")},
-                    ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
+    m = svm.svm_fit(x, cols, cfg.svm, params=cfg.svm_params)
+    res = _results(m, rep, "svm",
+                   {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "kernel_error", "converged")},
+                   ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
+    best = top_k(m, ["symbol", "kernel"], [F.desc("cv_accuracy"), F.asc("grid_index")], 1)
+    params = _text_map({c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components")} | {"seed": F.lit(cfg.svm_params.seed)})
+    return Fitted(res, store.entries(best, scaling_of(panel, "svm", rep, feature_set), rep, "svm", cols, F.col("kernel"),
+                                     F.col("grid_index"), params, F.col("cv_accuracy"), F.col("weights")))
 
 
 def _count_index(cfg: GridConfig) -> F.Column:
@@ -80,34 +98,104 @@ def _count_index(cfg: GridConfig) -> F.Column:
     return F.element_at(F.create_map(*pairs), F.col("ntrees"))
 
 
-def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, keep: str | None = None) -> DataFrame:
     x, cols = prepared(panel, "rf", rep)
-    r = forest.rf_sweep(x, cols, cfg.rf_counts)
+    r = forest.rf_sweep(x, cols, cfg.rf_counts, keep=keep)
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "rf",
                     {c: F.col(c) for c in ("ntrees", "max_depth", "max_bins")}, ["test_accuracy"], _count_index(cfg))
 
 
-def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
-    x, cols = prepared(panel, "rf_cv", rep)
-    r = stumps.stumps_cv(x, cols, cfg.rf_counts)
-    return _results(r, rep, "rf_cv", {c: F.col(c) for c in ("ntrees", "max_depth")}, ["cv_accuracy"], _count_index(cfg))
+def rf_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
+    """M4. Kept: the forests of the three best tree counts."""
+    spark = panel.sparkSession
+    keep = scratch_path(spark, f"forests-{rep}")
+    res = cut_lineage(rf_results(panel, rep, cfg, keep), "rf-results")
+    cols = raw_features(panel, rep)[1]
+    # all trees of one series: as many as the largest count
+    trees = (forest.saved_trees(spark, keep).groupBy(F.col("symbol").alias("_of"))
+             .agg(F.array_sort(F.collect_list(F.struct("tree", "nodes"))).alias("trees")))
+    best = rf_top3(res).select("symbol", "rank", "grid_index", "params", "value", "ntrees").join(trees, F.col("symbol").eqNullSafe(F.col("_of")))
+    nodes = F.transform(F.slice("trees", F.lit(1), F.col("ntrees")), lambda t: t["nodes"])
+    return Fitted(res, store.entries(best, scaling_of(panel, "rf", rep), rep, "rf", cols, F.col("rank"), F.col("grid_index"),
+                                     F.col("params"), F.col("value"), store.tree_weights(nodes)))
 
 
-def nb_results(panel: DataFrame, rep: str) -> DataFrame:
+def rf_cv_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
+    """M5. Kept: the best tree count by CV score, grown on all training rows."""
+    x, cols = prepared(panel, "rf_cv", rep)
+    trees = cut_lineage(stumps.stumps_fit(x, cols, max(cfg.rf_counts)), "stumps")
+    r = cut_lineage(stumps.stumps_accuracy(x, cols, cfg.rf_counts, trees), "stump-scores")
+    params = {c: F.col(c) for c in ("ntrees", "max_depth")}
+    best = top_k(r, ["symbol"], [F.desc("cv_accuracy"), F.asc("ntrees")], 1).join(
+        stumps.per_series(trees.where(F.col("fold") == stumps.ALL)).withColumnRenamed("symbol", "_of"), F.col("symbol").eqNullSafe(F.col("_of")))
+    kept = F.slice(F.element_at("trees", F.lit(stumps.ALL)), F.lit(1), F.col("ntrees"))
+    return Fitted(_results(r, rep, "rf_cv", params, ["cv_accuracy"], _count_index(cfg)),
+                  store.entries(best, scaling_of(panel, "rf_cv", rep), rep, "rf_cv", cols, F.lit(""), _count_index(cfg),
+                                _text_map(params), F.col("cv_accuracy"), store.stump_weights(kept)))
+
+
+def nb_fitted(panel: DataFrame, rep: str) -> Fitted:
+    """M6/M7."""
     x, cols = prepared(panel, "nb", rep)
     stats = gnb_stats(x.where("is_train"), cols)
     scored = gnb_predict(x.where("is_test"), stats, cols)
-    acc = accuracy_by(scored, ["symbol"]).join(f1_by(scored, ["symbol"]), "symbol")
-    return _results(acc.withColumnRenamed("accuracy", "test_accuracy"), rep, "nb", {},
-                    ["test_accuracy", "f1"], F.lit(0))
+    acc = accuracy_by(scored, ["symbol"]).join(f1_by(scored, ["symbol"]), "symbol").withColumnRenamed("accuracy", "test_accuracy")
+    both = gnb_wide(stats, cols).join(acc.withColumnRenamed("symbol", "_of"), F.col("symbol").eqNullSafe(F.col("_of")), "left")
+    numbers = ["lp0", "lp1"] + [f"{x}{k}_{c}" for k in (0, 1) for x in "mv" for c in cols]
+    weights = F.array(*[F.coalesce(F.col(c), F.lit(float("nan"))) for c in numbers])
+    return Fitted(_results(acc, rep, "nb", {}, ["test_accuracy", "f1"], F.lit(0)),
+                  store.entries(both, scaling_of(panel, "nb", rep), rep, "nb", cols, F.lit(""), F.lit(0), F.create_map().cast("map<string,string>"),
+                                F.col("test_accuracy"), weights))
 
 
-def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+def mlp_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
+    """M8/M9. Kept: the best point by test accuracy, as the study takes it."""
     x, cols = prepared(panel, "mlp", rep)
-    r = mlp.mlp_scores(x, cols, cfg.mlp)
-    return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "mlp",
-                    {c: F.col(c) for c in ("n_neurons", "epochs", "lr", "momentum", "dropout_rate", "epochs_used", "best_epoch")},
-                    ["test_accuracy"], F.col("grid_index"))
+    dealt = deal(x.select("symbol", "bar_no", "movement", "is_train", "is_test", *cols))
+    models = mlp.mlp_fit(dealt, cols, cfg.mlp)
+    r = cut_lineage(mlp.mlp_accuracy(dealt, cols, models), "mlp-scores")
+    params = {c: F.col(c) for c in ("n_neurons", "epochs", "lr", "momentum", "dropout_rate", "epochs_used", "best_epoch")}
+    best = top_k(r, ["symbol"], [F.desc("accuracy"), F.asc("grid_index")], 1).join(
+        models.select(F.col("symbol").alias("_of"), F.col("grid_index").alias("_index"), "weights"),
+        F.col("symbol").eqNullSafe(F.col("_of")) & (F.col("grid_index") == F.col("_index")))
+    return Fitted(_results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "mlp", params, ["test_accuracy"], F.col("grid_index")),
+                  store.entries(best, scaling_of(panel, "mlp", rep), rep, "mlp", cols, F.lit(""), F.col("grid_index"),
+                                _text_map(params), F.col("accuracy"), F.col("weights")))
+
+
+def svm_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, feature_set: str | None = None) -> DataFrame:
+    return svm_fitted(panel, rep, cfg, feature_set).results
+
+
+def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+    return rf_cv_fitted(panel, rep, cfg).results
+
+
+def nb_results(panel: DataFrame, rep: str) -> DataFrame:
+    return nb_fitted(panel, rep).results
+
+
+def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+    return mlp_fitted(panel, rep, cfg).results
+
+
+def fitted(panel: DataFrame, family: str, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
+    if family == "nb":
+        return nb_fitted(panel, rep)
+    return {"svm": svm_fitted, "rf": rf_fitted, "rf_cv": rf_cv_fitted, "mlp": mlp_fitted}[family](panel, rep, cfg)
+
+
+def test_bars(panel: DataFrame, family: str, rep: str) -> DataFrame:
+    """(symbol, bar_no, raw features...) of the bars that the family's split keeps for testing."""
+    base, cols = raw_features(panel, rep)
+    return holdout_split(base, PREP[family].test_size).where("is_test").select("symbol", "bar_no", *cols)
+
+
+def test_predictions(panel: DataFrame, rows: DataFrame, family: str, rep: str) -> DataFrame:
+    """What every kept model of the family says on its test bars, with what happened."""
+    said = store.predict(test_bars(panel, family, rep), rows.where((F.col("model") == family) & (F.col("representation") == rep)))
+    truth = panel.select(F.col("symbol").alias("_its"), F.col("bar_no").alias("_bar"), F.col("movement").cast("int").alias("movement"))
+    return said.join(truth, F.col("symbol").eqNullSafe(F.col("_its")) & (F.col("bar_no") == F.col("_bar"))).drop("_its", "_bar")
 
 
 # ------------------------------------------------------------------ selection and roll-ups
@@ -226,6 +314,4 @@ def families(rep: str) -> list[str]:
 
 
 def family_results(panel: DataFrame, family: str, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
-    if family == "nb":
-        return nb_results(panel, rep)
-    return {"svm": svm_results, "rf": rf_results, "rf_cv": rf_cv_results, "mlp": mlp_results}[family](panel, rep, cfg)
+    return rf_results(panel, rep, cfg) if family == "rf" else fitted(panel, family, rep, cfg).results

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from pricetrend.operators.labels import horizon_label
-from pricetrend.operators.features import feature_set, impute_and_scale, impute_mean
+from pricetrend.operators.features import feature_set, impute_and_scale, impute_mean, scaling
 from pricetrend.operators.split import holdout_split, stratified_folds
 from pricetrend.session import cut_lineage
 
@@ -39,6 +39,35 @@ PREP = {
 REPRESENTATIONS = {"continuous": "continuous", "trend": "trend_only"}
 
 
+def raw_features(panel: DataFrame, representation: str, feature_set_name: str | None = None,
+                 horizon: int = 0) -> tuple[DataFrame, list[str]]:
+    """(symbol, bar_no, movement, features...) as they are in the panel."""
+    cols = feature_set(panel, feature_set_name or REPRESENTATIONS[representation])
+    if horizon:
+        panel = (horizon_label(panel, horizon, "_next")
+                 .withColumn("movement", F.col("_next")).drop("_next"))
+    return panel.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
+                        *[F.col(c).cast("double").alias(c) for c in cols]), cols
+
+
+def scaling_of(panel: DataFrame, family: str, representation: str, feature_set_name: str | None = None,
+               seed: int = 42, horizon: int = 0) -> DataFrame:
+    """What ``prepare`` does to the raw features, as arrays in their order: symbol, fill, center, scale.
+
+    A value is ``(coalesce(x, fill) - center) / scale``, 0 where the scale is 0.
+    """
+    spec = PREP[family]
+    base, cols = raw_features(panel, representation, feature_set_name, horizon)
+    if spec.scale == "train":
+        stats = scaling(holdout_split(base, spec.test_size, seed), cols, "is_train")
+    else:
+        stats = scaling(base, cols)
+    arrays = {n: F.array(*[F.col(f"_{k}_{c}") for c in cols]) for n, k in (("fill", "m"), ("center", "c"), ("scale", "s"))}
+    if spec.scale is None:
+        arrays |= {"center": F.array_repeat(F.lit(0.0), len(cols)), "scale": F.array_repeat(F.lit(1.0), len(cols))}
+    return stats.select("symbol", *[v.alias(n) for n, v in arrays.items()])
+
+
 def prepare(panel: DataFrame, family: str, representation: str,
             feature_set_name: str | None = None, seed: int = 42,
             horizon: int = 0) -> tuple[DataFrame, list[str]]:
@@ -49,12 +78,7 @@ def prepare(panel: DataFrame, family: str, representation: str,
     the last h bars of each series, which have no such move, are left out.
     """
     spec = PREP[family]
-    cols = feature_set(panel, feature_set_name or REPRESENTATIONS[representation])
-    if horizon:
-        panel = (horizon_label(panel, horizon, "_next")
-                 .withColumn("movement", F.col("_next")).drop("_next"))
-    base = panel.select("symbol", "bar_no", F.col("movement").cast("int").alias("movement"),
-                        *[F.col(c).cast("double").alias(c) for c in cols])
+    base, cols = raw_features(panel, representation, feature_set_name, horizon)
     if spec.scale == "all":
         x = holdout_split(impute_and_scale(base, cols), spec.test_size, seed)
     elif spec.scale == "train":
