@@ -17,8 +17,9 @@ by hash, and so are their queries, so that no task holds more than
 
 Vectors that are null, zero, or hold null or non-finite components take no
 part (see ``usable`` for differing lengths). Repeated rows count once; a row is
-no candidate of queries with its own id. Fewer than k candidates give fewer
-rows, an empty table none.
+no candidate of queries with its own id. A query that its lists leave short of k
+goes on to further ones, in the end to all; fewer than k candidates give fewer
+rows, an empty table none. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -237,4 +238,16 @@ def search(df: DataFrame, is_query, params: AnnParams = AnnParams(), vec_id: str
         bounded = queries.join(last, F.col("qid") == F.col("its_id"), "left").select("qid", "q", F.coalesce("told", "bound").alias("bound"))
         bounded = cut_lineage(bounded, "ann-bounded")
         found = found.unionByName(_probe(dealt, _routes(bounded, index, first, index.probes), index))
+    # Tiny or empty lists may leave a query short of k: it goes on to further lists, in the end to all.
+    probed = index.probes
+    while probed < len(index.centres):
+        found = cut_lineage(ranked(found, params.k).drop("rank"), "ann-found")
+        enough = (found.groupBy(F.col("query_id").alias("its_id")).agg(F.count(F.lit(1)).alias("n"))
+                  .where(F.col("n") >= params.k))
+        short = cut_lineage(queries.join(enough, F.col("qid") == F.col("its_id"), "left_anti"), "ann-short")
+        if not short.limit(1).count():
+            break
+        more = min(len(index.centres), 4 * probed)
+        found = found.unionByName(_probe(dealt, _routes(short, index, probed, more), index))
+        probed = more
     return ranked(found, params.k)

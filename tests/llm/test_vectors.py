@@ -78,6 +78,18 @@ def test_ann_scores_and_recall(spark, vectors):
             (a["score"], -a["vec_id"]) >= (b["score"], -b["vec_id"]) for a, b in zip(mine, mine[1:]))
 
 
+def test_queries_beside_tiny_lists_get_all_their_rows(spark):
+    """Ten vectors far off the rest have lists of their own, with fewer than k members."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(2000, 8))
+    x[::200] = 40 + 0.01 * rng.normal(size=(10, 8))
+    df = table(spark, x, odd=False)
+    got = ann.search(df, F.col("id") % 200 == 0, ann.AnnParams(per_list=25)).collect()
+    for q in range(0, 2000, 200):
+        mine = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        assert [r for r, _ in mine] == list(range(1, 21)) and {v for _, v in mine[:9]} == {i for i in range(0, 2000, 200) if i != q}
+
+
 def test_a_row_of_few_vectors(spark):
     got = ann.search(table(spark, [[1.0, 0.0], [0.0, 2.0], [3.0, 3.0]], odd=False), F.col("id") == 0).collect()
     assert [(r["rank"], r["vec_id"], r["score"]) for r in got] == [(1, 2, 3.0), (2, 1, 0.0)]
