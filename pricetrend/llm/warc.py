@@ -275,8 +275,9 @@ def salvage(data: bytes) -> Iterator[dict]:
         at = spot
 
 
-def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """Records and quarantined gaps of the archive files under ``path``.
+def read(spark: SparkSession, path: str, payload: bool = True, glob: str | None = None) -> DataFrame:
+    """Records and quarantined gaps of all archive files under ``path``, or of those whose
+    names fit ``glob``. Names that start with a dot or an underscore aren't read, as in all of Spark's readers.
 
     Rows with a ``reason`` are gaps (bytes start to end of ``file``); the others
     are records. ``payload`` leaves the payload column null if false. An archive
@@ -302,5 +303,6 @@ def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
                 if held:
                     yield pa.RecordBatch.from_pylist(held, schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    reader = spark.read.format("binaryFile")
+    files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", "content")
     return files.mapInArrow(run, RECORD)

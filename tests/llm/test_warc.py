@@ -112,3 +112,13 @@ def test_empty_table(spark, tmp_path):
     df = spark.createDataFrame([], "id long, url string, payload binary")
     warc.write(df, str(tmp_path / "e"))
     assert warc.read(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_archives_of_any_name_are_read(spark, tmp_path):
+    parts = sample(True)
+    (tmp_path / "crawl-0001.warc.gz").write_bytes(b"".join(parts[:4]))
+    (tmp_path / "more.warc").write_bytes(b"".join(sample(False)[4:]))
+    (tmp_path / "_SUCCESS").write_bytes(b"")
+    got = warc.read(spark, str(tmp_path)).collect()
+    assert sorted(r["id"] for r in got) == list(range(6)) and not [r for r in got if r["reason"]]
+    assert sorted(r["id"] for r in warc.read(spark, str(tmp_path), glob="*.warc").collect()) == [4, 5]
