@@ -3,7 +3,9 @@
 Labelled texts become TF-IDF vectors. A text's nearest examples by cosine are
 found exactly with a block-max inverted index; their distance-weighted votes
 are mapped to a probability learnt from the examples themselves (each one
-scored by the others).
+scored by the others). Examples with the very text that is scored have no vote, in
+learning and in scoring (texts compare by a 64-bit hash), so no text's own label or that of its
+exact copy decides its score.
 
 Bounds: at most ``per_class`` examples of each label (those with the smallest
 hash of their id). Every term that at least ``min_examples`` of them contain is
@@ -16,7 +18,8 @@ that unseen inflections of a stem count. A term's IDF is multiplied by the z-val
 of its association with the label among the examples (the root of chi-square) where
 that is above 1; no term weighs less than its TF-IDF. Null texts count as empty.
 A text without any kept term has no neighbours; its score is the calibrated
-rate of such examples. Repeated rows are scored row by row; repeated labels of
+rate of such examples. Very long texts are read whole, word by word; of an empty
+document table no row comes back. Repeated rows are scored row by row; repeated labels of
 one id count once, toxic if any is; labels other than 0 and 1 are ignored.
 Input columns with the name of an output column are replaced, others kept.
 Without examples of both labels every score is the share of toxic ones (0 if
@@ -34,6 +37,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
@@ -55,6 +59,11 @@ class ToxicityParams:
     threshold: float = 0.3
 
 
+def text_key(text: str | None) -> int:
+    """63 bits that tell texts apart."""
+    return xxhash.xxh64_intdigest((text or "").encode("utf-8", "surrogatepass"), 9) >> 1
+
+
 def term_counts(text: str | None) -> Counter:
     """How often each term occurs in the whole text."""
     return Counter(TERMS.findall((text or "").lower()))
@@ -131,6 +140,7 @@ class BlockMaxIndex:
     first: np.ndarray
     example: np.ndarray     # of each posting
     weight: np.ndarray
+    keys: np.ndarray        # of each example: the hash of its text
 
     def __getstate__(self) -> dict:
         return {k: v for k, v in self.__dict__.items() if k != "common"}
@@ -155,7 +165,7 @@ class BlockMaxIndex:
         return row, dense, tops
 
     @staticmethod
-    def build(ids: np.ndarray, labels: np.ndarray, vectors: Vectors | np.ndarray) -> "BlockMaxIndex":
+    def build(ids: np.ndarray, labels: np.ndarray, vectors: Vectors | np.ndarray, keys: np.ndarray | None = None) -> "BlockMaxIndex":
         v, n = Vectors.of(vectors), len(ids)
         rows = np.repeat(np.arange(n), v.sizes)
         heavy, most = np.full(n, -1, np.int64), np.zeros(n)
@@ -171,12 +181,18 @@ class BlockMaxIndex:
         top = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
         return BlockMaxIndex(ids[order], labels[order], np.searchsorted(terms[first], np.arange(v.n_terms + 1)),
                              (example[first] // BLOCK).astype(np.int32), top, np.append(first, len(run)),
-                             example.astype(np.int32), weight)
+                             example.astype(np.int32), weight, (ids if keys is None else keys)[order])
+
+    def equal(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs (query, example) of the same text."""
+        order = np.argsort(self.keys, kind="stable")
+        low, high = (np.searchsorted(self.keys[order], keys, side) for side in ("left", "right"))
+        return np.repeat(np.arange(len(keys)), high - low), order[_spread(low, high - low)]
 
-    def nearest(self, queries: Vectors | np.ndarray, k: int, leave_out: np.ndarray | None = None
-                ) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, queries: Vectors | np.ndarray, k: int, keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ``k`` examples of largest positive cosine (ties: smaller id) of each
-        query, as positions (-1: none) and cosines.
+        query, as positions (-1: none) and cosines. With ``keys``, the hashes of the queries'
+        texts, examples of the same text are left out.
 
         Every query visits the blocks of its largest bounds first, then all whose
         bound isn't below its k-th cosine, so no nearer example is missed.
@@ -192,11 +208,11 @@ class BlockMaxIndex:
         a = 0
         while a < n:
             b = max(a + 1, min(a + QUERIES, n, int(np.searchsorted(dear, dear[a] + AT_ONCE, "right")) - 1))
-            at[a:b], sim[a:b] = self._nearest(v.part(a, b), k, None if leave_out is None else leave_out[a:b])
+            at[a:b], sim[a:b] = self._nearest(v.part(a, b), k, None if keys is None else self.equal(keys[a:b]))
             a = b
         return at, sim
 
-    def _nearest(self, v: Vectors, k: int, leave_out: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    def _nearest(self, v: Vectors, k: int, same: tuple[np.ndarray, np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
         m, n, slack = len(v.sizes), len(self.ids), 1e-12
         blocks = (n - 1) // BLOCK + 1
         place, dense, tops = self.common
@@ -222,8 +238,8 @@ class BlockMaxIndex:
                 q, here = np.flatnonzero(these[:, b]), slice(b * BLOCK, min(n, (b + 1) * BLOCK))
                 got[q, here] += (thick[q] @ dense[b])[:, :here.stop - here.start]
             got = np.round(got, 12, out=got)
-            if leave_out is not None:
-                got[np.arange(m), leave_out] = 0.0
+            if same is not None:
+                got[same] = 0.0
             return got
 
         def kth(sims: np.ndarray) -> np.ndarray:
@@ -330,10 +346,11 @@ def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Tox
         for part in slices(batches, 64):
             got = [term_counts(t) for t in part.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("y"), pa.array([list(c) for c in got], pa.list_(pa.string())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], ["id", "y", "terms", "counts"])
+                [part.column("id"), part.column("y"), pa.array([text_key(t) for t in part.column("body").to_pylist()]),
+                 pa.array([list(c) for c in got], pa.list_(pa.string())),
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int64()))], ["id", "y", "key", "terms", "counts"])
 
-    rows = cut_lineage(bodies.mapInArrow(count_terms, "id long, y int, terms array<string>, counts array<long>"), "toxic-examples")
+    rows = cut_lineage(bodies.mapInArrow(count_terms, "id long, y int, key long, terms array<string>, counts array<long>"), "toxic-examples")
     sizes = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not (n0 and n1):
@@ -350,19 +367,20 @@ def choose(documents: DataFrame, labels: DataFrame, params: ToxicityParams = Tox
 
 
 def hits(documents: DataFrame, terms: list[str], text: str = "text", prefix: str = "toxicity_") -> DataFrame:
-    """``documents`` with the kept terms of each whole text and their counts (two arrays)."""
-    names = [prefix + "terms", prefix + "counts"]
+    """``documents`` with the kept terms of each whole text, their counts (two arrays) and the text's hash."""
+    names = [prefix + "terms", prefix + "counts", prefix + "key"]
     documents = without(documents, names)
-    schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(IntegerType())) for x in names)])
+    schema = StructType([*documents.schema.fields, *(StructField(x, ArrayType(IntegerType())) for x in names[:2]), StructField(names[2], LongType())])
     place = documents.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(terms)
         for part in slices(batches):
-            got = [vocabulary.counts(t) for t in part.column(place).to_pylist()]
+            texts = part.column(place).to_pylist()
+            got = [vocabulary.counts(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, pa.array([list(c) for c in got], pa.list_(pa.int32())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], schema.names)
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32())), pa.array([text_key(t) for t in texts], pa.int64())], schema.names)
 
     return documents.mapInArrow(run, schema)
 
@@ -378,7 +396,7 @@ def document_idf(marked: DataFrame, n_terms: int, prefix: str = "toxicity_") ->
 def fit(examples: Examples, marked: DataFrame, params: ToxicityParams = ToxicityParams(),
         prefix: str = "toxicity_") -> ToxicityModel:
     """Index the examples, with the IDF over all documents (``marked``: their ``hits``),
-    and calibrate the votes, each example being scored by the others."""
+    and calibrate the votes, each example being scored by the others as any text is."""
     idf = document_idf(marked, len(examples.terms), prefix) * examples.relevance
     terms = examples.terms
 
@@ -387,30 +405,28 @@ def fit(examples: Examples, marked: DataFrame, params: ToxicityParams = Toxicity
         for part in slices(batches, 64):
             got = [vocabulary.of(zip(t, c)) for t, c in zip(part.column("terms").to_pylist(), part.column("counts").to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), part.column("y"), pa.array([list(c) for c in got], pa.list_(pa.int32())),
-                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], ["id", "y", "terms", "counts"])
+                [part.column("id"), part.column("y"), part.column("key"), pa.array([list(c) for c in got], pa.list_(pa.int32())),
+                 pa.array([list(c.values()) for c in got], pa.list_(pa.int32()))], ["id", "y", "key", "terms", "counts"])
 
     # Bounded: 2 * per_class rows.
-    rows = examples.rows.mapInArrow(keep, "id long, y int, terms array<int>, counts array<int>").toArrow().sort_by("id").combine_chunks()
-    ids, y = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "y"))
+    rows = examples.rows.mapInArrow(keep, "id long, y int, key long, terms array<int>, counts array<int>").toArrow().sort_by("id").combine_chunks()
+    ids, y, keys = (rows.column(c).to_numpy().astype(np.int64) for c in ("id", "y", "key"))
     flat = [pc.list_flatten(rows.column(c)).to_numpy() for c in ("terms", "counts")]
     vectors = weigh(pc.list_value_length(rows.column("terms")).to_numpy().astype(np.int64), flat[0].astype(np.int64),
                     flat[1].astype(np.float64), idf)
-    index = BlockMaxIndex.build(ids, y, vectors)
-    order = {i: p for p, i in enumerate(index.ids.tolist())}
-    own = np.array([order[i] for i in ids.tolist()], np.int64)
+    index = BlockMaxIndex.build(ids, y, vectors, keys)
     size = np.bincount(y, minlength=2)
     rate = np.array([examples.share.get(c, 0) / max(1, size[c]) for c in (0, 1)])
-    votes = index.votes(*index.nearest(vectors, params.neighbours, own)) if len(y) else np.zeros(0)
+    votes = index.votes(*index.nearest(vectors, params.neighbours, keys)) if len(y) else np.zeros(0)
     return ToxicityModel(params, idf, index, Calibration.fit(votes, y.astype(float), rate[y]))
 
 
 _OUTPUT = {"score": DoubleType(), "vote": DoubleType(), "examples": ArrayType(LongType()), "cosines": ArrayType(DoubleType())}
 
 
-def _judged(m: ToxicityModel, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray) -> list[pa.Array]:
-    """The output columns of rows with the given kept terms."""
-    at, sim = m.index.nearest(weigh(sizes, terms, counts, m.idf), m.params.neighbours)
+def _judged(m: ToxicityModel, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, keys: np.ndarray) -> list[pa.Array]:
+    """The output columns of rows with the given kept terms and hashes of their texts."""
+    at, sim = m.index.nearest(weigh(sizes, terms, counts, m.idf), m.params.neighbours, keys)
     votes = m.index.votes(at, sim) if len(m.index.ids) else np.full(len(sizes), -1.0)
     found = at >= 0
     offsets = pa.array(np.concatenate([[0], np.cumsum(found.sum(1))]), pa.int32())
@@ -423,18 +439,18 @@ def score(marked: DataFrame, model: ToxicityModel, prefix: str = "toxicity_") ->
     """Rows of ``hits`` with ``<prefix>score``, ``<prefix>vote`` (null without neighbours)
     and the evidence instead of the terms: ``<prefix>examples`` and
     ``<prefix>cosines`` of the nearest examples."""
-    used = [prefix + "terms", prefix + "counts"]
+    used = [prefix + "terms", prefix + "counts", prefix + "key"]
     marked = without(marked, [prefix + x for x in _OUTPUT])
     rest = marked.drop(*used)
     carried = [marked.columns.index(c) for c in rest.columns]
-    at_terms, at_counts = (marked.columns.index(c) for c in used)
+    at_terms, at_counts, at_key = (marked.columns.index(c) for c in used)
     schema = StructType([*rest.schema.fields, *(StructField(prefix + x, k) for x, k in _OUTPUT.items())])
     shared = marked.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, 1024):
             made = _judged(shared.value, np.diff(part.column(at_terms).offsets.to_numpy()), part.column(at_terms).flatten().to_numpy().astype(np.int64),
-                           part.column(at_counts).flatten().to_numpy().astype(np.float64))
+                           part.column(at_counts).flatten().to_numpy().astype(np.float64), part.column(at_key).to_numpy())
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in carried), *made], schema.names)
 
     return marked.mapInArrow(run, schema)
@@ -449,9 +465,10 @@ def score_texts(documents: DataFrame, terms: list[str], model: ToxicityModel, te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(terms)
         for part in slices(batches):
-            got = [vocabulary.counts(t) for t in part.column(place).to_pylist()]
+            texts = part.column(place).to_pylist()
+            got = [vocabulary.counts(t) for t in texts]
             made = _judged(shared.value, np.array([len(c) for c in got], np.int64), np.array([t for c in got for t in c], np.int64),
-                           np.array([n for c in got for n in c.values()], np.float64))
+                           np.array([n for c in got for n in c.values()], np.float64), np.array([text_key(t) for t in texts], np.int64))
             yield pa.RecordBatch.from_arrays([*part.columns, *made], schema.names)
 
     return documents.mapInArrow(run, schema)

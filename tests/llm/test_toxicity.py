@@ -16,6 +16,13 @@ def test_index_is_exact():
     index = toxicity.BlockMaxIndex.build(ids, ids % 2, vectors)
     queries = np.concatenate([vectors[90:150], np.zeros((1, 40))])
     at, sim = index.nearest(queries, 7)
+    # With the keys of the queries (here: the examples' ids) those examples have no say.
+    keys = np.append(ids[90:150], -1)
+    less_at, less_sim = index.nearest(queries, 7, keys)
+    for q, a, s, key in zip(queries, less_at, less_sim, keys):
+        cos = np.round(vectors @ q, 12)
+        want = sorted((c, i) for c, i in zip(-cos, ids) if i != key and c < 0)[:7]
+        assert [(-x, index.ids[p]) for x, p in zip(s, a) if p >= 0] == want
     for q, a, s in zip(queries, at, sim):
         cos = np.round(vectors @ q, 12)
         want = [(c, i) for c, i in sorted(zip(-cos, ids))[:7] if c < 0]
@@ -69,6 +76,8 @@ def test_held_out_accuracy_and_odd_rows(spark):
     by = {r["doc_id"]: r for r in got}
     assert by[None]["toxicity_score"] < 0.3 and by[None]["toxicity_vote"] is None and by[None]["toxicity_examples"] == []
     assert by[401]["toxicity_score"] >= 0.3 and len(by[401]["toxicity_examples"]) == 15
+    # No text's own label, or that of its copy, votes on it.
+    assert not [r for r in got if r["doc_id"] in r["toxicity_examples"]]
     # No label of a held-out id is an example.
     assert not [i for i in model.index.ids.tolist() if zlib.crc32(str(i).encode()) % 4 == 2]
 
