@@ -37,6 +37,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pricetrend.functions.columns import full_window, safe_div
 from pricetrend.operators import ema
+from pricetrend.operators.scan import previous, sums_before
 from pricetrend.operators.sequence import block_rows
 
 INDICATORS = ["sma_10", "wma_10", "stck", "stcd", "williams_r", "macd", "rsi", "cci",
@@ -97,11 +98,10 @@ def _carries(rows: DataFrame, p: IndicatorParams, macd: bool, rsi: bool) -> Data
     """For each (symbol, blk) what the blocks before it hand on: ``_obs`` observed
     closes and the EMA values at their end.
 
-    Works on one row per block. A block may hold fewer observations than its
-    length, so the MACD averages are summed over blocks by the same closed form
-    as rows are, in super-blocks of twice the block length.
+    Works on one row per block, scanned in two levels (``scan``). A block may hold fewer
+    observations than its length, so the MACD averages are summed over blocks by the same closed
+    form as rows are, in super-blocks of twice the block length.
     """
-    order = Window.partitionBy("symbol").orderBy("blk")
     aggs = []
     if macd:
         seen = F.when(F.col("close").isNotNull(), F.col("pos"))
@@ -110,30 +110,32 @@ def _carries(rows: DataFrame, p: IndicatorParams, macd: bool, rsi: bool) -> Data
     if rsi:
         aggs += [F.max_by("_lup", "pos").alias("_cup"), F.max_by("_ldn", "pos").alias("_cdn")]
     ends = rows.where(~F.col("is_halo")).groupBy("symbol", "blk").agg(*aggs)
+    handed = {"_cup": "_pup", "_cdn": "_pdn"} if rsi else {}
     out = [F.col("symbol").alias("_symbol"), F.col("blk").alias("_blk")]
-    if rsi:
-        out += [F.lag(c).over(order).alias(c) for c in ("_cup", "_cdn")]
     if macd:
         span = 2 * p.block
-        upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        total = ends.withColumn("_total", F.sum("_n").over(upto)).withColumn("_seed", F.first("_first", ignorenulls=True).over(upto))
+        total = sums_before(ends, "symbol", "blk", {"_n": "_obs"}).withColumn("_total", F.col("_obs") + F.col("_n"))
         total = total.withColumn("_super", F.floor(F.col("_total") / span)).withColumn("_e", F.col("_total") - F.col("_super") * span)
         inside = Window.partitionBy("symbol", "_super").orderBy("blk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         qs = {"12": 1.0 - ema.alpha_span(p.macd_fast), "26": 1.0 - ema.alpha_span(p.macd_slow)}
         power = lambda q, n: F.pow(F.lit(q), n.cast("double"))
+        # A series' first observation is its seed; it travels on with the block that has it.
+        seed = (F.col("_obs") == 0) & (F.col("_n") > 0)
+        total = total.withColumns({f"_l{k}": F.col(f"_l{k}") + F.when(seed, power(q, F.col("_n")) * F.col("_first")).otherwise(0.0) for k, q in qs.items()})
         total = total.withColumns({f"_in{k}": power(q, F.col("_e")) * F.sum(F.col(f"_l{k}") * power(q, -F.col("_e"))).over(inside)
                                    for k, q in qs.items()})
         last = total.groupBy(F.col("symbol").alias("_s"), (F.col("_super") + 1).alias("_after")).agg(
             F.max("_total").alias("_was"), *[F.max_by(f"_in{k}", "blk").alias(f"_end{k}") for k in qs])
         ends = (total.join(last, F.col("symbol").eqNullSafe(F.col("_s")) & (F.col("_super") == F.col("_after")), "left")
-                .withColumns({f"_all{k}": F.col(f"_in{k}") + power(q, F.col("_total")) * F.coalesce("_seed", F.lit(0.0))
-                              + F.coalesce(power(q, F.col("_total") - F.col("_was")) * F.col(f"_end{k}"), F.lit(0.0))
+                .withColumns({f"_all{k}": F.col(f"_in{k}") + F.coalesce(power(q, F.col("_total") - F.col("_was")) * F.col(f"_end{k}"), F.lit(0.0))
                               for k, q in qs.items()}))
-        before = F.coalesce(F.lag("_total").over(order), F.lit(0))
-        out.append(before.alias("_obs"))
+        handed |= {f"_all{k}": f"_p{k}" for k in qs}
+        out.append("_obs")
         # Before the first observation the carry that makes it the seed is its own value.
-        out += [F.when(before > 0, F.lag(f"_all{k}").over(order)).otherwise(F.col("_first")).alias(f"_c{k}") for k in qs]
-    return ends.select(*out)
+        out += [F.when(F.col("_obs") > 0, F.col(f"_p{k}")).otherwise(F.col("_first")).alias(f"_c{k}") for k in qs]
+    if rsi:
+        out += [F.col("_pup").alias("_cup"), F.col("_pdn").alias("_cdn")]
+    return previous(ends, "symbol", "blk", handed).select(*out)
 
 
 def indicator_panel(numbered: DataFrame, p: IndicatorParams = DEFAULT, materialize: bool = True,

@@ -3,8 +3,7 @@
 Neither step puts a whole series into one task:
 
 * ``number_bars`` counts bars per (symbol, time chunk), turns the counts into
-  per-chunk offsets with a window over the *chunk* table (its rows per symbol
-  are bounded by the time span, not by the data volume), and numbers rows
+  per-chunk offsets by a scan in two levels (``scan``), and numbers rows
   inside each chunk. A chunk holds at most ``chunk_bars`` bars because bars
   are unique per (symbol, bar_ts) and at least one grain apart.
 * ``block_rows`` cuts each numbered series into blocks of ``block`` bars and
@@ -16,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pricetrend.operators.scan import GROUP, sums_before
 from pricetrend.sources.bars import GRAIN_SECONDS, wall_seconds
 
 
@@ -36,10 +36,10 @@ def number_bars(bars: DataFrame, grain: str = "day", chunk_bars: int = 4096,
     place = F.when(F.col(order_col).isNull(), F.raise_error(F.lit(f"NULL {order_col}: the row has no position")).cast("long"))
     chunked = bars.withColumn("_chunk", place.otherwise(time_chunk(order_col, grain, chunk_bars)))
     counts = chunked.groupBy(symbol_col, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    w_chunks = (Window.partitionBy(symbol_col).orderBy("_chunk")
-                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(F.col(symbol_col).alias("_symbol"), F.col("_chunk").alias("_at"),
-                            F.coalesce(F.sum("_n").over(w_chunks), F.lit(0)).alias("_offset"))
+    # Chunks of times before 1970 have negative numbers.
+    numbered = counts.withColumn("_at", F.col("_chunk") + F.lit(GROUP * GROUP // 2))
+    offsets = sums_before(numbered, symbol_col, "_at", {"_n": "_offset"}).select(
+        F.col(symbol_col).alias("_symbol"), F.col("_chunk").alias("_at"), "_offset")
     w_local = Window.partitionBy(symbol_col, "_chunk").orderBy(order_col, *(tie_break or []))
     return (chunked
             .withColumn("_local", F.row_number().over(w_local))

@@ -25,7 +25,7 @@ def test_panel_windows_are_partitioned_by_block(spark):
         assert "symbol" in spec, spec
     for m in re.finditer(r"Window (\[.*?\]), \[([^\]]*)\], \[", plan):
         if "blk" not in m[2] and "_super" not in m[2]:
-            assert re.search(r"_n#|_total#|_all|_first#|_in\d|_cup#", m[1]), m[0]
+            assert "_group" in m[2], m[0]
     assert "events.parquet" not in plan          # ticks were aggregated once, upstream
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
@@ -33,11 +33,17 @@ def test_panel_windows_are_partitioned_by_block(spark):
 def test_numbering_windows_are_bounded(spark):
     plan = _executed(number_bars(events_bars(spark, SF_MAIN, "hour"), grain="hour"))
     specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
-    # row numbers run inside (symbol, chunk); the only symbol-wide window is the
-    # prefix sum over the per-chunk count table
-    assert any("_chunk" in s for s in specs)
-    wide = [s for s in specs if "_chunk" not in s]
-    assert len(wide) <= 1
+    # row numbers run inside (symbol, chunk), sums over chunks inside (symbol, group of chunks)
+    assert any("_chunk" in s for s in specs) and any("_group" in s for s in specs)
+    assert all("," in s for s in specs), specs
+
+
+def test_no_window_is_partitioned_by_the_symbol_alone(spark):
+    for name in ("macd_hourly", "rsi_14_hourly", "indicator_panel", "trend_panel"):
+        import __spark_entry__
+        plan = _executed(__spark_entry__.queries()[name](spark, SF_MAIN))
+        specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
+        assert specs and all("," in s for s in specs), (name, specs)
 
 
 def _scaled(spark, monkeypatch, broadcast_rows):
