@@ -1,7 +1,7 @@
 """Daily OHLC CSV files, one file per series.
 
-Every file is read by its own header: files are grouped by header line, one scan
-for each distinct one, and the frames are combined by name (S3). Every file has
+Every file is read by its own header: one job takes all files' first lines, files are
+grouped by header, one scan for each distinct one, and the frames are combined by name (S3). Every file has
 one date layout, the one by which all its rows parse. Nothing is lost or
 guessed silently; these raise a ``ValueError`` that names the file:
 
@@ -14,10 +14,14 @@ guessed silently; these raise a ``ValueError`` that names the file:
 
 from __future__ import annotations
 
+import csv
+import re
 from collections import defaultdict
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The column names of the reference's input files.
@@ -42,14 +46,34 @@ def _snake(name: str) -> str:
     return out.strip("_")
 
 
+def _first_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(file, line): the first line with content of every file, from one scan of the splits that
+    start a file; lines come in order inside a split."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") == 0).alias("starts"), "value")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for b in batches:
+            for f, v in zip(b.column("file").to_pylist(), b.column("value").to_pylist()):
+                if f not in seen and v.strip():
+                    seen.add(f)
+                    yield pa.RecordBatch.from_arrays([pa.array([f]), pa.array([v])], ["file", "line"])
+
+    return lines.where("starts").drop("starts").mapInArrow(first, "file string, line string")
+
+
 def _by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
-    """The files under ``paths`` by their header; only first lines are read."""
-    files = sorted(spark.read.text(paths).inputFiles())
-    header = lambda p: tuple(spark.read.option("header", True).csv(p).columns)
-    with ThreadPoolExecutor(max_workers=8) as pool:
-        headers = list(pool.map(header, files))
+    """The files under ``paths`` by their header, from one job whatever their number.
+
+    One row per file comes to the driver, which has their list anyway."""
+    plain = lambda p: unquote(re.sub("^file:/+", "file:/", p))
+    lines = {plain(f): "" for f in spark.read.text(paths).inputFiles()}
+    lines |= {plain(r["file"]): r["line"] for r in _first_lines(spark, paths).collect()}
+    distinct = sorted(set(lines.values()))
+    parsed = {line: tuple(next(csv.reader([line.lstrip("\ufeff")]), [])) for line in distinct}
     out: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for f, h in zip(files, headers):
+    for f in sorted(lines):
+        h = parsed[lines[f]]
         if missing := [c for c in (DATE_COLUMN, HIGH_COLUMN, LOW_COLUMN, CLOSE_COLUMN) if c not in h]:
             raise ValueError(f"{f}: no column {', '.join(missing)}")
         out[h].append(f)

@@ -144,3 +144,40 @@ def test_the_shared_folder_is_empty_after_release(spark):
             assert catalog.QUERIES[name](spark, SF_SMALL).count() > 0
         assert set(os.listdir(folder)) - before
     assert set(os.listdir(folder)) == before
+
+
+def test_headers_of_many_files_take_one_job(spark):
+    """2,000 files of three layouts: as many jobs as for 20."""
+    from pricetrend.sources.csv import _by_header
+    heads = ["Date,High Price,Low Price,Close Price", 'Close Price,"Low Price",High Price,Date,Turnover', "\nDate,Open Price,High Price,Low Price,Close Price"]
+    def write(n):
+        d = tempfile.mkdtemp(prefix="pt-many-")
+        for i in range(n):
+            with open(os.path.join(d, f"S{i:05d}.csv"), "w") as f:
+                f.write(heads[i % 3] + "\n1,2,3,4,5\n")
+        return d
+    jobs = {}
+    for n in (20, 2000):
+        d = write(n)
+        spark.sparkContext.setJobGroup(f"headers-{n}", "headers")
+        got = _by_header(spark, [d])
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        # Reading the list of files may take a job of its own when there are many.
+        jobs[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"headers-{n}"))
+        assert sorted(len(h) for h in got) == [4, 5, 5] and sum(map(len, got.values())) == n
+        assert got[("Close Price", "Low Price", "High Price", "Date", "Turnover")][0].endswith("S00001.csv")
+    assert jobs[2000] <= jobs[20] + 1
+
+
+def test_a_file_name_with_blanks(spark):
+    d = tempfile.mkdtemp(prefix="pt-blank-")
+    with open(os.path.join(d, "NIFTY BANK.csv"), "w") as f:
+        f.write("Date,High Price,Low Price,Close Price\n2020-01-01,3,1,2\n")
+    assert [(r.symbol, r.close) for r in read_ohlc_csv(spark, [d]).collect()] == [("NIFTY BANK", 2.0)]
+
+
+def test_an_empty_file_is_named(spark):
+    d = tempfile.mkdtemp(prefix="pt-void-")
+    open(os.path.join(d, "void.csv"), "w").close()
+    with pytest.raises(ValueError, match="void.csv: no column Date"):
+        read_ohlc_csv(spark, [d])
