@@ -12,8 +12,10 @@ the right token. At each step the two parts that touch are known, and a merge
 of them that comes before the merge that consumed either part would have joined
 the tokens. Of equal merges the leftmost comes first.
 
-Nulls count as empty texts; empty texts give no ids. Input columns that have the
-name of an output column are replaced; other columns are kept.
+Nulls count as empty texts; empty texts give no ids. Very long texts are encoded whole,
+the words of one section at a time. Repeated rows are encoded row by row; an empty table
+gives no rows. Input columns that have the name of an output column are replaced; other
+columns are kept.
 """
 
 from __future__ import annotations

@@ -16,8 +16,9 @@ make up what is missing, to within about the smallest that fits.
 
 Null or empty texts have size 0 and rate 1. Null sources are a source of
 their own, the last in order. Repeated rows share their copies. A source
-without words has target 0. An empty table gives an empty result. The table of
-sources (a row each) is numbered in one task, which holds no documents.
+without words has target 0. Very long texts only count their words. An empty table gives an
+empty result. ``mix`` keeps all columns, whatever their names; its own go by names that the table
+doesn't have. The table of sources (a row each) is numbered in one task, which holds no documents.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ bins. Null texts count as empty. Null lang or source is a value of its own; a
 null length is a feature of its own. Repeated rows count as often as they
 occur; repeated labels of one id count once, the lowest; labels other than 0
 and 1 are ignored. Without labels of both kinds every score is their mean (0.5
-if there are none). An empty table gives an empty result.
+if there are none). Very long texts are measured whole. An empty table gives an empty result.
+Only the named columns are read; others are ignored, whatever their names.
 """
 
 from __future__ import annotations

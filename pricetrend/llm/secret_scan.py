@@ -15,8 +15,9 @@ At most ``per_kind`` examples of a kind are learnt from: those of smallest hash
 among the distinct matches of all documents, each task sending no more than
 that. Base spans never depend on the automata.
 
-Null texts count as empty; empty texts have no spans. Offsets count code
-points, ends are exclusive. Repeated rows are scanned row by row. An input column
+Null texts count as empty; empty texts have no spans, and an empty table gives no rows and
+no automata. Very long texts are scanned whole. An automaton accepts only lengths between those of
+its shortest and longest example. Offsets count code points, ends are exclusive. Repeated rows are scanned row by row. An input column
 named as the output one is replaced.
 """
 

@@ -18,8 +18,11 @@ by the triangle inequality, so each is linked to one of them only, and a task
 returns a spanning forest instead of all pairs.
 
 Null texts count as empty; texts without words have fingerprint zero and are
-linked like any other. Rows with a null id take part; the id of a component is
-the smallest non-null one (null if there is none).
+linked like any other. Very long texts are read whole, the words of one section at a time.
+Rows with a null id take part; the id of a component is the smallest non-null one
+(null if there is none). Repeated rows have one fingerprint and one component, and ``keep_one``
+keeps one of them. An empty table gives no rows. ``near_duplicates`` reads the two named columns
+only; ``keep_one`` keeps all columns, whatever their names.
 """
 
 from __future__ import annotations

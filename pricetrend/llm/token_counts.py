@@ -12,7 +12,7 @@ position exists, the chunks of that text are joined in pairs and the overlap
 is widened, again and again, until it aligns or is encoded whole.
 
 Null texts count as empty, with 0 bytes and tokens. Repeated rows are counted
-row by row. Special tokens are not added; their strings inside texts are
+row by row; an empty table gives no rows. Special tokens are not added; their strings inside texts are
 treated as the library does by default. An input column named as the output one
 is replaced.
 """

@@ -16,7 +16,7 @@ Vectors that are null or hold null or non-finite components take no part, zero
 ones do (see ``usable`` for differing lengths). A row is no candidate of
 queries with its own id. Repeated rows count once. Fewer than k candidates give
 fewer rows, an empty table none. Scores outside the range of a long are set to
-its ends.
+its ends. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ inner gaps are logged with their places in the inflated bytes.
 Null payloads count as empty; null ids and addresses are left out of the
 record. A null id never refers to or is referred to as the largest; rows that
 repeat the largest id with the same payload are all responses. Empty tables
-give an archive without files and no rows.
+give an archive without files and no rows. Other columns are ignored, whatever their names.
+A record is one value in a task, so a payload may be as long as Spark's values, and
+the reader takes a file as one value: files up to 2 GB, each inflated member by member.
 """
 
 from __future__ import annotations
