@@ -12,6 +12,7 @@ import __spark_entry__ as entry
 from conftest import SF_MAIN, SF_SMALL
 from llm_fixtures import library, vocab  # noqa: F401
 from pricetrend.llm import queries as Q
+from test_conversations import by_conv, plain_damage, plain_repair
 from test_mixing import rate_by_hand, targets_by_hand
 from test_secret_scan import plain_base
 from test_simhash import plain_components, plain_fingerprint
@@ -119,5 +120,20 @@ def test_op8(spark, docs):
         assert [x for x in spans if not x.startswith("grammar_")] == [x for x in said.split(",") if x]
 
 
+def test_op12(spark):
+    got = {r["doc_id"]: r for r in rows(spark, "op12_language", SF_MAIN)}
+    langs = dict(duckdb.sql(f"SELECT doc_id, lang FROM '{SF_MAIN}/documents.parquet'").fetchall())
+    assert set(got) == set(langs) and all(0 <= r["score"] <= 1 for r in got.values())
+    assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i, r in got.items())
+    assert np.mean([got[i]["lang_pred"] == langs[i] for i in got if got[i]["held_out"]]) > 0.98
+
+
+def test_op13(spark):
+    talk = duckdb.sql(f"SELECT conv_id, turn, role, text FROM '{SF_SMALL}/conversations.parquet'").fetchall()
+    want = {c: plain_repair(plain_damage(v)) for c, v in by_conv(talk).items()}
+    got = {r.pop("conv_id"): tuple(r.values()) for r in rows(spark, "op13_conversations")}
+    assert got == want
+
+
 def test_xxhash_of_spark_is_the_shingle_hash(spark):
     assert spark.sql("SELECT xxhash64('a b c d')").first()[0] & (2 ** 64 - 1) == xxhash.xxh64_intdigest("a b c d", 42)
