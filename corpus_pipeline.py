@@ -10,8 +10,8 @@ but the last return the columns of ``documents``.
 4. mixing        documents are repeated or left out until sources meet their targets
 5. bpe           token ids of each text, their number, and digests of ids and decoded text
 
-Extra columns of the input are kept. Null texts count as empty and stay null.
-Empty tables pass through. Repeated rows: stage 1 treats each alone, stage 2
+Extra columns of the input are kept up to the last stage, which returns its own columns. Null
+texts count as empty and stay null. Very long texts go through whole. Empty tables pass through. Repeated rows: stage 1 treats each alone, stage 2
 keeps one, stage 4 makes some itself, each encoded alone in stage 5.
 """
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricetrend.llm import bpe, mixing, secret_scan, simhash, toxicity
-from pricetrend.llm.common import table
+from pricetrend.llm.common import cut_lineage, table
 from pricetrend.llm.queries import vocabulary
 from pricetrend.session import scratch_path
 
@@ -28,8 +28,10 @@ from pricetrend.session import scratch_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     examples = toxicity.choose(docs, table(spark, sf_dir, "labels"), learn_from=~toxicity.held_out())
     prefix = "toxicity_of_stage_"
-    model = toxicity.fit(examples, toxicity.hits(docs.select("text"), examples.terms, prefix=prefix), prefix=prefix)
-    scored = toxicity.score_texts(docs, examples.terms, model, prefix=prefix)
+    # Texts are cut into terms once; the IDF and the scores read what is written.
+    marked = cut_lineage(toxicity.hits(docs, examples.terms, prefix=prefix), "stage-toxic-hits")
+    model = toxicity.fit(examples, marked, prefix=prefix)
+    scored = toxicity.score(marked, model, prefix=prefix)
     return scored.where(F.col(prefix + "score") < model.params.threshold).select(
         *[F.col(f"`{c}`") for c in docs.columns])
 
