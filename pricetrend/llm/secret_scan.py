@@ -5,30 +5,38 @@ labelled examples: for each kind, a prefix tree of their character classes is
 generalised by merging states that are statistically compatible (Hoeffding
 bounds on their outgoing frequencies, applied to all successors), which gives
 a probabilistic automaton. All other long tokens of a text are candidates, whole
-and in parts: from the start or after any run of ``=``, up to the end or the next
-run of ``=``, with and without the trailing ``.``, ``=``, ``-`` and ``/``. A part
-becomes an added span if an automaton can generate it and its likelihood per symbol
-is at least that of nearly all labelled examples. Of accepted parts that overlap
-the longest wins, then the first.
+and in parts: from the start or after any sign (``+/_.=-``), up to the end or before
+any sign. A part becomes an added span if
+
+- an automaton can generate it, and its likelihood per symbol is at least that of nearly
+  all labelled examples. Merged states forget how long a credential is, so the likelihood
+  has a factor for the length: a Gaussian kernel around each example's length, half that
+  length wide. No length is ruled out as such; and
+- it is ``margin`` nats likelier by the automaton than as ordinary text: a Markov chain of
+  character classes, counted over all texts outside their base spans. It may be in its own
+  or in the opposite case, since names in capitals are ordinary, too.
+
+Of accepted parts that overlap the longest wins, then the first.
 
 At most ``per_kind`` examples of a kind are learnt from: those of smallest hash
 among the distinct matches of all documents, each task sending no more than
 that. Base spans never depend on the automata.
 
 Null texts count as empty; empty texts have no spans, and an empty table gives no rows and
-no automata. Very long texts are scanned whole. An automaton accepts only lengths between those of
-its shortest and longest example. Offsets count code points, ends are exclusive. Repeated rows are scanned row by row. An input column
-named as the output one is replaced.
+no automata. Very long texts are scanned whole; a pass over a very long candidate ends where no
+continuation could reach the least likelihood any more. Offsets count code points, ends are
+exclusive. Repeated rows are scanned row by row. An input column named as the output one is replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -44,7 +52,8 @@ KINDS = ["assign", "access", "hex"]
 KEYWORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
-TRAILING = "=.-/"
+SIGNS = "+/_.=-"
+SIGN = re.compile(r"[+/_.=-]")
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{12,}")
 SPAN = StructType([StructField("kind", StringType()), StructField("start", LongType()),
                    StructField("end", LongType()), StructField("score", DoubleType())])
@@ -55,6 +64,8 @@ class SecretParams:
     per_kind: int = 500
     alpha: float = 0.05         # of the Hoeffding test; smaller merges more
     quantile: float = 0.02      # share of the labelled examples that may score lower than a candidate
+    spread: float = 0.5         # width of the length kernel, as a share of the example's length
+    margin: float = 20.0        # nats by which a candidate must be likelier than ordinary text
     least_examples: int = 20    # below this many, a kind has no automaton
 
 
@@ -79,35 +90,95 @@ _CLASSES = {ord(c): k for chars, k in (("0123456789", "0"), ("abcdef", "a"), ("g
                                        ("ABCDEF", "A"), ("GHIJKLMNOPQRSTUVWXYZ", "G")) for c in chars}
 
 
+# The classes by the byte of their character; everything else separates words.
+ORDINARY = "0aAgG" + SIGNS + " "
+_CODES = np.full(256, len(ORDINARY) - 1, np.uint8)
+for _c in range(128):
+    if chr(_c).isalnum() or chr(_c) in SIGNS:
+        _CODES[_c] = ORDINARY.index(symbols(chr(_c)))
+
+
+def count_pairs(text: str, counts: np.ndarray) -> None:
+    """Add the adjacent classes of ``text``, piece by piece, to ``counts``."""
+    n = len(ORDINARY)
+    for at in range(0, len(text), 1 << 20):
+        codes = _CODES[np.frombuffer(f" {text[at:at + (1 << 20)]} ".encode("utf-8", "replace"), np.uint8)]
+        counts += np.bincount(codes[:-1].astype(np.int64) * n + codes[1:], minlength=n * n)
+
+
+def chain(counts: np.ndarray, lean: float = 0.01) -> dict[str, float]:
+    """Log-probability of each class after another one, and of each class alone. What follows a
+    rare class may be known from credentials only, so each class gets the overall frequencies
+    as further ``lean`` of all pairs."""
+    n = len(ORDINARY)
+    pairs = counts.reshape(n, n) + 0.5
+    alone = pairs.sum(0) / pairs.sum()
+    after = pairs + lean * pairs.sum() * alone
+    after = np.log(after / after.sum(1, keepdims=True))
+    out = {x + y: float(after[i, j]) for i, x in enumerate(ORDINARY) for j, y in enumerate(ORDINARY)}
+    return out | {x: float(np.log(alone[i])) for i, x in enumerate(ORDINARY)}
+
+
 @dataclass
 class Automaton:
-    """A probabilistic automaton: log-probabilities of the moves and of ending, and
-    the lengths between which its examples lie (merged states forget lengths)."""
+    """A probabilistic automaton: log-probabilities of the moves (given that the token goes
+    on), which states may end a token, and of the lengths (from 0 to the last one that can
+    reach ``least``); the chain of ordinary text (empty: no comparison)."""
 
     moves: list[dict[str, tuple[int, float]]] = field(default_factory=list)
-    ends: list[float] = field(default_factory=list)
+    ends: list[bool] = field(default_factory=list)
+    lengths: list[float] = field(default_factory=list)
     least: float = 0.0
-    shortest: int = 0
-    longest: int = 0
+    margin: float = 0.0
+    ordinary: dict[str, float] = field(default_factory=dict)
 
     def score(self, token: str) -> float:
-        """Mean log-likelihood per symbol, the end included; -inf if it can't be generated."""
+        """Mean log-likelihood per symbol, the length included; -inf if it can't be generated."""
         return dict(self.scores(symbols(token), 0, {len(token)})).get(len(token), -math.inf)
 
     def scores(self, classes: str, start: int, ends: set[int]) -> Iterator[tuple[int, float]]:
         """Each of ``ends`` up to which it can generate the symbols from ``start`` on, and the score."""
-        state, total, first = 0, 0.0, start + self.shortest
-        for at in range(start, min(len(classes), start + self.longest)):
+        state, total = 0, 0.0
+        for at in range(start, min(len(classes), start + len(self.lengths) - 1)):
             step = self.moves[state].get(classes[at])
             if step is None:
                 return
             state, p = step
             total += p
-            if at + 1 >= first and at + 1 in ends:
-                yield at + 1, (total + self.ends[state]) / (at + 2 - start)
+            if at + 1 in ends and self.ends[state]:
+                n = at + 1 - start
+                yield at + 1, (total + self.lengths[n]) / (n + 1)
+
+    def accepted(self, classes: str, start: int, ends: set[int]) -> Iterator[tuple[int, float]]:
+        """The ends of the parts from ``start`` on that pass both tests, with the score above ``least``."""
+        own, other, at, swapped = 0.0, 0.0, start, ""
+        for end, score in self.scores(classes, start, ends):
+            if score < self.least:
+                continue
+            if self.ordinary:
+                if not swapped:
+                    swapped = classes[start:start + len(self.lengths)].swapcase()
+                while at < end:
+                    last = at if at == start else at - 1
+                    own += self.ordinary[classes[last:at + 1]]
+                    other += self.ordinary[swapped[last - start:at + 1 - start]]
+                    at += 1
+                if score * (end - start + 1) - max(own, other) < self.margin:
+                    continue
+            yield end, score - self.least
+
+
+def length_model(tokens: list[str], spread: float, size: int) -> np.ndarray:
+    """Log-probabilities of the lengths below ``size``: a kernel around each example's length."""
+    at, out = np.arange(size, dtype=np.float64), np.full(size, -np.inf)
+    for n, times in sorted(Counter(map(len, tokens)).items()):
+        wide = max(1.0, spread * n)
+        out = np.logaddexp(out, math.log(times / len(tokens) / (wide * math.sqrt(2 * math.pi))) - 0.5 * ((at - n) / wide) ** 2)
+    return out
 
 
-def infer(tokens: list[str], params: SecretParams = SecretParams()) -> Automaton | None:
+def infer(tokens: list[str], params: SecretParams = SecretParams(),
+          ordinary: dict[str, float] | None = None) -> Automaton | None:
     """Merge the prefix tree of the tokens' classes into an automaton (None if too few)."""
     if len(tokens) < params.least_examples:
         return None
@@ -174,12 +245,25 @@ def infer(tokens: list[str], params: SecretParams = SecretParams()) -> Automaton
             red.append(node)
         blue = sorted({(r, s) for r in red for s in kids[r] if kids[r][s] not in red})
     index = {r: i for i, r in enumerate(red)}
-    out = Automaton(shortest=min(map(len, tokens)), longest=max(map(len, tokens)))
+    out = Automaton(margin=params.margin, ordinary=ordinary or {})
     for r in red:
-        out.moves.append({s: (index[k], math.log(flow[r][s] / passed[r])) for s, k in sorted(kids[r].items())})
-        out.ends.append(math.log(ended[r] / passed[r]) if ended[r] else -math.inf)
+        on = passed[r] - ended[r]
+        out.moves.append({s: (index[k], math.log(flow[r][s] / on)) for s, k in sorted(kids[r].items())})
+        out.ends.append(ended[r] > 0)
+    size = 4 * max(map(len, tokens)) + 2
+    out.lengths = length_model(tokens, params.spread, size).tolist()
     scores = sorted(out.score(t) for t in tokens)
     out.least = scores[int(params.quantile * (len(scores) - 1))]
+    # The likeliest symbol throughout bounds every score; beyond the last length at which the
+    # bound reaches ``least`` no pass goes on.
+    top = max(p for m in out.moves for _, p in m.values())
+    while True:
+        lengths = length_model(tokens, params.spread, size)
+        bound = (np.arange(size) * top + lengths) / (np.arange(size) + 1)
+        if bound[-1] < out.least and bound[-1] < bound[-2]:
+            break
+        size *= 2
+    out.lengths = lengths[:int(np.flatnonzero(bound >= out.least)[-1]) + 1].tolist()
     return out
 
 
@@ -192,34 +276,38 @@ def learn(df: DataFrame, params: SecretParams = SecretParams(), text: str = "tex
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[int, dict[str, int]] = {0: {}, 1: {}, 2: {}}
+        pairs = np.zeros(len(ORDINARY) ** 2, np.int64)
         for part in slices(batches):
             for t in part.column(text).to_pylist():
-                for _, k, _, token in base_spans(t or ""):
+                base = base_spans(t or "")
+                for _, k, _, token in base:
                     seen[k].setdefault(token, xxhash.xxh64_intdigest(token, 7) >> 1)
+                count_pairs(masked(t or "", [("", s, e, None) for s, _, e, _ in base], " "), pairs)
             if any(len(v) > 8 * most for v in seen.values()):
                 seen = smallest(seen)
-        rows = [(KINDS[k], h, t) for k, v in smallest(seen).items() for t, h in v.items()]
-        yield pa.RecordBatch.from_pylist([dict(zip(("kind", "hash", "token"), r)) for r in rows],
-                                         pa.schema([("kind", pa.string()), ("hash", pa.int64()), ("token", pa.string())]))
-
-    found = cut_lineage(df.select(text).mapInArrow(sample, "kind string, hash long, token string").distinct(), "credentials")
+        rows = [(KINDS[k], h, t, 1) for k, v in smallest(seen).items() for t, h in v.items()]
+        rows += [("", int(i), "", int(pairs[i])) for i in np.flatnonzero(pairs)]
+        yield pa.RecordBatch.from_pylist([dict(zip(("kind", "hash", "token", "n"), r)) for r in rows],
+                                         pa.schema([("kind", pa.string()), ("hash", pa.int64()),
+                                                    ("token", pa.string()), ("n", pa.int64())]))
+
+    found = cut_lineage(df.select(text).mapInArrow(sample, "kind string, hash long, token string, n long")
+                        .groupBy("kind", "hash", "token").agg(F.sum("n").alias("n")), "credentials")
+    pairs = np.zeros(len(ORDINARY) ** 2, np.int64)
+    for r in found.where("kind = ''").collect():  # one row for each pair of classes
+        pairs[r["hash"]] = r["n"]
     out = {}
     for kind in KINDS:  # each at most per_kind strings
         rows = found.where(F.col("kind") == kind).orderBy("hash", "token").limit(most).collect()
-        if automaton := infer([r["token"] for r in rows], params):
+        if automaton := infer([r["token"] for r in rows], params, chain(pairs)):
             out[kind] = automaton
     return out
 
 
 def parts(token: str) -> tuple[list[int], set[int]]:
-    """Where parts of a candidate may start, and where they may end."""
-    starts, ends = [0], {len(token)}
-    if "=" in token or token[-1] in TRAILING:
-        starts += [p + 1 for p, c in enumerate(token[:-1]) if c == "="]
-        for p in range(len(token) - 1, 0, -1):
-            if token[p - 1] == "=" or (token[p] in TRAILING and p + 1 in ends):
-                ends.add(p)
-    return starts, ends
+    """Where parts of a candidate may start (after a sign), and where they may end (before one)."""
+    signs = [m.start() for m in SIGN.finditer(token)]
+    return [0, *(p + 1 for p in signs if p + 1 < len(token))], {len(token), *signs}
 
 
 def added(token: str, automata: dict[str, Automaton], taken: list[tuple[int, int]]) -> list[tuple[int, int, str, float]]:
@@ -229,9 +317,8 @@ def added(token: str, automata: dict[str, Automaton], taken: list[tuple[int, int
     classes, best = symbols(token), {}
     for start in starts:
         for k, a in automata.items():
-            for end, score in a.scores(classes, start, ends):
-                if score >= a.least:
-                    best[start, end] = max(best.get((start, end), (-math.inf, "")), (score - a.least, k))
+            for end, score in a.accepted(classes, start, ends):
+                best[start, end] = max(best.get((start, end), (-math.inf, "")), (score, k))
     out, used = [], bytearray(len(token))
     for s, e in taken if best else []:
         s, e = max(0, s), min(len(token), e)

@@ -84,3 +84,67 @@ def test_parts_of_a_run_are_candidates(spark):
         assert [two[x[1]:x[2]] for x in s.find(two, automata)] == [k, "deadbeefdeadbeef", plain[0]]
     df = spark.createDataFrame([(1, f"pwd={plain[0]} and {plain[1]}.")], "doc_id long, text string")
     assert s.redact(df, automata).collect()[0]["text"] == "pwd=[SECRET] and [SECRET]."
+
+
+def values(seed, n, size=40):
+    rng = random.Random(seed)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return ["".join(rng.choice(letters) for _ in range(size)) for _ in range(n)]
+
+
+def prose(seed, n=3000):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 12))) for _ in range(n))
+
+
+def learnt_from(spark, tokens):
+    rows = [(i, f"{prose(i, 50)} token={k} and www.{prose(i, 2).replace(' ', '-')}.com") for i, k in enumerate(tokens)]
+    return s.learn(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_lengths_and_places_that_no_example_has(spark):
+    automata = learnt_from(spark, values(1, 200))
+    for size in (36, 40, 44, 64):
+        fresh = values(size, 60, size)
+        for before, after in (("pwd=", ""), ("https://host/", ""), ("key-", ""), ("auth.", "."), ("Bearer_", ""), ("path/", "/x"), ("", "")):
+            found = 0
+            for k in fresh:
+                text = f"so {before}{k}{after} it is"
+                spans = [text[x[1]:x[2]] for x in s.find(text, automata)]
+                found += spans == [k]
+            assert found >= 54, (size, before, after, found)
+    for seed in range(20):
+        words = prose(seed, 400)
+        for text in (words, words.replace(" ", "-"), words.replace(" ", "/"), words.replace(" ", ""), words.upper().replace(" ", "_")):
+            assert s.find(text, automata) == []
+
+
+def test_background_counts_by_hand(spark):
+    import numpy as np
+    counts = np.zeros(len(s.ORDINARY) ** 2, np.int64)
+    s.count_pairs("Zq 7-é", counts)
+    got = {(s.ORDINARY[i // len(s.ORDINARY)], s.ORDINARY[i % len(s.ORDINARY)]): int(counts[i])
+           for i in np.flatnonzero(counts)}
+    assert got == {(" ", "G"): 1, ("G", "g"): 1, ("g", " "): 1, (" ", "0"): 1, ("0", "-"): 1, ("-", " "): 1, (" ", " "): 2}
+    usual, n = s.chain(counts), len(s.ORDINARY)
+    assert abs(sum(np.exp(usual["G" + x]) for x in s.ORDINARY) - 1) < 1e-9
+    total = 8 + n * n / 2
+    alone = (1 + n / 2) / total
+    assert abs(usual["g"] - np.log(alone)) < 1e-9
+    assert abs(usual["Gg"] - np.log((1.5 + 0.01 * total * alone) / (1 + n / 2 + 0.01 * total))) < 1e-9
+
+
+def test_no_pass_misses_an_acceptable_length():
+    automaton = s.infer(credentials())
+    whole = s.length_model(credentials(), s.SecretParams().spread, 20000)
+    top = max(p for m in automaton.moves for _, p in m.values())
+    for n in range(len(automaton.lengths), 20000):
+        assert (n * top + whole[n]) / (n + 1) < automaton.least
+
+
+def test_very_long_candidates(spark):
+    automata = learnt_from(spark, values(2, 100))
+    k = next(k for k in values(3, 50) if s.find(k, automata))
+    for filler in ("-" * 200000, "ab/" * 70000, "x" * 300000, "aB3" * 70000 + "/"):
+        text = f"{filler}.{k} end"
+        assert (len(filler) + 1, len(filler) + 41) in [(x[1], x[2]) for x in s.find(text, automata)], filler[:9]
