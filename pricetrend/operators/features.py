@@ -92,7 +92,16 @@ def impute_and_scale(df: DataFrame, cols: list[str], fit_on: str | None = None)
     ``(k*a + (n-k)*m) / n`` and variance
     ``(k*(v + (a-mean)^2) + (n-k)*(m-mean)^2) / n``.
     """
-    joined = join_series(df, scaling(df, cols, fit_on))
+    return _filled_and_scaled(df, cols, scaling(df, cols, fit_on))
+
+
+def impute_and_minmax(df: DataFrame, cols: list[str]) -> DataFrame:
+    """F1 followed by F4 onto [-1, 1] from a single pass of statistics and a single join."""
+    return _filled_and_scaled(df, cols, minmax_scaling(df, cols))
+
+
+def _filled_and_scaled(df: DataFrame, cols: list[str], stats: DataFrame) -> DataFrame:
+    joined = join_series(df, stats)
 
     def z(c):
         s, x = F.col(f"_s_{c}"), F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}"))
@@ -119,6 +128,19 @@ def scaling(df: DataFrame, cols: list[str], fit_on: str | None = None) -> DataFr
     return raw.select(*out)
 
 
+def minmax_scaling(df: DataFrame, cols: list[str]) -> DataFrame:
+    """What ``scaling`` gives, for F4 onto [-1, 1]: centre and half of each column's range. A mean
+    in place of a NULL widens no range. A constant column gets -1, by half a range of 1."""
+    raw = df.groupBy("symbol").agg(*[a for c in cols for x in (F.col(c).cast("double"),)
+                                     for a in (F.avg(x).alias(f"_a_{c}"), F.min(x).alias(f"_lo_{c}"), F.max(x).alias(f"_hi_{c}"))])
+    out = [F.col("symbol")]
+    for c in cols:
+        mean, lo, hi = (F.coalesce(F.col(f"_{x}_{c}"), F.lit(0.0)) for x in ("a", "lo", "hi"))
+        out += [mean.alias(f"_m_{c}"), F.when(hi > lo, (lo + hi) / 2).otherwise(lo + 1).alias(f"_c_{c}"),
+                F.when(hi > lo, (hi - lo) / 2).otherwise(F.lit(1.0)).alias(f"_s_{c}")]
+    return raw.select(*out)
+
+
 def minmax_scale(df: DataFrame, cols: list[str], lo: float = -1.0, hi: float = 1.0,
                  fit_on: str | None = None) -> DataFrame:
     """map [min, max] of each column per symbol onto [lo, hi]; zero range -> lo."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from pricetrend.operators.keyed import join_series
 from pricetrend.operators.ranking import hash_rank, md5_key
 
 
@@ -64,7 +65,7 @@ def balanced_split(df: DataFrame, tune_fraction: float = 0.2, label: str = "move
     ranked = hash_rank(h, ["symbol", label], "split_hash", "_crank", "_csize")
     m = ranked.groupBy("symbol").agg(
         F.when(F.count_distinct(label) >= 2, F.min("_csize")).otherwise(F.lit(0)).alias("_m"))
-    out = ranked.join(m, "symbol", "left")
+    out = join_series(ranked, m)
     n_tune = F.ceil(F.col("_m") * F.lit(tune_fraction))
     role = (F.when(F.col("_crank") <= n_tune, F.lit("tune"))
             .when(F.col("_crank") <= F.col("_m"), F.lit("eval"))

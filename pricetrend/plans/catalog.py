@@ -382,6 +382,27 @@ ORACLE["gnb_overall"] = "\nUNION ALL\n".join(
     .replace("WITH RECURSIVE", "SELECT * FROM (WITH RECURSIVE", 1) + ")"
     for rep in ("continuous", "trend"))
 
+# ---------------------------------------------------------------- the balanced protocol
+@register("balanced_features", O.with_balanced(FX, _CF, f"SELECT symbol, bar_no, movement, is_train, is_test, {_cf_sql} FROM prep"))
+def balanced_features(spark, sf_dir):
+    """Features on [-1, 1] of the tuning and evaluation sets of equal classes."""
+    x, cols = prepare(_trends(spark, sf_dir), "nb", "continuous", protocol="balanced")
+    return spark_round(x.select("symbol", "bar_no", "movement", "is_train", "is_test", *cols), cols)
+
+
+def _balanced_acc(rep):
+    def q(spark, sf_dir):
+        from pricetrend.session import cut_lineage
+        x, cols = prepare(_trends(spark, sf_dir), "nb", rep, protocol="balanced")
+        x = cut_lineage(x, f"prep-balanced-{rep}")
+        stats = gnb_stats(x.where("is_train"), cols)
+        return spark_round(accuracy_by(gnb_predict(x.where("is_test"), stats, cols), ["symbol"]), ["accuracy"])
+    return q
+
+
+for _rep, _name in (("continuous", "gnb_balanced_accuracy"), ("trend", "gnb_balanced_trend_accuracy")):
+    register(_name, O.with_balanced(FX, O.FEATURE_SETS[_rep], "").rstrip() + ",\n" + O.gnb_ctes(O.FEATURE_SETS[_rep]) + "\n" + _acc_sel)(_balanced_acc(_rep))
+
 # ---------------------------------------------------------------- learned models (rows-only checks)
 from functools import reduce  # noqa: E402
 
@@ -556,6 +577,12 @@ def model_comparison(spark, sf_dir):
     return spark_round(X.comparison(_families(spark, sf_dir)), ["continuous", "trend"])
 
 
+@register("model_comparison_balanced")
+def model_comparison_balanced(spark, sf_dir):
+    """A9 under the balanced protocol: all families on features in [-1, 1], tuned and evaluated on equal classes."""
+    return spark_round(X.comparison(cut_lineage(X.run_all(_panel(spark, sf_dir), X.BALANCED_GRIDS), "results-balanced")), ["continuous", "trend"])
+
+
 @register("model_report")
 def model_report(spark, sf_dir):
     """Per series and model the accuracy under the study's rule, with the kept parameters."""

@@ -24,8 +24,7 @@ from pricetrend.models.shards import deal
 from pricetrend.models.svm import SvmParams
 from pricetrend.operators.evaluate import (accuracy_by, f1_by, first_k, top3_value_then_earlier,
                                            top3_value_then_larger, top_k)
-from pricetrend.operators.split import holdout_split
-from pricetrend.plans.prepare import PREP, prepare, raw_features, scaling_of
+from pricetrend.plans.prepare import PROTOCOLS, prepare, raw_features, scaling_of, split_rows
 from pricetrend.session import cut_lineage, scratch_path
 
 
@@ -35,10 +34,12 @@ class GridConfig:
     rf_counts: list[int] = field(default_factory=lambda: list(forest.TREE_COUNTS))
     mlp: list[dict] = field(default_factory=mlp.mlp_grid)
     svm_params: SvmParams = SvmParams()
+    protocol: str = "study"     # or "balanced" (see ``prepare``)
 
 
 # 64 SVM points, 20 tree counts, 48 networks.
 REFERENCE_GRIDS = GridConfig()
+BALANCED_GRIDS = GridConfig(protocol="balanced")
 
 
 def _map(pairs: dict[str, F.Column]) -> F.Column:
@@ -59,10 +60,11 @@ def _results(df: DataFrame, rep: str, model: str, params: dict[str, F.Column],
                     "_m.metric", "_m.value"))
 
 
-def prepared(panel: DataFrame, family: str, rep: str, feature_set: str | None = None) -> tuple[DataFrame, list[str]]:
+def prepared(panel: DataFrame, family: str, rep: str, feature_set: str | None = None,
+             protocol: str = "study") -> tuple[DataFrame, list[str]]:
     """Prepared features, written once and laid out by symbol, so that the fits of a
     series read its own files only."""
-    x, cols = prepare(panel, family, rep, feature_set)
+    x, cols = prepare(panel, family, rep, feature_set, protocol=protocol)
     return cut_lineage(x, f"prep-{family}-{rep}", partition_by="symbol"), cols
 
 
@@ -82,14 +84,14 @@ def _text_map(pairs: dict[str, F.Column]) -> F.Column:
 def svm_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, feature_set: str | None = None) -> Fitted:
     """M1-M3; the trend side takes ``trend_only`` by default, ``feature_set="trend_superset"``
     as the study's code does. Kept: the best point of each kernel by CV score."""
-    x, cols = prepared(panel, "svm", rep, feature_set)
+    x, cols = prepared(panel, "svm", rep, feature_set, cfg.protocol)
     m = svm.svm_fit(x, cols, cfg.svm, params=cfg.svm_params)
     res = _results(m, rep, "svm",
                    {c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components", "kernel_error", "converged")},
                    ["cv_accuracy", "test_accuracy"], F.col("grid_index"))
     best = top_k(m, ["symbol", "kernel"], [F.desc("cv_accuracy"), F.asc("grid_index")], 1)
     params = _text_map({c: F.col(c) for c in ("kernel", "degree", "gamma", "C", "n_components")} | {"seed": F.lit(cfg.svm_params.seed)})
-    return Fitted(res, store.entries(best, scaling_of(panel, "svm", rep, feature_set), rep, "svm", cols, F.col("kernel"),
+    return Fitted(res, store.entries(best, scaling_of(panel, "svm", rep, feature_set, protocol=cfg.protocol), rep, "svm", cols, F.col("kernel"),
                                      F.col("grid_index"), params, F.col("cv_accuracy"), F.col("weights")))
 
 
@@ -99,7 +101,7 @@ def _count_index(cfg: GridConfig) -> F.Column:
 
 
 def rf_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS, keep: str | None = None) -> DataFrame:
-    x, cols = prepared(panel, "rf", rep)
+    x, cols = prepared(panel, "rf", rep, protocol=cfg.protocol)
     r = forest.rf_sweep(x, cols, cfg.rf_counts, keep=keep)
     return _results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "rf",
                     {c: F.col(c) for c in ("ntrees", "max_depth", "max_bins")}, ["test_accuracy"], _count_index(cfg))
@@ -116,13 +118,13 @@ def rf_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) ->
              .agg(F.array_sort(F.collect_list(F.struct("tree", "nodes"))).alias("trees")))
     best = rf_top3(res).select("symbol", "rank", "grid_index", "params", "value", "ntrees").join(trees, F.col("symbol").eqNullSafe(F.col("_of")))
     nodes = F.transform(F.slice("trees", F.lit(1), F.col("ntrees")), lambda t: t["nodes"])
-    return Fitted(res, store.entries(best, scaling_of(panel, "rf", rep), rep, "rf", cols, F.col("rank"), F.col("grid_index"),
+    return Fitted(res, store.entries(best, scaling_of(panel, "rf", rep, protocol=cfg.protocol), rep, "rf", cols, F.col("rank"), F.col("grid_index"),
                                      F.col("params"), F.col("value"), store.tree_weights(nodes)))
 
 
 def rf_cv_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
     """M5. Kept: the best tree count by CV score, grown on all training rows."""
-    x, cols = prepared(panel, "rf_cv", rep)
+    x, cols = prepared(panel, "rf_cv", rep, protocol=cfg.protocol)
     trees = cut_lineage(stumps.stumps_fit(x, cols, max(cfg.rf_counts)), "stumps")
     r = cut_lineage(stumps.stumps_accuracy(x, cols, cfg.rf_counts, trees), "stump-scores")
     params = {c: F.col(c) for c in ("ntrees", "max_depth")}
@@ -130,13 +132,13 @@ def rf_cv_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS)
         stumps.per_series(trees.where(F.col("fold") == stumps.ALL)).withColumnRenamed("symbol", "_of"), F.col("symbol").eqNullSafe(F.col("_of")))
     kept = F.slice(F.element_at("trees", F.lit(stumps.ALL)), F.lit(1), F.col("ntrees"))
     return Fitted(_results(r, rep, "rf_cv", params, ["cv_accuracy"], _count_index(cfg)),
-                  store.entries(best, scaling_of(panel, "rf_cv", rep), rep, "rf_cv", cols, F.lit(""), _count_index(cfg),
+                  store.entries(best, scaling_of(panel, "rf_cv", rep, protocol=cfg.protocol), rep, "rf_cv", cols, F.lit(""), _count_index(cfg),
                                 _text_map(params), F.col("cv_accuracy"), store.stump_weights(kept)))
 
 
-def nb_fitted(panel: DataFrame, rep: str) -> Fitted:
+def nb_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
     """M6/M7."""
-    x, cols = prepared(panel, "nb", rep)
+    x, cols = prepared(panel, "nb", rep, protocol=cfg.protocol)
     stats = gnb_stats(x.where("is_train"), cols)
     scored = gnb_predict(x.where("is_test"), stats, cols)
     acc = accuracy_by(scored, ["symbol"]).join(f1_by(scored, ["symbol"]), "symbol").withColumnRenamed("accuracy", "test_accuracy")
@@ -144,13 +146,13 @@ def nb_fitted(panel: DataFrame, rep: str) -> Fitted:
     numbers = ["lp0", "lp1"] + [f"{x}{k}_{c}" for k in (0, 1) for x in "mv" for c in cols]
     weights = F.array(*[F.coalesce(F.col(c), F.lit(float("nan"))) for c in numbers])
     return Fitted(_results(acc, rep, "nb", {}, ["test_accuracy", "f1"], F.lit(0)),
-                  store.entries(both, scaling_of(panel, "nb", rep), rep, "nb", cols, F.lit(""), F.lit(0), F.create_map().cast("map<string,string>"),
+                  store.entries(both, scaling_of(panel, "nb", rep, protocol=cfg.protocol), rep, "nb", cols, F.lit(""), F.lit(0), F.create_map().cast("map<string,string>"),
                                 F.col("test_accuracy"), weights))
 
 
 def mlp_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
     """M8/M9. Kept: the best point by test accuracy, as the study takes it."""
-    x, cols = prepared(panel, "mlp", rep)
+    x, cols = prepared(panel, "mlp", rep, protocol=cfg.protocol)
     dealt = deal(x.select("symbol", "bar_no", "movement", "is_train", "is_test", *cols))
     models = mlp.mlp_fit(dealt, cols, cfg.mlp)
     r = cut_lineage(mlp.mlp_accuracy(dealt, cols, models), "mlp-scores")
@@ -159,7 +161,7 @@ def mlp_fitted(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) ->
         models.select(F.col("symbol").alias("_of"), F.col("grid_index").alias("_index"), "weights"),
         F.col("symbol").eqNullSafe(F.col("_of")) & (F.col("grid_index") == F.col("_index")))
     return Fitted(_results(r.withColumnRenamed("accuracy", "test_accuracy"), rep, "mlp", params, ["test_accuracy"], F.col("grid_index")),
-                  store.entries(best, scaling_of(panel, "mlp", rep), rep, "mlp", cols, F.lit(""), F.col("grid_index"),
+                  store.entries(best, scaling_of(panel, "mlp", rep, protocol=cfg.protocol), rep, "mlp", cols, F.lit(""), F.col("grid_index"),
                                 _text_map(params), F.col("accuracy"), F.col("weights")))
 
 
@@ -171,8 +173,8 @@ def rf_cv_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS)
     return rf_cv_fitted(panel, rep, cfg).results
 
 
-def nb_results(panel: DataFrame, rep: str) -> DataFrame:
-    return nb_fitted(panel, rep).results
+def nb_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
+    return nb_fitted(panel, rep, cfg).results
 
 
 def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> DataFrame:
@@ -180,20 +182,19 @@ def mlp_results(panel: DataFrame, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -
 
 
 def fitted(panel: DataFrame, family: str, rep: str, cfg: GridConfig = REFERENCE_GRIDS) -> Fitted:
-    if family == "nb":
-        return nb_fitted(panel, rep)
-    return {"svm": svm_fitted, "rf": rf_fitted, "rf_cv": rf_cv_fitted, "mlp": mlp_fitted}[family](panel, rep, cfg)
+    return {"svm": svm_fitted, "nb": nb_fitted, "rf": rf_fitted, "rf_cv": rf_cv_fitted, "mlp": mlp_fitted}[family](panel, rep, cfg)
 
 
-def test_bars(panel: DataFrame, family: str, rep: str) -> DataFrame:
+def test_bars(panel: DataFrame, family: str, rep: str, protocol: str = "study") -> DataFrame:
     """(symbol, bar_no, raw features...) of the bars that the family's split keeps for testing."""
     base, cols = raw_features(panel, rep)
-    return holdout_split(base, PREP[family].test_size).where("is_test").select("symbol", "bar_no", *cols)
+    return split_rows(base, PROTOCOLS[protocol][family]).where("is_test").select("symbol", "bar_no", *cols)
 
 
-def test_predictions(panel: DataFrame, rows: DataFrame, family: str, rep: str) -> DataFrame:
+def test_predictions(panel: DataFrame, rows: DataFrame, family: str, rep: str,
+                     protocol: str = "study") -> DataFrame:
     """What every kept model of the family says on its test bars, with what happened."""
-    said = store.predict(test_bars(panel, family, rep), rows.where((F.col("model") == family) & (F.col("representation") == rep)))
+    said = store.predict(test_bars(panel, family, rep, protocol), rows.where((F.col("model") == family) & (F.col("representation") == rep)))
     truth = panel.select(F.col("symbol").alias("_its"), F.col("bar_no").alias("_bar"), F.col("movement").cast("int").alias("movement"))
     return said.join(truth, F.col("symbol").eqNullSafe(F.col("_its")) & (F.col("bar_no") == F.col("_bar"))).drop("_its", "_bar")
 

@@ -222,6 +222,22 @@ def with_prep(fixture: str, feats: list[str], scale: str | None, test_size: floa
             f"{select}")
 
 
+def with_balanced(fixture: str, feats: list[str], select: str) -> str:
+    """``prep`` of the balanced protocol: features on [-1, 1], tuning and evaluation sets of equal classes."""
+    lo, hi = "min({0}) OVER (PARTITION BY symbol)", "max({0}) OVER (PARTITION BY symbol)"
+    mm = ", ".join(f"CASE WHEN {hi} > {lo} THEN ({{0}} - ({lo} + {hi}) / {f(2.0)}) / (({hi} - {lo}) / {f(2.0)}) ELSE {f(-1.0)} END AS {{0}}".format(c)
+                   for c in feats)
+    return f"""WITH RECURSIVE {panel_ctes(fixture)},
+{prep_ctes(feats, None, 0.2)[:-len('prep AS (SELECT * FROM split)')]}unit AS (SELECT symbol, bar_no, movement, split_hash, {mm} FROM split),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol, movement ORDER BY split_hash) AS crank,
+    count(*) OVER (PARTITION BY symbol, movement) AS csize FROM unit),
+sized AS (SELECT *, CASE WHEN count(DISTINCT movement) OVER (PARTITION BY symbol) >= 2
+    THEN min(csize) OVER (PARTITION BY symbol) ELSE 0 END AS m FROM ranked),
+prep AS (SELECT *, crank <= ceil(CAST(m AS DOUBLE) * {f(0.2)}) AS is_train,
+    crank > ceil(CAST(m AS DOUBLE) * {f(0.2)}) AS is_test FROM sized WHERE crank <= m)
+{select}"""
+
+
 def gnb_ctes(feats: list[str], var_smoothing: float = 1e-9) -> str:
     means = ", ".join(f"avg({c}) AS mean_{c}" for c in feats)
     vars_ = ", ".join(f"var_pop({c}) AS var_{c}" for c in feats)

@@ -16,7 +16,8 @@ SAMPLE = ["ohlc_bars_6h", "ohlc_bars_lineitem_daily", "chronological_index",
           "split_70_30", "stratified_folds", "balanced_split", "gnb_accuracy", "csv_daily_bars",
           "macd_with_gaps", "cci_20", "impute_mean", "standard_scale_train", "minmax_scale",
           "trend_sink", "gnb_threshold", "param_grid", "signal_overall", "signal_report",
-          "signal_top3_earlier", "rf_trend_stumps", "rf_trend_cv"]
+          "signal_top3_earlier", "rf_trend_stumps", "rf_trend_cv",
+          "balanced_features", "gnb_balanced_accuracy", "gnb_balanced_trend_accuracy"]
 
 
 @pytest.fixture(scope="module")
