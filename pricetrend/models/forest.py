@@ -9,6 +9,12 @@ swept count k is scored from the first k / block blocks. A Spark forest's
 ``rawPrediction`` is the sum of its trees' class probabilities, so summing
 block raws gives each prefix's soft vote: class 1 iff the class-1 sum exceeds
 k/2 (ties go to class 0).
+
+A level of trees is a job in which every partition sends statistics of every node, so
+a fit's shuffle grows with nodes times partitions: a longer series is read from its own files
+and dealt by bar into as few partitions as its rows need (``_of_series``). Each row's node is kept from
+level to level; without that every level walks all trees again from their roots, which Spark
+sends along with each of its jobs. The trees are the same either way.
 """
 
 from __future__ import annotations
@@ -20,7 +26,8 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pricetrend.models.common import assemble, run_parallel, series_of
+from pricetrend.models.common import assemble, run_parallel
+from pricetrend.session import scratch_path
 
 # The study's tree counts, 10 to 200 in steps of 10.
 TREE_COUNTS = list(range(10, 201, 10))
@@ -28,30 +35,25 @@ TREE_COUNTS = list(range(10, 201, 10))
 MAX_DEPTH_UNLIMITED = 30
 # Split points considered per feature; Spark bins continuous features.
 MAX_BINS = 64
+# Rows from which a series is dealt anew, and the rows of a partition then.
+LONG_SERIES = 8_192
+PER_PARTITION = 262_144
 
 
 def block_size(counts: list[int]) -> int:
     return reduce(math.gcd, counts)
 
 
-def prefix_accuracy(models: list, block: int, scored: DataFrame, counts: list[int],
-                    keys: list[str], label: str = "movement") -> DataFrame:
-    """(keys..., ntrees, correct, n) for every prefix size in ``counts``."""
-    df = scored
-    names = []
-    for b, m in enumerate(models):
-        name = f"_r{b}"
-        m.setRawPredictionCol(name).setProbabilityCol("").setPredictionCol("")
-        df = m.transform(df)
-        names.append(name)
-    # class-1 vote of every block, projected once
-    votes = df.select(*keys, F.col(label).alias("_y"),
-                      F.array(*[vector_to_array(F.col(n))[1] for n in names]).alias("_v"))
+def prefix_accuracy(votes: DataFrame, block: int, counts: list[int], keys: list[str]) -> DataFrame:
+    """(keys..., ntrees, correct, n) for every prefix size in ``counts`` from the class-1 votes
+    of every block on every row (see ``_votes``)."""
+    rows = votes.groupBy(*keys, "_row", "_y").agg(F.array_sort(F.collect_list(F.struct("block", "vote"))).alias("_b"))     # one row's blocks
+    rows = rows.select(*keys, "_y", F.transform("_b", lambda b: b["vote"]).alias("_v"))
     stack = F.explode(F.array(*[
         F.struct(F.lit(k).alias("ntrees"),
                  F.aggregate(F.slice("_v", 1, k // block), F.lit(0.0), lambda a, x: a + x)
                  .alias("votes")) for k in sorted(counts)]))
-    return (votes.select(*keys, "_y", stack.alias("_s"))
+    return (rows.select(*keys, "_y", stack.alias("_s"))
             .select(*keys, F.col("_s.ntrees").alias("ntrees"),
                     ((F.lit(2.0) * F.col("_s.votes") > F.col("_s.ntrees").cast("double"))
                      .cast("int") == F.col("_y")).cast("int").alias("ok"))
@@ -59,33 +61,41 @@ def prefix_accuracy(models: list, block: int, scored: DataFrame, counts: list[in
             .agg(F.sum("ok").alias("correct"), F.count(F.lit(1)).alias("n")))
 
 
-def _metrics(spark, parts: list, schema: str) -> DataFrame:
-    """Score every key as its own small job, side by side; the metrics table is tiny
-    (keys x tree counts) and is assembled from the returned rows."""
-    rows = run_parallel([lambda p=p: p().collect() for p in parts])
-    return spark.createDataFrame([r for part in rows for r in part], schema)
+def _votes(model, rows: DataFrame) -> DataFrame:
+    """What a block's trees say of every row: the sum of their shares of class 1."""
+    model.setRawPredictionCol("_raw").setProbabilityCol("").setPredictionCol("")
+    return model.transform(rows).select("symbol", "_row", F.col("movement").cast("int").alias("_y"), vector_to_array("_raw")[1].alias("vote"))
 
 
 def _forest(n_trees: int, max_depth: int, seed: int) -> RandomForestClassifier:
     return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth,
                                   maxBins=MAX_BINS, featureSubsetStrategy="sqrt", seed=seed,
+                                  cacheNodeIds=True, checkpointInterval=-1,
                                   labelCol="label", featuresCol="features")
 
 
-def _grow(jobs: dict, counts: list[int], max_depth: int, seed: int, parallelism) -> dict:
-    """Fit every (key, block) forest side by side; returns key -> list of block models.
+def _labelled(df: DataFrame, cols: list[str]) -> DataFrame:
+    return assemble(df, cols).withColumn("label", F.col("movement").cast("double"))
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    return df.withColumn("_row", F.monotonically_increasing_id()).persist()
+
 
-    Small fits are latency-bound (a few short jobs each), so more of them run
-    concurrently than there are cores.
+def _of_series(prep: DataFrame, cols: list[str], symbol: str, rows: int) -> DataFrame:
+    """The labelled rows of one series, kept in memory for its fits.
+
+    Spark seeds the bootstrap of a partition by its number. Short series therefore stay in the partitions
+    they are read in; those of a long one depend on its bars only. It never gets more than the cores,
+    or its shuffles would grow with the square of its length.
     """
-    parallelism = parallelism or 16
-    block = block_size(counts)
-    n_blocks = max(counts) // block
-    keys = list(jobs)
-    fits = [lambda k=k, b=b: _forest(block, max_depth, seed + b).fit(jobs[k])
-            for k in keys for b in range(n_blocks)]
-    models = run_parallel(fits, parallelism)
-    return {k: models[i * n_blocks:(i + 1) * n_blocks] for i, k in enumerate(keys)}
+    mine = F.col("symbol") == symbol
+    if rows < LONG_SERIES:
+        return _numbered(_labelled(prep, cols).where(mine))
+    n = min(math.ceil(rows / PER_PARTITION), max(1, prep.sparkSession.sparkContext.defaultParallelism))
+    # before ``assemble``, which no filter is pushed below
+    dealt = prep.where(mine).repartition(n, "bar_no").sortWithinPartitions("bar_no", "is_train", "movement", *cols)
+    return _numbered(_labelled(dealt, cols))
 
 
 def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
@@ -96,21 +106,34 @@ def rf_sweep(prep: DataFrame, cols: list[str], counts: list[int] = TREE_COUNTS,
     ``max_depth`` and ``max_bins`` are reported: Spark's trees are at most 30 deep and
     choose among that many binned split points. With ``keep``, a folder on shared storage, the
     fitted blocks are saved there (see ``saved_trees``).
+
+    Every (series, block) is fitted, scored and saved side by side and then let go; what it says of the
+    test rows goes to a table, from which all prefixes are counted in one job. Small fits are
+    latency-bound (a few short jobs each), so more of them run concurrently than there are cores.
     """
-    x = assemble(prep, cols).withColumn("label", F.col("movement").cast("double"))
-    per = {s: x.where(F.col("symbol") == s).persist() for s in series_of(prep)}
+    spark = prep.sparkSession
+    sizes = {r["symbol"]: r["n"] for r in prep.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).collect() if r["symbol"] is not None}
+    names, block = sorted(sizes), block_size(counts)
+    per = [_of_series(prep, cols, s, sizes[s]) for s in names]
+    voted = scratch_path(spark, "forest-votes")
+
+    def fit(i: int, b: int) -> None:
+        model = _forest(block, max_depth, seed + b).fit(per[i].where("is_train"))
+        if keep:
+            model.write().save(f"{keep}/series={i}/block={b}")
+        _votes(model, per[i].where("is_test")).write.parquet(f"{voted}/series={i}/block={b}")
+
     try:
-        models = _grow({s: d.where("is_train") for s, d in per.items()}, counts, max_depth, seed, parallelism)
-        parts = [lambda s=s: prefix_accuracy(models[s], block_size(counts), per[s].where("is_test"),
-                                             counts, ["symbol"]) for s in sorted(per)]
-        out = _metrics(prep.sparkSession, parts, "symbol string, ntrees int, correct long, n long")
+        run_parallel([lambda i=i, b=b: fit(i, b) for i in range(len(names)) for b in range(max(counts) // block)],
+                     parallelism or max(16, 2 * spark.sparkContext.defaultParallelism))
     finally:
-        for d in per.values():
+        for d in per:
             d.unpersist()
     if keep:
-        names = sorted(models)
-        run_parallel([lambda m=m, i=i, b=b: m.write().save(f"{keep}/series={i}/block={b}") for i, s in enumerate(names) for b, m in enumerate(models[s])], 16)
-        prep.sparkSession.createDataFrame(list(enumerate(names)), "series int, symbol string").write.parquet(f"{keep}/names")
+        spark.createDataFrame(list(enumerate(names)), "series int, symbol string").write.parquet(f"{keep}/names")
+    schema = "symbol string, _row long, _y int, vote double, block int"
+    votes = spark.read.schema(schema).parquet(voted) if names else spark.createDataFrame([], schema)
+    out = prefix_accuracy(votes, block, counts, ["symbol"])
     return out.select("symbol", "ntrees", F.lit(max_depth).alias("max_depth"), F.lit(MAX_BINS).alias("max_bins"),
                       (F.col("correct") / F.col("n")).alias("accuracy"))
 
