@@ -429,6 +429,15 @@ def _panel(spark, sf_dir):
     return _trends(spark, sf_dir)
 
 
+def _kept_panel(spark, sf_dir) -> DataFrame:
+    """The panel, written once for all families that a session fits (see ``_fit``)."""
+    key = _fit_key(spark, sf_dir, "panel")
+    if not is_written(_RESULTS.get(key, "")):
+        cut_lineage(_panel(spark, sf_dir), "panel")
+        _RESULTS[key] = last_written()
+    return spark.read.parquet(_RESULTS[key])
+
+
 def _fit(spark, sf_dir, family: str, rep: str, *more, keep: bool = False) -> None:
     """Fit the full grid of one family on one representation, unless this session has it.
 
@@ -440,10 +449,10 @@ def _fit(spark, sf_dir, family: str, rep: str, *more, keep: bool = False) -> Non
     if is_written(_RESULTS.get(key, "")) and (not keep or key in _STORES):
         return
     _STORES.pop(key, None)
+    panel = _kept_panel(spark, sf_dir)
     if family == "rf" and not keep:
-        res = X.rf_results(_panel(spark, sf_dir), rep)
+        res = X.rf_results(panel, rep)
     else:
-        panel = cut_lineage(_panel(spark, sf_dir), "panel")
         got = X.svm_fitted(panel, rep, feature_set=more[0]) if more else X.fitted(panel, family, rep)
         res, _STORES[key] = got.results, got.store
     cut_lineage(res, f"results-{family}-{rep}")
@@ -600,7 +609,7 @@ def model_store(spark, sf_dir):
 @register("model_predict")
 def model_predict(spark, sf_dir):
     """A row per test bar and kept model, scored from the store alone."""
-    rows, panel = _store(spark, sf_dir), cut_lineage(_panel(spark, sf_dir), "panel")
+    rows, panel = _store(spark, sf_dir), _kept_panel(spark, sf_dir)
     parts = [X.test_predictions(panel, rows, f, rep) for rep in ("continuous", "trend") for f in X.families(rep)]
     return spark_round(reduce(DataFrame.unionByName, parts), ["score"])
 
